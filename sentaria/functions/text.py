@@ -108,9 +108,8 @@ def resolve_query_tokens(spark: SparkSession, words: str | Iterable[object]) ->
     values = [words] if isinstance(words, str) else [str(word) for word in words]
     if not values:
         return []
-    row = spark.createDataFrame([(values,)], "words array<string>").select(
-        query_tokens(F.col("words"), is_list=True).alias("keys")
-    )
+    words_column = F.array(*[F.lit(value) for value in values])
+    row = spark.range(1).select(query_tokens(words_column, is_list=True).alias("keys"))
     return list(row.first()["keys"])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentaria.functions.scalar import words
+from sentaria.plans.sizing import spread
 
 ID = "sentence_id"
 
@@ -74,7 +75,8 @@ def length_statistics(sentences: DataFrame) -> DataFrame:
 def top_words(sentences: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most frequent lower-cased, space-separated words; ties by word."""
     return (
-        sentences.select(F.explode(words(F.lower("text"))).alias("word"))
+        spread(sentences.select(ID, "text"), ID)
+        .select(F.explode(words(F.lower("text"))).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "word")

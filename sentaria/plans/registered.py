@@ -14,7 +14,7 @@ from sentaria.functions.scalar import is_reusable_license, word_count
 from sentaria.operators import analytics, audio, integrity, quality, retrieval
 from sentaria.operators.conform import conform
 from sentaria.plans.corpus_views import CorpusViews
-from sentaria.plans.sizing import scratch_path
+from sentaria.plans.sizing import scratch_path, spread
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.parquet import (
     compact_dataset,
@@ -471,7 +471,7 @@ def top_words(v: CorpusViews) -> DataFrame:
 
 @registered
 def word_counts(v: CorpusViews) -> DataFrame:
-    return v.sentences.select(ID, word_count(F.col("text")).cast("bigint").alias("n_words"))
+    return spread(v.sentences, ID).select(ID, word_count(F.col("text")).cast("bigint").alias("n_words"))
 
 
 # --- write paths ---------------------------------------------------------------

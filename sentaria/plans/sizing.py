@@ -23,9 +23,7 @@ def input_bytes(df: DataFrame) -> int | None:
     """
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        sizes = [
-            int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size())
-        ]
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     except (AttributeError, TypeError):  # no JVM handle, as with a remote session
         return None
     return None if any(size >= _UNKNOWN_BYTES for size in sizes) else sum(sizes)
@@ -53,7 +51,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     size = input_bytes(df)
     if size is None or size >= cores * split:
         return df
-    return df.repartition(cores, *keys)
+    return df.repartition(2 * cores, *keys)
 
 
 def _bytes_setting(spark: SparkSession, name: str, default: int) -> int:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sentaria.operators.conform import conform
 from sentaria.operators.retrieval import token_rows
-from sentaria.schemas import BY_LANGUAGE, LOAD_ORDER, SCHEMAS
+from sentaria.schemas import BY_LANGUAGE, LOAD_ORDER
 from sentaria.sinks.parquet import compact_dataset, dataset_path, write_dataset, write_token_index
 from sentaria.sources.datasets import read_dataset
 
@@ -31,7 +31,7 @@ class CorpusStore:
         return {table: self.read(table) for table in LOAD_ORDER}
 
     def _empty(self, table: str) -> None:
-        rows = self.spark.createDataFrame([], SCHEMAS[table])
+        rows = conform(self.spark.range(0), table)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(*_partitions(table)).parquet(dataset_path(self.base_dir, table))
 
