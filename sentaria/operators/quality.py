@@ -1,6 +1,10 @@
 """Filtering by a list of trusted sentence ids.
 
 An empty list means "no filter", never "keep nothing".
+
+Filters probe the list and join it once per id column, so hand in a stored frame when
+it is costly to derive (``plans.sizing.written``). That also leaves no aggregation
+between shuffle and join, which would stop Spark from splitting a skewed id.
 """
 
 from __future__ import annotations
@@ -8,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sentaria.plans.sizing import written
+
 ID = "sentence_id"
 
 
@@ -33,7 +39,7 @@ def keep_trusted(df: DataFrame, ids: DataFrame, *id_columns: str) -> DataFrame:
 
 def flag_trusted(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Add ``is_quality``; the bulk form of a membership test."""
-    marked = ids.select(ID).distinct().withColumn("is_quality", F.lit(True))
+    marked = written(ids.select(ID).distinct(), "trusted").withColumn("is_quality", F.lit(True))
     return df.join(marked, ID, "left").withColumn(
         "is_quality", F.coalesce("is_quality", F.lit(False))
     )

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sentaria.functions.text import (
+    normalized_tokens,
     query_tokens,
     resolve_query_tokens,
     text_contains,
@@ -25,6 +26,7 @@ from sentaria.schemas import SCHEMAS
 
 ID = "sentence_id"
 _MASK_BITS = 62
+DEEP_PAGE = 100_000
 
 # Order of the children of one sentence.
 TRANSLATION_ORDER = ("language", "translation_id")
@@ -42,6 +44,14 @@ def token_rows(sentences: DataFrame) -> DataFrame:
     )
 
 
+def key_rows(sentences: DataFrame) -> DataFrame:
+    """One row per sentence and distinct key: enough to search, without positions."""
+    keys = F.array_distinct(normalized_tokens(F.col("text")))
+    return spread(sentences.select(ID, "language", "text"), ID).select(
+        ID, "language", F.explode(keys).alias("normalized_token")
+    )
+
+
 def sentences_in_language(sentences: DataFrame, language: str | None) -> DataFrame:
     return sentences.filter(F.col("language") == language) if language else sentences
 
@@ -96,8 +106,44 @@ def match_text(
 
 
 def page(hits: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:
-    """One page of hits by ascending sentence id."""
-    return hits.orderBy(ID).offset(int(offset)).limit(int(limit))
+    """One page of hits by ascending sentence id.
+
+    A top-k keeps ``offset + limit`` rows in one task. Beyond ``DEEP_PAGE`` rows the page
+    is cut out by the ids at its two ends instead, which needs neither sort nor limit.
+    """
+    limit, offset = int(limit), int(offset)
+    if limit <= 0 or offset + limit <= DEEP_PAGE:
+        return hits.orderBy(ID).offset(offset).limit(limit)
+    ids = written(hits.select(ID), "hit-ids")
+    first = id_at_rank(ids, offset + 1)
+    if first is None:
+        return hits.limit(0)
+    last = id_at_rank(ids, offset + limit)
+    inside = hits.filter(F.col(ID) >= first)
+    return inside if last is None else inside.filter(F.col(ID) <= last)
+
+
+def id_at_rank(ids: DataFrame, rank: int) -> int | None:
+    """The ``rank``-th smallest of distinct ids (from one), None if there are fewer.
+
+    Goes down the id 16 bits at a time. A level counts at most 65,536 prefixes, combined
+    on the map side; only the range of the chosen prefix is read at the next one.
+    """
+    prefix = None
+    for shift in (48, 32, 16, 0):
+        level = ids
+        if prefix is not None:
+            start = prefix << (shift + 16)
+            level = ids.filter(F.col(ID).between(start, start + (1 << (shift + 16)) - 1))
+        counts = level.groupBy(F.shiftright(ID, shift).alias("prefix")).count().collect()
+        for row in sorted(counts):
+            if rank <= row["count"]:
+                prefix = row["prefix"]
+                break
+            rank -= row["count"]
+        else:
+            return None
+    return prefix
 
 
 # --- flat lookups --------------------------------------------------------------
@@ -368,6 +414,8 @@ def search_batch(
 ) -> DataFrame:
     """Search for a whole table of queries: ``query_id, rank, sentence_id``.
 
+    ``sentence_tokens`` is the token index, or :func:`key_rows` of the sentences.
+
     Match-all takes each query's rarest key, reads only that key's postings as
     candidates, and checks the candidates against the keys of their sentence. A
     frequent word therefore costs nothing unless a query has no rarer one.

@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from sentaria.operators.integrity import keep_known
 from sentaria.operators.quality import keep_trusted
+from sentaria.plans.sizing import written
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.parquet import save_by_language, save_dataset
 from sentaria.sinks.store import CorpusStore
@@ -56,8 +57,9 @@ def extract(
     sentences and audio here and the rest at load time.
     """
     sentences = read_sentences(spark, inputs.sentences, languages, inputs.file_format)
-    trusted = read_quality_ids(spark, inputs.quality_ids) if inputs.quality_ids else None
-    if trusted is not None:
+    trusted = None
+    if inputs.quality_ids:
+        trusted = written(read_quality_ids(spark, inputs.quality_ids), "trusted")
         sentences = keep_trusted(sentences, trusted)
     save_by_language(sentences, output_dir, "sentences")
 

@@ -139,18 +139,22 @@ def token_index(v: CorpusViews) -> DataFrame:
     return _index_summary(retrieval.token_rows(v.sentences))
 
 
+def _stored_index(v: CorpusViews) -> DataFrame:
+    path = scratch_path(v.spark, "token-index")
+    write_token_index(retrieval.token_rows(v.sentences), path, languages=v.sentences)
+    return v.spark.read.schema(SCHEMAS["sentence_tokens"]).parquet(path)
+
+
 @registered
 def stored_token_index(v: CorpusViews) -> DataFrame:
-    path = scratch_path(v.spark, "token-index")
-    write_token_index(retrieval.token_rows(v.sentences), path)
-    return _index_summary(v.spark.read.schema(SCHEMAS["sentence_tokens"]).parquet(path))
+    return _index_summary(_stored_index(v))
 
 
 @registered
 def stream_token_index(v: CorpusViews) -> DataFrame:
     """The documents arrive as files; two streams store and index them."""
     base = scratch_path(v.spark, "stream")
-    v.sentences.write.parquet(f"{base}/arriving")
+    spread(v.sentences, ID).write.parquet(f"{base}/arriving")
     update_index(v.spark, f"{base}/arriving", f"{base}/store", f"{base}/checkpoints")
     return _index_summary(read_dataset(v.spark, f"{base}/store", "sentence_tokens"))
 
@@ -159,8 +163,8 @@ def stream_token_index(v: CorpusViews) -> DataFrame:
 def stream_distinct_sentences(v: CorpusViews) -> DataFrame:
     """Every document arrives twice; the stream keeps one row of each id."""
     base = scratch_path(v.spark, "stream")
-    v.sentences.write.parquet(f"{base}/arriving")
-    v.sentences.write.mode("append").parquet(f"{base}/arriving")
+    for _ in range(2):
+        spread(v.sentences, ID).write.mode("append").parquet(f"{base}/arriving")
     update_index(
         v.spark, f"{base}/arriving", f"{base}/store", f"{base}/checkpoints", distinct_ids=True
     )
@@ -203,33 +207,27 @@ def vocab_paged(v: CorpusViews) -> DataFrame:
     return _search_ids(v, FREQUENT_PAIR, "en", True, 100, 5)
 
 
-def _indexed(v: CorpusViews) -> DataFrame:
-    path = scratch_path(v.spark, "token-index")
-    write_token_index(retrieval.token_rows(v.sentences), path)
-    return v.spark.read.schema(SCHEMAS["sentence_tokens"]).parquet(path)
-
-
 @registered
 def index_match_all(v: CorpusViews) -> DataFrame:
     """Build the stored index, then look the words up in it."""
     keys = retrieval.resolve_query_tokens(v.spark, FREQUENT_PAIR)
-    return retrieval.match_index(_indexed(v), keys, "en")
+    return retrieval.match_index(_stored_index(v), keys, "en")
 
 
 @registered
 def index_match_any(v: CorpusViews) -> DataFrame:
     keys = retrieval.resolve_query_tokens(v.spark, FREQUENT_ANY)
-    return retrieval.match_index(_indexed(v), keys, match_all=False)
+    return retrieval.match_index(_stored_index(v), keys, match_all=False)
 
 
 @registered
 def vocab_batch(v: CorpusViews) -> DataFrame:
-    return retrieval.search_batch(v.vocab_queries, retrieval.token_rows(v.sentences))
+    return retrieval.search_batch(v.vocab_queries, retrieval.key_rows(v.sentences))
 
 
 @registered
 def vocab_batch_any(v: CorpusViews) -> DataFrame:
-    tokens = retrieval.token_rows(v.sentences)
+    tokens = retrieval.key_rows(v.sentences)
     return retrieval.search_batch(v.vocab_queries, tokens, match_all=False, limit=20, offset=3)
 
 

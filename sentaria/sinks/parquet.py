@@ -8,14 +8,20 @@ when a lost task runs again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.plans.sizing import TARGET_PARTITION_BYTES, session_settings, shuffle_width
+from sentaria.plans.sizing import (
+    MAX_SHUFFLE_WIDTH,
+    TARGET_PARTITION_BYTES,
+    session_settings,
+    shuffle_width,
+)
 from sentaria.sources.datasets import read_dataset
 
 ID = "sentence_id"
 _ORIGIN = "_input_partition"
+_BUCKET = "_bucket"
 
 
 def dataset_path(base_dir: str, dataset: str) -> str:
@@ -76,25 +82,53 @@ def save_partitioned(
     write_dataset(df, dataset_path(base_dir, dataset), partition_by=columns)
 
 
-def write_token_index(tokens: DataFrame, path: str, mode: str = "overwrite") -> None:
+def _buckets_by_language(rows: DataFrame, width: int) -> Column:
+    """Bucket count of a row's language, in proportion to its share of ``rows``.
+
+    The counts reach the driver: one row per language code, of which every one is also
+    a directory.
+    """
+    counts = rows.filter(F.col("language").isNotNull()).groupBy("language").count().collect()
+    total = sum(row["count"] for row in counts) or 1
+    pairs = [(row["language"], -(-width * row["count"] // total)) for row in counts]
+    if not pairs:
+        return F.lit(1)
+    sizes = F.create_map(*[F.lit(value) for pair in pairs for value in pair])
+    return F.coalesce(F.try_element_at(sizes, F.col("language")), F.lit(1))
+
+
+def write_token_index(
+    tokens: DataFrame, path: str, mode: str = "overwrite", languages: DataFrame | None = None
+) -> None:
     """Write the inverted index: by language, sorted by key and sentence.
 
-    The rebalance hint hashes by (language, key), splits whatever exceeds the advisory
-    size and joins what is small. It needs no sampling pass, which would run the
-    tokeniser twice, and a word found in most sentences becomes many files, not one.
+    Keys are hashed into buckets, more of them for larger languages, so a small language
+    is one file and not one per task. The rebalance hint splits a bucket that a frequent
+    word makes too large. There is no sampling pass, which would run the tokeniser
+    twice. A row group's dictionary of keys, or its Bloom filter where there are too many
+    for a dictionary, turns away lookups of keys in other buckets.
+
+    ``languages`` is a cheaper frame to count languages in, such as the sentences.
     """
-    keys = ("language", "normalized_token")
+    spark = tokens.sparkSession
+    # A token row is several times the size of the word in its text.
+    width = max(shuffle_width(tokens, growth=4.0), 2 * spark.sparkContext.defaultParallelism)
+    buckets = _buckets_by_language(tokens if languages is None else languages, width)
     settings = {
         "spark__sql__adaptive__advisoryPartitionSizeInBytes": TARGET_PARTITION_BYTES,
-        # A token row is several times the size of the word in its text.
-        "spark__sql__shuffle__partitions": shuffle_width(tokens, growth=4.0),
+        "spark__sql__shuffle__partitions": min(4 * width, MAX_SHUFFLE_WIDTH),
     }
-    with session_settings(tokens.sparkSession, **settings):
+    order = ("language", "normalized_token", ID)
+    with session_settings(spark, **settings):
         (
-            tokens.hint("rebalance", *keys)
-            .sortWithinPartitions(*keys, ID)
+            tokens.withColumn(_BUCKET, F.pmod(F.xxhash64("normalized_token"), buckets))
+            .hint("rebalance", "language", _BUCKET)
+            .sortWithinPartitions(*order)
+            .drop(_BUCKET)
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
+            .option("parquet.bloom.filter.enabled#normalized_token", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
             .partitionBy("language")
             .parquet(path)
         )
@@ -116,6 +150,26 @@ def compact_dataset(
     return read_dataset(spark, target_dir, dataset)
 
 
+def save_bucketed(
+    df: DataFrame, table: str, buckets: int, *keys: str, path: str | None = None
+) -> None:
+    """Save a catalog table bucketed and sorted by ``keys`` (default the sentence id).
+
+    Tables with the same buckets join on the key without a shuffle, which pays when
+    links, tags, audio and annotations are joined to sentences again and again. Avoid it
+    for a table in which one id holds a large share: a bucket cannot be split.
+    """
+    keys = keys or (ID,)
+    writer = (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+    )
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def analyze_table(spark: SparkSession, table: str) -> None:
     """Refresh the optimiser's statistics of a catalog table."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")

@@ -48,12 +48,12 @@ class CorpusStore:
         for table in reversed(LOAD_ORDER):
             self._empty(table)
 
-    def append(self, df: DataFrame, table: str) -> None:
-        """Conform and append; an empty frame is a no-op."""
+    def append(self, df: DataFrame, table: str, languages: DataFrame | None = None) -> None:
+        """Conform and append. ``languages`` as in ``write_token_index``."""
         rows = conform(df, table)
         path = dataset_path(self.base_dir, table)
         if table == "sentence_tokens":
-            write_token_index(rows, path, mode="append")
+            write_token_index(rows, path, "append", languages)
         else:
             write_dataset(rows, path, mode="append", partition_by=_partitions(table))
 
@@ -65,7 +65,7 @@ class CorpusStore:
             self.create_tables()
         rows = conform(df, "sentences")
         self.append(rows, "sentences")
-        self.append(token_rows(rows), "sentence_tokens")
+        self.append(token_rows(rows), "sentence_tokens", languages=rows)
 
     def load(self, table: str, df: DataFrame) -> None:
         """Append links, tags, audio, grammar patterns or annotations."""

@@ -82,6 +82,15 @@ def test_many_keys(spark):
     assert ids(r.match_text(df, words)) == [1]
 
 
+def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
+    values = [-(1 << 40), -5, 0, 3, 7, 65_535, 65_536, 1 << 33, (1 << 33) + 1, (1 << 62) + 9]
+    hits = spark.createDataFrame([(v,) for v in reversed(values)], "sentence_id bigint")
+    monkeypatch.setattr(r, "DEEP_PAGE", 0)
+    for limit, offset in [(3, 0), (4, 5), (100, 8), (5, 10), (2, 50)]:
+        assert ids(r.page(hits, limit, offset)) == values[offset : offset + limit]
+    assert ids(r.page(hits, 0, 3)) == []
+
+
 @pytest.fixture(scope="module")
 def linked(spark):
     sentences = spark.createDataFrame(

@@ -139,6 +139,18 @@ def test_compaction(spark, tmp_path):
     assert len(out.inputFiles()) < len(d.read_dataset(spark, base).inputFiles())
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    for name in ("left_side", "right_side"):
+        df = spark.range(500).select(F.col("id").alias("sentence_id"), F.lit(name).alias(name))
+        p.save_bucketed(df, name, 4, path=str(tmp_path / name))
+        p.analyze_table(spark, name)
+    joined = spark.table("left_side").hint("merge").join(spark.table("right_side"), "sentence_id")
+    assert joined.count() == 500
+    assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    for name in ("left_side", "right_side"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_sql_with_markers(spark, corpus):
     sql = "SELECT sentence_id FROM sentences WHERE language IN (?, ?) ORDER BY 1 LIMIT ? OFFSET ?"
     rows = d.run_sql(spark, {"sentences": corpus["sentences"]}, sql, ["eng", "fra", 2, 1]).collect()
