@@ -31,6 +31,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 _NORMALIZER = "com.ibm.icu.text.Normalizer"
 _CHARACTER = "com.ibm.icu.lang.UCharacter"
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
+ASCII_PATTERN = "[A-Za-z0-9]+"
 
 TOKEN_TYPE = ArrayType(
     StructType(
@@ -47,6 +48,10 @@ def _is_ascii(value: Column) -> Column:
     return F.octet_length(value) == F.char_length(value)
 
 
+def _runs(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
 def nfkc(value: Column) -> Column:
     """NFKC form; NULL becomes the empty string."""
     present = F.coalesce(value, F.lit(""))
@@ -68,12 +73,19 @@ def normalize_token(value: Column) -> Column:
 
 def split_tokens(text: Column) -> Column:
     """Tokens in order of appearance, case kept. Any part of an NFKC text is NFKC."""
-    return F.regexp_extract_all(nfkc(text), F.lit(TOKEN_PATTERN), F.lit(0))
+    return F.when(_is_ascii(text), _runs(text, ASCII_PATTERN)).otherwise(
+        _runs(nfkc(text), TOKEN_PATTERN)
+    )
 
 
 def normalized_tokens(text: Column) -> Column:
-    """Lookup keys in order of appearance, repeats kept."""
-    return F.transform(split_tokens(text), fold_case)
+    """Lookup keys in order of appearance, repeats kept.
+
+    ASCII text is lowered as a whole; only other text is folded token by token.
+    """
+    return F.when(_is_ascii(text), _runs(F.lower(text), ASCII_PATTERN)).otherwise(
+        F.transform(_runs(nfkc(text), TOKEN_PATTERN), fold_case)
+    )
 
 
 def tokenize_text(text: Column) -> Column:
