@@ -133,7 +133,9 @@ _EXTRAS = _with(
         ]
     )
     + """ SELECT h.sentence_id,
-        coalesce(n_translations, 0) AS n_translations, first_translations, last_translations,
+        coalesce(n_translations, 0) AS n_translations,
+        coalesce(first_translations, -1) AS first_translations,
+        coalesce(last_translations, -1) AS last_translations,
         coalesce(n_audio, 0) AS n_audio, first_audio, last_audio,
         coalesce(n_grammar_patterns, 0) AS n_grammar_patterns,
         first_grammar_patterns, last_grammar_patterns
@@ -170,11 +172,11 @@ ORACLES: dict[str, str] = {
     "conform_sentences": _with(
         ["sentences"],
         """SELECT sentence_id, language, md5(text) AS text_md5,
-        CAST(NULL AS VARCHAR) AS username, true AS no_date_added FROM sentences""",
+        true AS no_username, true AS no_date_added FROM sentences""",
     ),
     "conform_audio": """SELECT 'tatoeba' AS source, CAST(event_id AS VARCHAR) AS audio_id,
-        user_id AS sentence_id, CAST(NULL AS VARCHAR) AS license,
-        coalesce(nullif(event_type, 'view'), 'metadata') AS status FROM events""",
+        user_id AS sentence_id, coalesce(nullif(event_type, 'view'), 'metadata') AS status,
+        true AS no_license FROM events""",
     "list_languages": "SELECT DISTINCT lang AS language FROM documents WHERE lang IS NOT NULL",
     "union_languages": _with(
         ["sentences"],
@@ -228,8 +230,8 @@ ORACLES: dict[str, str] = {
         ["translations", "sentences"],
         """SELECT s.sentence_id, count(t.translation_id) AS n_translations,
         count(DISTINCT t.translation_id) AS n_distinct,
-        arg_min(t.translation_id, (t.language, t.translation_id)) AS first_translation,
-        arg_max(t.translation_id, (t.language, t.translation_id)) AS last_translation
+        coalesce(arg_min(t.translation_id, (t.language, t.translation_id)), -1) AS first_translation,
+        coalesce(arg_max(t.translation_id, (t.language, t.translation_id)), -1) AS last_translation
         FROM sentences s LEFT JOIN translations t ON t.sentence_id = s.sentence_id
         GROUP BY s.sentence_id""",
     ),
@@ -357,7 +359,7 @@ ORACLES: dict[str, str] = {
             AS n_words FROM documents""",
     "write_read_roundtrip": _with(
         ["links", "sentences"],
-        f"""SELECT {_BRIEF.replace('sentence_id', 's.sentence_id', 1)}, d.n_links
+        f"""SELECT {_BRIEF.replace('sentence_id', 's.sentence_id', 1)}, coalesce(d.n_links, 0) AS n_links
         FROM sentences s LEFT JOIN (SELECT sentence_id, count(*) AS n_links FROM links
             GROUP BY sentence_id) d ON d.sentence_id = s.sentence_id WHERE language = 'en'""",
     ),

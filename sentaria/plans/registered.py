@@ -80,7 +80,8 @@ def conform_sentences(v: CorpusViews) -> DataFrame:
     rows = conform(given, "sentences")
     return rows.select(
         ID, "language", F.md5("text").alias("text_md5"),
-        "username", F.col("date_added").isNull().alias("no_date_added"),
+        F.col("username").isNull().alias("no_username"),
+        F.col("date_added").isNull().alias("no_date_added"),
     )
 
 
@@ -91,7 +92,10 @@ def conform_audio(v: CorpusViews) -> DataFrame:
         F.col("event_id").cast("string").alias("audio_id"),
         F.nullif("event_type", F.lit("view")).alias("status"),
     )
-    return conform(given, "sentence_audio").select("source", "audio_id", ID, "license", "status")
+    rows = conform(given, "sentence_audio")
+    return rows.select(
+        "source", "audio_id", ID, "status", F.col("license").isNull().alias("no_license")
+    )
 
 
 @registered
@@ -236,7 +240,8 @@ def vocab_with_extras(v: CorpusViews) -> DataFrame:
     found = retrieval.search_vocabulary(
         v.tables(), ["THE", "of"], language="en", target_language="fr", limit=100
     )
-    return found.summary()
+    ends = ("first_translations", "last_translations")
+    return found.summary().withColumns({c: F.coalesce(c, F.lit(-1)) for c in ends})
 
 
 # --- lookups -------------------------------------------------------------------
@@ -283,8 +288,8 @@ def nested_translations(v: CorpusViews) -> DataFrame:
     return nested.groupBy(ID).agg(
         F.sum(total).alias("n_translations"),
         F.sum(F.size("items")).alias("n_distinct"),
-        F.min(end(1))["translation_id"].alias("first_translation"),
-        F.max(end(-1))["translation_id"].alias("last_translation"),
+        F.coalesce(F.min(end(1))["translation_id"], F.lit(-1)).alias("first_translation"),
+        F.coalesce(F.max(end(-1))["translation_id"], F.lit(-1)).alias("last_translation"),
     )
 
 
@@ -482,7 +487,7 @@ def write_read_roundtrip(v: CorpusViews) -> DataFrame:
     save_dataset(v.links, base, "links")
     degree = read_dataset(v.spark, base, "links").groupBy(ID).agg(F.count(F.lit(1)).alias("n_links"))
     english = read_language(v.spark, base, "sentences", "en")
-    return _brief(english).join(degree, ID, "left")
+    return _brief(english).join(degree, ID, "left").fillna(0, "n_links")
 
 
 @registered
