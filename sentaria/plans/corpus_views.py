@@ -20,9 +20,12 @@ class CorpusViews:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._opened[name]
 
     @property
     def sentences(self) -> DataFrame:

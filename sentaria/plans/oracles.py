@@ -205,6 +205,20 @@ ORACLES: dict[str, str] = {
     "vocab_batch": _batch("HAVING count(*) = s.n", 0, 100),
     "vocab_batch_any": _batch("", 3, 23),
     "vocab_with_extras": _EXTRAS,
+    "index_with_extras": _EXTRAS,
+    "vocab_nested": _with(
+        ["tokens", "translations", "annotations", "grammar_patterns"],
+        """SELECT h.sentence_id,
+        (SELECT count(*) FROM translations t WHERE t.sentence_id = h.sentence_id) AS n_translations,
+        CAST(0 AS BIGINT) AS n_audio,
+        (SELECT count(*) FROM annotations a JOIN grammar_patterns g USING (pattern_id)
+         WHERE a.sentence_id = h.sentence_id) AS n_grammar_patterns
+        FROM (SELECT sentence_id FROM tokens
+            WHERE language = 'en' AND normalized_token IN ('the', 'of')
+            GROUP BY sentence_id HAVING count(DISTINCT normalized_token) = 2
+            ORDER BY sentence_id LIMIT 50 OFFSET 10) h""",
+    ),
+    "sentence_by_id": _with(["sentences"], f"SELECT {_BRIEF} FROM sentences WHERE sentence_id = 42"),
     "translations": _with(
         ["translations"],
         "SELECT sentence_id, translation_id, language, md5(text) AS text_md5 FROM translations",

@@ -244,6 +244,29 @@ def vocab_with_extras(v: CorpusViews) -> DataFrame:
     return found.summary().withColumns({c: F.coalesce(c, F.lit(-1)) for c in ends})
 
 
+@registered
+def index_with_extras(v: CorpusViews) -> DataFrame:
+    """The same page found through a stored index."""
+    tables = {**v.tables(), "sentence_tokens": _stored_index(v)}
+    found = retrieval.search_vocabulary(tables, "the of", language="en", target_language="fr")
+    ends = ("first_translations", "last_translations")
+    return found.summary().withColumns({c: F.coalesce(c, F.lit(-1)) for c in ends})
+
+
+@registered
+def vocab_nested(v: CorpusViews) -> DataFrame:
+    """A page of nested results without audio, with the children read back from the arrays."""
+    found = retrieval.search_vocabulary(
+        v.tables(), ["the", "of"], language="en", limit=50, offset=10, include_audio=False
+    )
+    copies = lambda name: F.aggregate(name, F.lit(0).cast("bigint"), lambda n, x: n + x["copies"])
+    return found.nested().groupBy(F.col("sentence.sentence_id").alias(ID)).agg(
+        F.sum(copies("translations")).alias("n_translations"),
+        F.sum(F.size("audio")).alias("n_audio"),
+        F.sum(copies("grammar_patterns")).alias("n_grammar_patterns"),
+    )
+
+
 # --- lookups -------------------------------------------------------------------
 
 
@@ -293,6 +316,11 @@ def nested_translations(v: CorpusViews) -> DataFrame:
     )
 
 
+@registered
+def sentence_by_id(v: CorpusViews) -> DataFrame:
+    return _brief(v.sentences.filter(F.col(ID) == 42))
+
+
 @registered
 def sentence_with_translations(v: CorpusViews) -> DataFrame:
     found = retrieval.sentence_with_translations(v.tables(), 7)

@@ -7,7 +7,7 @@ each micro-batch exactly once, and the index can only describe stored sentences.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -17,16 +17,36 @@ from sentaria.operators.conform import conform
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.parquet import dataset_path
 
+_SALT, _SALTS = "_salt", 64
 
-def deduplicated(stream: DataFrame, event_time: str | None = None, delay: str = "1 day") -> DataFrame:
+
+def deduplicated(
+    stream: DataFrame,
+    event_time: str | None = None,
+    delay: str = "1 day",
+    origin: Column | None = None,
+) -> DataFrame:
     """Keep the first row of each sentence id.
 
     Without an event time the ids seen are kept for good, so state grows with the
     corpus. With one, ids are forgotten ``delay`` after the watermark has passed.
+
+    Repeats of one id meet in one task. ``origin``, for instance the input file, adds a
+    first round per id and origin, so an id repeated throughout the input arrives there
+    once per origin bucket. It doubles the state.
     """
-    if event_time is None:
-        return stream.dropDuplicates(["sentence_id"])
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["sentence_id"])
+    if event_time is not None:
+        stream = stream.withWatermark(event_time, delay)
+
+    def first_rows(rows: DataFrame, *keys: str) -> DataFrame:
+        if event_time is None:
+            return rows.dropDuplicates(list(keys))
+        return rows.dropDuplicatesWithinWatermark(list(keys))
+
+    if origin is None:
+        return first_rows(stream, "sentence_id")
+    salted = stream.withColumn(_SALT, F.pmod(F.xxhash64(origin), F.lit(_SALTS)))
+    return first_rows(first_rows(salted, "sentence_id", _SALT), "sentence_id").drop(_SALT)
 
 
 def _start(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -47,17 +67,22 @@ def start_sentences(
     source_schema: StructType | None = None,
     distinct_ids: bool = False,
     event_time: str | None = None,
+    spread_repeats: bool = False,
     files_per_batch: int = 10_000,
 ) -> StreamingQuery:
-    """Stream Parquet sentence files into the stored sentences."""
+    """Stream Parquet sentence files into the stored sentences.
+
+    ``spread_repeats`` turns on the first round per input file of :func:`deduplicated`.
+    """
     arriving = (
         spark.readStream.schema(source_schema or SCHEMAS["sentences"])
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(source_dir)
     )
-    rows = conform(arriving, "sentences")
     if distinct_ids:
-        rows = deduplicated(rows, event_time)
+        origin = F.col("_metadata.file_path") if spread_repeats else None
+        arriving = deduplicated(arriving, event_time, origin=origin)
+    rows = conform(arriving, "sentences")
     return _start(rows, dataset_path(base_dir, "sentences"), f"{checkpoint_dir}/sentences")
 
 

@@ -280,12 +280,14 @@ def test_stream_equals_batch(spark, tmp_path):
     assert ids(r.match_index(streamed, ["hello"])) == [1, 3]
 
 
-def test_stream_can_drop_repeated_ids(spark, tmp_path):
+@pytest.mark.parametrize("spread_repeats", [False, True])
+def test_stream_can_drop_repeated_ids(spark, tmp_path, spread_repeats):
     source, base, marks = (str(tmp_path / name) for name in ("in", "store", "marks"))
-    sentences(spark, (1, "eng", "a"), (2, "eng", "b")).write.parquet(source)
-    update_index(spark, source, base, marks, distinct_ids=True)
+    options = {"distinct_ids": True, "spread_repeats": spread_repeats}
+    sentences(spark, (1, "eng", "a"), (2, "eng", "b"), (2, "eng", "b")).write.parquet(source)
+    update_index(spark, source, base, marks, **options)
     sentences(spark, (2, "eng", "b again"), (3, "eng", "c")).write.mode("append").parquet(source)
-    update_index(spark, source, base, marks, distinct_ids=True)
+    update_index(spark, source, base, marks, **options)
     assert ids(d.read_dataset(spark, base)) == [1, 2, 3]
 
 
