@@ -143,10 +143,17 @@ def token_index(v: CorpusViews) -> DataFrame:
     return _index_summary(retrieval.token_rows(v.sentences))
 
 
+_INDEX_PATHS: dict[tuple[str, str], str] = {}
+
+
 def _stored_index(v: CorpusViews) -> DataFrame:
-    path = scratch_path(v.spark, "token-index")
-    write_token_index(retrieval.token_rows(v.sentences), path, languages=v.sentences)
-    return v.spark.read.schema(SCHEMAS["sentence_tokens"]).parquet(path)
+    """The stored index of the folder: built by the first query that asks, then shared."""
+    key = (v.spark.sparkContext.applicationId, v.sf_dir)
+    if key not in _INDEX_PATHS:
+        path = scratch_path(v.spark, "token-index")
+        write_token_index(retrieval.token_rows(v.sentences), path, languages=v.sentences)
+        _INDEX_PATHS[key] = path
+    return v.spark.read.schema(SCHEMAS["sentence_tokens"]).parquet(_INDEX_PATHS[key])
 
 
 @registered
@@ -213,7 +220,7 @@ def vocab_paged(v: CorpusViews) -> DataFrame:
 
 @registered
 def index_match_all(v: CorpusViews) -> DataFrame:
-    """Build the stored index, then look the words up in it."""
+    """Look the words up in the stored index."""
     keys = retrieval.resolve_query_tokens(v.spark, FREQUENT_PAIR)
     return retrieval.match_index(_stored_index(v), keys, "en")
 

@@ -79,6 +79,16 @@ def session_settings(spark: SparkSession, **settings):
                 spark.conf.set(full, value)
 
 
+def sized_shuffles(df: DataFrame):
+    """Let the joins and groupings below one write start with a width that fits its input.
+
+    Adaptive execution joins partitions that turn out small but never adds any, so too
+    many is cheap and too few is not.
+    """
+    name = "spark__sql__adaptive__coalescePartitions__initialPartitionNum"
+    return session_settings(df.sparkSession, **{name: shuffle_width(df)})
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder that every executor sees: the cluster's checkpoint folder.
 
@@ -102,5 +112,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back: lineage cut, sizes known."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with sized_shuffles(df):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

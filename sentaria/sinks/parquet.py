@@ -16,6 +16,7 @@ from sentaria.plans.sizing import (
     TARGET_PARTITION_BYTES,
     session_settings,
     shuffle_width,
+    sized_shuffles,
 )
 from sentaria.sources.datasets import read_dataset
 
@@ -55,7 +56,8 @@ def write_dataset(
     writer = clustered(df, *partition_by, *order).write.mode(mode)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
+    with sized_shuffles(df):
+        writer.parquet(path)
 
 
 def save_dataset(df: DataFrame, base_dir: str, dataset: str) -> None:
