@@ -26,7 +26,9 @@ from sentaria.schemas import SCHEMAS
 
 ID = "sentence_id"
 _MASK_BITS = 62
+# Rows that one task may rank: ids alone, and whole sentences.
 DEEP_PAGE = 100_000
+ROW_PAGE = 1_000
 
 # Order of the children of one sentence.
 TRANSLATION_ORDER = ("language", "translation_id")
@@ -119,7 +121,7 @@ def page(hits: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:
     if first is None:
         return hits.limit(0)
     last = id_at_rank(ids, offset + limit)
-    inside = hits.filter(F.col(ID) >= first)
+    inside = (ids if hits.columns == [ID] else hits).filter(F.col(ID) >= first)
     return inside if last is None else inside.filter(F.col(ID) <= last)
 
 
@@ -338,12 +340,16 @@ def search_vocabulary(
     if not keys:
         return SearchResult(sentences.limit(0))
 
-    if "sentence_tokens" in tables:
+    indexed = "sentence_tokens" in tables
+    if indexed:
         hits = match_index(tables["sentence_tokens"], keys, language, match_all)
-        ids = written(page(hits, limit, offset), "page")
+    else:
+        hits = match_text(sentences, keys, language, match_all)
+    if indexed or int(limit) + int(offset) > ROW_PAGE:
+        ids = written(page(hits.select(ID), limit, offset), "page")
         found = _only(_near(sentences_in_language(sentences, language), ids), ids)
     else:
-        found = written(page(match_text(sentences, keys, language, match_all), limit, offset), "page")
+        found = written(page(hits, limit, offset), "page")
         ids = found.select(ID)
 
     translations = audio = grammar = None

@@ -58,6 +58,17 @@ def test_pages(tables):
     assert r.search_vocabulary(tables, "hello", offset=5).nested().collect() == []
 
 
+def test_large_pages_rank_ids_only(tables, monkeypatch):
+    monkeypatch.setattr(r, "ROW_PAGE", 0)
+    found = r.search_vocabulary(tables, "hello", language="eng", limit=5)
+    assert sorted((x["sentence_id"], x["text"]) for x in found.sentences.collect()) == [
+        (1, "Hello, brave world!"), (2, "Hello there.")
+    ]
+    monkeypatch.setattr(r, "DEEP_PAGE", 0)
+    found = r.search_vocabulary(tables, "hello", language="eng", limit=5, offset=1)
+    assert ids(found.sentences) == [2] and ids(found.translations) == []
+
+
 def test_no_usable_word_finds_nothing(tables):
     assert ids(r.search_vocabulary(tables, " ... ").sentences) == []
     assert ids(r.search_vocabulary(tables, []).sentences) == []
