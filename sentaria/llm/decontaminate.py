@@ -8,8 +8,6 @@ around it are compared place by place.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +15,12 @@ from sentaria.llm.common import stored, table
 
 #: Positions that count, from the start of the window. Together they hit every window of 13
 #: tokens with up to two substitutions (see the tests).
-MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 6, 7), (0, 2, 5, 6, 8))
+MASKS = ((0, 1, 2, 3, 5, 7), (0, 2, 3, 6, 7, 8))
 #: Tokens of the compared window and the share of them that must agree.
 WINDOW = 13
 SHARE = 0.8
+#: Items with fewer tokens than the shortest mask spans are phrases, not passages.
+LEAST_TOKENS = 8
 #: Rows of seeds (24 bytes each) up to which they are sent to all executors; more are joined by shuffle.
 SENT_SEEDS = 1_000_000
 _SPLIT = r"[^\p{L}\p{N}]+"
@@ -37,7 +37,11 @@ def token_hashes(text: Column) -> Column:
 
 
 def _seeds(df: DataFrame, *kept: str) -> DataFrame:
-    """Rows ``(kept, at, seed)`` for every mask and every place where it fits ``toks``."""
+    """Rows ``(kept, at, seed)`` for every mask and every place where it fits ``toks``.
+
+    The outer explodes keep Spark from deriving a filter on the size of their input, which
+    would repeat the tokenising for every element; their null seeds join nothing.
+    """
     n = F.size("toks")
 
     def hashed(k: int, mask: tuple[int, ...]) -> Column:
@@ -51,28 +55,26 @@ def _seeds(df: DataFrame, *kept: str) -> DataFrame:
     return each.select(*kept, F.posexplode_outer("_seeds").alias("at", "seed"))
 
 
-def _short_seeds(df: DataFrame, *kept: str) -> DataFrame:
-    """For items shorter than the longest mask: their whole sequence, as a seed of that length."""
-    return df.select(*kept, F.lit(0).alias("at"), F.xxhash64(F.lit("whole"), F.col("toks")).alias("seed"))
-
-
 def agreement(doc: Column, item: Column, shift: Column, window: int = WINDOW) -> Column:
     """Most tokens that agree in any window of ``item`` laid on ``doc`` from ``shift`` on.
 
     Items shorter than the window are one window. Places before or after the document
     agree with nothing.
     """
-    place = lambda i: shift + i
-    inside = lambda i: (place(i) >= 0) & (place(i) < F.size(doc))
-    same = F.transform(
-        F.sequence(F.lit(0), F.size(item) - 1),
-        lambda i: F.when(inside(i) & (F.get(doc, F.when(inside(i), place(i)).otherwise(F.lit(0))) == F.get(item, i)), 1).otherwise(0),
-    )
+
+    def same(i: Column) -> Column:
+        place = shift + i
+        inside = (place >= 0) & (place < F.size(doc))
+        return F.when(inside & (F.get(doc, F.greatest(place, F.lit(0))) == F.get(item, i)), 1).otherwise(0)
+
     width = F.least(F.lit(window), F.size(item))
     starts = F.sequence(F.lit(0), F.size(item) - width)
-    return F.array_max(
-        F.transform(starts, lambda s: F.aggregate(F.slice(same, s + 1, width), F.lit(0), lambda a, x: a + x))
+    agree = F.transform(F.sequence(F.lit(0), F.size(item) - 1), same)
+    best = lambda a: F.array_max(
+        F.transform(starts, lambda s: F.aggregate(F.slice(a, s + 1, width), F.lit(0), lambda n, x: n + x))
     )
+    # one-element array: the flags are computed once and then read by every window
+    return F.transform(F.array(agree), best)[0]
 
 
 def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
@@ -81,42 +83,48 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: flo
     They overlap if some ``window`` tokens of the item, or the whole item if it is
     shorter, lie on the document with at least ``share`` of them equal, and a mask hits there.
     ``agreeing`` is the best window's count, ``compared`` its length. Null and empty texts
-    overlap nothing; items without a token are no benchmark. Rows with null ids take part,
-    repeated rows count once. Other columns are ignored.
+    overlap nothing; items of fewer than eight tokens are left out. Rows with null ids take
+    part, repeated rows count once. Other columns are ignored.
     """
-    asked = items.select("item_id", token_hashes(F.col("text")).alias("toks")).filter(F.size("toks") > 0)
-    asked = stored(asked.distinct(), "benchmark-items")
-    item_seeds = stored(
-        _seeds(asked, "item_id").select("item_id", F.col("at").alias("item_at"), "seed").distinct(), "benchmark-seeds"
+    asked = items.select("item_id", token_hashes(F.col("text")).alias("toks")).distinct()
+    asked = stored(asked.filter(F.size("toks") >= LEAST_TOKENS), "benchmark-items")
+    item_seeds = _seeds(asked, "item_id", "toks").filter("seed IS NOT NULL").select(
+        "item_id", F.col("at").alias("item_at"), "seed", F.xxhash64("toks").alias("item_key")
     )
+    item_seeds = stored(item_seeds.distinct(), "benchmark-seeds")
     if item_seeds.count() <= SENT_SEEDS:
         item_seeds = F.broadcast(item_seeds)
     read = docs.select("doc_id", token_hashes(F.col("text")).alias("toks"))
     hits = (
         _seeds(read, "doc_id").join(item_seeds, "seed")
-        .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+        .select("doc_id", "item_id", "item_key", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
     )
     hits = stored(hits, "seed-hits")
-    laid = hits.join(asked.withColumnRenamed("toks", "item_toks"), hits["item_id"].eqNullSafe(asked["item_id"])).select(
-        hits["doc_id"].alias("_doc"), hits["item_id"], "shift", "item_toks"
+    keyed = asked.select(F.col("item_id").alias("_item"), F.col("toks").alias("item_toks"), F.xxhash64("toks").alias("_key"))
+    laid = hits.join(keyed, (F.col("item_key") == F.col("_key")) & F.col("item_id").eqNullSafe(F.col("_item")))
+    # a document's own hits: no more than its places and the items there
+    by_doc = laid.groupBy(F.col("doc_id").alias("_doc")).agg(
+        F.collect_list(F.struct("item_id", "shift", "item_toks")).alias("_laid")
     )
-    compared = F.least(F.lit(window), F.size("item_toks"))
-    both = docs.select("doc_id", "text").join(laid, F.col("doc_id").eqNullSafe(F.col("_doc")))
-    found = both.select(
-        "doc_id", "item_id", compared.alias("compared"),
-        agreement(F.col("toks"), F.col("item_toks"), F.col("shift"), window).alias("agreeing"),
-    ) if False else (
-        both.withColumn("toks", token_hashes(F.col("text")))
-        .select(
-            "doc_id", "item_id", compared.alias("compared"),
-            agreement(F.col("toks"), F.col("item_toks"), F.col("shift"), window).alias("agreeing"),
+    by_doc = stored(by_doc, "hits-by-document")
+    both = docs.select("doc_id", "text").join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")))
+    both = both.select("doc_id", token_hashes(F.col("text")).alias("toks"), "_laid")
+
+    def compared(hit: Column) -> Column:
+        return F.struct(
+            hit["item_id"].alias("item_id"),
+            agreement(F.col("toks"), hit["item_toks"], hit["shift"], window).alias("agreeing"),
+            F.least(F.lit(window), F.size(hit["item_toks"])).alias("compared"),
         )
-    )
+
+    found = both.select("doc_id", F.transform("_laid", compared).alias("_found"))
+    found = found.select("doc_id", F.explode_outer("_found").alias("_f")).select("doc_id", "_f.*")
     good = found.filter(F.col("agreeing") >= F.col("compared") * share)
-    return good.groupBy("doc_id", "item_id").agg(
-        F.max(F.struct(F.col("agreeing") / F.col("compared"), "agreeing", "compared")).alias("_best")
-    ).select("doc_id", "item_id", F.col("_best.agreeing").alias("agreeing"), F.col("_best.compared").alias("compared"))
+    best = F.max(F.struct(F.col("agreeing") / F.col("compared"), "agreeing", "compared")).alias("_best")
+    return good.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", F.col("_best.agreeing").alias("agreeing"), F.col("_best.compared").alias("compared")
+    )
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import numbered, table
+from sentaria.llm.common import numbered, stored, table
 
 SEQUENCE_TOKENS = 1024
 END_OF_TEXT = 0
@@ -122,10 +122,11 @@ def pack(docs: DataFrame, longest: int = SEQUENCE_TOKENS, tokenizers: str | None
     cut; it never leaves its task. Other columns are ignored. Sequence ids have no gaps: all
     pieces of the longest length come first, each length in the order of document and start.
     """
-    pieces = docs.select("doc_id", "text").mapInArrow(_batches(tokenizers, longest), PIECES)
+    # stored first: the sampling of the range shuffle below would tokenise everything once more
+    pieces = stored(docs.select("doc_id", "text").mapInArrow(_batches(tokenizers, longest), PIECES), "pieces")
     rows, _ = numbered(
         pieces.withColumn("_shorter", -F.col("length")), "_shorter", "doc_id", "start", "ids_crc32",
-        name="sequence_id", label="pieces",
+        name="sequence_id", label="sequences",
     )
     return rows.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
