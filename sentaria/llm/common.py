@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are no longer in use.
+
+    Spark does so when the driver collects its garbage, which a small driver heap may put
+    off until long after the disk is full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def width(spark: SparkSession, n_bytes: float) -> int:
     """Partitions for a shuffle of about ``n_bytes``; not under the session's own number."""
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))

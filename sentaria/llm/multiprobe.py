@@ -158,8 +158,6 @@ def _rerank(k: int):
     def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(queries):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        # repeated visits of one query to one bucket, as two moves may share a hash, count once
-        queries = queries.drop_duplicates(subset=["id"]) if queries["id"].duplicated().any() and not _differ(queries) else queries
         x, q = np.stack(rows["vec"].to_numpy()), np.stack(queries["vec"].to_numpy())
         ids, vecs, scores = exact_top(q, queries["id"].to_numpy(), x, rows["id"].to_numpy(), k)
         return pd.DataFrame({"query_id": ids, "vec_id": vecs, "score": scores})
@@ -167,11 +165,6 @@ def _rerank(k: int):
     return run
 
 
-def _differ(queries: pd.DataFrame) -> bool:
-    """Whether one id carries different vectors."""
-    return any(len({tuple(v) for v in g}) > 1 for _, g in queries.groupby("id")["vec"])
-
-
 def _in_blocks(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Best ``k`` rows of each query in each bucket both name; large buckets in blocks of both sides."""
     key = list(_KEY)

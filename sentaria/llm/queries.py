@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpus_pipeline import run as pipeline
 from sentaria.llm.decontaminate import op2_spaced_seeds
 from sentaria.llm.feistel_shards import op7_feistel_shards
 from sentaria.llm.licenses import op4_sentence_rules
@@ -15,6 +16,7 @@ from sentaria.llm.mil_quality import op10_attention_quality
 from sentaria.llm.multiprobe import op1_multiprobe_neighbours
 from sentaria.llm.packing import op8_power_of_two_packing
 from sentaria.llm.simhash import op5_simhash_ball
+from sentaria.llm.suffix_dedup import op3_two_stage_suffixes
 from sentaria.llm.warc import op6_seekable_warc
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -41,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op1_multiprobe_neighbours,
         op2_spaced_seeds,
+        op3_two_stage_suffixes,
         op4_sentence_rules,
         op5_simhash_ball,
         op6_seekable_warc,
@@ -49,7 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_segment_edit_lines,
         op10_attention_quality,
     )
-}
+} | {"pipeline": _with_package(pipeline)}
 
 ORACLES: dict[str, str] = {
     "op6_seekable_warc": """

@@ -3,7 +3,7 @@
 Every 50-byte string is dealt to the task of its anchor: the place of its least hash of 16
 bytes. Equal strings have equal anchors, so all places of a string meet in one task, and
 what is sent is one slice of text for each run of strings with the same anchor. Anchors
-that no second document has are left out before any text is sent.
+that no second text has are left out before any text is sent.
 
 A task joins its distinct slices and sorts their suffixes in two stages: it sorts only
 those that are smaller than their successors, then induces the others by scanning the
@@ -14,7 +14,6 @@ strings, whose least document is the one that keeps them.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,15 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import stored, table, width_of
+from sentaria.llm.common import released, stored, table, width_of
 
 STRING_BYTES = 50
 ANCHOR_BYTES = 16
-#: Bytes of text hashed at once, and slices sorted at once.
+#: Bytes of text hashed at once, bytes of slices sorted at once, documents packed at once.
 _PIECE = 1 << 18
-SORT_BYTES = 4 << 20
-#: Distinct slices of one anchor that one task takes; more are split by their leading bytes.
-_M = np.uint64(0x9E3779B97F4A7C15)
+SORT_BYTES = 2 << 20
+_BATCH_BYTES = 16 << 20
+#: Rows of one anchor that one task takes; an anchor with more is split over several.
+SPLIT_ROWS = 20_000
+_LAST = (1 << 63) - 1
 
 
 # --- anchors -------------------------------------------------------------------
@@ -43,18 +44,18 @@ def _word_at(data: np.ndarray, n: int, shift: int) -> np.ndarray:
     return np.ascontiguousarray(view).view("<u8").ravel()
 
 
-def anchors(data: np.ndarray, string_bytes: int = STRING_BYTES) -> tuple[np.ndarray, np.ndarray]:
-    """For each string of ``data``: the packed hash and place of its anchor, and the hash alone.
+def anchors(data: np.ndarray, string_bytes: int = STRING_BYTES) -> np.ndarray:
+    """For each string of ``data``: hash (upper 44 bits) and place (lower 20) of its anchor.
 
     The least packed value is the least hash and, among equals, the leftmost place, so the
     choice depends on the string's own bytes only.
     """
     n = len(data) - ANCHOR_BYTES + 1
     a, b = _word_at(data, n, 0), _word_at(data, n, 8)
-    h = (a * _M) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F))
+    h = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F))
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    packed = (h & ~np.uint64(0xFFFFF)) | np.arange(n, dtype=np.uint64)
-    least, reach, span = packed, 1, string_bytes - ANCHOR_BYTES + 1
+    least = (h & ~np.uint64(0xFFFFF)) | np.arange(n, dtype=np.uint64)
+    reach, span = 1, string_bytes - ANCHOR_BYTES + 1
     while reach < span:
         step = min(reach, span - reach)
         least = np.minimum(least[: len(least) - step], least[step:])
@@ -62,18 +63,23 @@ def anchors(data: np.ndarray, string_bytes: int = STRING_BYTES) -> tuple[np.ndar
     return least
 
 
-def runs(text: bytes, string_bytes: int = STRING_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """``(anchor hash, first string, last string)`` of the runs of a text's strings, in pieces."""
+def runs(text: bytes, string_bytes: int = STRING_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(anchor hash, first string, last string)`` of the runs of a text's strings.
+
+    A long text is hashed in pieces that overlap by a string; a run that a piece cuts
+    becomes two, which changes nothing but where it is cut.
+    """
     n = len(text) - string_bytes + 1
     data = np.frombuffer(text, np.uint8)
+    found: list[tuple] = []
     for at in range(0, max(n, 0), _PIECE):
-        part = data[at : min(at + _PIECE + string_bytes - 1, len(data))]
-        if len(part) < 24:
-            part = np.concatenate([part, np.zeros(24 - len(part), np.uint8)])
-        least = anchors(part, string_bytes)[: min(_PIECE, n - at)]
+        least = anchors(data[at : at + _PIECE + string_bytes - 1], string_bytes)
         change = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
         last = np.r_[change[1:], len(least)] - 1
-        yield (least[change] >> np.uint64(20)).astype(np.int64), change + at, last + at
+        found.append(((least[change] >> np.uint64(20)).astype(np.int64), change + at, last + at))
+    if not found:
+        return (np.array([], np.int64),) * 3
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 # --- two-stage suffix sorting --------------------------------------------------
@@ -92,8 +98,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
         return np.array([], np.int64)
     smaller = _smaller(data)
     direct = _sorted_directly(data, np.flatnonzero(smaller), depth + 1)
-    first = data[direct]
-    starts = np.searchsorted(first, np.arange(257))
+    starts = np.searchsorted(data[direct], np.arange(257))
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
     # the last suffix is greater than its successor, the empty one, which is scanned before all
     induced[data[-1]].append(np.array([n - 1]))
@@ -132,28 +137,27 @@ def _smaller(data: np.ndarray) -> np.ndarray:
     return up[at[np.searchsorted(at, np.arange(n))]]
 
 
+def _words(padded: np.ndarray, n: int, shift: int, places: np.ndarray, kind: str) -> np.ndarray:
+    view = np.lib.stride_tricks.as_strided(padded[shift:], (n, 8), (1, 1))[places]
+    return np.ascontiguousarray(view).view(kind).ravel()
+
+
 def _sorted_directly(data: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """``places`` in the order of ``depth`` bytes from each, eight bytes at a time, open ties only."""
-    padded = np.concatenate([data, np.zeros(depth + 8, np.uint8)])
-    order = places
+    padded = np.concatenate([data, np.zeros(depth + 16, np.uint8)])
+    order = places.copy()
     group = np.zeros(len(order), np.int64)
     open_ = np.arange(len(order))
     for shift in range(0, depth, 8):
         if not len(open_):
             break
-        own = order[open_]
-        raw = np.lib.stride_tricks.as_strided(padded[shift:], (len(data), 8), (1, 1))[own]
-        word = np.ascontiguousarray(raw).view(">u8").ravel().astype(np.uint64)
-        ranks = group[open_]
-        if shift:
-            by = np.lexsort((word, ranks))
-        else:
-            by = np.argsort(word, kind="stable")
+        own, ranks = order[open_], group[open_]
+        word = _words(padded, len(data), shift, own, ">u8").astype(np.uint64)
+        by = np.lexsort((word, ranks)) if shift else np.argsort(word, kind="stable")
         own, word, ranks = own[by], word[by], ranks[by]
         order[open_] = own
         new = np.r_[True, (word[1:] != word[:-1]) | (ranks[1:] != ranks[:-1])]
-        heads = np.maximum.accumulate(np.where(new, open_, 0))
-        group[open_] = heads
+        group[open_] = np.maximum.accumulate(np.where(new, open_, 0))
         tied = ~new
         tied[:-1] |= ~new[1:]
         open_ = open_[tied]
@@ -163,16 +167,14 @@ def _sorted_directly(data: np.ndarray, places: np.ndarray, depth: int) -> np.nda
 def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Whether each suffix in ``order`` shares ``depth`` bytes with the one before it."""
     n = len(data)
-    padded = np.concatenate([data, np.zeros(depth + 8, np.uint8)])
+    padded = np.concatenate([data, np.zeros(depth + 16, np.uint8)])
     same = np.zeros(len(order), bool)
     if len(order) < 2:
         return same
     live = np.flatnonzero((order[1:] + depth <= n) & (order[:-1] + depth <= n)) + 1
     for shift in [*range(0, depth - 7, 8), depth - 8]:
-        view = np.lib.stride_tricks.as_strided(padded[shift:], (n, 8), (1, 1))
-        a = np.ascontiguousarray(view[order[live]]).view("<u8").ravel()
-        b = np.ascontiguousarray(view[order[live - 1]]).view("<u8").ravel()
-        live = live[a == b]
+        equal = _words(padded, n, shift, order[live], "<u8") == _words(padded, n, shift, order[live - 1], "<u8")
+        live = live[equal]
     same[live] = True
     return same
 
@@ -184,13 +186,13 @@ def least_owner(slices: list[bytes], owners: np.ndarray, depth: int = STRING_BYT
     ends = np.cumsum(sizes)
     starts = ends - sizes
     order = suffix_array(data, depth)
-    slice_of = np.searchsorted(ends, order, side="right")
+    slice_of = np.repeat(np.arange(len(slices)), sizes)[order]
     # suffixes that end within ``depth`` bytes of their slice are no strings
     whole = order + depth <= ends[slice_of]
     order, slice_of = order[whole], slice_of[whole]
     same = common_prefixes(data, order, depth)
     heads = np.flatnonzero(~same)
-    least = np.full(len(data), np.iinfo(np.int64).max)
+    least = np.full(len(data), _LAST)
     if len(order):
         low = np.minimum.reduceat(owners[slice_of], heads)
         least[order] = np.repeat(low, np.diff(np.r_[heads, len(order)]))
@@ -200,41 +202,273 @@ def least_owner(slices: list[bytes], owners: np.ndarray, depth: int = STRING_BYT
 # --- the Spark job -------------------------------------------------------------
 
 
-def _shared_anchor_rows(buckets: int):
-    """Rows ``(bucket, doc, hashes)``: each text's distinct anchors, packed for each bucket.
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of Arrow batches in lists of about ``_BATCH_BYTES`` of text, the last column."""
+    held, size = [], 0
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.column(batch.num_columns - 1)):
+            text = row[-1].as_py().encode("utf-8")
+            held.append((*row[:-1], text))
+            size += len(text)
+            if size >= _BATCH_BYTES or len(held) >= 60_000:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
 
-    Anchors that two texts of a batch have are known to be shared: one row with bucket -1 for
-    each text says so, and only one text of the batch carries them on.
+def _anchor_rows(buckets: int, string_bytes: int):
+    """Rows ``(bucket, texts, owners, hashes)`` of a batch: packed arrays for each bucket.
+
+    Anchors that two texts of the batch have go out with all these texts in bucket -1: they
+    are shared already. Each other bucket gets every anchor of the batch once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text in batch.column(1):
-                own = [h for h, _, _ in runs(text.as_py())]
-                found.append(np.unique(np.concatenate(own)) if own else np.array([], np.int64))
-            docs = batch.column(0).to_numpy()
+        for held in _rows(batches):
+            found = [np.unique(runs(text, string_bytes)[0]) for _, text in held]
+            texts = np.array([key for key, _ in held], np.int64)
             owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            hashes = np.concatenate(found) if found else np.array([], np.int64)
+            hashes = np.concatenate(found)
             order = np.argsort(hashes, kind="stable")
             hashes, owner = hashes[order], owner[order]
-            new = np.r_[True, hashes[1:] != hashes[:-1]] if len(hashes) else np.array([], bool)
+            new = np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)]
             again = ~new
             again[:-1] |= ~new[1:]
-            rows = []
-            for bucket, pick in ((-1, again), (0, new)):
-                h, o = hashes[pick], owner[pick]
-                b = np.full(len(h), -1) if bucket else h % buckets
-                by = np.lexsort((h, o, b))
-                h, o, b = h[by], o[by], b[by]
-                cuts = np.flatnonzero((o[1:] != o[:-1]) | (b[1:] != b[:-1])) + 1 if len(h) else []
-                for part, at in zip(np.split(h, cuts), np.r_[0, cuts].astype(int)):
-                    if len(part):
-                        rows.append((int(b[at]), int(docs[o[at]]), part.astype("<i8").tobytes()))
-            columns = list(zip(*rows)) or [(), (), ()]
+            out = [(-1, texts[owner[again]], hashes[again])]
+            bucket = hashes[new] % buckets
+            by = np.argsort(bucket, kind="stable")
+            bucket, h, o = bucket[by], hashes[new][by], owner[new][by]
+            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+            for b in range(buckets):
+                some = slice(cuts[b], cuts[b + 1])
+                if some.start < some.stop:
+                    # quotients of more than 32 bits are cut: two anchors may then look shared, which costs
+                    # a needless comparison and changes no result
+                    out.append((b, o[some].astype("<u2"), ((h[some] // buckets) & 0xFFFFFFFF).astype("<u4")))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([b for b, _, _ in out], pa.int64()),
+                    pa.array([texts.tobytes() if b >= 0 else b"" for b, _, _ in out], pa.binary()),
+                    pa.array([o.tobytes() for _, o, _ in out], pa.binary()),
+                    pa.array([h.tobytes() for _, _, h in out], pa.binary()),
+                ],
+                names=["bucket", "texts", "owners", "hashes"],
+            )
+
+    return run
+
+
+def _shared(buckets: int):
+    """``(text, anchor)`` of the anchors of a bucket that more than one batch has."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(group["bucket"].iloc[0])
+        texts, values = [], []
+        for t, o, h in zip(group["texts"], group["owners"], group["hashes"]):
+            texts.append(np.frombuffer(t, np.int64)[np.frombuffer(o, "<u2")])
+            values.append(np.frombuffer(h, "<u4"))
+        texts, values = np.concatenate(texts), np.concatenate(values)
+        order = np.argsort(values, kind="stable")
+        texts, values = texts[order], values[order]
+        again = np.r_[False, values[1:] == values[:-1]]
+        again[:-1] |= again[1:]
+        return pd.DataFrame({"text_key": texts[again], "anchor": values[again].astype(np.int64) * buckets + bucket})
+
+    return run
+
+
+def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for owners, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.frombuffer(owners, np.int64)), pa.array(np.frombuffer(hashes, np.int64))],
+                names=["text_key", "anchor"],
+            )
+
+
+def _slices(buckets: int, string_bytes: int):
+    """Rows ``(anchor, slice, owner, places)``: each distinct slice of a batch with its places.
+
+    ``places`` packs text key, document and first string of every place; ``owner`` is the least document.
+    """
+    key_space = (1 << 32) * buckets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _rows(batches):
+            seen: dict[tuple[int, bytes], list] = {}
+            for text_key, doc, wanted, text in held:
+                hashes, first, last = runs(text, string_bytes)
+                # as the anchors were packed: remainder and cut quotient
+                packed = (hashes // buckets & 0xFFFFFFFF) * buckets + hashes % buckets
+                exact = np.asarray(wanted, np.int64)
+                pick = np.isin(packed, exact) | np.isin(hashes, exact)
+                for h, a, b in zip(packed[pick].tolist(), first[pick].tolist(), last[pick].tolist()):
+                    seen.setdefault((h, text[a : b + string_bytes]), []).append((text_key, doc, a))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([h for h, _ in seen], pa.int64()),
+                    pa.array([s for _, s in seen], pa.binary()),
+                    pa.array([min(p[1] for p in places) for places in seen.values()], pa.int64()),
+                    pa.array([np.array(places, "<i8").tobytes() for places in seen.values()], pa.binary()),
+                ],
+                names=["anchor", "slice", "owner", "places"],
+            )
+
+    return run
+
+
+def _removed(string_bytes: int):
+    """Rows ``(text_key, start, stop)`` of the bytes that each place loses; input sorted by anchor and part."""
+
+    def settle(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        number: dict[tuple, int] = {}
+        owners: list[int] = []
+        of = []
+        for key, text, owner, _ in rows:
+            k = number.setdefault((key, text), len(number))
+            if k == len(owners):
+                owners.append(owner)
+            elif owner < owners[k]:
+                owners[k] = owner
+            of.append(k)
+        least = least_owner([text for _, text in number], np.array(owners), string_bytes)
+        keys, begins, stops = [], [], []
+        bounds = [(int(m.min()), int(m.max())) for m in least]
+        for k, (_, _, _, places) in zip(of, rows):
+            if not places:
+                continue
+            low, high = bounds[k]
+            at = np.frombuffer(places, "<i8").reshape(-1, 3)
+            docs = at[:, 1]
+            wholly = docs > high
+            keys.append(at[wholly, 0])
+            begins.append(at[wholly, 2])
+            stops.append(at[wholly, 2] + len(least[k]) + string_bytes - 1)
+            for text_key, doc, start in at[~wholly & (docs > low)]:
+                flags = np.r_[False, least[k] < doc, False]
+                edge = np.flatnonzero(flags[1:] != flags[:-1])
+                keys.append(np.full(len(edge) // 2, text_key))
+                begins.append(start + edge[::2])
+                stops.append(start + edge[1::2] + string_bytes - 1)
+        if keys:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())],
-                names=["bucket", "doc", "hashes"],
+                [pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, begins, stops)],
+                names=["text_key", "start", "stop"],
             )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size, last = [], 0, None
+        for batch in batches:
+            for anchor, part, text, owner, places in zip(*(c.to_pylist() for c in batch.columns)):
+                if size >= SORT_BYTES and (anchor, part) != last:
+                    yield from settle(rows)
+                    rows, size = [], 0
+                last = (anchor, part)
+                rows.append((anchor, text, owner, places))
+                size += len(text)
+        if rows:
+            yield from settle(rows)
+
     return run
+
+
+def removed_spans(docs: DataFrame, string_bytes: int = STRING_BYTES) -> DataFrame:
+    """``(text_key, start, stop)``: byte ranges to remove, overlapping; see ``dedup``.
+
+    ``docs`` has ``text_key``, ``doc`` and ``text``, null ids and texts replaced.
+    """
+    spark = docs.sparkSession
+    if string_bytes < ANCHOR_BYTES + 8:
+        raise ValueError("strings must be longer than an anchor by 8 bytes or more")
+    buckets = 2 * width_of(docs, 1.0)
+    long_enough = docs.filter(F.octet_length("text") >= string_bytes)
+    packed = stored(
+        long_enough.select("text_key", "text").mapInArrow(
+            _anchor_rows(buckets, string_bytes), "bucket bigint, texts binary, owners binary, hashes binary"
+        ),
+        "anchors",
+    )
+    pair = "text_key bigint, anchor bigint"
+    across = packed.filter("bucket >= 0").groupBy("bucket").applyInPandas(_shared(buckets), pair)
+    within = packed.filter("bucket < 0").select("owners", "hashes").mapInArrow(_known, pair)
+    wanted = across.unionByName(within).groupBy("text_key").agg(F.collect_set("anchor").alias("wanted"))
+    wanted = stored(wanted.withColumnRenamed("text_key", "_key"), "shared-anchors")
+    released(spark)
+    joined = long_enough.join(wanted, F.col("text_key") == F.col("_key")).select("text_key", "doc", "wanted", "text")
+    slices = stored(
+        joined.mapInArrow(_slices(buckets, string_bytes), "anchor bigint, slice binary, owner bigint, places binary"),
+        "slices",
+    )
+    released(spark)
+    busy = slices.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SPLIT_ROWS)
+    busy = stored(busy.select("anchor", F.ceil(F.col("n") / SPLIT_ROWS).cast("int").alias("parts")), "busy-anchors")
+    dealt = slices.join(busy, "anchor", "left").select(
+        "anchor", F.pmod(F.xxhash64("places"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"), "slice", "owner", "places"
+    )
+    # every part of a busy anchor needs all its slices with their least owner, once each
+    copies = (
+        slices.join(busy, "anchor").groupBy("anchor", "slice").agg(F.min("owner").alias("owner"), F.max("parts").alias("parts"))
+        .select("anchor", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "slice", "owner", F.lit(b"").alias("places"))
+    )
+    together = dealt.unionByName(copies)
+    sorted_ = together.repartition(width_of(slices, 4.0), "anchor", "part").sortWithinPartitions("anchor", "part")
+    return stored(sorted_.mapInArrow(_removed(string_bytes), "text_key bigint, start bigint, stop bigint"), "removed")
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts and checksum of what is left of each text."""
+    for batch in batches:
+        ids, out = batch.column(0), []
+        for text, spans in zip(batch.column(1), batch.column(2)):
+            data = (text.as_py() or "").encode("utf-8")
+            flat = spans.as_py()
+            if not flat:
+                out.append((len(data), 0, 0, hashlib.sha256(data).hexdigest()))
+                continue
+            at = np.array([(s["start"], s["stop"]) for s in flat], np.int64)
+            at = at[np.argsort(at[:, 0], kind="stable")]
+            reach = np.maximum.accumulate(at[:, 1])
+            new = np.r_[True, at[1:, 0] > reach[:-1]]
+            begins = at[new, 0]
+            stops = reach[np.r_[np.flatnonzero(new)[1:] - 1, len(at) - 1]]
+            kept = hashlib.sha256()
+            for a, b in zip([0, *stops.tolist()], [*begins.tolist(), len(data)]):
+                kept.update(data[a:b])
+            out.append((len(data), int((stops - begins).sum()), len(begins), kept.hexdigest()))
+        columns = list(zip(*out)) or [()] * 4
+        yield pa.RecordBatch.from_arrays(
+            [ids, *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())],
+            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+        )
+
+
+def dedup(docs: DataFrame, string_bytes: int = STRING_BYTES) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    A byte goes if a string of ``string_bytes`` bytes that covers it also starts in a document
+    with a smaller id. A null text is empty. Rows with a null id count as larger than all
+    others and lose nothing to each other; rows that share an id never lose to each other.
+    Texts shorter than a string stay. Strings never cross documents, and all are judged on
+    the input. Other columns are ignored.
+    """
+    keyed = docs.select(
+        "doc_id",
+        F.coalesce("doc_id", F.lit(_LAST)).alias("doc"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("text_key"),
+    )
+    # rows of equal id and text are one text
+    spans = removed_spans(keyed, string_bytes).groupBy(F.col("text_key").alias("_key")).agg(
+        F.collect_list(F.struct("start", "stop")).alias("spans")
+    )
+    spans = stored(spans, "spans-by-text")
+    released(docs.sparkSession)
+    joined = keyed.join(spans, F.col("text_key") == F.col("_key"), "left").select("doc_id", "text", "spans")
+    return joined.mapInArrow(
+        _kept, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    )
+
+
+def op3_two_stage_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup(table(spark, sf_dir, "documents"))
