@@ -26,20 +26,34 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
 
 
-def released(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that are no longer in use.
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` frame whose last reader has finished.
 
-    Spark does so when the driver collects its garbage, which a small driver heap may put
-    off until long after the disk is full.
+    Spark also gets the chance to delete shuffle files of frames no longer in use: it does so
+    when the driver collects its garbage, which may else come after the disk is full.
     """
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
+#: Ids (8 bytes each) up to which a list is sent to all executors instead of being joined by shuffle.
+SENT_IDS = 1_000_000
+
+
+def sent_if_short(ids: DataFrame) -> DataFrame:
+    """A stored list of ids with a broadcast hint if it is counted to be short."""
+    return F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+
+
 def width(spark: SparkSession, n_bytes: float) -> int:
     """Partitions for a shuffle of about ``n_bytes``; not under the session's own number."""
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))

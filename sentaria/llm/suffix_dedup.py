@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import released, stored, table, width_of
+from sentaria.llm.common import discard, stored, table, width_of
 
 STRING_BYTES = 50
 ANCHOR_BYTES = 16
@@ -85,9 +85,12 @@ def runs(text: bytes, string_bytes: int = STRING_BYTES) -> tuple[np.ndarray, np.
 # --- two-stage suffix sorting --------------------------------------------------
 
 
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(data: np.ndarray, depth: int, asked: tuple | None = None) -> np.ndarray:
     """Places of ``data`` in the order of their suffixes, compared to at least ``depth`` bytes.
 
+    ``asked`` gives the first and last places of the ranges that are wanted: only these and
+    what they are induced from are sorted.
+
     Stage one sorts the suffixes that are smaller than their successors. Stage two scans the
     buckets of first bytes in order and puts the predecessor of each suffix found, if it is
     greater than its successor, at the next free place of its own bucket. Suffixes equal to
@@ -97,27 +100,38 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     if not n:
         return np.array([], np.int64)
     smaller = _smaller(data)
-    direct = _sorted_directly(data, np.flatnonzero(smaller), depth + 1)
+    direct = np.flatnonzero(smaller)
+    if asked is None:
+        wanted = np.ones(n, bool)
+    else:
+        # a greater suffix is induced from the next smaller one, through all places between
+        first, last = asked
+        source = np.r_[direct, n - 1][np.searchsorted(direct, last)]
+        wanted = np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(source + 1, minlength=n + 1))[:n] > 0
+        direct = direct[wanted[direct]]
+    direct = _sorted_directly(data, direct, depth + 1)
+    greater = wanted & ~smaller
     starts = np.searchsorted(data[direct], np.arange(257))
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
     # the last suffix is greater than its successor, the empty one, which is scanned before all
-    induced[data[-1]].append(np.array([n - 1]))
+    if greater[n - 1]:
+        induced[data[-1]].append(np.array([n - 1]))
     out = []
     for c in range(256):
         at = 0
         while at < len(induced[c]):
-            _induce(data, smaller, induced[c][at], induced)
+            _induce(data, greater, induced[c][at], induced)
             at += 1
         own = direct[starts[c] : starts[c + 1]]
         out += [*induced[c], own]
         induced[c] = []
-        _induce(data, smaller, own, induced)
+        _induce(data, greater, own, induced)
     return np.concatenate(out)
 
 
-def _induce(data, smaller, scanned, induced) -> None:
+def _induce(data, greater, scanned, induced) -> None:
     before = scanned[scanned > 0] - 1
-    before = before[~smaller[before]]
+    before = before[greater[before]]
     if not len(before):
         return
     keys = data[before]
@@ -185,7 +199,7 @@ def least_owner(slices: list[bytes], owners: np.ndarray, depth: int = STRING_BYT
     data = np.frombuffer(b"".join(slices), np.uint8)
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    order = suffix_array(data, depth)
+    order = suffix_array(data, depth, (starts, ends - depth))
     slice_of = np.repeat(np.arange(len(slices)), sizes)[order]
     # suffixes that end within ``depth`` bytes of their slice are no strings
     whole = order + depth <= ends[slice_of]
@@ -226,6 +240,7 @@ def _anchor_rows(buckets: int, string_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _rows(batches):
+            held = list(dict(held).items())
             found = [np.unique(runs(text, string_bytes)[0]) for _, text in held]
             texts = np.array([key for key, _ in held], np.int64)
             owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
@@ -260,7 +275,7 @@ def _anchor_rows(buckets: int, string_bytes: int):
 
 
 def _shared(buckets: int):
-    """``(text, anchor)`` of the anchors of a bucket that more than one batch has."""
+    """``(text, anchor)`` of the anchors of a bucket that different texts of its batches have."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         bucket = int(group["bucket"].iloc[0])
@@ -271,8 +286,9 @@ def _shared(buckets: int):
         texts, values = np.concatenate(texts), np.concatenate(values)
         order = np.argsort(values, kind="stable")
         texts, values = texts[order], values[order]
-        again = np.r_[False, values[1:] == values[:-1]]
-        again[:-1] |= again[1:]
+        heads = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+        differ = np.minimum.reduceat(texts, heads) != np.maximum.reduceat(texts, heads)
+        again = np.repeat(differ, np.diff(np.r_[heads, len(values)]))
         return pd.DataFrame({"text_key": texts[again], "anchor": values[again].astype(np.int64) * buckets + bucket})
 
     return run
@@ -373,10 +389,11 @@ def _removed(string_bytes: int):
     return run
 
 
-def removed_spans(docs: DataFrame, string_bytes: int = STRING_BYTES) -> DataFrame:
-    """``(text_key, start, stop)``: byte ranges to remove, overlapping; see ``dedup``.
+def removed_spans(docs: DataFrame, owners: DataFrame, string_bytes: int = STRING_BYTES) -> DataFrame:
+    """``(text_key, start, stop)``: byte ranges that different texts lose, overlapping; see ``dedup``.
 
-    ``docs`` has ``text_key``, ``doc`` and ``text``, null ids and texts replaced.
+    ``docs`` has ``text_key``, ``doc`` and ``text``, null ids and texts replaced; ``owners`` the
+    least ``doc`` of each ``text_key``. One row of each text takes part.
     """
     spark = docs.sparkSession
     if string_bytes < ANCHOR_BYTES + 8:
@@ -392,15 +409,21 @@ def removed_spans(docs: DataFrame, string_bytes: int = STRING_BYTES) -> DataFram
     pair = "text_key bigint, anchor bigint"
     across = packed.filter("bucket >= 0").groupBy("bucket").applyInPandas(_shared(buckets), pair)
     within = packed.filter("bucket < 0").select("owners", "hashes").mapInArrow(_known, pair)
-    wanted = across.unionByName(within).groupBy("text_key").agg(F.collect_set("anchor").alias("wanted"))
-    wanted = stored(wanted.withColumnRenamed("text_key", "_key"), "shared-anchors")
-    released(spark)
-    joined = long_enough.join(wanted, F.col("text_key") == F.col("_key")).select("text_key", "doc", "wanted", "text")
+    by_text = across.unionByName(within).groupBy("text_key").agg(F.collect_set("anchor").alias("wanted"))
+    wanted = stored(
+        by_text.join(owners, "text_key").select(F.col("text_key").alias("_key"), F.col("owner").alias("_owner"), "wanted"),
+        "shared-anchors",
+    )
+    discard(packed)
+    joined = long_enough.join(wanted, (F.col("text_key") == F.col("_key")) & (F.col("doc") == F.col("_owner")))
     slices = stored(
-        joined.mapInArrow(_slices(buckets, string_bytes), "anchor bigint, slice binary, owner bigint, places binary"),
+        joined.select("text_key", "doc", "wanted", "text").mapInArrow(
+            _slices(buckets, string_bytes), "anchor bigint, slice binary, owner bigint, places binary"
+        ),
         "slices",
     )
-    released(spark)
+    del joined, by_text, across, within
+    discard(wanted)
     busy = slices.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SPLIT_ROWS)
     busy = stored(busy.select("anchor", F.ceil(F.col("n") / SPLIT_ROWS).cast("int").alias("parts")), "busy-anchors")
     dealt = slices.join(busy, "anchor", "left").select(
@@ -413,16 +436,19 @@ def removed_spans(docs: DataFrame, string_bytes: int = STRING_BYTES) -> DataFram
     )
     together = dealt.unionByName(copies)
     sorted_ = together.repartition(width_of(slices, 4.0), "anchor", "part").sortWithinPartitions("anchor", "part")
-    return stored(sorted_.mapInArrow(_removed(string_bytes), "text_key bigint, start bigint, stop bigint"), "removed")
+    removed = stored(sorted_.mapInArrow(_removed(string_bytes), "text_key bigint, start bigint, stop bigint"), "removed")
+    del dealt, copies, together, sorted_
+    discard(slices)
+    return removed
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts and checksum of what is left of each text."""
     for batch in batches:
         ids, out = batch.column(0), []
-        for text, spans in zip(batch.column(1), batch.column(2)):
-            data = (text.as_py() or "").encode("utf-8")
-            flat = spans.as_py()
+        for text, copy, spans in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
+            data = text.as_py().encode("utf-8")
+            flat = [{"start": 0, "stop": len(data)}] if copy else spans.as_py()
             if not flat:
                 out.append((len(data), 0, 0, hashlib.sha256(data).hexdigest()))
                 continue
@@ -449,22 +475,29 @@ def dedup(docs: DataFrame, string_bytes: int = STRING_BYTES) -> DataFrame:
     A byte goes if a string of ``string_bytes`` bytes that covers it also starts in a document
     with a smaller id. A null text is empty. Rows with a null id count as larger than all
     others and lose nothing to each other; rows that share an id never lose to each other.
-    Texts shorter than a string stay. Strings never cross documents, and all are judged on
+    Texts shorter than a string stay. Equal texts are compared as
+    one, by a 64-bit key of their content; all but those of the least document go wholly. Strings never cross documents, and all are judged on
     the input. Other columns are ignored.
     """
     keyed = docs.select(
         "doc_id",
         F.coalesce("doc_id", F.lit(_LAST)).alias("doc"),
         F.coalesce("text", F.lit("")).alias("text"),
-        F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("text_key"),
-    )
-    # rows of equal id and text are one text
-    spans = removed_spans(keyed, string_bytes).groupBy(F.col("text_key").alias("_key")).agg(
+    ).withColumn("text_key", F.xxhash64("text", F.octet_length("text")))
+    owners = keyed.groupBy("text_key").agg(F.min("doc").alias("owner"), F.count(F.lit(1)).alias("n"))
+    owners = stored(owners, "text-owners")
+    spans = removed_spans(keyed, owners, string_bytes).groupBy("text_key").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans")
     )
-    spans = stored(spans, "spans-by-text")
-    released(docs.sparkSession)
-    joined = keyed.join(spans, F.col("text_key") == F.col("_key"), "left").select("doc_id", "text", "spans")
+    # texts that lose something: parts of them, or wholly in all rows but those of the least document
+    losing = owners.join(spans, "text_key", "left").filter("n > 1 OR spans IS NOT NULL").select(
+        F.col("text_key").alias("_key"), "owner", "spans"
+    )
+    losing = stored(losing, "losing-texts")
+    copy = (F.col("doc") > F.col("owner")) & (F.octet_length("text") >= string_bytes)
+    joined = keyed.join(losing, F.col("text_key") == F.col("_key"), "left").select(
+        "doc_id", "text", F.coalesce(copy, F.lit(False)).alias("copy"), "spans"
+    )
     return joined.mapInArrow(
         _kept, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     )
