@@ -8,7 +8,6 @@ Pairs that meet are verified by a banded bit-parallel edit distance.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,12 +17,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import components, stored, table
+from sentaria.llm.common import components, discard, sent_if_short, stored, table, width_of
 
 #: Edits (insertions, deletions, substitutions of characters) between near-duplicate lines.
 EDITS = 2
 #: Shorter lines are structure, not content: they are never compared and never removed.
 LEAST_CHARS = 20
+#: Pairs of one key that the task of its bucket forms; a key with more goes to ``SPREAD`` tasks.
+CROWDED_PAIRS = 200_000
+SPREAD = 64
 
 
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
@@ -100,35 +102,81 @@ def _hash(edits: int, length: int, segment: int, text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "replace"), (length * (edits + 1) + segment) & 0xFFFFFFFF)
 
 
-def _keys(edits: int, least: int):
-    """Rows ``(key, side, line)`` of a distinct line: side 0 indexes, side 1 probes."""
+def _packed_keys(edits: int, least: int, buckets: int):
+    """Rows ``(bucket, side, keys, lines)`` of many distinct lines: side 0 indexes, side 1 probes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                keys, sides, lines = [], [], []
+            for at in range(0, batch.num_rows, 4000):
+                part = batch.slice(at, 4000)
+                keys: tuple[list, list] = ([], [])
+                lines: tuple[list, list] = ([], [])
                 for number, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     n = len(text)
                     own = {_hash(edits, n, i, text[s : s + z]) for i, (s, z) in enumerate(segments(n, edits))}
                     found = set()
                     for other in range(max(least, n - edits), n + 1):
                         found |= {_hash(edits, other, i, text[s : s + z]) for i, s, z in probes(n, other, edits)}
-                    keys += [*own, *found]
-                    sides += [0] * len(own) + [1] * len(found)
-                    lines += [number] * (len(own) + len(found))
+                    for side, got in enumerate((own, found)):
+                        keys[side].extend(got)
+                        lines[side].extend([number] * len(got))
+                out = []
+                for side in (0, 1):
+                    h = np.array(keys[side], np.uint64)
+                    of = np.array(lines[side], np.int64)
+                    bucket = (h % np.uint64(buckets)).astype(np.int64)
+                    order = np.argsort(bucket, kind="stable")
+                    # a cut quotient makes some pairs meet in vain; they fail the comparison
+                    short = ((h[order] // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype("<u4")
+                    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                    for b in range(buckets):
+                        some = slice(cuts[b], cuts[b + 1])
+                        if some.start < some.stop:
+                            out.append((b, side, short[some].tobytes(), of[order][some].tobytes()))
+                columns = list(zip(*out)) or [()] * 4
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.array(keys, np.uint64).view(np.int64)),
-                        pa.array(sides, pa.int8()),
-                        pa.array(lines, pa.int64()),
-                    ],
-                    names=["key", "side", "line"],
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int8(), pa.binary(), pa.binary()))],
+                    names=["bucket", "side", "keys", "lines"],
                 )
 
     return run
 
 
+def _meet(group: pd.DataFrame) -> pd.DataFrame:
+    """Lines of a bucket that share a key: pairs, or for a crowded key its lines alone."""
+    unpack = lambda side, column, kind: np.concatenate(
+        [np.frombuffer(x, kind) for x in group.loc[group["side"] == side, column]] or [np.array([], kind)]
+    )
+    left, right = unpack(0, "keys", "<u4"), unpack(1, "keys", "<u4")
+    x, y = unpack(0, "lines", np.int64), unpack(1, "lines", np.int64)
+    order = np.argsort(left, kind="stable")
+    left, x = left[order], x[order]
+    low, high = np.searchsorted(left, right), np.searchsorted(left, right, side="right")
+    met = high - low
+    order = np.argsort(right, kind="stable")
+    heads = np.flatnonzero(np.r_[True, right[order][1:] != right[order][:-1]]) if len(right) else np.array([], int)
+    total = np.zeros(len(right), np.int64)
+    if len(right):
+        total[order] = np.repeat(np.add.reduceat(met[order], heads), np.diff(np.r_[heads, len(right)]))
+    bucket = int(group["bucket"].iloc[0])
+    busy = total > CROWDED_PAIRS
+    own = np.repeat(np.flatnonzero(~busy), met[~busy])
+    begin = np.repeat(low[~busy], met[~busy])
+    step = np.arange(len(own)) - np.repeat(np.cumsum(met[~busy]) - met[~busy], met[~busy])
+    a, b = x[begin + step], y[own]
+    a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
+    pairs = pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+    parts = [pairs.assign(key=None, side=None)]
+    if busy.any():
+        crowded = np.unique(right[busy])
+        inside = np.isin(left, crowded)
+        key = lambda k: k.astype(np.int64) | (np.int64(bucket) << 32)
+        parts.append(pd.DataFrame({"a": x[inside], "b": None, "key": key(left[inside]), "side": 0}))
+        parts.append(pd.DataFrame({"a": y[busy], "b": None, "key": key(right[busy]), "side": 1}))
+    out = pd.concat([p for p in parts if len(p)] or [pairs.assign(key=None, side=None)])
+    return out.astype({"a": "Int64", "b": "Int64", "key": "Int64", "side": "Int8"})
+
+
 def line_rows(docs: DataFrame) -> DataFrame:
     """``(doc_id, line_no, text)``: the lines of every text, split at line feeds; null texts have none."""
     return docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "text"))
@@ -143,21 +191,20 @@ def linked_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
 
     ``lines`` has one row ``(line, text)`` for each distinct text of ``least`` characters or more.
     """
-    narrow = lines.mapInArrow(_keys(edits, least), "key bigint, side tinyint, line bigint")
-    keyed = stored(narrow, "line-segments")
-    # a key that only one line carries joins nothing: dropped before the join, with partial sums
-    shared = (
-        keyed.groupBy("key").agg(F.min("line").alias("_low"), F.max("line").alias("_high"), F.min("side").alias("_side"))
-        .filter("_low < _high AND _side = 0").select("key")
-    )
-    shared = stored(shared, "shared-segments")
-    kept = stored(keyed.join(shared, "key", "left_semi"), "kept-segments")
-    left = kept.filter("side = 0").select("key", F.col("line").alias("x"))
-    right = kept.filter("side = 1").select("key", F.col("line").alias("y"))
-    met = left.join(right, "key").filter("x <> y")
-    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    pairs = stored(pairs, "line-pairs")
-    texts = lines.select("line", "text")
+    buckets = 2 * width_of(lines, 1.0)
+    packed = lines.mapInArrow(_packed_keys(edits, least, buckets), "bucket bigint, side tinyint, keys binary, lines binary")
+    met = packed.groupBy("bucket").applyInPandas(_meet, "a bigint, b bigint, key bigint, side tinyint")
+    met = stored(met, "met-lines")
+    # a crowded key's pairs are formed by a join, its indexed lines spread over many tasks
+    spread = F.pmod(F.xxhash64("a"), F.lit(SPREAD))
+    indexed = met.filter("side = 0").select("key", spread.alias("part"), F.col("a").alias("x"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint")))
+    probing = met.filter("side = 1").select("key", every.alias("part"), F.col("a").alias("y"))
+    crowded = indexed.join(probing, ["key", "part"]).filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = stored(met.filter("side IS NULL").select("a", "b").unionByName(crowded).distinct(), "line-pairs")
+    discard(met)
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "paired-lines")
+    texts = stored(lines.join(sent_if_short(ids), "line", "left_semi").select("line", "text"), "paired-texts")
     both = (
         pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("_at")), "a")
         .join(texts.select(F.col("line").alias("b"), F.col("text").alias("_bt")), "b")
@@ -183,6 +230,7 @@ def classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> Da
     rows = rows.withColumn("line", line_key("text"))
     texts = stored(rows.groupBy("line").agg(F.first("text").alias("text")), "distinct-lines")
     links = linked_lines(texts, edits, least)
+    discard(texts)
     ends = F.explode(F.array("a", "b")).alias("line")
     counts = stored(links.select(ends).groupBy("line").agg(F.count(F.lit(1)).alias("n_links")), "link-counts")
     roots = components(links, "line-components")
