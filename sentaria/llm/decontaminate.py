@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import stored, table
+from sentaria.llm.common import sent_if_short, stored, table
 
 #: Positions that count, from the start of the window. Together they hit every window of 13
 #: tokens with up to two substitutions (see the tests).
@@ -108,7 +108,10 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: flo
         F.collect_list(F.struct("item_id", "shift", "item_toks")).alias("_laid")
     )
     by_doc = stored(by_doc, "hits-by-document")
-    both = docs.select("doc_id", "text").join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")))
+    # only texts with hits are shuffled; a short list of them is known before
+    hit = sent_if_short(stored(hits.select(F.col("doc_id").alias("_hit")).distinct(), "documents-with-hits"))
+    read_again = docs.select("doc_id", "text").join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_semi")
+    both = read_again.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")))
     both = both.select("doc_id", token_hashes(F.col("text")).alias("toks"), "_laid")
 
     def compared(hit: Column) -> Column:
@@ -130,7 +133,7 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: flo
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, with their columns."""
     dirty = stored(overlaps(docs, items).select(F.col("doc_id").alias("_dirty")).distinct(), "dirty-documents")
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("_dirty")), "left_anti")
+    return docs.join(sent_if_short(dirty), F.col("doc_id").eqNullSafe(F.col("_dirty")), "left_anti")
 
 
 def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
