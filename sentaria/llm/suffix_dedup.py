@@ -40,8 +40,11 @@ _LAST = (1 << 63) - 1
 
 def _word_at(data: np.ndarray, n: int, shift: int) -> np.ndarray:
     """The eight bytes from each of ``n`` places, ``shift`` bytes further on, as one number."""
-    view = np.lib.stride_tricks.as_strided(data[shift:], (n, 8), (1, 1))
-    return np.ascontiguousarray(view).view("<u8").ravel()
+    out = np.empty(n, np.uint64)
+    for k in range(min(8, n)):
+        m = (n - k + 7) // 8
+        out[k::8] = data[shift + k : shift + k + 8 * m].view("<u8")
+    return out
 
 
 def anchors(data: np.ndarray, string_bytes: int = STRING_BYTES) -> np.ndarray:
@@ -51,6 +54,7 @@ def anchors(data: np.ndarray, string_bytes: int = STRING_BYTES) -> np.ndarray:
     choice depends on the string's own bytes only.
     """
     n = len(data) - ANCHOR_BYTES + 1
+    data = np.concatenate([data, np.zeros(8, np.uint8)])
     a, b = _word_at(data, n, 0), _word_at(data, n, 8)
     h = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F))
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -151,14 +155,15 @@ def _smaller(data: np.ndarray) -> np.ndarray:
     return up[at[np.searchsorted(at, np.arange(n))]]
 
 
-def _words(padded: np.ndarray, n: int, shift: int, places: np.ndarray, kind: str) -> np.ndarray:
-    view = np.lib.stride_tricks.as_strided(padded[shift:], (n, 8), (1, 1))[places]
-    return np.ascontiguousarray(view).view(kind).ravel()
+def _all_words(data: np.ndarray, depth: int) -> np.ndarray:
+    """The eight bytes from every place and ``depth`` places on; zeros stand after the end."""
+    n = len(data) + depth
+    return _word_at(np.concatenate([data, np.zeros(depth + 16, np.uint8)]), n, 0)
 
 
 def _sorted_directly(data: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """``places`` in the order of ``depth`` bytes from each, eight bytes at a time, open ties only."""
-    padded = np.concatenate([data, np.zeros(depth + 16, np.uint8)])
+    words = _all_words(data, depth).byteswap()
     order = places.copy()
     group = np.zeros(len(order), np.int64)
     open_ = np.arange(len(order))
@@ -166,7 +171,7 @@ def _sorted_directly(data: np.ndarray, places: np.ndarray, depth: int) -> np.nda
         if not len(open_):
             break
         own, ranks = order[open_], group[open_]
-        word = _words(padded, len(data), shift, own, ">u8").astype(np.uint64)
+        word = words[own + shift]
         by = np.lexsort((word, ranks)) if shift else np.argsort(word, kind="stable")
         own, word, ranks = own[by], word[by], ranks[by]
         order[open_] = own
@@ -181,13 +186,13 @@ def _sorted_directly(data: np.ndarray, places: np.ndarray, depth: int) -> np.nda
 def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Whether each suffix in ``order`` shares ``depth`` bytes with the one before it."""
     n = len(data)
-    padded = np.concatenate([data, np.zeros(depth + 16, np.uint8)])
+    words = _all_words(data, depth)
     same = np.zeros(len(order), bool)
     if len(order) < 2:
         return same
     live = np.flatnonzero((order[1:] + depth <= n) & (order[:-1] + depth <= n)) + 1
     for shift in [*range(0, depth - 7, 8), depth - 8]:
-        equal = _words(padded, n, shift, order[live], "<u8") == _words(padded, n, shift, order[live - 1], "<u8")
+        equal = words[order[live] + shift] == words[order[live - 1] + shift]
         live = live[equal]
     same[live] = True
     return same
