@@ -18,7 +18,7 @@ from sentaria.plans.sizing import written
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.parquet import save_by_language, save_dataset
 from sentaria.sinks.store import CorpusStore
-from sentaria.sources.datasets import list_languages, read_dataset, read_languages
+from sentaria.sources.datasets import read_dataset, read_languages
 from sentaria.sources.exports import (
     extract_audio,
     read_links,
@@ -60,6 +60,8 @@ def extract(
     trusted = None
     if inputs.quality_ids:
         trusted = written(read_quality_ids(spark, inputs.quality_ids), "trusted")
+        if trusted.isEmpty():
+            log.warning("no trusted ids in %s; nothing is filtered", inputs.quality_ids)
         sentences = keep_trusted(sentences, trusted)
     save_by_language(sentences, output_dir, "sentences")
 
@@ -103,12 +105,13 @@ def load(
     extracted is skipped; children of sentences that were not loaded are dropped.
     """
     store = CorpusStore(spark, store_dir)
-    chosen = list(languages or list_languages(spark, datasets_dir))
-    if chosen:
-        sentences = read_languages(spark, datasets_dir, chosen)
-    else:
-        sentences = read_dataset(spark, datasets_dir)
-    if sentences.isEmpty():
+    chosen = list(languages or [])
+    try:
+        # rows without a language belong to "all"
+        sentences = read_languages(spark, datasets_dir, chosen) if chosen else read_dataset(spark, datasets_dir)
+    except FileNotFoundError:
+        sentences = None
+    if sentences is None or sentences.isEmpty():
         log.warning("no sentences for %s; nothing loaded", chosen or "any language")
         return store
     store.load_sentences(sentences)
@@ -132,8 +135,9 @@ def run(
     output_dir: str,
     store_dir: str,
     languages: Iterable[str] | None = None,
+    compact_into: str | None = None,
     **options,
 ) -> CorpusStore:
-    """Extract, then load."""
+    """Extract, then load; with ``compact_into``, return the compacted copy."""
     extract(spark, inputs, output_dir, languages, **options)
-    return load(spark, output_dir, store_dir, languages)
+    return load(spark, output_dir, store_dir, languages, compact_into)

@@ -307,7 +307,7 @@ def grammar_by_sentence(v: CorpusViews) -> DataFrame:
 @registered
 def nested_translations(v: CorpusViews) -> DataFrame:
     """Nested per sentence, then read back from the arrays."""
-    rows = retrieval.translations_of(v.links, v.sentences.withColumn("text", F.lit("")))
+    rows = retrieval.translations_of(v.links, v.sentences)
     nested = retrieval.nest_for(v.sentences, retrieval.nest(rows, retrieval.TRANSLATION_ORDER))
     total = F.aggregate("items", F.lit(0).cast("bigint"), lambda n, x: n + x["copies"])
 

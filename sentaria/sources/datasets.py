@@ -87,7 +87,18 @@ def run_sql(
     sql: str,
     params: Sequence[object] | None = None,
 ) -> DataFrame:
-    """Run SQL with ``?`` markers over the given tables, registered under their names."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=list(params)) if params else spark.sql(sql)
+    """Run SQL with ``?`` markers over the given tables under their names.
+
+    A name that the session already uses is refused. The views are dropped as soon as the
+    plan is analysed, so they never show up in the caller's catalog.
+    """
+    taken = [name for name in tables if spark.catalog.tableExists(name)]
+    if taken:
+        raise ValueError(f"names already in use: {', '.join(taken)}")
+    try:
+        for name, df in tables.items():
+            df.createTempView(name)
+        return spark.sql(sql, args=list(params)) if params else spark.sql(sql)
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)

@@ -35,6 +35,11 @@ def _pick(schema: StructType, names: Iterable[str]) -> StructType:
     return StructType([schema[name] for name in names])
 
 
+def _with_ids(sentences: DataFrame) -> DataFrame:
+    """Rows whose id is a number; a sentence that nothing can refer to is left out."""
+    return sentences.filter(F.col("sentence_id").isNotNull())
+
+
 def in_languages(df: DataFrame, languages: Iterable[str] | None) -> DataFrame:
     """Keep the listed languages; no list, or an empty one, keeps all rows."""
     wanted = [languages] if isinstance(languages, str) else list(languages or [])
@@ -51,7 +56,7 @@ def read_sentences(
     raw = _read(spark, path, _pick(SCHEMAS["sentences"], _BASIC), file_format)
     if "lang" in raw.columns:
         raw = raw.withColumnRenamed("lang", "language")
-    return in_languages(raw.select(*_BASIC), languages)
+    return in_languages(_with_ids(raw.select(*_BASIC)), languages)
 
 
 def read_detailed_sentences(
@@ -74,7 +79,7 @@ def read_detailed_sentences(
         (F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in wanted.fields
     ]
-    return in_languages(raw.select(*columns), languages)
+    return in_languages(_with_ids(raw.select(*columns)), languages)
 
 
 def read_links(spark: SparkSession, path: str, file_format: str = "tsv") -> DataFrame:
