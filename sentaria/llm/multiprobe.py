@@ -8,6 +8,10 @@ a move crosses. All rows found in any table are ranked by their exact inner prod
 Inner products become distances by the usual lift: stored vectors are scaled into the unit
 ball and get one more coordinate that puts them on the sphere, queries are scaled to length
 one and get a zero.
+
+Of rows with one and the same vector only the ``k + 1`` least ids are hashed: any other has
+``k`` equals before it in every answer. A task reads its buckets one after another from
+sorted rows, so it holds one block of rows and of queries at a time.
 """
 
 from __future__ import annotations
@@ -17,12 +21,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import stored, table
+from sentaria.llm.common import stored, table, width_of
 
 NEIGHBOURS = 20
 QUERY_STEP = 20
@@ -33,8 +36,8 @@ CELL = 2.0
 #: further factor of four in rows adds a function, so buckets keep their size, and with
 #: it 2.2 times the visits, so they keep their chance.
 BASE_ROWS, BASE_FUNCTIONS, BASE_VISITS, VISITS_GROWTH = 65_536, 5, 16, 2.2
-#: Rows of one bucket, or queries of it, that one task takes; larger buckets are split.
-SPLIT_ROWS = 8192
+#: Rows of one bucket, or queries of it, in one block; larger buckets are split into blocks.
+SPLIT_ROWS = 1024
 SEED = 11
 _KEY = ("dims", "tab", "bucket")
 
@@ -84,45 +87,55 @@ class Hashes:
         return out
 
 
+def _matrix(packed: pa.Array, dims: int) -> np.ndarray:
+    """Vectors of one length from the bytes of their doubles."""
+    return np.frombuffer(b"".join(packed.to_pylist())).reshape(-1, dims)
+
+
 def _hashed(shape: dict[int, tuple[int, int, float]], queries: bool):
     """Rows ``(dims, tab, bucket, id, vec)`` of stored vectors or of queries' visits."""
     known: dict[int, Hashes] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            vectors = [np.asarray(v, float) for v in batch.column(1).to_pylist()]
-            for dims in sorted({len(v) for v in vectors}):
-                functions, most, longest = shape[dims]
-                hashes = known.setdefault(dims, Hashes(dims, functions))
-                own = [i for i, v in enumerate(vectors) if len(v) == dims]
-                x = np.stack([vectors[i] for i in own])
-                norms = np.linalg.norm(x, axis=1)
-                if queries:
-                    lifted = np.column_stack([x / norms[:, None], np.zeros(len(x))])
-                else:
-                    rest = np.sqrt(np.maximum(0, 1 - (norms / longest) ** 2))
-                    lifted = np.column_stack([x / longest, rest])
-                for tab in range(TABLES):
-                    cells, inside = hashes.cells(lifted, tab)
-                    buckets = hashes.visits(cells, inside, most) if queries else hashes.bucket(cells)[:, None]
-                    many = buckets.shape[1]
-                    where = np.repeat(own, many)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(where), dims, np.int32)),
-                            pa.array(np.full(len(where), tab, np.int32)),
-                            pa.array(buckets.ravel()),
-                            pa.array(ids[where]),
-                            batch.column(1).take(pa.array(where)).cast(pa.list_(pa.float64())),
-                        ],
-                        names=[*_KEY, "id", "vec"],
-                    )
+            for at in range(0, batch.num_rows, 1000):
+                yield from hashed(batch.column(0)[at : at + 1000], batch.column(1)[at : at + 1000])
+
+    def hashed(ids: pa.Array, vectors: pa.Array) -> Iterator[pa.RecordBatch]:
+        sizes = vectors.value_lengths().to_numpy()
+        flat = vectors.flatten().to_numpy()
+        starts = np.cumsum(sizes) - sizes
+        for dims in np.unique(sizes).tolist():
+            functions, most, longest = shape[dims]
+            hashes = known.setdefault(dims, Hashes(dims, functions))
+            own = np.flatnonzero(sizes == dims)
+            x = flat[starts[own][:, None] + np.arange(dims)]
+            packed = pa.array([row.tobytes() for row in x], pa.binary())
+            norms = np.linalg.norm(x, axis=1)
+            if queries:
+                lifted = np.column_stack([x / norms[:, None], np.zeros(len(x))])
+            else:
+                rest = np.sqrt(np.maximum(0, 1 - (norms / longest) ** 2))
+                lifted = np.column_stack([x / longest, rest])
+            for tab in range(TABLES):
+                cells, inside = hashes.cells(lifted, tab)
+                buckets = hashes.visits(cells, inside, most) if queries else hashes.bucket(cells)[:, None]
+                where = pa.array(np.repeat(np.arange(len(own)), buckets.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(where), dims, np.int32)),
+                        pa.array(np.full(len(where), tab, np.int32)),
+                        pa.array(buckets.ravel()),
+                        ids.take(pa.array(own)).take(where),
+                        packed.take(where),
+                    ],
+                    names=[*_KEY, "id", "vec"],
+                )
 
     return run
 
 
-HASHED = "dims int, tab int, bucket bigint, id bigint, vec array<double>"
+HASHED = "dims int, tab int, bucket bigint, id bigint, vec binary"
 
 
 def exact_top(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int):
@@ -155,31 +168,65 @@ def exact_top(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_
 
 
 def _rerank(k: int):
-    def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows) or not len(queries):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        x, q = np.stack(rows["vec"].to_numpy()), np.stack(queries["vec"].to_numpy())
-        ids, vecs, scores = exact_top(q, queries["id"].to_numpy(), x, rows["id"].to_numpy(), k)
-        return pd.DataFrame({"query_id": ids, "vec_id": vecs, "score": scores})
+    """Best rows of each query in each block; rows sorted by block and side come in, 0 for stored vectors."""
+
+    def settle(block: list[pa.RecordBatch]) -> tuple | None:
+        whole = pa.Table.from_batches(block).combine_chunks()
+        is_query = whole["side"].to_numpy() == 1
+        if is_query.all() or not is_query.any():
+            return None
+        x = _matrix(whole["vec"], whole["dims"][0].as_py())
+        ids = whole["id"].to_numpy()
+        return exact_top(x[is_query], ids[is_query], x[~is_query], ids[~is_query], k)
+
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        columns = (np.concatenate(c) for c in zip(*found))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last, found, size = [], None, [], 0
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _BLOCK])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for start, stop in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
+                if start == stop:
+                    continue
+                key = keys[:, start].tolist()
+                if held and key != last:
+                    if (best := settle(held)) is not None:
+                        found.append(best)
+                        size += len(best[0])
+                    held = []
+                    if size >= 50_000:
+                        yield batch_of(found)
+                        found, size = [], 0
+                held.append(batch.slice(start, stop - start))
+                last = key
+        if held and (best := settle(held)) is not None:
+            found.append(best)
+        if found:
+            yield batch_of(found)
 
     return run
 
 
-def _in_blocks(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+_BLOCK = (*_KEY, "row_part", "query_part")
+
+
+def _in_blocks(rows: DataFrame, queries: DataFrame, k: int, tasks: int) -> DataFrame:
     """Best ``k`` rows of each query in each bucket both name; large buckets in blocks of both sides."""
     key = list(_KEY)
     count = lambda df, name: df.groupBy(*key).agg(F.count(F.lit(1)).alias(name)).filter(F.col(name) > SPLIT_ROWS)
     n_rows, n_queries = stored(count(rows, "n"), "large-buckets"), stored(count(queries, "n"), "busy-buckets")
     parts = lambda df, name: df.select(*key, F.ceil(F.col("n") / SPLIT_ROWS).cast("int").alias(name))
-    own = lambda of: F.pmod(F.xxhash64("id", F.lit(of)), F.coalesce(of, F.lit(1)))
-    every = lambda of: F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(of, F.lit(1)).cast("bigint") - 1))
+    one = F.lit(1)
+    own = lambda of: F.pmod(F.xxhash64("id", F.lit(of)), F.coalesce(of, one)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.coalesce(of, one) - 1))
     sized = lambda df: df.join(parts(n_rows, "rp"), key, "left").join(parts(n_queries, "qp"), key, "left")
-    left = sized(rows).withColumn("row_part", own("rp")).select(*key, "row_part", every("qp").alias("query_part"), "id", "vec")
-    right = sized(queries).withColumn("query_part", own("qp")).select(*key, every("rp").alias("row_part"), "query_part", "id", "vec")
-    group = [*key, "row_part", "query_part"]
-    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(
-        _rerank(k), "query_id bigint, vec_id bigint, score double"
-    )
+    left = sized(rows).select(*key, own("rp").alias("row_part"), every("qp").alias("query_part"), F.lit(0).alias("side"), "id", "vec")
+    right = sized(queries).select(*key, every("rp").alias("row_part"), own("qp").alias("query_part"), F.lit(1).alias("side"), "id", "vec")
+    both = left.unionByName(right).repartition(tasks, *_BLOCK).sortWithinPartitions(*_BLOCK, "side")
+    return both.mapInArrow(_rerank(k), "query_id bigint, vec_id bigint, score double")
 
 
 def _merged(found: DataFrame, k: int) -> DataFrame:
@@ -189,6 +236,18 @@ def _merged(found: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
 
 
+def _vectors_of_an_id(df: DataFrame) -> int:
+    """The most rows that one id has."""
+    return df.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 1
+
+
+def _least_ids(rows: DataFrame, most: int) -> DataFrame:
+    """Rows ``(id, vec)`` once each, and of one vector only those with the ``most`` least ids."""
+    same = Window.partitionBy("vec").orderBy("id")
+    once = rows.dropDuplicates(["vec", "id"])
+    return once.withColumn("_at", F.row_number().over(same)).filter(F.col("_at") <= most).drop("_at")
+
+
 def neighbours(
     vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, id_column: str = "vec_id", column: str = "embedding"
 ) -> DataFrame:
@@ -201,35 +260,56 @@ def neighbours(
     compared with all rows, in blocks, so it gets all there are. Other columns are ignored.
     """
     clean = lambda df: df.filter(F.col(id_column).isNotNull() & usable(F.col(column))).select(
-        F.col(id_column).alias("id"), F.col(column).cast("array<double>").alias("vec")
+        F.col(id_column).cast("bigint").alias("id"), F.col(column).cast("array<double>").alias("vec")
     )
-    rows, asked = clean(vectors), clean(queries)
+    rows, asked = stored(_least_ids(clean(vectors), k + 1), "distinct-vectors"), clean(queries)
     squares = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
-    shape = {
-        r["dims"]: (*settings(r["n"]), math.sqrt(r["longest"]) * (1 + 1e-12))
-        for r in rows.groupBy(F.size("vec").alias("dims"))
+    shape, n_rows = {}, 0
+    for r in (
+        rows.groupBy(F.size("vec").alias("dims"))
         .agg(F.count(F.lit(1)).alias("n"), F.max(squares).alias("longest")).collect()
-    }
-    asked = asked.filter(F.size("vec").isin(list(shape)))
+    ):
+        shape[r["dims"]] = (*settings(r["n"]), math.sqrt(r["longest"]) * (1 + 1e-12))
+        n_rows = max(n_rows, r["n"])
+    asked = stored(asked.filter(F.size("vec").isin(list(shape))).dropDuplicates(["vec", "id"]), "asked-vectors")
+    # ids with several vectors take several of a block's places
+    places = k * _vectors_of_an_id(rows) * _vectors_of_an_id(asked)
+    tasks = width_of(rows, 4.0 * TABLES)
     indexed = rows.mapInArrow(_hashed(shape, False), HASHED)
-    visits = asked.mapInArrow(_hashed(shape, True), HASHED).dropDuplicates(["dims", "tab", "bucket", "id", "vec"])
-    found = stored(_merged(_in_blocks(indexed, visits, k), k), "neighbours")
+    visits = asked.mapInArrow(_hashed(shape, True), HASHED)
+    found = stored(_merged(_in_blocks(indexed, visits, places, tasks), k), "neighbours")
     full = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
     short = stored(asked.join(full, asked["id"] == full["query_id"], "left_anti"), "short-queries")
     if short.isEmpty():
         return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
-    most = max(1, math.ceil(max(n for n in _counts(rows)) / SPLIT_ROWS))
-    dims, block = F.size("vec").alias("dims"), F.pmod(F.xxhash64("id"), F.lit(most))
-    all_rows = rows.select(dims, F.lit(-1).alias("tab"), block.alias("bucket"), "id", "vec")
-    everywhere = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(most - 1).cast("bigint")))
-    all_blocks = short.select(dims, F.lit(-1).alias("tab"), everywhere.alias("bucket"), "id", "vec")
-    rest = _merged(_in_blocks(all_rows, all_blocks, k), k)
-    both = found.join(full, "query_id", "left_semi").unionByName(rest)
-    return both.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    most = max(1, math.ceil(n_rows / SPLIT_ROWS))
+    every = np.arange(most)
 
+    def laid(side: int):
+        """Rows in blocks by their ids, or each query once for every block."""
 
-def _counts(rows: DataFrame) -> list[int]:
-    return [r["n"] for r in rows.agg(F.count(F.lit(1)).alias("n")).collect()]
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for ids, vector in zip(batch.column(0), batch.column(1)):
+                    packed = np.asarray(vector.as_py(), float)
+                    blocks = every if side else every[[ids.as_py() % most]]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(blocks), len(packed), np.int32)),
+                            pa.array(np.full(len(blocks), -1, np.int32)),
+                            pa.array(blocks),
+                            pa.array([ids.as_py()] * len(blocks), pa.int64()),
+                            pa.array([packed.tobytes()] * len(blocks), pa.binary()),
+                        ],
+                        names=[*_KEY, "id", "vec"],
+                    )
+
+        return run
+
+    all_rows, everywhere = (df.mapInArrow(laid(side), HASHED) for side, df in enumerate((rows, short)))
+    rest = _merged(_in_blocks(all_rows, everywhere, places, tasks), k)
+    both = found.join(full, "query_id", "left_semi").unionByName(rest)
+    return both.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def op1_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
