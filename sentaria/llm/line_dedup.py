@@ -4,6 +4,12 @@ Two lines within ``t`` edits agree on one of any ``t + 1`` segments of the longe
 place that the edits allow. Every distinct line indexes the segments of its own length and
 probes, for each length it may meet, the few substrings that can equal a segment there.
 Pairs that meet are verified by a banded bit-parallel edit distance.
+
+Lines travel twice: first their keys alone, packed, to find those that another line has;
+then the texts of such lines, in blocks of both sides of a key. A block verifies its pairs
+and returns the links of each line as a number and a forest that connects what it linked,
+so that a group of lines that are all alike returns rows in proportion to its lines. A pair
+is verified under the least of the keys it shares, and thus counted once.
 """
 
 from __future__ import annotations
@@ -23,9 +29,10 @@ from sentaria.llm.common import components, discard, sent_if_short, stored, tabl
 EDITS = 2
 #: Shorter lines are structure, not content: they are never compared and never removed.
 LEAST_CHARS = 20
-#: Pairs of one key that the task of its bucket forms; a key with more goes to ``SPREAD`` tasks.
-CROWDED_PAIRS = 200_000
-SPREAD = 64
+#: Lines of each side of one key that a block verifies; a key with more becomes several blocks.
+BLOCK_LINES = 256
+#: Lines after which a task writes what it has counted so far.
+_HELD_LINES = 50_000
 
 
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
@@ -102,6 +109,17 @@ def _hash(edits: int, length: int, segment: int, text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "replace"), (length * (edits + 1) + segment) & 0xFFFFFFFF)
 
 
+def _own_keys(edits: int, text: str) -> set[int]:
+    """Hashes of the segments of a line."""
+    n = len(text)
+    return {_hash(edits, n, i, text[at : at + z]) for i, (at, z) in enumerate(segments(n, edits))}
+
+
+def _probing_keys(edits: int, text: str, other: int) -> set[int]:
+    """Hashes of the substrings that may equal a segment of a line of ``other`` characters."""
+    return {_hash(edits, other, i, text[at : at + z]) for i, at, z in probes(len(text), other, edits)}
+
+
 def _packed_keys(edits: int, least: int, buckets: int):
     """Rows ``(bucket, side, keys, lines)`` of many distinct lines: side 0 indexes, side 1 probes."""
 
@@ -112,12 +130,10 @@ def _packed_keys(edits: int, least: int, buckets: int):
                 keys: tuple[list, list] = ([], [])
                 lines: tuple[list, list] = ([], [])
                 for number, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    n = len(text)
-                    own = {_hash(edits, n, i, text[s : s + z]) for i, (s, z) in enumerate(segments(n, edits))}
                     found = set()
-                    for other in range(max(least, n - edits), n + 1):
-                        found |= {_hash(edits, other, i, text[s : s + z]) for i, s, z in probes(n, other, edits)}
-                    for side, got in enumerate((own, found)):
+                    for other in range(max(least, len(text) - edits), len(text) + 1):
+                        found |= _probing_keys(edits, text, other)
+                    for side, got in enumerate((_own_keys(edits, text), found)):
                         keys[side].extend(got)
                         lines[side].extend([number] * len(got))
                 out = []
@@ -142,39 +158,107 @@ def _packed_keys(edits: int, least: int, buckets: int):
     return run
 
 
-def _meet(group: pd.DataFrame) -> pd.DataFrame:
-    """Lines of a bucket that share a key: pairs, or for a crowded key its lines alone."""
-    unpack = lambda side, column, kind: np.concatenate(
-        [np.frombuffer(x, kind) for x in group.loc[group["side"] == side, column]] or [np.array([], kind)]
-    )
-    left, right = unpack(0, "keys", "<u4"), unpack(1, "keys", "<u4")
-    x, y = unpack(0, "lines", np.int64), unpack(1, "lines", np.int64)
-    order = np.argsort(left, kind="stable")
-    left, x = left[order], x[order]
-    low, high = np.searchsorted(left, right), np.searchsorted(left, right, side="right")
-    met = high - low
-    order = np.argsort(right, kind="stable")
-    heads = np.flatnonzero(np.r_[True, right[order][1:] != right[order][:-1]]) if len(right) else np.array([], int)
-    total = np.zeros(len(right), np.int64)
-    if len(right):
-        total[order] = np.repeat(np.add.reduceat(met[order], heads), np.diff(np.r_[heads, len(right)]))
-    bucket = int(group["bucket"].iloc[0])
-    busy = total > CROWDED_PAIRS
-    own = np.repeat(np.flatnonzero(~busy), met[~busy])
-    begin = np.repeat(low[~busy], met[~busy])
-    step = np.arange(len(own)) - np.repeat(np.cumsum(met[~busy]) - met[~busy], met[~busy])
-    a, b = x[begin + step], y[own]
-    a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
-    pairs = pd.DataFrame({"a": a, "b": b}).drop_duplicates()
-    parts = [pairs.assign(key=None, side=None)]
-    if busy.any():
-        crowded = np.unique(right[busy])
-        inside = np.isin(left, crowded)
-        key = lambda k: k.astype(np.int64) | (np.int64(bucket) << 32)
-        parts.append(pd.DataFrame({"a": x[inside], "b": None, "key": key(left[inside]), "side": 0}))
-        parts.append(pd.DataFrame({"a": y[busy], "b": None, "key": key(right[busy]), "side": 1}))
-    out = pd.concat([p for p in parts if len(p)] or [pairs.assign(key=None, side=None)])
-    return out.astype({"a": "Int64", "b": "Int64", "key": "Int64", "side": "Int8"})
+def _meet(block_lines: int):
+    """Rows ``(key, line, side, part, across)``: the lines of a bucket under each key that two lines have.
+
+    ``part`` is the line's block on its own side of the key, ``across`` the number of blocks
+    on the other side.
+    """
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        unpack = lambda side, column, kind: np.concatenate(
+            [np.frombuffer(x, kind) for x in group.loc[group["side"] == side, column]] or [np.array([], kind)]
+        )
+        bucket = np.int64(group["bucket"].iloc[0])
+        keys, lines = [], []
+        for side in (0, 1):
+            key, line = unpack(side, "keys", "<u4"), unpack(side, "lines", np.int64)
+            order = np.lexsort((line, key))
+            keys.append(key[order])
+            lines.append(line[order])
+        held = np.unique(keys[0])
+        count = lambda key: np.searchsorted(key, held, side="right") - np.searchsorted(key, held)
+        n = count(keys[0]), count(keys[1])
+        # every line probes its own segments: a key that one line alone has holds it once on each side
+        shared = (n[0] > 1) | (n[1] > 1)
+        out = []
+        for side in (0, 1):
+            inside = np.flatnonzero(np.isin(keys[side], held[shared]))
+            key = keys[side][inside]
+            at = np.searchsorted(held, key)
+            place = inside - np.searchsorted(keys[side], key)
+            out.append(
+                pd.DataFrame(
+                    {
+                        "key": key.astype(np.int64) | (bucket << 32), "line": lines[side][inside], "side": np.int8(side),
+                        "part": (place // block_lines).astype(np.int32),
+                        "across": (-(-n[1 - side][at] // block_lines)).astype(np.int32),
+                    }
+                )
+            )
+        return pd.concat(out)
+
+    return run
+
+
+def _verified(edits: int, buckets: int):
+    """Rows ``(line, n, other)``: links of a line found here, or an edge of the forest that connects them.
+
+    Rows ``(key, row_part, probe_part, side, line, text)`` come in, sorted by block and side.
+    """
+
+    def packed(hashes: set[int]) -> set[int]:
+        return {h % buckets << 32 | h // buckets & 0xFFFFFFFF for h in hashes}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links: dict[int, int] = {}
+        root: dict[int, int] = {}
+        edges: list[tuple[int, int]] = []
+        probing: dict[tuple[int, int], set[int]] = {}
+
+        def find(line: int) -> int:
+            while (up := root.setdefault(line, line)) != line:
+                root[line] = line = root[up]
+            return line
+
+        def written() -> pa.RecordBatch:
+            columns = [*links, *(a for a, _ in edges)], [*links.values(), *[0] * len(edges)], [*[None] * len(links), *(b for _, b in edges)]
+            out = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["line", "n", "other"])
+            for x in (links, root, edges):
+                x.clear()
+            return out
+
+        def meet(key: int, y: int, text: str, indexed: list[tuple]) -> None:
+            for x, other, own in indexed:
+                longer = len(text) - len(other)
+                if not 0 <= longer <= edits or (not longer and x >= y):
+                    continue
+                mine = probing.get((y, len(other)))
+                if mine is None:
+                    mine = probing[y, len(other)] = packed(_probing_keys(edits, text, len(other)))
+                if min(own & mine, default=None) == key and within(text, other, edits) is not None:
+                    links[x] = links.get(x, 0) + 1
+                    links[y] = links.get(y, 0) + 1
+                    a, b = find(x), find(y)
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        edges.append((x, y))
+
+        block, indexed = None, []
+        for batch in batches:
+            for key, row_part, probe_part, side, line, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (key, row_part, probe_part) != block:
+                    block, indexed = (key, row_part, probe_part), []
+                    probing.clear()
+                    if len(root) >= _HELD_LINES:
+                        yield written()
+                if side == 0:
+                    indexed.append((line, text, packed(_own_keys(edits, text))))
+                else:
+                    meet(key, line, text, indexed)
+        yield written()
+
+    return run
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -187,35 +271,32 @@ def line_key(text: Column | str) -> Column:
 
 
 def linked_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
-    """``(a, b, edits)`` for all pairs of distinct lines within ``edits``, ``a < b``.
+    """``(line, n, other)`` that tell how the distinct lines within ``edits`` are linked.
 
-    ``lines`` has one row ``(line, text)`` for each distinct text of ``least`` characters or more.
+    Rows with a null ``other`` add ``n`` to the number of links of ``line``; the other rows are
+    links ``line, other``, enough of them to connect all that links connect. ``lines`` has one
+    row ``(line, text)`` for each distinct text of ``least`` characters or more.
     """
     buckets = 2 * width_of(lines, 1.0)
     packed = lines.mapInArrow(_packed_keys(edits, least, buckets), "bucket bigint, side tinyint, keys binary, lines binary")
-    met = packed.groupBy("bucket").applyInPandas(_meet, "a bigint, b bigint, key bigint, side tinyint")
+    met = packed.groupBy("bucket").applyInPandas(
+        _meet(BLOCK_LINES), "key bigint, line bigint, side tinyint, part int, across int"
+    )
     met = stored(met, "met-lines")
-    # a crowded key's pairs are formed by a join, its indexed lines spread over many tasks
-    spread = F.pmod(F.xxhash64("a"), F.lit(SPREAD))
-    indexed = met.filter("side = 0").select("key", spread.alias("part"), F.col("a").alias("x"))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint")))
-    probing = met.filter("side = 1").select("key", every.alias("part"), F.col("a").alias("y"))
-    crowded = indexed.join(probing, ["key", "part"]).filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    pairs = stored(met.filter("side IS NULL").select("a", "b").unionByName(crowded).distinct(), "line-pairs")
-    discard(met)
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "paired-lines")
-    texts = stored(lines.join(sent_if_short(ids), "line", "left_semi").select("line", "text"), "paired-texts")
-    both = (
-        pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("_at")), "a")
-        .join(texts.select(F.col("line").alias("b"), F.col("text").alias("_bt")), "b")
+    ids = stored(met.select("line").distinct(), "met-line-ids")
+    texts = stored(lines.join(sent_if_short(ids), "line", "left_semi").select("line", "text"), "met-texts")
+    every = F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("other_part")
+    dealt = met.join(texts, "line").select("key", "side", "part", every, "line", "text")
+    block = ["key", "row_part", "probe_part"]
+    own = F.col("side") == 0
+    dealt = dealt.select(
+        "key", F.when(own, F.col("part")).otherwise(F.col("other_part")).alias("row_part"),
+        F.when(own, F.col("other_part")).otherwise(F.col("part")).alias("probe_part"), "side", "line", "text",
     )
-
-    @F.pandas_udf("int")
-    def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([within(x, y, edits) for x, y in zip(a, b)], dtype="Int32")
-
-    checked = both.select("a", "b", distance("_at", "_bt").alias("edits"))
-    return stored(checked.filter("edits IS NOT NULL"), "line-links")
+    dealt = dealt.repartition(width_of(texts, 8.0), *block).sortWithinPartitions(*block, "side")
+    links = stored(dealt.mapInArrow(_verified(edits, buckets), "line bigint, n bigint, other bigint"), "line-links")
+    discard(met)
+    return links
 
 
 def classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
@@ -231,9 +312,10 @@ def classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> Da
     texts = stored(rows.groupBy("line").agg(F.first("text").alias("text")), "distinct-lines")
     links = linked_lines(texts, edits, least)
     discard(texts)
-    ends = F.explode(F.array("a", "b")).alias("line")
-    counts = stored(links.select(ends).groupBy("line").agg(F.count(F.lit(1)).alias("n_links")), "link-counts")
-    roots = components(links, "line-components")
+    counts = links.filter("other IS NULL").groupBy("line").agg(F.sum("n").alias("n_links"))
+    counts = stored(counts, "link-counts")
+    edges = links.filter("other IS NOT NULL").select(F.col("line").alias("a"), F.col("other").alias("b"))
+    roots = components(edges, "line-components")
     named = stored(
         counts.join(roots.withColumnRenamed("node", "line"), "line", "left").select(
             "line", F.coalesce("root", "line").alias("class_id"), "n_links"

@@ -209,7 +209,9 @@ def corpus_lines():
     return docs
 
 
-def test_classes_against_all_pairs(spark):
+@pytest.mark.parametrize("block", [256, 3])
+def test_classes_against_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", block)
     docs = corpus_lines()
     df = spark.createDataFrame(docs, "doc_id bigint, text string, line string")
     rows = line_dedup.classes(df.repartition(3)).collect()
