@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sentaria.operators.conform import conform
 from sentaria.operators.retrieval import token_rows
+from sentaria.plans.sizing import written
 from sentaria.schemas import BY_LANGUAGE, LOAD_ORDER
 from sentaria.sinks.parquet import compact_dataset, dataset_path, write_dataset, write_token_index
 from sentaria.sources.datasets import read_dataset
@@ -58,12 +59,17 @@ class CorpusStore:
             write_dataset(rows, path, mode="append", partition_by=_partitions(table))
 
     def load_sentences(self, df: DataFrame, rebuild: bool = True) -> None:
-        """Load sentences and index the batch. Rebuilding first empties every table."""
+        """Load sentences and index the batch. Rebuilding empties every table first.
+
+        A rebuild's rows are written to the scratch folder before any table is emptied: an
+        input that fails leaves the old rows, and one read from this store is not lost.
+        """
+        rows = conform(df, "sentences")
         if rebuild:
+            rows = written(rows, "rebuild")
             self.reset_tables()
         else:
             self.create_tables()
-        rows = conform(df, "sentences")
         self.append(rows, "sentences")
         self.append(token_rows(rows), "sentence_tokens", languages=rows)
 

@@ -296,3 +296,14 @@ def test_deduplication_with_event_time_has_a_watermark(spark, tmp_path):
     stream = spark.readStream.schema("sentence_id bigint, t timestamp").parquet(str(tmp_path / "in"))
     plan = deduplicated(stream, "t", "2 hours")._jdf.queryExecution().analyzed().toString()
     assert "EventTimeWatermark" in plan and "DeduplicateWithinWatermark" in plan
+
+
+def test_rebuild_from_own_rows_and_from_a_failing_input(spark, tmp_path):
+    store = CorpusStore(spark, str(tmp_path / "own"))
+    store.load_sentences(sentences(spark, (1, "eng", "One bird."), (2, "deu", "Zwei Vögel.")))
+    failing = sentences(spark, (3, "eng", "Three.")).withColumn("text", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        store.load_sentences(failing)
+    assert sorted(r.sentence_id for r in store.read("sentences").collect()) == [1, 2]
+    store.load_sentences(store.read("sentences").filter("language = 'deu'"))
+    assert [(r.sentence_id, r.text) for r in store.read("sentences").collect()] == [(2, "Zwei Vögel.")]
