@@ -30,6 +30,8 @@ ANCHOR_BYTES = 16
 _PIECE = 1 << 18
 SORT_BYTES = 2 << 20
 _BATCH_BYTES = 16 << 20
+#: Strings compared at once with the documents of their places.
+_BLOCK_STRINGS = 1 << 20
 #: Rows of one anchor that one task takes; an anchor with more is split over several.
 SPLIT_ROWS = 20_000
 _LAST = (1 << 63) - 1
@@ -141,9 +143,9 @@ def _induce(data, greater, scanned, induced) -> None:
     keys = data[before]
     order = np.argsort(keys, kind="stable")
     before, keys = before[order], keys[order]
-    cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-    for part, c in zip(np.split(before, cuts), keys[np.r_[0, cuts]]):
-        induced[c].append(part)
+    cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    for a, b in zip(cuts, cuts[1:]):
+        induced[keys[a]].append(before[a:b])
 
 
 def _smaller(data: np.ndarray) -> np.ndarray:
@@ -151,8 +153,8 @@ def _smaller(data: np.ndarray) -> np.ndarray:
     n = len(data)
     differs = np.r_[data[:-1] != data[1:], True]
     up = np.r_[data[:-1] < data[1:], False]
-    at = np.flatnonzero(differs)
-    return up[at[np.searchsorted(at, np.arange(n))]]
+    at = np.where(differs, np.arange(n), n)
+    return up[np.minimum.accumulate(at[::-1])[::-1]]
 
 
 def _all_words(data: np.ndarray, depth: int) -> np.ndarray:
@@ -198,8 +200,11 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     return same
 
 
-def least_owner(slices: list[bytes], owners: np.ndarray, depth: int = STRING_BYTES) -> list[np.ndarray]:
-    """For each slice, the least owner of each of its strings among all ``slices``."""
+def least_owners(slices: list[bytes], owners: np.ndarray, depth: int = STRING_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """The least owner of each string of each of ``slices`` among all of them, slice after slice.
+
+    Also returns how many strings each slice has.
+    """
     sizes = np.array([len(s) for s in slices])
     data = np.frombuffer(b"".join(slices), np.uint8)
     ends = np.cumsum(sizes)
@@ -212,10 +217,12 @@ def least_owner(slices: list[bytes], owners: np.ndarray, depth: int = STRING_BYT
     same = common_prefixes(data, order, depth)
     heads = np.flatnonzero(~same)
     least = np.full(len(data), _LAST)
+    string = np.zeros(len(data), bool)
+    string[order] = True
     if len(order):
         low = np.minimum.reduceat(owners[slice_of], heads)
         least[order] = np.repeat(low, np.diff(np.r_[heads, len(order)]))
-    return [least[s : e - depth + 1] for s, e in zip(starts, ends)]
+    return least[string], sizes - depth + 1
 
 
 # --- the Spark job -------------------------------------------------------------
@@ -317,21 +324,32 @@ def _slices(buckets: int, string_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _rows(batches):
-            seen: dict[tuple[int, bytes], list] = {}
+            seen: dict[tuple[int, bytes], int] = {}
+            of, found = [], []
             for text_key, doc, wanted, text in held:
                 hashes, first, last = runs(text, string_bytes)
                 # as the anchors were packed: remainder and cut quotient
                 packed = (hashes // buckets & 0xFFFFFFFF) * buckets + hashes % buckets
                 exact = np.asarray(wanted, np.int64)
                 pick = np.isin(packed, exact) | np.isin(hashes, exact)
-                for h, a, b in zip(packed[pick].tolist(), first[pick].tolist(), last[pick].tolist()):
-                    seen.setdefault((h, text[a : b + string_bytes]), []).append((text_key, doc, a))
+                begin = first[pick]
+                for h, a, b in zip(packed[pick].tolist(), begin.tolist(), last[pick].tolist()):
+                    of.append(seen.setdefault((h, text[a : b + string_bytes]), len(seen)))
+                place = np.empty((len(begin), 3), "<i8")
+                place[:, 0], place[:, 1], place[:, 2] = text_key, doc, begin
+                found.append(place)
+            number = np.array(of, np.int64)
+            places = np.concatenate(found)[np.argsort(number, kind="stable")]
+            sizes = np.bincount(number, minlength=len(seen))
+            ends = np.cumsum(sizes)
+            owners = np.minimum.reduceat(places[:, 1], ends - sizes) if len(seen) else sizes
+            flat, cuts = places.tobytes(), [0, *(24 * ends).tolist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([h for h, _ in seen], pa.int64()),
                     pa.array([s for _, s in seen], pa.binary()),
-                    pa.array([min(p[1] for p in places) for places in seen.values()], pa.int64()),
-                    pa.array([np.array(places, "<i8").tobytes() for places in seen.values()], pa.binary()),
+                    pa.array(owners, pa.int64()),
+                    pa.array([flat[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary()),
                 ],
                 names=["anchor", "slice", "owner", "places"],
             )
@@ -353,30 +371,31 @@ def _removed(string_bytes: int):
             elif owner < owners[k]:
                 owners[k] = owner
             of.append(k)
-        least = least_owner([text for _, text in number], np.array(owners), string_bytes)
-        keys, begins, stops = [], [], []
-        bounds = [(int(m.min()), int(m.max())) for m in least]
-        for k, (_, _, _, places) in zip(of, rows):
-            if not places:
-                continue
-            low, high = bounds[k]
-            at = np.frombuffer(places, "<i8").reshape(-1, 3)
-            docs = at[:, 1]
-            wholly = docs > high
-            keys.append(at[wholly, 0])
-            begins.append(at[wholly, 2])
-            stops.append(at[wholly, 2] + len(least[k]) + string_bytes - 1)
-            for text_key, doc, start in at[~wholly & (docs > low)]:
-                flags = np.r_[False, least[k] < doc, False]
-                edge = np.flatnonzero(flags[1:] != flags[:-1])
-                keys.append(np.full(len(edge) // 2, text_key))
-                begins.append(start + edge[::2])
-                stops.append(start + edge[1::2] + string_bytes - 1)
-        if keys:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, begins, stops)],
-                names=["text_key", "start", "stop"],
-            )
+        least, n_strings = least_owners([text for _, text in number], np.array(owners), string_bytes)
+        begin = np.cumsum(n_strings) - n_strings
+        low, high = np.minimum.reduceat(least, begin), np.maximum.reduceat(least, begin)
+        at = np.frombuffer(b"".join(places for *_, places in rows), "<i8").reshape(-1, 3)
+        k = np.repeat(np.array(of), [len(places) // 24 for *_, places in rows])
+        wholly = at[:, 1] > high[k]
+        keys, starts, stops = [at[wholly, 0]], [at[wholly, 2]], [at[wholly, 2] + n_strings[k[wholly]] + string_bytes - 1]
+        partly = np.flatnonzero(~wholly & (at[:, 1] > low[k]))
+        blocks = np.cumsum(n_strings[k[partly]]) // _BLOCK_STRINGS
+        for some in np.split(partly, np.flatnonzero(np.diff(blocks)) + 1):
+            n = n_strings[k[some]]
+            own = np.repeat(np.arange(len(some)), n)
+            within = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+            lost = least[begin[k[some]][own] + within] < at[some, 1][own]
+            # a lost string that follows no lost one of its place opens a span, the last before another closes it
+            first, last = within == 0, within == n[own] - 1
+            opens = lost & (first | ~np.roll(lost, 1))
+            closes = lost & (last | ~np.roll(lost, -1))
+            keys.append(at[some, 0][own[opens]])
+            starts.append(at[some, 2][own[opens]] + within[opens])
+            stops.append(at[some, 2][own[closes]] + within[closes] + string_bytes)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, starts, stops)],
+            names=["text_key", "start", "stop"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, last = [], 0, None

@@ -88,3 +88,33 @@ def test_dedup(spark, monkeypatch, split, piece, batch):
 
 def test_nothing(spark):
     assert S.dedup(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+@pytest.mark.parametrize("block", [1, 7, 1 << 20])
+def test_spans_of_every_place(monkeypatch, block):
+    """Slices of two anchors, each at several places: what a place loses, by brute force."""
+    monkeypatch.setattr(S, "_BLOCK_STRINGS", block)
+    rng = random.Random(block)
+    size, rows = 24, []
+    base = bytes(rng.choices(b"ab", k=60))
+    for anchor in (3, 8):
+        for _ in range(25):
+            a = rng.randrange(0, 30)
+            places = np.array([(rng.randrange(99), rng.randrange(9), rng.randrange(50)) for _ in range(3)], "<i8")
+            text = base[a : a + size + rng.randrange(0, 12)] + rng.choice([b"", b"c", b"d"])
+            rows.append((anchor, 0, text, int(places[:, 1].min()), places.tobytes()))
+    least = {}
+    for _, _, text, owner, _ in rows:
+        for p in range(len(text) - size + 1):
+            least[text[p : p + size]] = min(owner, least.get(text[p : p + size], owner))
+    want = set()
+    for _, _, text, _, places in rows:
+        for key, doc, start in np.frombuffer(places, "<i8").reshape(-1, 3).tolist():
+            for p in range(len(text) - size + 1):
+                if least[text[p : p + size]] < doc:
+                    want |= {(key, start, start + p + i) for i in range(size)}
+    names = ["anchor", "part", "slice", "owner", "places"]
+    batch = S.pa.RecordBatch.from_arrays([S.pa.array(list(c)) for c in zip(*rows)], names=names)
+    got = [r for b in S._removed(size)(iter([batch])) for r in b.to_pylist()]
+    assert {b for _, _, b in want} >= {x for r in got for x in range(r["start"], r["stop"])}
+    assert {(k, x) for k, _, x in want} == {(r["text_key"], x) for r in got for x in range(r["start"], r["stop"])}
