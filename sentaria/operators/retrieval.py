@@ -240,6 +240,23 @@ def nest_for(ids: DataFrame, nested: DataFrame) -> DataFrame:
     )
 
 
+#: Types of the nested arrays, for extras that were not asked for.
+_NESTED = {
+    "translations": (
+        "array<struct<translation_id:bigint,language:string,text:string,username:string,"
+        "date_added:timestamp,date_modified:timestamp,copies:bigint>>"
+    ),
+    "audio": "array<struct<"
+    + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in SCHEMAS["sentence_audio"] if f.name != ID)
+    + ",copies:bigint>>",
+    "grammar_patterns": (
+        "array<struct<pattern_id:string,language:string,name:string,description:string,"
+        "pattern_text:string,pattern_source:string,metadata_json:string,evidence_text:string,"
+        "confidence:double,annotation_source:string,copies:bigint>>"
+    ),
+}
+
+
 # --- search --------------------------------------------------------------------
 
 
@@ -299,7 +316,7 @@ class SearchResult:
             )
         for name, rows, _ in self._extras():
             if rows is None:
-                out = out.withColumn(name, F.array())
+                out = out.withColumn(name, F.array().cast(_NESTED[name]))
         return out.select("sentence", "part", "translations", "audio", "grammar_patterns").orderBy(
             f"sentence.{ID}", "part"
         )

@@ -143,6 +143,13 @@ _EXTRAS = _with(
     LEFT JOIN audio_ends USING (sentence_id) LEFT JOIN grammar_patterns_ends USING (sentence_id)""",
 )
 
+_STORED = _with(
+    ["tokens", "sentences"],
+    """SELECT s.sentence_id, s.language, md5(s.text) AS text_md5, count(t.sentence_id) AS n_tokens
+    FROM sentences s LEFT JOIN tokens t ON t.sentence_id = s.sentence_id
+    GROUP BY s.sentence_id, s.language, s.text""",
+)
+
 _COUNTS = _with(
     ["tokens", "links", "tags", "grammar_patterns", "annotations", "sentence_audio"],
     """SELECT 'sentences' AS table_name, count(*) AS n_rows FROM sentences
@@ -192,6 +199,8 @@ ORACLES: dict[str, str] = {
     "stored_token_index": _INDEX,
     "stream_token_index": _INDEX,
     "stream_distinct_sentences": _with(["sentences"], f"SELECT {_BRIEF} FROM sentences"),
+    "store_stream_then_batch": _STORED,
+    "store_batch_then_stream": _STORED,
     "normalize_query_tokens": _with(
         ["query_keys"],
         """SELECT query_id, count(*) AS n_tokens, string_agg(key, ' ' ORDER BY pos) AS tokens

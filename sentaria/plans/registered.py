@@ -163,7 +163,7 @@ def stored_token_index(v: CorpusViews) -> DataFrame:
 
 @registered
 def stream_token_index(v: CorpusViews) -> DataFrame:
-    """The documents arrive as files; two streams store and index them."""
+    """The documents arrive as files; a stream stores and indexes them."""
     base = scratch_path(v.spark, "stream")
     spread(v.sentences, ID).write.parquet(f"{base}/arriving")
     update_index(v.spark, f"{base}/arriving", f"{base}/store", f"{base}/checkpoints")
@@ -182,6 +182,37 @@ def stream_distinct_sentences(v: CorpusViews) -> DataFrame:
     return _brief(read_dataset(v.spark, f"{base}/store", "sentences"))
 
 
+def _streamed_and_loaded(v: CorpusViews, stream_first: bool) -> DataFrame:
+    """English documents arrive as a stream, all others as a batch, in one store."""
+    base = scratch_path(v.spark, "mixed")
+    english = F.col("language").eqNullSafe("en")
+    spread(v.sentences.filter(english), ID).write.parquet(f"{base}/arriving")
+    store = CorpusStore(v.spark, f"{base}/store")
+
+    def load():
+        store.load_sentences(v.sentences.filter(~english), rebuild=False)
+
+    if not stream_first:
+        load()
+    update_index(v.spark, f"{base}/arriving", f"{base}/store", f"{base}/checkpoints")
+    if stream_first:
+        load()
+    n_tokens = store.read("sentence_tokens").groupBy(ID).agg(F.count(F.lit(1)).alias("n_tokens"))
+    return store.read("sentences").join(n_tokens, ID, "left").select(
+        ID, "language", F.md5("text").alias("text_md5"), F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens")
+    )
+
+
+@registered
+def store_stream_then_batch(v: CorpusViews) -> DataFrame:
+    return _streamed_and_loaded(v, stream_first=True)
+
+
+@registered
+def store_batch_then_stream(v: CorpusViews) -> DataFrame:
+    return _streamed_and_loaded(v, stream_first=False)
+
+
 @registered
 def normalize_query_tokens(v: CorpusViews) -> DataFrame:
     keys = retrieval.batch_keys(v.vocab_queries)

@@ -1,23 +1,27 @@
 """Incremental loading: new sentence files in, sentences and token index out.
 
-Two chained queries. The first conforms arriving files into the stored sentences; the
-second tokenises what has been stored. Both use Spark's own file sink, which commits
-each micro-batch exactly once, and the index can only describe stored sentences.
+Each micro-batch is conformed, stored and then indexed by the served store's own writers,
+so the index describes stored sentences only and a store takes streams and batch loads in
+any order.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from sentaria.functions.text import tokenize_text
 from sentaria.operators.conform import conform
+from sentaria.operators.retrieval import token_rows
 from sentaria.schemas import SCHEMAS
-from sentaria.sinks.parquet import dataset_path
+from sentaria.sinks.store import CorpusStore
 
 _SALT, _SALTS = "_salt", 64
+#: What tells a row that an interrupted micro-batch has stored from one that it has not.
+STREAM_KEYS = {"sentences": ("sentence_id",), "sentence_tokens": ("sentence_id", "position")}
 
 
 def deduplicated(
@@ -49,14 +53,49 @@ def deduplicated(
     return first_rows(first_rows(salted, "sentence_id", _SALT), "sentence_id").drop(_SALT)
 
 
-def _start(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return (
-        stream.writeStream.format("parquet")
-        .partitionBy("language")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _new_rows(store: CorpusStore, rows: DataFrame, table: str) -> DataFrame:
+    """The rows whose key the store does not hold; a null is a key like any other."""
+    keys = STREAM_KEYS[table]
+    held = store.read(table).select(*[F.col(k).alias(f"_held_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
+    return rows.join(held, same, "left_anti")
+
+
+def batch_writer(base_dir: str, checkpoint_dir: str):
+    """What stores and indexes one micro-batch, as ``foreachBatch`` calls it.
+
+    Rows take the store's own write path, so streamed and batch-loaded rows share folders
+    and layout. Two empty folders of each batch tell how far it came: a batch that ended is
+    skipped, one that began and did not end adds only rows whose key is not stored yet.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        began, ended = (f"{checkpoint_dir}/batches/{batch_id}-{state}" for state in ("began", "ended"))
+        files, at_end = _folder(spark, ended)
+        if files.exists(at_end):
+            return
+        _, at_start = _folder(spark, began)
+        again = files.exists(at_start)
+        files.mkdirs(at_start)
+        store = CorpusStore(spark, base_dir)
+        store.create_tables()
+        batch = batch.persist()
+        if not batch.isEmpty():
+            rows, tokens = batch, token_rows(batch)
+            if again:
+                rows, tokens = _new_rows(store, rows, "sentences"), _new_rows(store, tokens, "sentence_tokens")
+            store.append(rows, "sentences")
+            store.append(tokens, "sentence_tokens", languages=batch)
+        batch.unpersist()
+        files.mkdirs(at_end)
+
+    return write
 
 
 def start_sentences(
@@ -70,7 +109,7 @@ def start_sentences(
     spread_repeats: bool = False,
     files_per_batch: int = 10_000,
 ) -> StreamingQuery:
-    """Stream Parquet sentence files into the stored sentences.
+    """Stream Parquet sentence files into the stored sentences and their index.
 
     ``spread_repeats`` turns on the first round per input file of :func:`deduplicated`.
     """
@@ -82,21 +121,13 @@ def start_sentences(
     if distinct_ids:
         origin = F.col("_metadata.file_path") if spread_repeats else None
         arriving = deduplicated(arriving, event_time, origin=origin)
-    rows = conform(arriving, "sentences")
-    return _start(rows, dataset_path(base_dir, "sentences"), f"{checkpoint_dir}/sentences")
-
-
-def start_tokens(
-    spark: SparkSession, base_dir: str, checkpoint_dir: str, files_per_batch: int = 10_000
-) -> StreamingQuery:
-    """Stream stored sentences into the token index."""
-    stored = (
-        spark.readStream.schema(SCHEMAS["sentences"])
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(dataset_path(base_dir, "sentences"))
+    return (
+        conform(arriving, "sentences")
+        .writeStream.foreachBatch(batch_writer(base_dir, checkpoint_dir))
+        .option("checkpointLocation", f"{checkpoint_dir}/sentences")
+        .trigger(availableNow=True)
+        .start()
     )
-    rows = stored.select("sentence_id", "language", F.inline(tokenize_text(F.col("text"))))
-    return _start(rows, dataset_path(base_dir, "sentence_tokens"), f"{checkpoint_dir}/sentence_tokens")
 
 
 def update_index(
@@ -104,4 +135,3 @@ def update_index(
 ) -> None:
     """Process everything that has arrived since the last call, then return."""
     start_sentences(spark, source_dir, base_dir, checkpoint_dir, **options).awaitTermination()
-    start_tokens(spark, base_dir, checkpoint_dir).awaitTermination()

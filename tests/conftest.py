@@ -31,24 +31,24 @@ def corpus(spark):
 
     sentences = spark.createDataFrame(
         [
-            (1, "eng", "Hello, brave world!"),
-            (2, "eng", "Hello there."),
-            (3, "fra", "Bonjour le monde."),
-            (4, "eng", "Full-width ＡＢＣ test."),
+            (11, "eng", "Geese, seven, cross the RIVER!"),
+            (12, "eng", "The river froze."),
+            (13, "fra", "Sept oies traversent."),
+            (14, "eng", "Paid in ＵＳＤ today."),
         ],
         "sentence_id bigint, language string, text string",
     )
-    links = spark.createDataFrame([(1, 3), (3, 1)], "sentence_id bigint, translation_id bigint")
+    links = spark.createDataFrame([(11, 13), (13, 11)], "sentence_id bigint, translation_id bigint")
     audio = spark.createDataFrame(
-        [("123", 1, "alice", "CC BY 4.0")],
+        [("a-77", 11, "nora", "CC0 1.0")],
         "audio_id string, sentence_id bigint, username string, license string",
     )
     patterns = spark.createDataFrame(
-        [("eng-present-simple", "eng", "Present simple", "manual")],
+        [("list-comma", "eng", "Comma after a subject", "teacher")],
         "pattern_id string, language string, name string, source string",
     )
     annotations = spark.createDataFrame(
-        [(1, "eng-present-simple", "Hello", 1.0, "human")],
+        [(11, "list-comma", "Geese,", 0.75, "reader")],
         "sentence_id bigint, pattern_id string, evidence_text string, confidence double, source string",
     )
     given = {

@@ -16,57 +16,57 @@ def tables(request, corpus):
 
 
 def test_match_all_with_extras(tables):
-    found = r.search_vocabulary(tables, ["HELLO", "world"], language="eng", target_language="fra")
+    found = r.search_vocabulary(tables, ["GEESE", "river"], language="eng", target_language="fra")
     (row,) = found.nested().collect()
-    assert row["sentence"]["sentence_id"] == 1
+    assert row["sentence"]["sentence_id"] == 11
     assert [(t["translation_id"], t["text"], t["copies"]) for t in row["translations"]] == [
-        (3, "Bonjour le monde.", 1)
+        (13, "Sept oies traversent.", 1)
     ]
-    assert [a["audio_id"] for a in row["audio"]] == ["123"]
+    assert [a["audio_id"] for a in row["audio"]] == ["a-77"]
     (pattern,) = row["grammar_patterns"]
-    assert pattern["pattern_id"] == "eng-present-simple"
-    assert (pattern["pattern_source"], pattern["annotation_source"]) == ("manual", "human")
+    assert pattern["pattern_id"] == "list-comma"
+    assert (pattern["pattern_source"], pattern["annotation_source"]) == ("teacher", "reader")
 
 
 def test_target_language_narrows_translations_only(tables):
-    found = r.search_vocabulary(tables, "hello", language="eng", target_language="deu")
+    found = r.search_vocabulary(tables, "river", language="eng", target_language="deu")
     rows = found.nested().collect()
-    assert [row["sentence"]["sentence_id"] for row in rows] == [1, 2]
+    assert [row["sentence"]["sentence_id"] for row in rows] == [11, 12]
     assert all(row["translations"] == [] for row in rows)
 
 
 def test_match_any_without_extras(tables):
     found = r.search_vocabulary(
-        tables, ["hello", "world"], "eng", match_all=False,
+        tables, ["river", "geese"], "eng", match_all=False,
         include_translations=False, include_audio=False, include_grammar=False,
     )
     assert found.translations is None
     rows = found.nested().collect()
-    assert [row["sentence"]["sentence_id"] for row in rows] == [1, 2]
+    assert [row["sentence"]["sentence_id"] for row in rows] == [11, 12]
     assert all(row["translations"] == row["audio"] == row["grammar_patterns"] == [] for row in rows)
 
 
 def test_compatibility_forms_match(tables):
-    assert ids(r.search_vocabulary(tables, "abc", language="eng").sentences) == [4]
+    assert ids(r.search_vocabulary(tables, "usd", language="eng").sentences) == [14]
 
 
 def test_pages(tables):
-    search = lambda **page: ids(r.search_vocabulary(tables, "hello", **page).sentences)
-    assert search(limit=1) == [1]
-    assert search(limit=1, offset=1) == [2]
+    search = lambda **page: ids(r.search_vocabulary(tables, "river", **page).sentences)
+    assert search(limit=1) == [11]
+    assert search(limit=1, offset=1) == [12]
     assert search(offset=5) == []
-    assert r.search_vocabulary(tables, "hello", offset=5).nested().collect() == []
+    assert r.search_vocabulary(tables, "river", offset=5).nested().collect() == []
 
 
 def test_large_pages_rank_ids_only(tables, monkeypatch):
     monkeypatch.setattr(r, "ROW_PAGE", 0)
-    found = r.search_vocabulary(tables, "hello", language="eng", limit=5)
+    found = r.search_vocabulary(tables, "river", language="eng", limit=5)
     assert sorted((x["sentence_id"], x["text"]) for x in found.sentences.collect()) == [
-        (1, "Hello, brave world!"), (2, "Hello there.")
+        (11, "Geese, seven, cross the RIVER!"), (12, "The river froze.")
     ]
     monkeypatch.setattr(r, "DEEP_PAGE", 0)
-    found = r.search_vocabulary(tables, "hello", language="eng", limit=5, offset=1)
-    assert ids(found.sentences) == [2] and ids(found.translations) == []
+    found = r.search_vocabulary(tables, "river", language="eng", limit=5, offset=1)
+    assert ids(found.sentences) == [12] and ids(found.translations) == []
 
 
 def test_no_usable_word_finds_nothing(tables):
@@ -75,8 +75,8 @@ def test_no_usable_word_finds_nothing(tables):
 
 
 def test_language_narrows_hits(tables):
-    assert ids(r.search_vocabulary(tables, "hello", language="fra").sentences) == []
-    assert ids(r.search_vocabulary(tables, "monde").sentences) == [3]
+    assert ids(r.search_vocabulary(tables, "river", language="fra").sentences) == []
+    assert ids(r.search_vocabulary(tables, "oies").sentences) == [13]
 
 
 def test_many_keys(spark):
@@ -162,16 +162,27 @@ def test_sentence_with_translations(spark, linked):
 
 
 def test_audio_and_grammar_lookups(spark, corpus):
-    wanted = r.requested(spark, [1, 2])
+    wanted = r.requested(spark, [11, 12])
     audio = r.nest(r.audio_of(corpus["sentence_audio"], wanted), r.AUDIO_ORDER)
     assert [x["items"][0]["status"] for x in audio.collect()] == ["metadata"]
     grammar = r.grammar_of(corpus["sentence_grammar_patterns"], corpus["grammar_patterns"], wanted)
-    assert ids(grammar) == [1]
+    assert ids(grammar) == [11]
     assert ids(r.grammar_of(
-        corpus["sentence_grammar_patterns"], corpus["grammar_patterns"], r.requested(spark, [2])
+        corpus["sentence_grammar_patterns"], corpus["grammar_patterns"], r.requested(spark, [12])
     )) == []
 
 
+def test_switched_off_extras_keep_their_type(corpus):
+    """Arrays have one type, whether an extra was asked for or not."""
+    full = r.search_vocabulary(corpus, "river").nested().schema
+    bare = r.search_vocabulary(
+        corpus, "river", include_translations=False, include_audio=False, include_grammar=False
+    ).nested().schema
+    nothing = r.search_vocabulary(corpus, "...").nested().schema
+    kinds = lambda schema: {f.name: f.dataType.simpleString() for f in schema}
+    assert kinds(full) == kinds(bare) == kinds(nothing)
+
+
 # --- batch search against single searches ---------------------------------------
 
 TEXTS = [

@@ -9,7 +9,7 @@ from sentaria.sinks import parquet as p
 from sentaria.sinks.store import CorpusStore
 from sentaria.sources import datasets as d
 from sentaria.sources import exports as e
-from sentaria.streaming.index_stream import deduplicated, update_index
+from sentaria.streaming.index_stream import batch_writer, deduplicated, update_index
 
 
 def ids(df):
@@ -154,7 +154,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
 def test_sql_with_markers(spark, corpus):
     sql = "SELECT sentence_id FROM sentences WHERE language IN (?, ?) ORDER BY 1 LIMIT ? OFFSET ?"
     rows = d.run_sql(spark, {"sentences": corpus["sentences"]}, sql, ["eng", "fra", 2, 1]).collect()
-    assert [row["sentence_id"] for row in rows] == [2, 3]
+    assert [row["sentence_id"] for row in rows] == [12, 13]
 
 
 # --- store ---------------------------------------------------------------------
@@ -171,22 +171,22 @@ def store(spark, tmp_path, corpus):
 
 
 def test_search_in_the_store(store):
-    found = r.search_vocabulary(store.tables(), ["HELLO", "world"], "eng", "fra").nested().collect()
-    assert [(x["sentence"]["sentence_id"], len(x["translations"]), len(x["audio"])) for x in found] == [(1, 1, 1)]
+    found = r.search_vocabulary(store.tables(), ["GEESE", "river"], "eng", "fra").nested().collect()
+    assert [(x["sentence"]["sentence_id"], len(x["translations"]), len(x["audio"])) for x in found] == [(11, 1, 1)]
 
 
 def test_rebuild_empties_every_table(spark, store):
-    store.load_sentences(sentences(spark, (10, "eng", "Fresh sentence.")))
+    store.load_sentences(sentences(spark, (20, "eng", "Nothing else.")))
     counts = {name: df.count() for name, df in store.tables().items()}
     assert counts.pop("sentences") == 1 and counts.pop("sentence_tokens") == 2
     assert set(counts.values()) == {0}
-    assert ids(r.search_vocabulary(store.tables(), "hello", "eng").sentences) == []
+    assert ids(r.search_vocabulary(store.tables(), "river", "eng").sentences) == []
 
 
 def test_append_keeps_tables_and_indexes_the_batch(spark, store):
-    store.load_sentences(sentences(spark, (10, "eng", "Hello again")), rebuild=False)
-    found = r.search_vocabulary(store.tables(), "hello", include_audio=False)
-    assert ids(found.sentences) == [1, 2, 10]
+    store.load_sentences(sentences(spark, (20, "eng", "River again")), rebuild=False)
+    found = r.search_vocabulary(store.tables(), "river", include_audio=False)
+    assert ids(found.sentences) == [11, 12, 20]
     assert store.read("links").count() == 2
 
 
@@ -203,7 +203,7 @@ def test_store_compaction(store, tmp_path):
 @pytest.fixture
 def inputs(tmp_path):
     files = {
-        "sentences": "1\teng\tHello world\n2\teng\tBad one\n3\tfra\tBonjour\n4\tdeu\tHallo\n",
+        "sentences": "1\teng\tLate train\n2\teng\tWrong train\n3\tfra\tTrain\n4\tdeu\tZug\n",
         "links": "1\t3\n3\t1\n1\t2\n1\t4\n1\t99\n",
         "tags": "1\tOK\n2\tOK\n4\tOK\n",
         "quality": "1\n3\n4\n",
@@ -280,6 +280,36 @@ def test_stream_equals_batch(spark, tmp_path):
     assert ids(r.match_index(streamed, ["hello"])) == [1, 3]
 
 
+@pytest.mark.parametrize("stream_first", [True, False])
+def test_streams_and_batch_loads_share_a_store(spark, tmp_path, stream_first):
+    source, base, marks = (str(tmp_path / name) for name in ("in", "store", "marks"))
+    streamed = sentences(spark, (1, "eng", "cold tea"), (2, None, "tea"), (3, "fra", ""))
+    loaded = sentences(spark, (4, "eng", "hot tea"), (5, "deu", "Tee"))
+    streamed.write.parquet(source)
+    store = CorpusStore(spark, base)
+    steps = [lambda: update_index(spark, source, base, marks), lambda: store.load_sentences(loaded, rebuild=False)]
+    for step in steps if stream_first else reversed(steps):
+        step()
+    assert ids(store.read("sentences")) == [1, 2, 3, 4, 5]
+    want = r.token_rows(streamed.union(loaded).filter("language IS NOT NULL"))
+    got = store.read("sentence_tokens")
+    assert token_set(got.filter("language IS NOT NULL")) == token_set(want)
+    assert ids(got.filter("language IS NULL")) == [2]
+
+
+def test_an_interrupted_batch_is_completed_once(spark, tmp_path):
+    base, marks = str(tmp_path / "store"), tmp_path / "marks"
+    rows = sentences(spark, (1, "eng", "a b"), (2, "eng", "c"), (None, "eng", "d"))
+    write = batch_writer(base, str(marks))
+    write(rows.filter("sentence_id = 1"), 0)
+    (marks / "batches" / "0-ended").rmdir()  # as if it had stopped after a part of its rows
+    for _ in range(2):
+        write(rows, 0)
+    store = CorpusStore(spark, base)
+    assert sorted(x["text"] for x in store.read("sentences").collect()) == ["a b", "c", "d"]
+    assert sorted(x["token"] for x in store.read("sentence_tokens").collect()) == ["a", "b", "c", "d"]
+
+
 @pytest.mark.parametrize("spread_repeats", [False, True])
 def test_stream_can_drop_repeated_ids(spark, tmp_path, spread_repeats):
     source, base, marks = (str(tmp_path / name) for name in ("in", "store", "marks"))
