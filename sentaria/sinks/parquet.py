@@ -8,12 +8,15 @@ when a lost task runs again.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentaria.plans.sizing import (
     MAX_SHUFFLE_WIDTH,
     TARGET_PARTITION_BYTES,
+    input_bytes,
     session_settings,
     shuffle_width,
     sized_shuffles,
@@ -21,6 +24,8 @@ from sentaria.plans.sizing import (
 from sentaria.sources.datasets import read_dataset
 
 ID = "sentence_id"
+#: Input bytes for one range partition of a write.
+WRITE_PARTITION_BYTES = 128 << 20
 _ORIGIN = "_input_partition"
 _BUCKET = "_bucket"
 
@@ -29,6 +34,16 @@ def dataset_path(base_dir: str, dataset: str) -> str:
     return f"{base_dir.rstrip('/')}/{dataset}"
 
 
+def write_width(df: DataFrame) -> int:
+    """Range partitions for a write: by bytes alone, so that small files become few.
+
+    An explicit number is not coalesced, so the session's own number must not enter. It
+    serves where the size is unknown.
+    """
+    size = input_bytes(df)
+    return shuffle_width(df) if size is None else max(1, math.ceil(size / WRITE_PARTITION_BYTES))
+
+
 def clustered(df: DataFrame, *keys: str) -> DataFrame:
     """Range-partition and sort by ``keys``; frames with none of them are left alone."""
     keys = [key for key in keys if key in df.columns]
@@ -36,7 +51,7 @@ def clustered(df: DataFrame, *keys: str) -> DataFrame:
         return df
     return (
         df.withColumn(_ORIGIN, F.spark_partition_id())
-        .repartitionByRange(shuffle_width(df), *keys, _ORIGIN)
+        .repartitionByRange(write_width(df), *keys, _ORIGIN)
         .sortWithinPartitions(*keys)
         .drop(_ORIGIN)
     )

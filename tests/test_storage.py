@@ -106,7 +106,8 @@ def test_undeclared_datasets_align_by_name(spark, tmp_path):
     assert rows == [(1, "a", None), (2, None, "b")]
 
 
-def test_a_hot_id_is_spread_over_writers(spark, tmp_path):
+def test_a_hot_id_is_spread_over_writers(spark, monkeypatch):
+    monkeypatch.setattr(p, "WRITE_PARTITION_BYTES", 80_000)
     hot = spark.range(0, 40_000, numPartitions=8).select(
         F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(7).alias("sentence_id"),
         F.lit(1).cast("bigint").alias("translation_id"),
@@ -139,6 +140,19 @@ def test_compaction(spark, tmp_path):
     assert len(out.inputFiles()) < len(d.read_dataset(spark, base).inputFiles())
 
 
+def test_small_files_become_one_at_any_session_width(spark, tmp_path):
+    base, target = str(tmp_path / "a"), str(tmp_path / "b")
+    for i in range(6):
+        sentences(spark, (i, "eng", "x")).coalesce(1).write.mode("append").parquet(f"{base}/sentences")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        out = p.compact_dataset(spark, base, "sentences", target)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert ids(out) == [0, 1, 2, 3, 4, 5] and len(out.inputFiles()) == 1
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     for name in ("left_side", "right_side"):
         df = spark.range(500).select(F.col("id").alias("sentence_id"), F.lit(name).alias(name))
