@@ -56,6 +56,7 @@ DEFAULTS: dict[str, dict[str, str]] = {
 # Parents before children.
 LOAD_ORDER: tuple[str, ...] = tuple(SCHEMAS)
 
+# Keys, required columns and references of the public data model.
 PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
     "sentences": ("sentence_id",),
     "grammar_patterns": ("pattern_id",),

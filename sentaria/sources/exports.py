@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import tarfile
+import warnings
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -93,12 +94,13 @@ def read_tags(spark: SparkSession, path: str, file_format: str = "tsv") -> DataF
 
 
 def read_quality_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct ids of a one-id-per-line file; other lines are ignored, a missing file is empty."""
+    """Distinct ids of a one-id-per-line file; other lines are ignored, a missing file is empty, with a warning."""
     try:
         lines = spark.read.text(path)
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
+        warnings.warn(f"no list of trusted ids at {path}: it filters nothing", stacklevel=2)
         return spark.createDataFrame([], StructType([StructField("sentence_id", LongType())]))
     line = strip(F.col("value"))
     ids = lines.select(F.when(line.rlike("^[0-9]+$"), line.try_cast("bigint")).alias("sentence_id"))

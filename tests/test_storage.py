@@ -61,7 +61,8 @@ def test_links_tags_and_quality_ids(spark, tmp_path):
     assert ids(e.read_tags(spark, str(tmp_path / "t.tsv"))) == [1, 1]
     # A line like the superscript is skipped; it does not end the list.
     assert ids(e.read_quality_ids(spark, str(tmp_path / "q.txt"))) == [1, 2, 3]
-    assert ids(e.read_quality_ids(spark, str(tmp_path / "none.txt"))) == []
+    with pytest.warns(UserWarning, match="filters nothing"):
+        assert ids(e.read_quality_ids(spark, str(tmp_path / "none.txt"))) == []
 
 
 # --- datasets ------------------------------------------------------------------
