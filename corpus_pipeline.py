@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sentaria.llm.common import stored, table
 from sentaria.llm.decontaminate import clean_documents
-from sentaria.llm.line_dedup import drop_repeated
+from sentaria.llm.line_dedup import LEAST_CHARS, drop_repeated
 from sentaria.llm.mil_quality import keep_good
 from sentaria.llm.packing import pack
 from sentaria.llm.simhash import keep_one
@@ -22,8 +22,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that nearly repeat an earlier line go; every document stays, if need be without text."""
-    return drop_repeated(docs)
+    """Lines that repeat an earlier line go, long ones also near repeats; every document stays, if need be without text.
+
+    Two edits turn a short line into a different one ("And." and "Ein."), so it goes only if it repeats exactly.
+    """
+    return drop_repeated(docs, least=1, near=LEAST_CHARS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

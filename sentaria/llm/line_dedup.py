@@ -27,7 +27,7 @@ from sentaria.llm.common import components, discard, sent_if_short, stored, tabl
 
 #: Edits (insertions, deletions, substitutions of characters) between near-duplicate lines.
 EDITS = 2
-#: Shorter lines are structure, not content: they are never compared and never removed.
+#: Least characters of a line unless a caller asks for shorter ones; two edits of a shorter line change its meaning.
 LEAST_CHARS = 20
 #: Lines of each side of one key that a block verifies; a key with more becomes several blocks.
 BLOCK_LINES = 256
@@ -299,18 +299,24 @@ def linked_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
     return links
 
 
-def classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
-    """One row for each line of ``docs`` that is long enough.
+def classes(
+    docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, near: int | None = None
+) -> DataFrame:
+    """One row for each line of ``docs`` of ``least`` characters or more.
 
     ``doc_id, line_no, line, class_id, n_links, first``: the line's key, the key of its class,
     the number of other distinct texts within ``edits`` and whether this row is the class's
     first (least document id, then line number; null ids last). Classes are what links
     connect. Rows that repeat a document repeat its lines, and one row of them is first.
+
+    Lines of ``near`` characters or more are linked (``least`` if not given, at least one for
+    each segment); a shorter one has no links, and its class is its own text.
     """
+    near = max(least if near is None else near, edits + 1)
     rows = line_rows(docs.select("doc_id", "text")).filter(F.char_length("text") >= least)
     rows = rows.withColumn("line", line_key("text"))
     texts = stored(rows.groupBy("line").agg(F.first("text").alias("text")), "distinct-lines")
-    links = linked_lines(texts, edits, least)
+    links = linked_lines(texts.filter(F.char_length("text") >= near), edits, near)
     discard(texts)
     counts = links.filter("other IS NULL").groupBy("line").agg(F.sum("n").alias("n_links"))
     counts = stored(counts, "link-counts")
@@ -336,13 +342,15 @@ def classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> Da
     )
 
 
-def drop_repeated(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
+def drop_repeated(
+    docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, near: int | None = None
+) -> DataFrame:
     """``docs`` without the lines whose class has an earlier line; all columns and rows stay.
 
-    Short lines and null texts stay as they are. A text all of whose lines go is empty.
+    ``least`` and ``near`` as in :func:`classes`. Shorter lines and null texts stay as they are. A text all of whose lines go is empty.
     Rows that repeat an id lose the lines that any of its rows lose at that place.
     """
-    gone = classes(docs, edits, least).filter("NOT first").select("doc_id", "line_no")
+    gone = classes(docs, edits, least, near).filter("NOT first").select("doc_id", "line_no")
     gone = stored(
         gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone")).withColumnRenamed("doc_id", "_doc"),
         "repeated-lines",
@@ -356,5 +364,10 @@ def drop_repeated(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
 
 
 def op9_segment_edit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every long enough line with its class, its links and whether it is kept."""
-    return classes(table(spark, sf_dir, "documents")).withColumnRenamed("first", "kept")
+    """Every line that is not empty with its class, its links and whether it is its class's first.
+
+    Lines from three characters on, one for each segment, are linked; one or two characters
+    are within two edits of any other two, so such lines are grouped by their text.
+    """
+    docs = table(spark, sf_dir, "documents")
+    return classes(docs, least=1, near=EDITS + 1).withColumnRenamed("first", "kept")

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from sentaria.llm import decontaminate, line_dedup, multiprobe
 
 # --- neighbours ----------------------------------------------------------------
@@ -259,3 +260,51 @@ def test_no_lines(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_dedup.classes(empty).collect() == []
     assert line_dedup.drop_repeated(empty).collect() == []
+
+
+@pytest.mark.parametrize("near", [3, 20])
+def test_every_line_against_all_pairs(spark, near):
+    rng = random.Random(near)
+    short = ["".join(rng.choices("abcé. ", k=rng.randrange(1, 22))) for _ in range(60)]
+    bodies = [[rng.choice(short) for _ in range(6)] for _ in range(25)]
+    bodies += [["a", "ab", "abc", "abcd", "", "xyz", "xyz", "a", "And.", "Ein."]]
+    docs = [*((i, "\n".join(b)) for i, b in enumerate(bodies)), *((200 + i, t) for i, t, _ in corpus_lines() if i not in (None, 3))]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    placed = [(i, n, t) for i, text in docs if text for n, t in enumerate(text.split("\n")) if t]
+    texts = sorted({t for _, _, t in placed})
+    pairs = [
+        (a, b) for a, b in itertools.combinations(texts, 2)
+        if near <= min(len(a), len(b)) and len(a) < 1000 and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2
+    ]
+    group = {t: {t} for t in texts}
+    for a, b in pairs:
+        if group[a] is not group[b]:
+            group[a] |= group[b]
+            for t in group[b]:
+                group[t] = group[a]
+    links = {t: sum(t in pair for pair in pairs) for t in texts}
+    first = {}
+    for i, n, t in sorted(placed):
+        first.setdefault(min(group[t]), (i, n))
+    rows = {(r.doc_id, r.line_no): r for r in line_dedup.classes(df, least=1, near=near).collect()}
+    assert set(rows) == {p[:2] for p in placed}
+    named = {}
+    for i, n, t in placed:
+        assert rows[i, n].n_links == links[t]
+        assert rows[i, n].first == (first[min(group[t])] == (i, n))
+        named.setdefault(rows[i, n].class_id, set()).add(min(group[t]))
+    assert sorted(len(x) for x in named.values()) == [1] * len(first)
+    kept = {r.doc_id: r.text for r in line_dedup.drop_repeated(df, least=1, near=near).collect()}
+    for i, text in docs:
+        stays = [t for n, t in enumerate((text or "").split("\n")) if not t or first[min(group[t])] == (i, n)]
+        assert kept[i] == (None if text is None else "\n".join(stays))
+
+
+def test_registered_queries_return_and_drop_short_lines(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "Yes.\nNo\n\nMore."), (2, "Yes.\nNot\nNo\nMare.")], "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = line_dedup.op9_segment_edit_lines(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.line_no) for r in rows} == {(1, 0), (1, 1), (1, 3), (2, 0), (2, 1), (2, 2), (2, 3)}
+    assert {(r.doc_id, r.line_no) for r in rows if not r.kept} >= {(2, 0), (2, 2), (2, 3)}
+    left = corpus_pipeline.lines(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id: r.text for r in left} == {1: "Yes.\nNo\n\nMore.", 2: "Not\nMare."}
