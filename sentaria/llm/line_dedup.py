@@ -262,8 +262,8 @@ def _verified(edits: int, buckets: int):
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """``(doc_id, line_no, text)``: the lines of every text, split at line feeds; null texts have none."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "text"))
+    """``(doc_id, _row, line_no, text)``: the lines of every text, split at line feeds; null texts have none."""
+    return docs.select("doc_id", _row_key().alias("_row"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "text"))
 
 
 def line_key(text: Column | str) -> Column:
@@ -306,14 +306,25 @@ def classes(
 
     ``doc_id, line_no, line, class_id, n_links, first``: the line's key, the key of its class,
     the number of other distinct texts within ``edits`` and whether this row is the class's
-    first (least document id, then line number; null ids last). Classes are what links
-    connect. Rows that repeat a document repeat its lines, and one row of them is first.
+    first (least document id, then line number, then a key of id and text; null ids last).
+    Classes are what links connect. Rows equal in id and text are one document: a line that is
+    first is so in each of them.
 
     Lines of ``near`` characters or more are linked (``least`` if not given, at least one for
     each segment); a shorter one has no links, and its class is its own text.
     """
+    return _keyed_classes(docs, edits, least, near).drop("_row")
+
+
+def _row_key() -> Column:
+    """Key of a row of documents: rows without an id, or that repeat one, are told apart by their text."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _keyed_classes(docs: DataFrame, edits: int, least: int, near: int | None) -> DataFrame:
+    """:func:`classes` with the key ``_row`` of the row that a line is from."""
     near = max(least if near is None else near, edits + 1)
-    rows = line_rows(docs.select("doc_id", "text")).filter(F.char_length("text") >= least)
+    rows = line_rows(docs).filter(F.char_length("text") >= least)
     rows = rows.withColumn("line", line_key("text"))
     texts = stored(rows.groupBy("line").agg(F.first("text").alias("text")), "distinct-lines")
     links = linked_lines(texts.filter(F.char_length("text") >= near), edits, near)
@@ -329,16 +340,16 @@ def classes(
         "line-classes",
     )
     placed = stored(
-        rows.select("doc_id", "line_no", "line").join(named, "line", "left").select(
-            "doc_id", "line_no", "line", F.coalesce("class_id", "line").alias("class_id"),
+        rows.select("doc_id", "_row", "line_no", "line").join(named, "line", "left").select(
+            "doc_id", "_row", "line_no", "line", F.coalesce("class_id", "line").alias("class_id"),
             F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
         ),
         "placed-lines",
     )
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "line_no")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "line_no", "_row")
     firsts = stored(placed.groupBy("class_id").agg(F.min(order).alias("_first")), "first-lines")
     return placed.join(firsts, "class_id").select(
-        "doc_id", "line_no", "line", "class_id", "n_links", (order == F.col("_first")).alias("first")
+        "doc_id", "_row", "line_no", "line", "class_id", "n_links", (order == F.col("_first")).alias("first")
     )
 
 
@@ -348,14 +359,12 @@ def drop_repeated(
     """``docs`` without the lines whose class has an earlier line; all columns and rows stay.
 
     ``least`` and ``near`` as in :func:`classes`. Shorter lines and null texts stay as they are. A text all of whose lines go is empty.
-    Rows that repeat an id lose the lines that any of its rows lose at that place.
+    A row loses its own lines only, whatever rows without an id or with the same id lose; rows
+    equal in id and text stay equal.
     """
-    gone = classes(docs, edits, least, near).filter("NOT first").select("doc_id", "line_no")
-    gone = stored(
-        gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone")).withColumnRenamed("doc_id", "_doc"),
-        "repeated-lines",
-    )
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc"]), "left")
+    gone = _keyed_classes(docs, edits, least, near).filter("NOT first").select("_row", "line_no")
+    gone = stored(gone.groupBy("_row").agg(F.collect_set("line_no").alias("_gone")), "repeated-lines")
+    joined = docs.join(gone, _row_key() == gone["_row"], "left")
     lines = F.split("text", "\n", -1)
     numbered = F.transform(lines, lambda t, i: F.when(~F.array_contains("_gone", i), t))
     kept = F.array_join(F.array_compact(numbered), "\n")

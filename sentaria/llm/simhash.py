@@ -209,7 +209,10 @@ def linked_fingerprints(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def with_components(rows: DataFrame, id_column: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """``rows`` (with ``fp``) and ``component_id``: the least id among all rows reachable by links."""
+    """``rows`` (with ``fp``), ``_root``, the component's least fingerprint, and ``component_id``.
+
+    ``component_id`` is the least id among all rows reachable by links.
+    """
     by_print = stored(rows.groupBy("fp").agg(F.min(id_column).alias("_least")), "fingerprints")
     links = linked_fingerprints(by_print.select("fp"), radius)
     roots = components(links, "fingerprint-links")
@@ -220,7 +223,7 @@ def with_components(rows: DataFrame, id_column: str = "doc_id", radius: int = RA
         "rooted-fingerprints",
     )
     least = stored(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")), "component-ids")
-    named = stored(rooted.join(least, "_root").select("fp", "component_id"), "named-fingerprints")
+    named = stored(rooted.join(least, "_root").select("fp", "_root", "component_id"), "named-fingerprints")
     return rows.join(named, "fp", "left")
 
 
@@ -249,9 +252,8 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
         "document-fingerprints",
     )
     named = with_components(wide, radius=radius)
-    # a component without ids is keyed by its fingerprint's root through the null id and fp
-    group = F.when(F.col("component_id").isNull(), F.col("fp"))
-    first = named.groupBy("component_id", group.alias("_null_group")).agg(
+    # by the root, as components of null ids alone all have a null id
+    first = named.groupBy("_root").agg(
         F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_row")
     )
     first = stored(first.select("_row").distinct(), "kept-rows")

@@ -213,3 +213,13 @@ def test_keep_one(spark, odd, nothing):
     assert set(kept[0].asDict()) == {"doc_id", "text", "shard"}
     assert simhash.keep_one(nothing).collect() == []
     assert simhash.near_duplicates(nothing).collect() == []
+
+
+def test_one_of_near_copies_without_ids_stays(spark):
+    words = [f"word{i}" for i in range(400)]
+    base = plain_fingerprint(" ".join(words))
+    near = (" ".join([*words[:i], "changed", *words[i + 1 :]]) for i in range(400))
+    copy = next(t for t in near if 0 < (plain_fingerprint(t) ^ base).bit_count() <= 4)
+    rows = [(None, " ".join(words)), (None, copy), (None, "quite another text that stays by itself")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(kept) == 2 and rows[2][1] in {r.text for r in kept}

@@ -308,3 +308,13 @@ def test_registered_queries_return_and_drop_short_lines(spark, tmp_path):
     assert {(r.doc_id, r.line_no) for r in rows if not r.kept} >= {(2, 0), (2, 2), (2, 3)}
     left = corpus_pipeline.lines(spark, docs, str(tmp_path)).collect()
     assert {r.doc_id: r.text for r in left} == {1: "Yes.\nNo\n\nMore.", 2: "Not\nMare."}
+
+
+def test_rows_without_an_id_lose_their_own_lines_only(spark):
+    long = lambda c: c * 12 + " " + c * 15
+    texts = [(None, [long("a"), long("b")]), (None, [long("c"), long("a")]), (None, [long("d"), long("e")]),
+             (7, [long("f"), long("a")]), (7, [long("g"), long("h")]), (None, [long("d"), long("e")]), (None, [long("e"), long("k")])]
+    df = spark.createDataFrame([(i, "\n".join(t)) for i, t in texts], "doc_id bigint, text string")
+    got = sorted(r.text for r in line_dedup.drop_repeated(df).collect())
+    # "a" stays where an id has it, "e" where its line number is least
+    assert got == sorted("\n".join(map(long, x)) for x in ("b", "c", "fa", "gh", "d", "d", "ek"))
