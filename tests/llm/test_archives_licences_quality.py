@@ -2,6 +2,9 @@
 
 import hashlib
 import random
+import textwrap
+
+import pytest
 
 import corpus_pipeline
 from sentaria.llm import licenses, mil_quality, warc
@@ -60,3 +63,67 @@ def test_classifier_on_the_held_out_fold(spark):
 
 def test_stages_are_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "decontamination", "packing"]
+
+
+# --- licence texts ------------------------------------------------------------
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."""
+GPL_2 = GPL.replace('software:','software;').replace('version 3','version 2')
+GPL_ANY = GPL.replace(', either version 3 of the License, or (at your option) any later version','')
+BSD_3 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT DAMAGES."""
+BSD_2 = '\n\n'.join(p for p in BSD_3.split('\n\n') if not p.startswith('3.'))
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+STANDARD = [
+    (MIT, "MIT"), ("MIT License\n\nCopyright (c) 2020 A. Author\n\n" + MIT, "MIT"), ("MIT License\n\n" + MIT.split("\n\n")[0], "MIT"),
+    ("\n\n".join(MIT.split("\n\n")[:2]), "MIT"), ("This project is licensed under the MIT License.", "MIT"), (ISC, "ISC"),
+    (APACHE, "Apache-2.0"), ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    (GPL, "GPL-any-later"), (GPL_2, "GPL-any-later"), (GPL.split("\n\n")[0], "GPL-any-later"), (GPL_ANY, "GPL-any"), (GPL_ANY.split("\n\n")[0], "GPL-any"),
+    (BSD_3, "BSD-3-Clause"), (BSD_2, "BSD-2-Clause"), (MPL, "MPL-2.0"), ("All rights reserved.", "Proprietary"),
+    ("This program is licensed under the terms of the GNU General Public License, version 3.", "GPL-3.0"),
+    ("Released under the GNU General Public License version 2.", "GPL-2.0"),
+    ("This library is licensed under the GNU Lesser General Public License version 2.1.", "LGPL-2.1"),
+    ("This program is distributed under the GNU Affero General Public License version 3.", "AGPL-3.0"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+    ("This work is released under CC0 1.0.", "CC0-1.0"),
+]
+
+
+@pytest.mark.parametrize("text, licence", STANDARD)
+@pytest.mark.parametrize("columns, prefix", [(0, ""), (78, ""), (60, " * "), (48, "# ")])
+def test_standard_texts_state_their_licence(text, licence, columns, prefix):
+    if columns:
+        wrapped = "\n\n".join(textwrap.fill(part, columns) for part in text.split("\n\n"))
+        text = "\n".join((prefix + line).rstrip() for line in wrapped.split("\n"))
+    text = "Some prose comes before.\n\n" + text + "\n\nAnd more of it after."
+    assert {name for name, _ in licenses.match_rules(licenses.sentence_ids(text))} == {licence}
+
+
+def test_every_licence_has_a_standard_text():
+    assert {rule.licence for rule in licenses.RULES} == {licence for _, licence in STANDARD}
