@@ -8,6 +8,8 @@ around it are compared place by place.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,6 @@ MASKS = ((0, 1, 2, 3, 5, 7), (0, 2, 3, 6, 7, 8))
 #: Tokens of the compared window and the share of them that must agree.
 WINDOW = 13
 SHARE = 0.8
-#: Items with fewer tokens than the shortest mask spans are phrases, not passages.
-LEAST_TOKENS = 8
 #: Rows of seeds (24 bytes each) up to which they are sent to all executors; more are joined by shuffle.
 SENT_SEEDS = 1_000_000
 _SPLIT = r"[^\p{L}\p{N}]+"
@@ -36,7 +36,18 @@ def token_hashes(text: Column) -> Column:
     return F.transform(tokens(text), lambda t: F.xxhash64(t))
 
 
-def _seeds(df: DataFrame, *kept: str) -> DataFrame:
+def runs(length: int, share: float = SHARE) -> list[tuple[int, int]]:
+    """``(start, size)`` of runs of an item of ``length`` tokens, one of which every allowed substitution leaves whole.
+
+    Of even runs, one more than tokens may differ, one holds none that does.
+    """
+    differ = max(n for n in range(length) if length - n >= length * share)
+    cuts = [i * length // (differ + 1) for i in range(differ + 2)]
+    size = length // (differ + 1)
+    return [(at, size) for at in cuts[:-1]]
+
+
+def _seeds(df: DataFrame, masks: list[tuple[int, ...]], *kept: str) -> DataFrame:
     """Rows ``(kept, at, seed)`` for every mask and every place where it fits ``toks``.
 
     The outer explodes keep Spark from deriving a filter on the size of their input, which
@@ -44,13 +55,13 @@ def _seeds(df: DataFrame, *kept: str) -> DataFrame:
     """
     n = F.size("toks")
 
-    def hashed(k: int, mask: tuple[int, ...]) -> Column:
+    def hashed(mask: tuple[int, ...]) -> Column:
         span = mask[-1] + 1
         places = F.when(n >= span, F.sequence(F.lit(0), n - span)).otherwise(F.array().cast("array<int>"))
-        one = lambda i: F.xxhash64(F.lit(k), *(F.get("toks", i + p) for p in mask))
+        one = lambda i: F.xxhash64(F.lit(str(mask)), *(F.get("toks", i + p) for p in mask))
         return F.transform(places, one)
 
-    packed = df.select(*kept, F.array(*(hashed(k, m) for k, m in enumerate(MASKS))).alias("_by_mask"))
+    packed = df.select(*kept, F.array(*map(hashed, masks)).alias("_by_mask"))
     each = packed.select(*kept, F.explode_outer("_by_mask").alias("_seeds"))
     return each.select(*kept, F.posexplode_outer("_seeds").alias("at", "seed"))
 
@@ -82,23 +93,41 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: flo
 
     They overlap if some ``window`` tokens of the item, or the whole item if it is
     shorter, lie on the document with at least ``share`` of them equal, and a mask hits there.
-    ``agreeing`` is the best window's count, ``compared`` its length. Null and empty texts
-    overlap nothing; items of fewer than eight tokens are left out. Rows with null ids take
-    part, repeated rows count once. Other columns are ignored.
+    Shorter items are found by :func:`runs`, which miss no allowed substitution; the masks
+    miss none in a whole window at the share they were chosen for. ``agreeing`` is the best
+    window's count, ``compared`` its length. Null and empty texts overlap nothing. Rows with
+    null ids take part, repeated rows count once. Other columns are ignored.
     """
     asked = items.select("item_id", token_hashes(F.col("text")).alias("toks")).distinct()
-    asked = stored(asked.filter(F.size("toks") >= LEAST_TOKENS), "benchmark-items")
-    item_seeds = _seeds(asked, "item_id", "toks").filter("seed IS NOT NULL").select(
-        "item_id", F.col("at").alias("item_at"), "seed", F.xxhash64("toks").alias("item_key")
+    asked = stored(asked.filter(F.size("toks") > 0), "benchmark-items")
+    n = F.size("toks")
+    # at most one length for each token short of a window
+    short = sorted(r["n"] for r in asked.filter(n < window).select(n.alias("n")).distinct().collect())
+    long = [m for m in MASKS if not asked.filter(n >= window).isEmpty()]
+    masks = long + [tuple(range(z)) for z in sorted({z for length in short for _, z in runs(length, share)})]
+    parts = [_seeds(asked.filter(n >= window), long, "item_id", "toks")] if long else []
+    for length in short:
+        for at, size in runs(length, share):
+            own = asked.filter(n == length).withColumn("_all", F.col("toks"))
+            part = own.select("item_id", "_all", F.slice("toks", at + 1, size).alias("toks"))
+            found = _seeds(part, [tuple(range(size))], "item_id", "_all")
+            parts.append(found.select("item_id", F.col("_all").alias("toks"), (F.col("at") + at).alias("at"), "seed"))
+    if not parts:
+        return _no_overlaps(docs, items)
+    item_seeds = reduce(DataFrame.unionByName, parts).filter("seed IS NOT NULL").select(
+        "item_id", F.col("at").alias("item_at"), "seed", F.xxhash64("toks").alias("item_key"),
+        # a hit of a whole item agrees wherever it is: one for each document will do
+        n.isin([length for length in short if len(runs(length, share)) == 1]).alias("whole"),
     )
     item_seeds = stored(item_seeds.distinct(), "benchmark-seeds")
     if item_seeds.count() <= SENT_SEEDS:
         item_seeds = F.broadcast(item_seeds)
     read = docs.select("doc_id", token_hashes(F.col("text")).alias("toks"))
     hits = (
-        _seeds(read, "doc_id").join(item_seeds, "seed")
-        .select("doc_id", "item_id", "item_key", (F.col("at") - F.col("item_at")).alias("shift"))
-        .distinct()
+        _seeds(read, masks, "doc_id").join(item_seeds, "seed")
+        .select("doc_id", "item_id", "item_key", (F.col("at") - F.col("item_at")).alias("shift"), "whole")
+        .groupBy("doc_id", "item_id", "item_key", F.when(~F.col("whole"), F.col("shift")).alias("_place"))
+        .agg(F.min("shift").alias("shift")).drop("_place")
     )
     hits = stored(hits, "seed-hits")
     keyed = asked.select(F.col("item_id").alias("_item"), F.col("toks").alias("item_toks"), F.xxhash64("toks").alias("_key"))
@@ -130,6 +159,11 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: flo
     )
 
 
+def _no_overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
+    none = docs.limit(0).crossJoin(items.select("item_id").limit(0))
+    return none.select("doc_id", "item_id", F.lit(0).alias("agreeing"), F.lit(0).alias("compared"))
+
+
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, with their columns."""
     dirty = stored(overlaps(docs, items).select(F.col("doc_id").alias("_dirty")).distinct(), "dirty-documents")

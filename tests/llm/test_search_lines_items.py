@@ -136,6 +136,28 @@ def test_overlaps_against_brute_force(spark):
     assert kept[0].asDict().keys() == {"doc_id", "text", "toks"}
 
 
+def test_short_items_with_every_allowed_substitution(spark):
+    items = [[f"w{n}x{i}" for i in range(n)] for n in range(1, 15)]
+    docs = {}
+    for k, item in enumerate(items):
+        n = len(item)
+        for gone in (0, 1, 2, 3):
+            for places in itertools.combinations(range(n), gone):
+                body = ["changed" if i in places else t for i, t in enumerate(item)]
+                docs[len(docs)] = ["before", "it", *body, "after"]
+        docs[len(docs)] = item[1:]
+        docs[len(docs)] = item * 3
+    given = spark.createDataFrame([(i, " ".join(d)) for i, d in docs.items()], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.agreeing for r in decontaminate.overlaps(given, bench).collect()}
+    want = {}
+    for i, doc in docs.items():
+        for k, item in enumerate(items):
+            if set(doc) & set(item) and (best := _overlap(doc, item)) is not None:
+                want[i, k] = best
+    assert got == want
+
+
 def test_no_documents_or_no_items(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j")], "doc_id bigint, text string")
     items = spark.createDataFrame([], "item_id bigint, text string")
