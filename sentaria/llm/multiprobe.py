@@ -7,7 +7,10 @@ a move crosses. All rows found in any table are ranked by their exact inner prod
 
 Inner products become distances by the usual lift: stored vectors are scaled into the unit
 ball and get one more coordinate that puts them on the sphere, queries are scaled to length
-one and get a zero.
+one and get a zero. A vector much shorter than the longest would land near the pole, where
+cells tell little apart, so stored vectors are split into bands of alike norms. Each band
+is scaled by its own longest vector and has its own tables, and a query visits all bands.
+Bands of few rows are compared with every query, without tables.
 
 Of rows with one and the same vector only the ``k + 1`` least ids are hashed: any other has
 ``k`` equals before it in every answer. A task reads its buckets one after another from
@@ -38,6 +41,8 @@ CELL = 2.0
 BASE_ROWS, BASE_FUNCTIONS, BASE_VISITS, VISITS_GROWTH = 65_536, 5, 16, 2.2
 #: Rows of one bucket, or queries of it, in one block; larger buckets are split into blocks.
 SPLIT_ROWS = 1024
+#: Rows of a run of norm bands that is compared with every query instead of being hashed.
+SMALL_BAND = 1024
 SEED = 11
 _KEY = ("dims", "tab", "bucket")
 
@@ -92,45 +97,106 @@ def _matrix(packed: pa.Array, dims: int) -> np.ndarray:
     return np.frombuffer(b"".join(packed.to_pylist())).reshape(-1, dims)
 
 
-def _hashed(shape: dict[int, tuple[int, int, float]], queries: bool):
-    """Rows ``(dims, tab, bucket, id, vec)`` of stored vectors or of queries' visits."""
-    known: dict[int, Hashes] = {}
+def band_numbers(squares: np.ndarray, longest: float) -> np.ndarray:
+    """Norm bands from squared norms: 0 next to the longest, each 2 ** 0.25 shorter than the one before.
+
+    Exact operations only, so every task gives a row the same band.
+    """
+    with np.errstate(divide="ignore", invalid="ignore"):
+        part, power = np.frexp(squares / longest)
+    # frexp gives 1 as 0.5 * 2 ** 1; half an octave of the square is one band
+    return np.maximum(0, 2 * -power + (part < math.sqrt(0.5)) + (part == 0.5) * (power == 1)).astype(np.int64)
+
+
+class Band:
+    """Rows of neighbouring norm bands ``first`` to ``last`` with their tables, numbered from ``tab`` on."""
+
+    def __init__(self, first: int, last: int, n: int, longest: float, tab: int):
+        self.first, self.last, self.tab, self.whole = first, last, tab, n <= SMALL_BAND
+        self.functions, self.most = settings(n)
+        self.longest = math.sqrt(longest) * (1 + 1e-12)
+
+
+def bands_of(counts: list[tuple[int, int, float]]) -> list[Band]:
+    """Bands of one length's ``(number, rows, longest square)``; neighbours that are small together are one."""
+    runs: list[list] = []
+    for number, n, longest in sorted(counts):
+        if runs and runs[-1][2] + n <= SMALL_BAND:
+            runs[-1][1:3] = number, runs[-1][2] + n
+        else:
+            runs.append([number, number, n, longest])
+    return [Band(*run, i * TABLES) for i, run in enumerate(runs)]
+
+
+def _counted(longest: dict[int, float]):
+    """Rows ``(dims, band, squares)`` of rows ``(dims, squares)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, squares = (batch.column(i).to_numpy() for i in range(2))
+            most = np.array([longest[d] for d in dims.tolist()], float)
+            columns = pa.array(dims, pa.int32()), pa.array(band_numbers(squares, most)), pa.array(squares)
+            yield pa.RecordBatch.from_arrays(list(columns), names=["dims", "band", "squares"])
+
+    return run
+
+
+def _hashed(shape: dict[int, tuple[float, list[Band]]], queries: bool):
+    """Rows ``(dims, tab, bucket, id, vec)`` of stored vectors or of queries' visits.
+
+    Rows ``(id, vec, squares)`` come in; queries need no squared norms.
+    """
+    known: dict[tuple[int, int], Hashes] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                yield from hashed(batch.column(0)[at : at + 1000], batch.column(1)[at : at + 1000])
+                yield from hashed(*(column[at : at + 1000] for column in batch.columns))
 
-    def hashed(ids: pa.Array, vectors: pa.Array) -> Iterator[pa.RecordBatch]:
+    def hashed(ids: pa.Array, vectors: pa.Array, squares: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
         sizes = vectors.value_lengths().to_numpy()
         flat = vectors.flatten().to_numpy()
         starts = np.cumsum(sizes) - sizes
         for dims in np.unique(sizes).tolist():
-            functions, most, longest = shape[dims]
-            hashes = known.setdefault(dims, Hashes(dims, functions))
-            own = np.flatnonzero(sizes == dims)
-            x = flat[starts[own][:, None] + np.arange(dims)]
-            packed = pa.array([row.tobytes() for row in x], pa.binary())
-            norms = np.linalg.norm(x, axis=1)
+            longest, bands = shape[dims]
+            every = np.flatnonzero(sizes == dims)
             if queries:
-                lifted = np.column_stack([x / norms[:, None], np.zeros(len(x))])
+                for band in bands:
+                    yield from of_band(band, dims, every, ids, flat, starts)
+                continue
+            numbers = band_numbers(squares.to_numpy()[every], longest)
+            for band in bands:
+                own = every[(numbers >= band.first) & (numbers <= band.last)]
+                if len(own):
+                    yield from of_band(band, dims, own, ids, flat, starts)
+
+    def of_band(band: Band, dims: int, own: np.ndarray, ids: pa.Array, flat: np.ndarray, starts: np.ndarray):
+        hashes = known.setdefault((dims, band.functions), Hashes(dims, band.functions))
+        x = flat[starts[own][:, None] + np.arange(dims)]
+        packed = pa.array([row.tobytes() for row in x], pa.binary())
+        norms = np.linalg.norm(x, axis=1)
+        if queries:
+            lifted = np.column_stack([x / norms[:, None], np.zeros(len(x))])
+        else:
+            rest = np.sqrt(np.maximum(0, 1 - (norms / band.longest) ** 2))
+            lifted = np.column_stack([x / band.longest, rest])
+        for tab in range(1 if band.whole else TABLES):
+            if band.whole:
+                buckets = np.zeros((len(own), 1), np.int64)
             else:
-                rest = np.sqrt(np.maximum(0, 1 - (norms / longest) ** 2))
-                lifted = np.column_stack([x / longest, rest])
-            for tab in range(TABLES):
                 cells, inside = hashes.cells(lifted, tab)
-                buckets = hashes.visits(cells, inside, most) if queries else hashes.bucket(cells)[:, None]
-                where = pa.array(np.repeat(np.arange(len(own)), buckets.shape[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(where), dims, np.int32)),
-                        pa.array(np.full(len(where), tab, np.int32)),
-                        pa.array(buckets.ravel()),
-                        ids.take(pa.array(own)).take(where),
-                        packed.take(where),
-                    ],
-                    names=[*_KEY, "id", "vec"],
-                )
+                buckets = hashes.visits(cells, inside, band.most) if queries else hashes.bucket(cells)[:, None]
+            where = pa.array(np.repeat(np.arange(len(own)), buckets.shape[1]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(where), dims, np.int32)),
+                    pa.array(np.full(len(where), band.tab + tab, np.int32)),
+                    pa.array(buckets.ravel()),
+                    ids.take(pa.array(own)).take(where),
+                    packed.take(where),
+                ],
+                names=[*_KEY, "id", "vec"],
+            )
 
     return run
 
@@ -262,15 +328,19 @@ def neighbours(
     clean = lambda df: df.filter(F.col(id_column).isNotNull() & usable(F.col(column))).select(
         F.col(id_column).cast("bigint").alias("id"), F.col(column).cast("array<double>").alias("vec")
     )
-    rows, asked = stored(_least_ids(clean(vectors), k + 1), "distinct-vectors"), clean(queries)
     squares = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
-    shape, n_rows = {}, 0
-    for r in (
-        rows.groupBy(F.size("vec").alias("dims"))
-        .agg(F.count(F.lit(1)).alias("n"), F.max(squares).alias("longest")).collect()
-    ):
-        shape[r["dims"]] = (*settings(r["n"]), math.sqrt(r["longest"]) * (1 + 1e-12))
+    rows = stored(_least_ids(clean(vectors), k + 1).withColumn("squares", squares), "distinct-vectors")
+    asked = clean(queries)
+    dims = F.size("vec").alias("dims")
+    longest, n_rows = {}, 0
+    for r in rows.groupBy(dims).agg(F.count(F.lit(1)).alias("n"), F.max("squares").alias("longest")).collect():
+        longest[r["dims"]] = r["longest"]
         n_rows = max(n_rows, r["n"])
+    numbered = rows.select(dims, "squares").mapInArrow(_counted(longest), "dims int, band bigint, squares double")
+    counts = {}
+    for r in numbered.groupBy("dims", "band").agg(F.count(F.lit(1)).alias("n"), F.max("squares").alias("most")).collect():
+        counts.setdefault(r["dims"], []).append((r["band"], r["n"], r["most"]))
+    shape = {d: (longest[d], bands_of(found)) for d, found in counts.items()}
     asked = stored(asked.filter(F.size("vec").isin(list(shape))).dropDuplicates(["vec", "id"]), "asked-vectors")
     # ids with several vectors take several of a block's places
     places = k * _vectors_of_an_id(rows) * _vectors_of_an_id(asked)
@@ -306,7 +376,7 @@ def neighbours(
 
         return run
 
-    all_rows, everywhere = (df.mapInArrow(laid(side), HASHED) for side, df in enumerate((rows, short)))
+    all_rows, everywhere = (df.mapInArrow(laid(side), HASHED) for side, df in enumerate((rows.drop("squares"), short)))
     rest = _merged(_in_blocks(all_rows, everywhere, places, tasks), k)
     both = found.join(full, "query_id", "left_semi").unionByName(rest)
     return both.select("query_id", F.col("rank").cast("int"), "vec_id", "score")

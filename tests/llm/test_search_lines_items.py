@@ -4,6 +4,8 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -54,6 +56,30 @@ def test_recall_order_and_scores(spark, monkeypatch, clustered, split):
     assert hits >= 0.9 * 20 * len(want)
 
 
+@pytest.mark.parametrize("norms, n, dims", [("log-normal", 20_000, 64), ("outlier", 20_000, 64), ("log-normal", 70_000, 16)])
+def test_recall_with_uneven_norms(spark, tmp_path, norms, n, dims):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(n, dims))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if norms == "outlier":
+        x[0] *= 10
+    else:
+        x *= np.exp(0.3 * rng.normal(size=n))[:, None]
+    path = str(tmp_path / "vectors.parquet")
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(x))}), path, row_group_size=10_000)
+    df = spark.read.parquet(path)
+    asked = np.arange(1, n, n // 50)
+    got = {}
+    for r in multiprobe.neighbours(df, df.filter(f"vec_id % {n // 50} = 1")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :20]
+    hits = sum(len(got[int(q)] & set(b.tolist())) for q, b in zip(asked, best))
+    assert all(len(got[int(q)]) == 20 for q in asked)
+    assert hits >= 0.9 * 20 * len(asked)
+
+
 def test_few_and_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
