@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -132,21 +131,3 @@ def text_contains(text: Column, keys: list[str], match_all: bool = True) -> Colu
     if match_all:
         return F.size(F.array_except(wanted, found)) == 0
     return F.arrays_overlap(wanted, found)
-
-
-@F.pandas_udf(TOKEN_TYPE)
-def tokenize_text_arrow(texts: pd.Series) -> pd.Series:
-    """Arrow-batched stand-in for :func:`tokenize_text` where the ICU jar is missing."""
-    import re
-    import unicodedata
-
-    word = re.compile(r"[^\W_]+")  # fixed value: same class as TOKEN_PATTERN
-
-    def tokens(text):
-        composed = unicodedata.normalize("NFKC", text or "")
-        return [
-            {"token": run, "normalized_token": run.casefold(), "position": at}
-            for at, run in enumerate(word.findall(composed))
-        ]
-
-    return texts.map(tokens)

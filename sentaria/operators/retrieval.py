@@ -21,13 +21,14 @@ from sentaria.functions.text import (
     text_contains,
     tokenize_text,
 )
+from sentaria.operators.ranking import PLACE, PLACE_BITS, TOP_ROWS, page_of, places, total_order
 from sentaria.plans.sizing import spread, written
 from sentaria.schemas import SCHEMAS
+from sentaria.sinks.keyed import in_ranges, value_ranges
 
 ID = "sentence_id"
 _MASK_BITS = 62
-# Rows that one task may rank: ids alone, and whole sentences.
-DEEP_PAGE = 100_000
+# Whole sentences that one task may sort for a page.
 ROW_PAGE = 1_000
 
 # Order of the children of one sentence.
@@ -107,45 +108,9 @@ def match_text(
     return chosen.filter(text_contains(F.col("text"), keys, match_all))
 
 
-def page(hits: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:
-    """One page of hits by ascending sentence id.
-
-    A top-k keeps ``offset + limit`` rows in one task. Beyond ``DEEP_PAGE`` rows the page
-    is cut out by the ids at its two ends instead, which needs neither sort nor limit.
-    """
-    limit, offset = int(limit), int(offset)
-    if limit <= 0 or offset + limit <= DEEP_PAGE:
-        return hits.orderBy(ID).offset(offset).limit(limit)
-    ids = written(hits.select(ID), "hit-ids")
-    first = id_at_rank(ids, offset + 1)
-    if first is None:
-        return hits.limit(0)
-    last = id_at_rank(ids, offset + limit)
-    inside = (ids if hits.columns == [ID] else hits).filter(F.col(ID) >= first)
-    return inside if last is None else inside.filter(F.col(ID) <= last)
-
-
-def id_at_rank(ids: DataFrame, rank: int) -> int | None:
-    """The ``rank``-th smallest of distinct ids (from one), None if there are fewer.
-
-    Goes down the id 16 bits at a time. A level counts at most 65,536 prefixes, combined
-    on the map side; only the range of the chosen prefix is read at the next one.
-    """
-    prefix = None
-    for shift in (48, 32, 16, 0):
-        level = ids
-        if prefix is not None:
-            start = prefix << (shift + 16)
-            level = ids.filter(F.col(ID).between(start, start + (1 << (shift + 16)) - 1))
-        counts = level.groupBy(F.shiftright(ID, shift).alias("prefix")).count().collect()
-        for row in sorted(counts):
-            if rank <= row["count"]:
-                prefix = row["prefix"]
-                break
-            rank -= row["count"]
-        else:
-            return None
-    return prefix
+def page(hits: DataFrame, limit: int = 100, offset: int = 0, top_rows: int = TOP_ROWS) -> DataFrame:
+    """One page of hits by ascending sentence id, then by the other columns; see :func:`page_of`."""
+    return page_of(hits, ID, limit, offset, top_rows)
 
 
 # --- flat lookups --------------------------------------------------------------
@@ -205,27 +170,45 @@ def grammar_of(
 # --- nesting -------------------------------------------------------------------
 
 
+def _ordered_parts(counted: DataFrame, order: tuple[str, ...], part_rows: int) -> DataFrame:
+    """``counted`` with ``part``: the rows of each parent in order, ``part_rows`` to a part.
+
+    Rows of all parents are sorted over tasks by parent and order, so that a parent of any
+    size is spread. Their counts for each task and parent say where a task's rows of
+    a parent begin, and so which part a row is in.
+    """
+    fields = [c for c in counted.columns if c not in (ID, *order)]
+    kept, _ = places(counted, [ID, *order, *fields])
+    task = F.shiftright(PLACE, PLACE_BITS).alias("task")
+    runs = kept.groupBy(ID, task).agg(F.count(F.lit(1)).alias("n"), F.min(PLACE).alias("first"))
+    before = Window.partitionBy(ID).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(ID, "task", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    ranked = kept.withColumn("task", task).join(runs, [ID, "task"])
+    rank = F.col("begin") + F.col(PLACE) - F.col("first")
+    return ranked.withColumn("part", F.floor(rank / part_rows).cast("int")).select(*counted.columns, "part")
+
+
 def nest(children: DataFrame, order: tuple[str, ...], part_rows: int = 10_000) -> DataFrame:
     """Ordered arrays of children: ``sentence_id, part, items``.
 
     Identical children become one item with ``copies``, counted before the shuffle.
-    A sentence with more than about ``part_rows`` distinct children is returned in
-    several parts, each ordered, so no array grows without bound and nothing is lost.
+    A sentence with more than ``part_rows`` distinct children is returned in several parts
+    that follow one another in order, so no array grows without bound and nothing is lost.
     """
     fields = [c for c in children.columns if c != ID]
-    counted = children.groupBy(ID, *fields).agg(F.count(F.lit(1)).alias("copies"))
-    large = (
-        counted.groupBy(ID)
-        .agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("n_parts"))
-        .filter(F.col("n_parts") > 1)
-    )
-    part = F.pmod(F.xxhash64(*fields), F.coalesce("n_parts", F.lit(1).cast("bigint")))
+    counted = written(children.groupBy(ID, *fields).agg(F.count(F.lit(1)).alias("copies")), "children")
+    sizes = counted.groupBy(ID).agg(F.count(F.lit(1)).alias("n"))
+    large = written(sizes.filter(F.col("n") > part_rows).select(ID), "large-parents")
+    if large.isEmpty():
+        dealt = counted.withColumn("part", F.lit(0))
+    else:
+        split = _ordered_parts(counted.join(large, ID, "left_semi"), order, part_rows)
+        dealt = counted.join(large, ID, "left_anti").withColumn("part", F.lit(0)).unionByName(split)
     item = F.struct(
         F.struct(*order).alias("rank"), F.struct(*fields, "copies").alias("child")
     )
     return (
-        counted.join(large, ID, "left")
-        .groupBy(ID, part.cast("int").alias("part"))
+        dealt.groupBy(ID, "part")
         .agg(F.array_sort(F.collect_list(item)).alias("ranked"))
         .select(ID, "part", F.transform("ranked", lambda x: x["child"]).alias("items"))
     )
@@ -322,15 +305,28 @@ class SearchResult:
         )
 
 
-def _near(children: DataFrame, hits: DataFrame) -> DataFrame:
-    """Narrow a scan to the id range of the page.
+def near(children: DataFrame, ids: DataFrame, column: str = ID) -> DataFrame:
+    """The children of a stored page of ids, from the row groups that may hold them.
 
-    A page is a run of consecutive hits, and tables are stored in id order; the two
-    scalar subqueries reach the Parquet reader as a min/max range at run time.
+    The page's ids become a few ranges of values in the scan's filter. The page itself is
+    then joined by its real size.
     """
-    low = hits.agg(F.min(ID)).scalar()
-    high = hits.agg(F.max(ID)).scalar()
-    return children.filter(F.col(ID).between(low, high))
+    ids = ids.select(F.col(ids.columns[0]).alias(column))
+    narrow = children.filter(in_ranges(column, value_ranges(ids)))
+    return narrow.join(ids.distinct(), column, "left_semi").select(children.columns)
+
+
+def translations_near(
+    links: DataFrame, sentences: DataFrame, ids: DataFrame, target_language: str | None = None
+) -> DataFrame:
+    """:func:`translations_of` a stored page of ids, without a shuffle of all sentences.
+
+    The page's links are stored; their targets narrow the scan of sentences as the
+    page's ids narrow that of links.
+    """
+    own = written(near(links.select(ID, "translation_id"), ids), "page-links")
+    targets = sentences_in_language(sentences, target_language)
+    return translations_of(own, targets.filter(in_ranges(ID, value_ranges(own.select("translation_id")))))
 
 
 def search_vocabulary(
@@ -348,8 +344,8 @@ def search_vocabulary(
     """Sentences holding exact words, with translations, audio and grammar.
 
     Uses ``tables["sentence_tokens"]`` when it is there and the sentence text when it
-    is not. The page is written to the scratch folder first, so the lookups share one
-    search; they join it by its real size. ``target_language`` narrows translations,
+    is not. The sentences come in the order of their ids. The page is written to the
+    scratch folder first, so the lookups share one search; they join it by its real size. ``target_language`` narrows translations,
     never the hits. No usable word means no hits.
     """
     sentences = tables["sentences"].select(SCHEMAS["sentences"].names)
@@ -357,38 +353,65 @@ def search_vocabulary(
     if not keys:
         return SearchResult(sentences.limit(0))
 
-    indexed = "sentence_tokens" in tables
-    if indexed:
+    if "sentence_tokens" in tables:
+        chosen = sentences_in_language(sentences, language)
         hits = match_index(tables["sentence_tokens"], keys, language, match_all)
+        ids = written(page(hits, limit, offset), "page")
+        found = written(near(chosen, ids), "found")
+        if found.select(ID).distinct().count() < ids.count():
+            # the index names sentences that are not there: they take no place in a page
+            ids = written(page(_only(hits, chosen), limit, offset), "page")
+            found = written(near(chosen, ids), "found")
     else:
         hits = match_text(sentences, keys, language, match_all)
-    if indexed or int(limit) + int(offset) > ROW_PAGE:
-        ids = written(page(hits.select(ID), limit, offset), "page")
-        found = _only(_near(sentences_in_language(sentences, language), ids), ids)
-    else:
-        found = written(page(hits, limit, offset), "page")
+        found = written(page(hits, limit, offset, ROW_PAGE), "page")
         ids = found.select(ID)
 
     translations = audio = grammar = None
     if include_translations and "links" in tables:
-        translations = translations_of(_near(tables["links"], ids), sentences, ids, target_language)
+        translations = translations_near(tables["links"], sentences, ids, target_language)
     if include_audio and "sentence_audio" in tables:
-        audio = audio_of(_near(tables["sentence_audio"], ids), ids)
+        audio = audio_of(near(tables["sentence_audio"], ids))
     if include_grammar and "sentence_grammar_patterns" in tables:
-        grammar = grammar_of(
-            _near(tables["sentence_grammar_patterns"], ids), tables["grammar_patterns"], ids
-        )
-    return SearchResult(found.select(SCHEMAS["sentences"].names), translations, audio, grammar)
+        grammar = grammar_of(near(tables["sentence_grammar_patterns"], ids), tables["grammar_patterns"])
+    found = found.select(SCHEMAS["sentences"].names).orderBy(*total_order(found, ID))
+    return SearchResult(found, translations, audio, grammar)
 
 
 def sentence_with_translations(tables: dict[str, DataFrame], sentence_id: int) -> SearchResult:
     """One sentence and its direct translations; both empty for an unknown id."""
-    known = tables["sentences"].filter(F.col(ID) == F.lit(int(sentence_id)))
-    links = tables["links"].filter(F.col(ID) == F.lit(int(sentence_id)))
-    return SearchResult(
-        known.select(SCHEMAS["sentences"].names),
-        translations_of(links, tables["sentences"], known),
-    )
+    sentences = tables["sentences"].select(SCHEMAS["sentences"].names)
+    known = written(sentences.filter(F.col(ID) == F.lit(int(sentence_id))), "one-sentence")
+    return SearchResult(known, translations_near(tables["links"], sentences, known.select(ID)))
+
+
+# --- grouped lookups -----------------------------------------------------------
+
+
+def _grouped(spark: SparkSession, sentence_ids, lookup, order: tuple[str, ...]) -> DataFrame:
+    ids = written(requested(spark, sentence_ids), "asked-ids")
+    return nest_for(ids, nest(lookup(ids), order))
+
+
+def grouped_translations(
+    tables: dict[str, DataFrame], sentence_ids: int | Iterable[int], target_language: str | None = None
+) -> DataFrame:
+    """``sentence_id, part, items``: the translations of each requested sentence, none as an empty array."""
+    links, sentences = tables["links"], tables["sentences"]
+    lookup = lambda ids: translations_near(links, sentences, ids, target_language)
+    return _grouped(sentences.sparkSession, sentence_ids, lookup, TRANSLATION_ORDER)
+
+
+def grouped_audio(tables: dict[str, DataFrame], sentence_ids: int | Iterable[int]) -> DataFrame:
+    """``sentence_id, part, items``: the audio rows of each requested sentence, none as an empty array."""
+    rows = tables["sentence_audio"]
+    return _grouped(rows.sparkSession, sentence_ids, lambda ids: audio_of(near(rows, ids)), AUDIO_ORDER)
+
+
+def grouped_grammar(tables: dict[str, DataFrame], sentence_ids: int | Iterable[int]) -> DataFrame:
+    """``sentence_id, part, items``: the annotations of each requested sentence, none as an empty array."""
+    rows, patterns = tables["sentence_grammar_patterns"], tables["grammar_patterns"]
+    return _grouped(rows.sparkSession, sentence_ids, lambda ids: grammar_of(near(rows, ids), patterns), GRAMMAR_ORDER)
 
 
 # --- batch search --------------------------------------------------------------

@@ -114,18 +114,19 @@ def load(
     if sentences is None or sentences.isEmpty():
         log.warning("no sentences for %s; nothing loaded", chosen or "any language")
         return store
-    store.load_sentences(sentences)
-
-    loaded = store.read("sentences")
-    for table, id_columns in _CHILDREN.items():
-        try:
-            rows = read_dataset(spark, datasets_dir, table)
-        except FileNotFoundError:
-            log.info("no %s dataset to load", table)
-            continue
-        if id_columns:
-            rows = keep_known(rows, loaded, *id_columns)
-        store.load(table, rows.select(SCHEMAS[table].names))
+    # all tables of the load show up together
+    with store.rebuilding() as version:
+        version.load_sentences(sentences)
+        loaded = version.read("sentences")
+        for table, id_columns in _CHILDREN.items():
+            try:
+                rows = read_dataset(spark, datasets_dir, table)
+            except FileNotFoundError:
+                log.info("no %s dataset to load", table)
+                continue
+            if id_columns:
+                rows = keep_known(rows, loaded, *id_columns)
+            version.load(table, rows.select(SCHEMAS[table].names))
     return store.compact(compact_into) if compact_into else store
 
 

@@ -63,12 +63,18 @@ def write_dataset(
     mode: str = "overwrite",
     partition_by: tuple[str, ...] = (),
     order: tuple[str, ...] = (ID,),
+    lookup_keys: tuple[str, ...] = (),
 ) -> None:
     """Write one dataset, clustered by its partition columns and then by ``order``.
 
-    Overwriting a partitioned dataset replaces only the partitions present in ``df``.
+    Overwriting a partitioned dataset replaces only the partitions present in ``df``. Columns of
+    ``lookup_keys`` get a Bloom filter in each row group, beside its least and greatest value.
     """
     writer = clustered(df, *partition_by, *order).write.mode(mode)
+    for key in lookup_keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    if lookup_keys:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     with sized_shuffles(df):
@@ -167,31 +173,6 @@ def compact_dataset(
     return read_dataset(spark, target_dir, dataset)
 
 
-def save_bucketed(
-    df: DataFrame, table: str, buckets: int, *keys: str, path: str | None = None
-) -> None:
-    """Save a catalog table bucketed and sorted by ``keys`` (default the sentence id).
-
-    Tables with the same buckets join on the key without a shuffle, which pays when
-    links, tags, audio and annotations are joined to sentences again and again. Avoid it
-    for a table in which one id holds a large share: a bucket cannot be split.
-    """
-    keys = keys or (ID,)
-    writer = (
-        df.repartition(buckets, *keys)
-        .write.mode("overwrite")
-        .format("parquet")
-        .bucketBy(buckets, *keys)
-        .sortBy(*keys)
-    )
-    (writer.option("path", path) if path else writer).saveAsTable(table)
-
-
-def analyze_table(spark: SparkSession, table: str) -> None:
-    """Refresh the optimiser's statistics of a catalog table."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
-
-
 def append_jdbc(
     df: DataFrame, url: str, table: str, chunk_rows: int = 10_000, **properties: str
 ) -> None:

@@ -1,7 +1,17 @@
-"""The served corpus: one Parquet dataset per declared table below a base folder."""
+"""The served corpus: one Parquet dataset per declared table, in versions.
+
+A version is a folder that holds all tables, and one small pointer file names the version
+that readers see. A rebuild fills a new version and replaces the pointer last, so it shows
+up whole or not at all, and whoever has resolved the pointer goes on reading the old
+tables. Within a version every load is a folder of its own, moved into place when it is
+complete. A load that is written again under its name takes the place of its first try.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from sentaria.operators.conform import conform
 from sentaria.operators.retrieval import token_rows
 from sentaria.plans.sizing import written
-from sentaria.schemas import BY_LANGUAGE, LOAD_ORDER
-from sentaria.sinks.parquet import compact_dataset, dataset_path, write_dataset, write_token_index
-from sentaria.sources.datasets import read_dataset
+from sentaria.schemas import BY_LANGUAGE, LOAD_ORDER, PRIMARY_KEYS, SCHEMAS
+from sentaria.sinks.folders import Folders
+from sentaria.sinks.keyed import split_by_key
+from sentaria.sinks.parquet import dataset_path, write_dataset, write_token_index
+
+POINTER = "current"
+VERSIONS = "versions"
+_LOAD = "load"
 
 
 def _partitions(table: str) -> tuple[str, ...]:
@@ -19,67 +34,156 @@ def _partitions(table: str) -> tuple[str, ...]:
 
 
 @dataclass(frozen=True)
-class CorpusStore:
-    """Reads and loads the served tables."""
+class StoreVersion:
+    """The tables of one version."""
 
     spark: SparkSession
-    base_dir: str
+    folder: str
+
+    def create_tables(self) -> None:
+        files = Folders(self.spark)
+        for table in LOAD_ORDER:
+            files.create(dataset_path(self.folder, table))
 
     def read(self, table: str) -> DataFrame:
-        return read_dataset(self.spark, self.base_dir, table)
+        rows = self.spark.read.schema(SCHEMAS[table]).parquet(dataset_path(self.folder, table))
+        return rows.select(SCHEMAS[table].names)
 
     def tables(self) -> dict[str, DataFrame]:
         return {table: self.read(table) for table in LOAD_ORDER}
 
-    def _empty(self, table: str) -> None:
-        rows = conform(self.spark.range(0), table)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*_partitions(table)).parquet(dataset_path(self.base_dir, table))
+    def append(
+        self, df: DataFrame, table: str, languages: DataFrame | None = None, load: str | None = None
+    ) -> None:
+        """Conform and add the rows as one load, in place of an earlier load of that name.
 
-    def create_tables(self) -> None:
-        """Create the tables that do not exist yet."""
-        for table in LOAD_ORDER:
-            try:
-                self.read(table)
-            except FileNotFoundError:
-                self._empty(table)
-
-    def reset_tables(self) -> None:
-        """Empty every table, children before parents."""
-        for table in reversed(LOAD_ORDER):
-            self._empty(table)
-
-    def append(self, df: DataFrame, table: str, languages: DataFrame | None = None) -> None:
-        """Conform and append. ``languages`` as in ``write_token_index``."""
+        ``languages`` as in ``write_token_index``. Rows show up together, when their folder
+        is moved into place. A load's name is made up unless given.
+        """
         rows = conform(df, table)
-        path = dataset_path(self.base_dir, table)
+        name = load or uuid.uuid4().hex
+        path = dataset_path(self.folder, table)
+        # a name that Spark's readers pass over
+        coming = f"{path}/_coming-{name}"
         if table == "sentence_tokens":
-            write_token_index(rows, path, "append", languages)
+            write_token_index(rows, coming, languages=languages)
         else:
-            write_dataset(rows, path, mode="append", partition_by=_partitions(table))
-
-    def load_sentences(self, df: DataFrame, rebuild: bool = True) -> None:
-        """Load sentences and index the batch. Rebuilding empties every table first.
+            keys = PRIMARY_KEYS.get(table, ())
+            order = (*keys, "sentence_id") if "sentence_id" not in keys else keys
+            write_dataset(rows, coming, partition_by=_partitions(table), order=order, lookup_keys=keys)
+        Folders(self.spark).move(coming, f"{path}/{_LOAD}={name}")
 
-        A rebuild's rows are written to the scratch folder before any table is emptied: an
-        input that fails leaves the old rows, and one read from this store is not lost.
-        """
-        rows = conform(df, "sentences")
-        if rebuild:
-            rows = written(rows, "rebuild")
-            self.reset_tables()
-        else:
-            self.create_tables()
-        self.append(rows, "sentences")
-        self.append(token_rows(rows), "sentence_tokens", languages=rows)
+    def load_sentences(self, df: DataFrame, load: str | None = None) -> None:
+        """Add sentences and their token rows."""
+        self.append(df, "sentences", load=load)
+        self.append(token_rows(conform(df, "sentences")), "sentence_tokens", languages=df, load=load)
 
     def load(self, table: str, df: DataFrame) -> None:
-        """Append links, tags, audio, grammar patterns or annotations."""
-        self.create_tables()
         self.append(df, table)
 
-    def compact(self, target_dir: str) -> "CorpusStore":
-        """A compacted copy of the store in another folder."""
-        for table in LOAD_ORDER:
-            compact_dataset(self.spark, self.base_dir, table, target_dir, *_partitions(table))
-        return CorpusStore(self.spark, target_dir)
+
+@dataclass(frozen=True)
+class CorpusStore:
+    """Reads and loads the served tables. One writer at a time rebuilds or compacts."""
+
+    spark: SparkSession
+    base_dir: str
+
+    def _pointer(self) -> str:
+        return f"{self.base_dir.rstrip('/')}/{POINTER}"
+
+    def _new_version(self) -> StoreVersion:
+        version = StoreVersion(self.spark, f"{self.base_dir.rstrip('/')}/{VERSIONS}/{uuid.uuid4().hex}")
+        version.create_tables()
+        return version
+
+    def _publish(self, version: StoreVersion) -> None:
+        Folders(self.spark).replace_text(self._pointer(), version.folder.rsplit("/", 1)[-1])
+
+    def current(self) -> StoreVersion:
+        """The version that the pointer names now; ``FileNotFoundError`` if there is none."""
+        name = Folders(self.spark).text(self._pointer())
+        if name is None:
+            raise FileNotFoundError(f"{self.base_dir}: no stored corpus")
+        return StoreVersion(self.spark, f"{self.base_dir.rstrip('/')}/{VERSIONS}/{name.strip()}")
+
+    def read(self, table: str) -> DataFrame:
+        return self.current().read(table)
+
+    def tables(self) -> dict[str, DataFrame]:
+        """All tables of one version, whatever is rebuilt meanwhile."""
+        return self.current().tables()
+
+    def create_tables(self) -> StoreVersion:
+        """The current version, or a first one without rows."""
+        try:
+            return self.current()
+        except FileNotFoundError:
+            self._publish(self._new_version())
+            return self.current()
+
+    def reset_tables(self) -> None:
+        """Empty every table, all at once."""
+        self._publish(self._new_version())
+
+    @contextmanager
+    def rebuilding(self) -> Iterator[StoreVersion]:
+        """A new version to fill. It replaces the current one at the end, or never if filling it fails.
+
+        The current tables stay readable, so rows may come from them.
+        """
+        version = self._new_version()
+        try:
+            yield version
+        except BaseException:
+            Folders(self.spark).delete(version.folder)
+            raise
+        self._publish(version)
+
+    def load_sentences(self, df: DataFrame, rebuild: bool = True) -> DataFrame | None:
+        """Load sentences and index them.
+
+        A rebuild takes all rows and leaves every other table empty. Without it rows are
+        added to what is there; those whose id is stored already, or that repeat an id, are
+        refused and returned as in :meth:`load`.
+        """
+        if rebuild:
+            rows = written(conform(df, "sentences"), "rebuild")
+            with self.rebuilding() as version:
+                version.load_sentences(rows)
+            return None
+        version = self.create_tables()
+        new, refused = split_by_key(conform(df, "sentences"), version.read("sentences"), "sentences")
+        version.load_sentences(new)
+        return refused
+
+    def load(self, table: str, df: DataFrame) -> DataFrame | None:
+        """Append links, tags, audio, grammar patterns or annotations.
+
+        Where a table has a key, rows whose key is stored already, is null or repeats within
+        ``df`` are refused: one row of a repeated new key is added, the least one. What was
+        refused is returned, one row for each key: the key, ``stored`` and ``n_rows``.
+        """
+        version = self.create_tables()
+        if table not in PRIMARY_KEYS:
+            version.append(df, table)
+            return None
+        new, refused = split_by_key(conform(df, table), version.read(table), table)
+        version.append(new, table)
+        return refused
+
+    def prune(self) -> None:
+        """Delete all versions but the current one. Only for stores without readers of older ones."""
+        files, keep = Folders(self.spark), self.current().folder
+        for folder in files.children(f"{self.base_dir.rstrip('/')}/{VERSIONS}"):
+            if folder.rsplit("/", 1)[-1] != keep.rsplit("/", 1)[-1]:
+                files.delete(folder)
+
+    def compact(self, target_dir: str | None = None) -> "CorpusStore":
+        """Few clustered files instead of many loads: as a new version, or as a store in another folder."""
+        source = self.current()
+        target = self if target_dir is None else CorpusStore(self.spark, target_dir)
+        with target.rebuilding() as version:
+            for table in LOAD_ORDER:
+                version.append(source.read(table), table)
+        return target

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import csv
-import io
-import tarfile
 import warnings
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -24,12 +20,19 @@ _BASIC = ("sentence_id", "language", "text")
 
 
 def _read(spark: SparkSession, path: str, schema: StructType, file_format: str) -> DataFrame:
+    """Typed columns of an export. Text has neither quotes nor escapes: only the mark of a missing value is special.
+
+    An empty field is an empty text. A field that is not of its type, or is not there, is NULL.
+    """
     if file_format == "parquet":
         return spark.read.parquet(path)
-    # Export fields are not quoted: a quote mark is part of the sentence.
-    return spark.read.schema(schema).csv(
-        path, sep="\t", quote="", nullValue=EXPORT_NULL, emptyValue="", mode="PERMISSIVE"
-    )
+    fields = spark.read.text(path).select(F.split("value", "\t", -1).alias("fields"))
+
+    def typed(at: int, kind) -> Column:
+        value = F.nullif(F.get("fields", F.lit(at)), F.lit(EXPORT_NULL))
+        return value if isinstance(kind, StringType) else strip(value).try_cast(kind)
+
+    return fields.select(*[typed(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
 def _pick(schema: StructType, names: Iterable[str]) -> StructType:
@@ -109,49 +112,57 @@ def read_quality_ids(spark: SparkSession, path: str) -> DataFrame:
 
 # --- audio export --------------------------------------------------------------
 
-_RAW_AUDIO = StructType([StructField(name, StringType()) for name in RAW_FIELDS])
-_TAR_BATCH_ROWS = 20_000
-
-
-def _tar_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Raw fields of each archive's first regular file, in batches of bounded size."""
-    for batch in batches:
-        for content in batch["content"]:
-            with tarfile.open(fileobj=io.BytesIO(content), mode="r:bz2") as archive:
-                member = next((m for m in archive if m.isfile()), None)
-                if member is None:
-                    continue
-                text = io.TextIOWrapper(archive.extractfile(member), encoding="utf-8", newline="")
-                rows = []
-                for fields in csv.reader(text, delimiter="\t"):
-                    if len(fields) < 2:
-                        continue
-                    rows.append((fields + [""] * len(RAW_FIELDS))[: len(RAW_FIELDS)])
-                    if len(rows) == _TAR_BATCH_ROWS:
-                        yield pd.DataFrame(rows, columns=RAW_FIELDS)
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=RAW_FIELDS)
+_CSV_FIELDS = ", ".join(f"{name} string" for name in (*RAW_FIELDS, "_corrupt"))
+#: A header of an archive's member ends in so many zero characters or more, whatever its format.
+_HEADER_END = "\\x00{12,}"
+_HEADER_BYTES, _KIND_AT = 512, 156
+
+
+def _export_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value``: the lines of plain or compressed text, or of each archive's first regular member.
+
+    ``.bz2`` is read in splits, archives too: an archive is text with a header before the first
+    line of each member. Members are told apart by those headers, which are found by one scan
+    and give one row for each archive.
+    """
+    lines = spark.read.text(path)
+    if not path.endswith((".tar.bz2", ".tbz2", ".tar")):
+        return lines
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    heads = placed.filter(F.col("value").rlike(_HEADER_END)).withColumn(
+        "head", F.encode(F.regexp_extract("value", f"(?s)^.*{_HEADER_END}", 0), "UTF-8")
+    )
+    kind = F.decode(F.substring("head", F.length("head") - _HEADER_BYTES + _KIND_AT + 1, F.lit(1)), "UTF-8")
+    regular = (F.length("head") >= _HEADER_BYTES) & kind.isin("0", "\x00")
+    starts = heads.groupBy("file").agg(
+        F.min(F.when(regular, F.col("place"))).alias("first"), F.sort_array(F.collect_list("place")).alias("all")
+    )
+    # one row for each archive, with a place for each member
+    ends = F.get(F.filter("all", lambda p: p > F.col("first")), F.lit(0))
+    spans = starts.filter("first IS NOT NULL").select("file", "first", ends.alias("next"))
+    inside = placed.join(F.broadcast(spans), "file").filter(
+        (F.col("place") >= F.col("first")) & (F.col("next").isNull() | (F.col("place") < F.col("next")))
+    )
+    return inside.select(F.regexp_replace("value", f"(?s)^.*{_HEADER_END}", "").alias("value"))
 
 
 def read_audio_fields(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The export's five text fields, from plain or ``.bz2`` text, or ``.tar.bz2`` archives.
 
-    Plain and ``.bz2`` text is split over many tasks. An archive cannot be split: one
-    task unpacks each, and its rows are spread afterwards, so prefer unpacked files for
-    large exports. ``multi_line`` allows line breaks inside quotes at the price of one
-    task per file.
+    All of these are split over many tasks. ``multi_line`` allows line breaks inside quotes
+    at the price of one task per file, and not in archives.
 
     A row needs two fields; missing ones are empty and surplus ones are ignored.
     """
-    if path.endswith((".tar.bz2", ".tbz2")):
-        archives = spark.read.format("binaryFile").load(path).select("content")
-        return archives.mapInPandas(_tar_rows, _RAW_AUDIO).repartition(*RAW_FIELDS[:2])
-    schema = StructType(_RAW_AUDIO.fields + [StructField("_corrupt", StringType())])
-    rows = spark.read.schema(schema).csv(
-        path, sep="\t", quote='"', escape='"', multiLine=multi_line,
-        mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt",
-    )
+    options = {
+        "sep": "\t", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
+    }
+    if multi_line:
+        rows = spark.read.schema(_CSV_FIELDS).csv(path, multiLine=True, **options)
+    else:
+        lines = _export_lines(spark, path).filter(F.length("value") > 0)
+        rows = lines.select(F.from_csv("value", _CSV_FIELDS, options).alias("r")).select("r.*")
     # Spark flags short and long rows alike; one with a tab still has two fields.
     usable = F.col("_corrupt").isNull() | (F.instr("_corrupt", "\t") > 0)
     return rows.filter(usable).select(*RAW_FIELDS)

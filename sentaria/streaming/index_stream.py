@@ -7,7 +7,7 @@ any order.
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sentaria.operators.conform import conform
-from sentaria.operators.retrieval import token_rows
 from sentaria.schemas import SCHEMAS
+from sentaria.sinks.folders import Folders
 from sentaria.sinks.store import CorpusStore
 
 _SALT, _SALTS = "_salt", 64
-#: What tells a row that an interrupted micro-batch has stored from one that it has not.
-STREAM_KEYS = {"sentences": ("sentence_id",), "sentence_tokens": ("sentence_id", "position")}
 
 
 def deduplicated(
@@ -53,47 +51,37 @@ def deduplicated(
     return first_rows(first_rows(salted, "sentence_id", _SALT), "sentence_id").drop(_SALT)
 
 
-def _folder(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+def _stream_name(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The name of a stream's loads: made up once and kept with its checkpoints.
 
-
-def _new_rows(store: CorpusStore, rows: DataFrame, table: str) -> DataFrame:
-    """The rows whose key the store does not hold; a null is a key like any other."""
-    keys = STREAM_KEYS[table]
-    held = store.read(table).select(*[F.col(k).alias(f"_held_{k}") for k in keys])
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
-    return rows.join(held, same, "left_anti")
+    Without its checkpoints a stream starts anew, and its loads do not take the place of old ones.
+    """
+    files, path = Folders(spark), f"{checkpoint_dir.rstrip('/')}/stream-name"
+    if (name := files.text(path)) is None:
+        files.create(checkpoint_dir)
+        files.replace_text(path, uuid.uuid4().hex)
+        name = files.text(path)
+    return name
 
 
 def batch_writer(base_dir: str, checkpoint_dir: str):
     """What stores and indexes one micro-batch, as ``foreachBatch`` calls it.
 
     Rows take the store's own write path, so streamed and batch-loaded rows share folders
-    and layout. Two empty folders of each batch tell how far it came: a batch that ended is
-    skipped, one that began and did not end adds only rows whose key is not stored yet.
+    and layout. A micro-batch is one load of the store, named by the stream and the batch:
+    one that was interrupted and comes again takes the place of its first try, whatever
+    ids it or earlier loads hold.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        began, ended = (f"{checkpoint_dir}/batches/{batch_id}-{state}" for state in ("began", "ended"))
-        files, at_end = _folder(spark, ended)
-        if files.exists(at_end):
-            return
-        _, at_start = _folder(spark, began)
-        again = files.exists(at_start)
-        files.mkdirs(at_start)
-        store = CorpusStore(spark, base_dir)
-        store.create_tables()
+        version = CorpusStore(spark, base_dir).create_tables()
         batch = batch.persist()
-        if not batch.isEmpty():
-            rows, tokens = batch, token_rows(batch)
-            if again:
-                rows, tokens = _new_rows(store, rows, "sentences"), _new_rows(store, tokens, "sentence_tokens")
-            store.append(rows, "sentences")
-            store.append(tokens, "sentence_tokens", languages=batch)
-        batch.unpersist()
-        files.mkdirs(at_end)
+        try:
+            if not batch.isEmpty():
+                version.load_sentences(batch, load=f"{_stream_name(spark, checkpoint_dir)}-{batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 

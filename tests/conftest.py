@@ -1,4 +1,5 @@
 import os
+import random
 import sys
 
 import pytest
@@ -24,38 +25,53 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(scope="session")
-def corpus(spark):
-    """The small corpus of the search tests, without a token index."""
-    from sentaria.operators.conform import conform
+SCHEMAS = {
+    "sentences": "sentence_id bigint, language string, text string",
+    "links": "sentence_id bigint, translation_id bigint",
+    "tags": "sentence_id bigint, tag_name string",
+    "sentence_audio": "audio_id string, sentence_id bigint, username string, license string",
+    "grammar_patterns": "pattern_id string, language string, name string, source string",
+    "sentence_grammar_patterns": "sentence_id bigint, pattern_id string, evidence_text string, confidence double, source string",
+}
 
-    sentences = spark.createDataFrame(
-        [
-            (11, "eng", "Geese, seven, cross the RIVER!"),
-            (12, "eng", "The river froze."),
-            (13, "fra", "Sept oies traversent."),
-            (14, "eng", "Paid in ＵＳＤ today."),
-        ],
-        "sentence_id bigint, language string, text string",
-    )
-    links = spark.createDataFrame([(11, 13), (13, 11)], "sentence_id bigint, translation_id bigint")
-    audio = spark.createDataFrame(
-        [("a-77", 11, "nora", "CC0 1.0")],
-        "audio_id string, sentence_id bigint, username string, license string",
-    )
-    patterns = spark.createDataFrame(
-        [("list-comma", "eng", "Comma after a subject", "teacher")],
-        "pattern_id string, language string, name string, source string",
-    )
-    annotations = spark.createDataFrame(
-        [(11, "list-comma", "Geese,", 0.75, "reader")],
-        "sentence_id bigint, pattern_id string, evidence_text string, confidence double, source string",
-    )
-    given = {
+
+def drawn_rows(seed: int = 20) -> dict[str, list[tuple]]:
+    """A corpus of made-up words in four languages; whatever a search should find is worked out from these rows."""
+    draw = random.Random(seed)
+    languages = ["lat", "epo", "vol", "ido"]
+    stems = {lang: [a + b + "aeiou"[k % 5] for k, (a, b) in enumerate(zip("bdfgklmnprst" * 2, "lrmnst" * 4))] for lang in languages}
+    shared = ["radio", "Metro", "ΟΔΟΣ", "straße"]
+    sentences = []
+    for number in draw.sample(range(100, 900), 70):
+        lang = draw.choice(languages)
+        words = draw.choices(stems[lang][:9] + shared, k=draw.randint(0, 9))
+        text = draw.choice(["", "« ", "— "]) + draw.choice([" ", ", ", " / "]).join(draw.choice([str, str.upper, str.title])(w) for w in words)
+        sentences.append((number, lang, text))
+    numbers = [s[0] for s in sentences]
+    pairs = [(draw.choice(numbers), draw.choice(numbers)) for _ in range(160)]
+    pairs += draw.choices(pairs, k=15) + [(numbers[0], n) for n in numbers[1:25]]
+    patterns = [(f"p{k}", draw.choice(languages), f"pattern {k}", draw.choice(["book", "desk"])) for k in range(8)]
+    return {
         "sentences": sentences,
-        "links": links,
-        "sentence_audio": audio,
+        "links": pairs,
+        "tags": [(n, draw.choice(["checked", "odd", "short"])) for n in draw.choices(numbers, k=50)],
+        "sentence_audio": [(f"rec{k:03}", draw.choice(numbers), draw.choice(["ines", "tomo"]), draw.choice(["CC0", None])) for k in range(45)],
         "grammar_patterns": patterns,
-        "sentence_grammar_patterns": annotations,
+        "sentence_grammar_patterns": [
+            (draw.choice(numbers), draw.choice(patterns)[0], draw.choice([None, "here"]), draw.choice([0.5, 0.25]), "hand")
+            for _ in range(60)
+        ],
     }
-    return {table: conform(df, table) for table, df in given.items()}
+
+
+@pytest.fixture(scope="session")
+def drawn():
+    return drawn_rows()
+
+
+@pytest.fixture(scope="session")
+def corpus(spark, drawn):
+    """The drawn rows as tables, without a token index."""
+    from sentaria.operators.conform import conform
+
+    return {table: conform(spark.createDataFrame(rows, SCHEMAS[table]), table) for table, rows in drawn.items()}

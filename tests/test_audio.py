@@ -1,4 +1,9 @@
+"""Audio exports in every form, and the download step."""
+
 import bz2
+import csv
+import io
+import random
 import tarfile
 from datetime import datetime
 from pathlib import Path
@@ -10,73 +15,96 @@ from sentaria.functions.scalar import is_reusable_license
 from sentaria.operators.audio import download, plan_downloads
 from sentaria.sources.exports import extract_audio, read_audio_export
 
-EXPORT = (
-    "3\t9001\tnora\tCC BY 4.0\thttps://example.org/nora\n"
-    "4\t9002\totto\t\t\n"
-    "no id\there\n"
-)
-ODD_ROWS = (
-    "\n"
-    "5\n"
-    "6\t60\n"
-    " 7 \t 70 \t carol \t \\N \t\textra\tfields\n"
-    '8\t80\t"tab\tinside"\t"CC ""0"""\t\n'
-    "9\t\tdan\tCC0\t\n"
-)
-
-
-def write_export(folder: Path, kind: str, content: str) -> str:
-    plain = folder / "audio.csv"
-    plain.write_text(content, encoding="utf-8")
-    if kind == "plain":
-        return str(plain)
-    if kind == "bz2":
-        path = folder / "audio.csv.bz2"
-        path.write_bytes(bz2.compress(content.encode()))
+DRAW = random.Random(4)
+#: Drawn export lines, among them short, long, empty and quoted ones.
+LINES = [
+    DRAW.choice(["{i}\tr{i}\tines\tCC0\t", "{i}\tr{i}\ttomo\tCC BY-SA\thttps://a.example/{i}", "{i}\tr{i}", "{i}\tr{i}\t\t\\N\t",
+                 " {i} \t r{i} \tpia\t \t", "{i}", "", "n{i}\tr{i}\tines\tCC0\t", '{i}\tr{i}\t"pia\ttwo"\t"an ""odd"" one"\t',
+                 "{i}\t\tines\tCC0\t", "{i}.5\tr{i}\t\t\t", "+{i}\tr{i}\ttomo\tCC0\t\tmore\tfields", "{i}\tr{i}\tÆther\tCC0\t"]).format(i=i)
+    for i in range(300)
+]
+
+
+def expected(lines):
+    """What the export says, read line by line."""
+    out = []
+    for fields in csv.reader(lines, delimiter="\t"):
+        if len(fields) < 2:
+            continue
+        try:
+            number = int(fields[0])
+        except ValueError:
+            continue
+        user, licence, link = [x.strip() or None for x in (*fields[2:5], "", "", "")[:3]]
+        out.append((number, fields[1].strip(), user, licence, link))
+    return sorted(out, key=str)
+
+
+def write_export(folder: Path, kind: str, lines: list[str]) -> str:
+    content = "".join(line + "\n" for line in lines).encode()
+    path = folder / f"audio.{kind}"
+    if kind in ("tsv", "tsv.bz2"):
+        path.write_bytes(content if kind == "tsv" else bz2.compress(content))
         return str(path)
-    path = folder / "audio.tar.bz2"
-    (folder / "dir").mkdir()
-    with tarfile.open(path, "w:bz2") as archive:
-        archive.add(folder / "dir", arcname="dir")
-        archive.add(plain, arcname="dir/audio.csv")
+    with tarfile.open(path, "w:bz2", format=tarfile.PAX_FORMAT if "pax" in folder.name else tarfile.GNU_FORMAT) as archive:
+        for name, data in (("notes", None), ("notes/audio.csv", content), ("notes/later.csv", b"1\tlate\tx\ty\tz\n" * 40)):
+            member = tarfile.TarInfo(name)
+            member.mtime = 1234.5 if "pax" in folder.name else 1234
+            if data is None:
+                member.type = tarfile.DIRTYPE
+            member.size = len(data or b"")
+            archive.addfile(member, io.BytesIO(data or b""))
     return str(path)
 
 
-@pytest.fixture(params=["plain", "bz2", "tar"])
-def kind(request):
-    return request.param
+def rows_of(df):
+    names = ("sentence_id", "audio_id", "username", "license", "attribution_url")
+    return sorted((tuple(row[n] for n in names) for row in df.collect()), key=str)
 
 
-def test_allow_list_and_derived_columns(spark, tmp_path, kind):
-    path = write_export(tmp_path, kind, EXPORT)
-    allowed = spark.createDataFrame([(3,)], "sentence_id bigint")
-    (row,) = read_audio_export(spark, path, allowed).collect()
-    assert row.asDict() == {
-        "source": "tatoeba", "audio_id": "9001", "sentence_id": 3, "username": "nora",
-        "license": "CC BY 4.0", "attribution_url": "https://example.org/nora",
-        "download_url": "https://tatoeba.org/audio/download/9001",
-        "local_path": None, "downloaded_at": None, "status": "metadata",
-    }
+@pytest.fixture(params=["tsv", "tsv.bz2", "tar.bz2", "tar.bz2-pax"])
+def export(request, tmp_path):
+    kind, _, variant = request.param.partition("-")
+    folder = tmp_path / (variant or "plain")
+    folder.mkdir()
+    return write_export(folder, kind, LINES)
 
 
-def test_odd_rows(spark, tmp_path, kind):
-    path = write_export(tmp_path, kind, EXPORT + ODD_ROWS)
-    rows = read_audio_export(spark, path).orderBy("sentence_id").collect()
-    got = [(r["sentence_id"], r["audio_id"], r["username"], r["license"]) for r in rows]
-    assert got == [
-        (3, "9001", "nora", "CC BY 4.0"),
-        (4, "9002", "otto", None),
-        (6, "60", None, None),
-        (7, "70", "carol", "\\N"),
-        (8, "80", "tab\tinside", 'CC "0"'),
-        (9, "", "dan", "CC0"),
-    ]
+def test_export_equals_reading_by_line(spark, export):
+    rows = read_audio_export(spark, export)
+    assert rows_of(rows) == expected(LINES)
+    fixed = {(r["source"], r["status"], r["local_path"], r["downloaded_at"]) for r in rows.collect()}
+    assert fixed == {("tatoeba", "metadata", None, None)}
+    assert all(r["download_url"] == f"https://tatoeba.org/audio/download/{r['audio_id']}" for r in rows.collect())
+
+
+def test_allow_list(spark, export):
+    kept = spark.range(40, 90).select(F.col("id").alias("sentence_id"))
+    want = [row for row in expected(LINES) if 40 <= row[0] < 90]
+    assert want and rows_of(read_audio_export(spark, export, kept)) == want
+    assert rows_of(read_audio_export(spark, export, kept.limit(0))) == []
+
 
+def test_an_archive_is_read_in_several_tasks(spark, tmp_path):
+    noise = random.Random(1)
+    lines = [f"{i}\tr{i}\t{noise.randbytes(40).hex()}\tCC0\t" for i in range(40_000)]
+    path = write_export(tmp_path, "tar.bz2", lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400k")
+    try:
+        rows = read_audio_export(spark, path)
+        tasks = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert len(tasks) > 2 and sum(tasks) == 40_000
+        assert rows.agg(F.countDistinct("sentence_id")).first()[0] == 40_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
-def test_empty_allow_list_keeps_nothing(spark, tmp_path):
-    path = write_export(tmp_path, "plain", EXPORT)
-    allowed = spark.createDataFrame([], "sentence_id bigint")
-    assert read_audio_export(spark, path, allowed).count() == 0
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    path = tmp_path / "audio.tsv"
+    path.write_text('1\ta\t"two\nlines"\tCC0\t\n2\tb\tx\tCC0\t\n')
+    rows = read_audio_export(spark, str(path), multi_line=True).collect()
+    assert sorted((r["sentence_id"], r["username"]) for r in rows) == [(1, "two\nlines"), (2, "x")]
 
 
 def test_reusable_license(spark):
@@ -87,47 +115,49 @@ def test_reusable_license(spark):
     ]
 
 
-def test_download_skips_fetches_and_fails(spark, tmp_path):
-    path = write_export(tmp_path, "plain", EXPORT + "3\t789\tcarol\tCC0\t\n4\t790\tdan\tCC0\t\n")
-    folder = tmp_path / "mp3"
+def test_downloads(spark, tmp_path):
+    """Licensed rows are fetched unless their file is there; some fetches break off halfway."""
+    rows = read_audio_export(spark, write_export(tmp_path, "tsv", LINES)).filter("audio_id <> ''")
+    folder, calls = tmp_path / "files", tmp_path / "calls"
+    calls.mkdir()
     (folder / "tatoeba").mkdir(parents=True)
-    (folder / "tatoeba" / "790.mp3").write_bytes(b"old")
-    log = tmp_path / "calls"
-    log.mkdir()
+    listed = {row[1]: row[3] for row in expected(LINES) if row[1]}
+    licensed = {a for a, licence in listed.items() if licence not in (None, "\\N")}
+    there = set(sorted(licensed)[::5])
+    broken = set(sorted(licensed)[1::5])
+    for name in there:
+        (folder / "tatoeba" / f"{name}.mp3").write_bytes(b"kept")
 
     def fetch(url, target):
         name = url.rsplit("/", 1)[1]
-        (log / name).write_text(url)
-        if name == "789":
-            Path(target).write_bytes(b"half")
-            raise OSError("connection lost")
-        Path(target).write_bytes(b"audio")
+        (calls / name).write_text(url)
+        Path(target).write_bytes(b"new")
+        if name in broken:
+            raise OSError("broken off")
 
     stamp = F.to_timestamp(F.lit("2024-05-01 10:00:00"))
-    rows = read_audio_export(spark, path)
     out = {r["audio_id"]: r for r in download(rows, str(folder), fetch, fetched_at=stamp).collect()}
-
-    assert {k: r["status"] for k, r in out.items()} == {
-        "9001": "downloaded", "9002": "skipped_license", "789": "download_error", "790": "downloaded"
-    }
-    assert Path(out["9001"]["local_path"]).read_bytes() == b"audio"
-    assert out["9001"]["downloaded_at"] == datetime(2024, 5, 1, 10)
-    assert out["789"]["local_path"] is None and out["789"]["downloaded_at"] is None
-    assert not (folder / "tatoeba" / "789.mp3").exists()
-    # An existing file is stamped again but not fetched again.
-    assert Path(out["790"]["local_path"]).read_bytes() == b"old"
-    assert out["790"]["downloaded_at"] == datetime(2024, 5, 1, 10)
-    assert sorted(p.name for p in log.iterdir()) == ["789", "9001"]
+    for name, licence in listed.items():
+        row = out[name]
+        if name not in licensed:
+            assert (row["status"], row["local_path"], row["downloaded_at"]) == ("skipped_license", None, None)
+        elif name in broken:
+            assert (row["status"], row["local_path"], row["downloaded_at"]) == ("download_error", None, None)
+            assert not (folder / "tatoeba" / f"{name}.mp3").exists()
+        else:
+            assert row["status"] == "downloaded" and row["downloaded_at"] == datetime(2024, 5, 1, 10)
+            assert Path(row["local_path"]).read_bytes() == (b"kept" if name in there else b"new")
+    assert {p.name for p in calls.iterdir()} == licensed - there
 
 
 def test_all_licenses_can_be_planned(spark, tmp_path):
-    rows = read_audio_export(spark, write_export(tmp_path, "plain", EXPORT))
-    planned = plan_downloads(rows, "/data/", reusable_only=False).orderBy("audio_id").collect()
-    assert [(r["status"], r["local_path"]) for r in planned] == [
-        ("downloaded", "/data/tatoeba/9001.mp3"), ("downloaded", "/data/tatoeba/9002.mp3")
-    ]
+    rows = read_audio_export(spark, write_export(tmp_path, "tsv", LINES))
+    planned = plan_downloads(rows, "/data/", reusable_only=False).collect()
+    assert {(r["status"], r["local_path"]) for r in planned} == {
+        ("downloaded", f"/data/tatoeba/{row[1]}.mp3") for row in expected(LINES)
+    }
 
 
 def test_extract_without_fetch_is_metadata_only(spark, tmp_path):
-    rows = extract_audio(spark, write_export(tmp_path, "plain", EXPORT))
+    rows = extract_audio(spark, write_export(tmp_path, "tsv", LINES))
     assert {r["status"] for r in rows.collect()} == {"metadata"}

@@ -17,42 +17,40 @@ def id_frame(spark, *ids):
     return spark.createDataFrame([(i,) for i in ids], "sentence_id bigint")
 
 
+#: Numbered rows, and lists of trusted numbers with repeats and unknown numbers among them.
+NUMBERS = list(range(10, 80, 3))
+LISTS = [[13, 13, 40, 999], NUMBERS[::2], NUMBERS, [1000]]
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
-    return spark.createDataFrame(
-        list(zip(range(1, 6), "abcde")), "sentence_id bigint, text string"
-    )
+    return spark.createDataFrame([(n, f"text {n}") for n in NUMBERS], "sentence_id bigint, text string")
 
 
-def test_keep_trusted(spark, rows):
-    assert values(q.keep_trusted(rows, id_frame(spark, 1, 2, 3, 9))) == [1, 2, 3]
+@pytest.mark.parametrize("trusted", LISTS)
+def test_keep_and_flag_trusted(spark, rows, trusted):
+    ids = id_frame(spark, *trusted)
+    assert values(q.keep_trusted(rows, ids)) == [n for n in NUMBERS if n in trusted]
+    flagged = {r["sentence_id"]: r["is_quality"] for r in q.flag_trusted(rows, ids).collect()}
+    assert flagged == {n: n in trusted for n in NUMBERS}
+    kept = sum(n in trusted for n in NUMBERS)
+    assert tuple(q.retention(rows, ids).first()) == (len(NUMBERS), kept, 100.0 * kept / len(NUMBERS))
+    assert q.trusted_count(ids).first()["n_ids"] == len(set(trusted))
+    more = q.add_ids(ids, id_frame(spark, 13, 5))
+    assert values(more) == sorted({*trusted, 13, 5})
 
 
 def test_empty_list_means_no_filter(spark, rows):
-    assert values(q.keep_trusted(rows, id_frame(spark))) == [1, 2, 3, 4, 5]
+    assert values(q.keep_trusted(rows, id_frame(spark))) == NUMBERS
+    assert tuple(q.retention(rows, id_frame(spark)).first()) == (len(NUMBERS), len(NUMBERS), 100.0)
+    assert tuple(q.retention(rows.limit(0), id_frame(spark, 1)).first()) == (0, 0, None)
 
 
-def test_keep_trusted_on_both_ends(spark):
-    links = spark.createDataFrame(
-        [(1, 2), (2, 9), (9, 1), (1, 2)], "sentence_id bigint, translation_id bigint"
-    )
-    kept = q.keep_trusted(links, id_frame(spark, 1, 2), "sentence_id", "translation_id")
-    assert sorted(map(tuple, kept.select(links.columns).collect())) == [(1, 2), (1, 2)]
-
-
-def test_flag_union_and_count(spark, rows):
-    ids = q.add_ids(id_frame(spark, 1, 2), id_frame(spark, 2, 4))
-    assert values(ids) == [1, 2, 4]
-    flagged = {r["sentence_id"]: r["is_quality"] for r in q.flag_trusted(rows, ids).collect()}
-    assert flagged == {1: True, 2: True, 3: False, 4: True, 5: False}
-    assert q.trusted_count(ids.union(ids)).first()["n_ids"] == 3
-
-
-def test_retention(spark, rows):
-    report = lambda df, ids: tuple(q.retention(df, ids).first())
-    assert report(rows, id_frame(spark, 1, 2, 3)) == (5, 3, 60.0)
-    assert report(rows, id_frame(spark)) == (5, 5, 100.0)
-    assert report(rows.limit(0), id_frame(spark, 1)) == (0, 0, None)
+def test_keep_trusted_on_both_ends(spark, corpus, drawn):
+    trusted = [n for n, _, _ in drawn["sentences"]][::3]
+    kept = q.keep_trusted(corpus["links"], id_frame(spark, *trusted), "sentence_id", "translation_id")
+    want = [pair for pair in drawn["links"] if pair[0] in trusted and pair[1] in trusted]
+    assert want and sorted(map(tuple, kept.select("sentence_id", "translation_id").collect())) == sorted(want)
 
 
 def test_ids_from_correctness(spark):
@@ -87,9 +85,9 @@ def test_surrogate_ids(spark):
 
 
 def test_allow_list(spark, rows):
-    assert values(g.keep_allowed(rows, None)) == [1, 2, 3, 4, 5]
+    assert values(g.keep_allowed(rows, None)) == NUMBERS
     assert values(g.keep_allowed(rows, id_frame(spark))) == []
-    assert values(g.keep_allowed(rows, id_frame(spark, 2, 7))) == [2]
+    assert values(g.keep_allowed(rows, id_frame(spark, 16, 7))) == [16]
 
 
 def test_ids_are_cast_before_comparing(spark):
@@ -105,11 +103,12 @@ def test_reports_on_clean_corpus_are_empty(corpus):
         assert report.count() == 0, name
 
 
-def test_reports_find_faults(spark, corpus):
+def test_reports_find_faults(spark, corpus, drawn):
+    taken = min(n for n, _, _ in drawn["sentences"])
     bad_sentence = spark.createDataFrame(
-        [(1, None, "again"), (7, "x" * 11, None)], "sentence_id bigint, language string, text string"
+        [(taken, None, "again"), (7, "x" * 11, None)], "sentence_id bigint, language string, text string"
     )
-    bad_links = spark.createDataFrame([(1, 50), (50, 50), (None, 1)], "sentence_id bigint, translation_id bigint")
+    bad_links = spark.createDataFrame([(taken, 50), (50, 50), (None, taken)], "sentence_id bigint, translation_id bigint")
     audio = corpus["sentence_audio"]
     tables = {
         **corpus,
@@ -118,8 +117,10 @@ def test_reports_find_faults(spark, corpus):
         "sentence_audio": audio.union(audio),
     }
     reports = {name: [tuple(r) for r in df.collect()] for name, df in g.validate(tables).items()}
-    assert reports["duplicate_keys_sentences"] == [(1, 2)]
-    assert reports["duplicate_keys_sentence_audio"] == [("tatoeba", "123", 2)]
+    assert reports["duplicate_keys_sentences"] == [(taken, 2)]
+    assert sorted(reports["duplicate_keys_sentence_audio"]) == sorted(
+        ("tatoeba", row[0], 2) for row in drawn["sentence_audio"]
+    )
     assert sorted(reports["nulls"]) == [
         ("links", "sentence_id", 1), ("sentences", "language", 1), ("sentences", "text", 1)
     ]

@@ -25,11 +25,15 @@ def sentences(spark, *rows):
 
 def test_read_sentences(spark, tmp_path):
     path = tmp_path / "s.tsv"
-    path.write_text('1\teng\tSay "hi"\n2\tfra\tSalut\n3\t\\N\tnone\n', encoding="utf-8")
-    assert ids(e.read_sentences(spark, str(path))) == [1, 2, 3]
-    assert ids(e.read_sentences(spark, str(path), [])) == [1, 2, 3]
-    (row,) = e.read_sentences(spark, str(path), ["eng"]).collect()
-    assert tuple(row) == (1, "eng", 'Say "hi"')
+    text = "long " * 50_000
+    path.write_text(f'21\tnob\tHun sa "hei"\n22\tsme\tBures\n23\t\\N\tnone\n24\tsme\t\n25\tsme\t\\N\n26\tsme\nx\tsme\tno id\n27\tnob\t{text}\textra\n', encoding="utf-8")
+    got = {row[0]: row[1:] for row in map(tuple, e.read_sentences(spark, str(path)).collect())}
+    assert got == {
+        21: ("nob", 'Hun sa "hei"'), 22: ("sme", "Bures"), 23: (None, "none"), 24: ("sme", ""), 25: ("sme", None),
+        26: ("sme", None), 27: ("nob", text),
+    }
+    assert ids(e.read_sentences(spark, str(path), [])) == sorted(got)
+    assert ids(e.read_sentences(spark, str(path), ["nob"])) == [21, 27]
 
 
 def test_read_parquet_export_renames_language(spark, tmp_path):
@@ -154,27 +158,19 @@ def test_small_files_become_one_at_any_session_width(spark, tmp_path):
     assert ids(out) == [0, 1, 2, 3, 4, 5] and len(out.inputFiles()) == 1
 
 
-def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
-    for name in ("left_side", "right_side"):
-        df = spark.range(500).select(F.col("id").alias("sentence_id"), F.lit(name).alias(name))
-        p.save_bucketed(df, name, 4, path=str(tmp_path / name))
-        p.analyze_table(spark, name)
-    joined = spark.table("left_side").hint("merge").join(spark.table("right_side"), "sentence_id")
-    assert joined.count() == 500
-    assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
-    for name in ("left_side", "right_side"):
-        spark.sql(f"DROP TABLE {name}")
-
-
-def test_sql_with_markers(spark, corpus):
+def test_sql_with_markers(spark, corpus, drawn):
     sql = "SELECT sentence_id FROM sentences WHERE language IN (?, ?) ORDER BY 1 LIMIT ? OFFSET ?"
-    rows = d.run_sql(spark, {"sentences": corpus["sentences"]}, sql, ["eng", "fra", 2, 1]).collect()
-    assert [row["sentence_id"] for row in rows] == [12, 13]
+    rows = d.run_sql(spark, {"sentences": corpus["sentences"]}, sql, ["vol", "ido", 5, 2]).collect()
+    assert [row["sentence_id"] for row in rows] == sorted(n for n, lang, _ in drawn["sentences"] if lang in ("vol", "ido"))[2:7]
 
 
 # --- store ---------------------------------------------------------------------
 
 
+def contents(tables):
+    return {name: sorted(map(tuple, df.collect()), key=str) for name, df in tables.items()}
+
+
 @pytest.fixture
 def store(spark, tmp_path, corpus):
     store = CorpusStore(spark, str(tmp_path / "store"))
@@ -185,31 +181,94 @@ def store(spark, tmp_path, corpus):
     return store
 
 
-def test_search_in_the_store(store):
-    found = r.search_vocabulary(store.tables(), ["GEESE", "river"], "eng", "fra").nested().collect()
-    assert [(x["sentence"]["sentence_id"], len(x["translations"]), len(x["audio"])) for x in found] == [(11, 1, 1)]
+def test_the_store_holds_what_was_loaded(store, corpus):
+    want = contents({**corpus, "sentence_tokens": r.token_rows(corpus["sentences"])})
+    assert contents(store.tables()) == want
+    found = r.search_vocabulary(store.tables(), "radio", "lat", "epo").nested().collect()
+    assert found == r.search_vocabulary(corpus, "radio", "lat", "epo").nested().collect() != []
 
 
 def test_rebuild_empties_every_table(spark, store):
-    store.load_sentences(sentences(spark, (20, "eng", "Nothing else.")))
+    before = store.tables()
+    rows = contents(before)
+    store.load_sentences(sentences(spark, (20, "ido", "Radio sola.")))
     counts = {name: df.count() for name, df in store.tables().items()}
     assert counts.pop("sentences") == 1 and counts.pop("sentence_tokens") == 2
     assert set(counts.values()) == {0}
-    assert ids(r.search_vocabulary(store.tables(), "river", "eng").sentences) == []
+    # who resolved the tables before reads on
+    assert contents(before) == rows
+    store.prune()
+    assert store.read("sentences").count() == 1
+    with pytest.raises(Exception):
+        before["sentences"].count()
+
+
+def test_a_rebuild_that_stops_between_tables_changes_nothing(spark, store):
+    rows = contents(store.tables())
+    with pytest.raises(KeyboardInterrupt), store.rebuilding() as version:
+        version.load_sentences(sentences(spark, (20, "ido", "Radio sola.")))
+        version.load("links", spark.createDataFrame([(20, 20)], "sentence_id bigint, translation_id bigint"))
+        raise KeyboardInterrupt
+    assert contents(store.tables()) == rows
+    failing = sentences(spark, (3, "eng", "Three.")).withColumn("text", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        store.load_sentences(failing)
+    assert contents(store.tables()) == rows
 
 
-def test_append_keeps_tables_and_indexes_the_batch(spark, store):
-    store.load_sentences(sentences(spark, (20, "eng", "River again")), rebuild=False)
-    found = r.search_vocabulary(store.tables(), "river", include_audio=False)
-    assert ids(found.sentences) == [11, 12, 20]
-    assert store.read("links").count() == 2
+def test_rebuild_from_own_rows(spark, store):
+    kept = store.read("sentences").filter("language = 'epo'")
+    want = sorted(map(tuple, kept.collect()))
+    store.load_sentences(kept)
+    assert want and sorted(map(tuple, store.read("sentences").collect())) == want
 
 
-def test_store_compaction(store, tmp_path):
+def test_appends_refuse_keys(spark, store, drawn):
+    held = drawn["sentences"][0]
+    new = [(1000, "ido", "nova radio"), (1001, "ido", "b"), (1001, "ido", "a"), (1001, "vol", "a"), (None, "ido", "no id"), (held[0], "ido", "taken")]
+    before = contents(store.tables())
+    refused = store.load_sentences(sentences(spark, *new), rebuild=False)
+    assert sorted(map(tuple, refused.collect()), key=str) == sorted(
+        [(1001, False, 2), (None, False, 1), (held[0], True, 1)], key=str
+    )
+    after = contents(store.tables())
+    added = [row[:3] for row in after["sentences"] if row not in before["sentences"]]
+    assert added == [(1000, "ido", "nova radio"), (1001, "ido", "a")]
+    tokens = {row[0] for row in after["sentence_tokens"] if row not in before["sentence_tokens"]}
+    assert tokens == {1000, 1001} and after["links"] == before["links"]
+    assert 1000 in ids(r.search_vocabulary(store.tables(), "radio", limit=1000).sentences)
+    audio = spark.createDataFrame([("rec000", 1000), ("fresh", 1000)], "audio_id string, sentence_id bigint")
+    assert [tuple(x) for x in store.load("sentence_audio", audio).collect()] == [("tatoeba", "rec000", True, 1)]
+    assert store.read("sentence_audio").count() == len(drawn["sentence_audio"]) + 1
+    # links have no key
+    assert store.load("links", store.read("links")) is None
+    assert store.read("links").count() == 2 * len(drawn["links"])
+
+
+def test_a_key_check_reads_only_what_may_hold_the_keys(spark, tmp_path):
+    from sentaria.sinks.keyed import in_ranges, value_ranges
+    from test_retrieval import scanned_rows
+
+    store = CorpusStore(spark, str(tmp_path / "keys"))
+    for start in (0, 50_000):
+        rows = spark.range(start, start + 50_000).select(F.col("id").alias("sentence_id"), F.lit("en").alias("language"), F.lit("x").alias("text"))
+        store.load_sentences(rows, rebuild=False)
+    near = store.read("sentences").filter(in_ranges("sentence_id", value_ranges(spark.range(50_100, 50_200))))
+    assert scanned_rows(near) <= 50_000
+    few = store.read("sentences").filter(in_ranges("sentence_id", [(200_000, 200_000)]))
+    assert scanned_rows(few) == 0
+
+
+def test_store_compaction(spark, store, tmp_path, drawn):
+    for k in range(4):
+        store.load_sentences(sentences(spark, (2000 + k, "ido", f"nova {k}")), rebuild=False)
+    rows = contents(store.tables())
+    files = len(store.read("sentences").inputFiles())
     copy = store.compact(str(tmp_path / "copy"))
-    assert {n: df.count() for n, df in copy.tables().items()} == {
-        n: df.count() for n, df in store.tables().items()
-    }
+    assert contents(copy.tables()) == rows
+    store.compact()
+    assert contents(store.tables()) == rows
+    assert len(store.read("sentences").inputFiles()) < files
 
 
 # --- jobs ----------------------------------------------------------------------
@@ -281,18 +340,19 @@ def token_set(df):
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    first = sentences(spark, (1, "eng", "Hello World"), (2, "fra", "Bonjour"))
-    second = sentences(spark, (3, "eng", "Straße hello"))
+    first = sentences(spark, (1, "nob", "God Morgen"), (2, "sme", "Bures"))
+    second = sentences(spark, (3, "deu", "Große morgen"))
     source, base, marks = (str(tmp_path / name) for name in ("in", "store", "marks"))
+    store = CorpusStore(spark, base)
     first.write.parquet(source)
     update_index(spark, source, base, marks)
     second.write.mode("append").parquet(source)
     update_index(spark, source, base, marks)
     update_index(spark, source, base, marks)  # nothing new arrives
-    assert ids(d.read_dataset(spark, base)) == [1, 2, 3]
-    streamed = d.read_dataset(spark, base, "sentence_tokens")
+    assert ids(store.read("sentences")) == [1, 2, 3]
+    streamed = store.read("sentence_tokens")
     assert token_set(streamed) == token_set(r.token_rows(first.union(second)))
-    assert ids(r.match_index(streamed, ["hello"])) == [1, 3]
+    assert ids(r.match_index(streamed, ["morgen"])) == [1, 3]
 
 
 @pytest.mark.parametrize("stream_first", [True, False])
@@ -312,17 +372,23 @@ def test_streams_and_batch_loads_share_a_store(spark, tmp_path, stream_first):
     assert ids(got.filter("language IS NULL")) == [2]
 
 
-def test_an_interrupted_batch_is_completed_once(spark, tmp_path):
-    base, marks = str(tmp_path / "store"), tmp_path / "marks"
-    rows = sentences(spark, (1, "eng", "a b"), (2, "eng", "c"), (None, "eng", "d"))
-    write = batch_writer(base, str(marks))
-    write(rows.filter("sentence_id = 1"), 0)
-    (marks / "batches" / "0-ended").rmdir()  # as if it had stopped after a part of its rows
+def test_a_batch_that_comes_again_takes_its_own_place(spark, tmp_path):
+    """Repeated and null ids, some of them in earlier loads: the end is as if nothing had been interrupted."""
+    first = [(1, "eng", "a b"), (2, "eng", "c"), (None, "eng", "d")]
+    again = [(1, "eng", "x"), (1, "eng", "x"), (None, "fra", "y z"), (3, "eng", "w")]
+    undisturbed = batch_writer(str(tmp_path / "one"), str(tmp_path / "one-marks"))
+    for k, rows in enumerate((first, again)):
+        undisturbed(sentences(spark, *rows), k)
+    write = batch_writer(str(tmp_path / "two"), str(tmp_path / "two-marks"))
+    write(sentences(spark, *first), 0)
+    write(sentences(spark, *again[:2]), 1)  # as if it had stopped after a part of its rows
     for _ in range(2):
-        write(rows, 0)
-    store = CorpusStore(spark, base)
-    assert sorted(x["text"] for x in store.read("sentences").collect()) == ["a b", "c", "d"]
-    assert sorted(x["token"] for x in store.read("sentence_tokens").collect()) == ["a", "b", "c", "d"]
+        write(sentences(spark, *again), 1)
+    want, got = (CorpusStore(spark, str(tmp_path / name)).tables() for name in ("one", "two"))
+    assert contents(got) == contents(want) and want["sentences"].count() == 7
+    # without its checkpoints a stream starts anew
+    batch_writer(str(tmp_path / "two"), str(tmp_path / "new-marks"))(sentences(spark, (9, "eng", "q")), 1)
+    assert CorpusStore(spark, str(tmp_path / "two")).read("sentences").count() == 8
 
 
 @pytest.mark.parametrize("spread_repeats", [False, True])
@@ -333,7 +399,7 @@ def test_stream_can_drop_repeated_ids(spark, tmp_path, spread_repeats):
     update_index(spark, source, base, marks, **options)
     sentences(spark, (2, "eng", "b again"), (3, "eng", "c")).write.mode("append").parquet(source)
     update_index(spark, source, base, marks, **options)
-    assert ids(d.read_dataset(spark, base)) == [1, 2, 3]
+    assert ids(CorpusStore(spark, base).read("sentences")) == [1, 2, 3]
 
 
 def test_deduplication_with_event_time_has_a_watermark(spark, tmp_path):
@@ -341,14 +407,3 @@ def test_deduplication_with_event_time_has_a_watermark(spark, tmp_path):
     stream = spark.readStream.schema("sentence_id bigint, t timestamp").parquet(str(tmp_path / "in"))
     plan = deduplicated(stream, "t", "2 hours")._jdf.queryExecution().analyzed().toString()
     assert "EventTimeWatermark" in plan and "DeduplicateWithinWatermark" in plan
-
-
-def test_rebuild_from_own_rows_and_from_a_failing_input(spark, tmp_path):
-    store = CorpusStore(spark, str(tmp_path / "own"))
-    store.load_sentences(sentences(spark, (1, "eng", "One bird."), (2, "deu", "Zwei Vögel.")))
-    failing = sentences(spark, (3, "eng", "Three.")).withColumn("text", F.raise_error(F.lit("no")).cast("string"))
-    with pytest.raises(Exception):
-        store.load_sentences(failing)
-    assert sorted(r.sentence_id for r in store.read("sentences").collect()) == [1, 2]
-    store.load_sentences(store.read("sentences").filter("language = 'deu'"))
-    assert [(r.sentence_id, r.text) for r in store.read("sentences").collect()] == [(2, "Zwei Vögel.")]

@@ -16,7 +16,6 @@ from sentaria.functions.text import (
     resolve_query_tokens,
     text_contains,
     tokenize_text,
-    tokenize_text_arrow,
 )
 
 
@@ -32,8 +31,8 @@ def tokens_of(spark, texts, tokenizer=tokenize_text):
 
 
 EDGE_TEXTS = [
-    "Hello, brave WORLD!",
-    "ＡＢＣ test",
+    "Zwölf Boxkämpfer; JAGEN Viktor...",
+    "ｑｕｉｃｋ　ｂｒｏｗｎ foxes",
     "Straße STRASSE",
     "ΣΑΣ ΐ ǰ",
     "İstanbul ıI",
@@ -47,16 +46,8 @@ EDGE_TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("tokenizer", [tokenize_text, tokenize_text_arrow])
-def test_tokens_match_plain_python(spark, tokenizer):
-    assert tokens_of(spark, EDGE_TEXTS, tokenizer) == [expected_tokens(t) for t in EDGE_TEXTS]
-
-
-def test_known_tokens(spark):
-    hello, wide = tokens_of(spark, EDGE_TEXTS[:2])
-    assert [t[1] for t in hello] == ["hello", "brave", "world"]
-    assert [t[0] for t in hello] == ["Hello", "brave", "WORLD"]
-    assert [t[1] for t in wide] == ["abc", "test"]
+def test_tokens_match_plain_python(spark):
+    assert tokens_of(spark, EDGE_TEXTS) == [expected_tokens(t) for t in EDGE_TEXTS]
 
 
 def test_every_assigned_code_point(spark):
