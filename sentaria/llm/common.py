@@ -32,17 +32,44 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return back
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a ``stored`` frame whose last reader has finished.
-
-    Spark also gets the chance to delete shuffle files of frames no longer in use: it does so
-    when the driver collects its garbage, which may else come after the disk is full.
-    """
+def remove(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` frame whose last reader has finished."""
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(df: DataFrame) -> None:
+    """:func:`remove`, and the chance for Spark to delete shuffle files of frames no longer in use.
+
+    It does so when the driver collects its garbage, which may else come after the disk is full.
+    """
+    remove(df)
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def free_name(taken, name: str) -> str:
+    """``name``, with underscores before it until it is none of the names ``taken`` (nor differs by case alone)."""
+    held = {t.lower() for t in taken}
+    while name.lower() in held:
+        name = f"_{name}"
+    return name
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly that name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def wide_key(*columns: str | Column) -> Column:
+    """A key of 128 bits: equal columns have equal keys, and others have different ones for any number of rows.
+
+    Two hashes of 64 bits with different seeds. Nulls are values like any other.
+    """
+    plain = [F.col(c) if isinstance(c, str) else c for c in columns]
+    nulls = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in plain])
+    return F.struct(F.xxhash64(*plain, nulls).alias("a"), F.xxhash64(nulls, F.lit("b"), *plain).alias("b"))
 
 
 #: Ids (8 bytes each) up to which a list is sent to all executors instead of being joined by shuffle.
@@ -110,19 +137,22 @@ def components(edges: DataFrame, label: str = "edges") -> DataFrame:
     now = stored(pairs.filter("u > v").distinct(), label)
     seen = _digest(now)
     while seen[0]:
+        before = now
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(
+        smallest = stored(
             both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
             label,
         )
         large = stored(
-            both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            both.join(smallest, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .filter("u > v").distinct(),
             label,
         )
         least = stored(large.groupBy("u").agg(F.min("v").alias("m")), label)
         moved = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = stored(moved.unionByName(least.withColumnRenamed("m", "v")).distinct(), label)
+        for past in (before, smallest, large, least):
+            remove(past)
         last, seen = seen, _digest(now)
         if last == seen:
             break

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import sent_if_short, stored, table
+from sentaria.llm.common import free_name, quoted, sent_if_short, stored, table, wide_key
 
 #: Positions that count, from the start of the window. Together they hit every window of 13
 #: tokens with up to two substitutions (see the tests).
@@ -23,6 +23,8 @@ WINDOW = 13
 SHARE = 0.8
 #: Rows of seeds (24 bytes each) up to which they are sent to all executors; more are joined by shuffle.
 SENT_SEEDS = 1_000_000
+#: Hits of one document that are verified together; more of them become several rows.
+ROW_HITS = 256
 _SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -96,7 +98,21 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: flo
     Shorter items are found by :func:`runs`, which miss no allowed substitution; the masks
     miss none in a whole window at the share they were chosen for. ``agreeing`` is the best
     window's count, ``compared`` its length. Null and empty texts overlap nothing. Rows with
-    null ids take part, repeated rows count once. Other columns are ignored.
+    null ids take part, repeated rows count once. Whole texts are read; the hits of a very long one
+    are verified in parts. Other columns are ignored, whatever their names.
+    """
+    found = row_overlaps(docs, items, window, share)
+    best = F.max(F.struct(F.try_divide("agreeing", "compared"), "agreeing", "compared")).alias("_best")
+    return found.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", F.col("_best.agreeing").alias("agreeing"), F.col("_best.compared").alias("compared")
+    )
+
+
+def row_overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
+    """``(row, doc_id, item_id, agreeing, compared)`` of every hit that :func:`overlaps` counts.
+
+    ``row`` is the key of a row of ``docs`` (its id and text), so that rows without an id, or
+    that repeat one, are told apart. An overlap may be found by several hits.
     """
     asked = items.select("item_id", token_hashes(F.col("text")).alias("toks")).distinct()
     asked = stored(asked.filter(F.size("toks") > 0), "benchmark-items")
@@ -115,33 +131,39 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: flo
     if not parts:
         return _no_overlaps(docs, items)
     item_seeds = reduce(DataFrame.unionByName, parts).filter("seed IS NOT NULL").select(
-        "item_id", F.col("at").alias("item_at"), "seed", F.xxhash64("toks").alias("item_key"),
+        F.col("at").alias("item_at"), "seed", F.xxhash64("item_id", "toks").alias("item_key"),
         # a hit of a whole item agrees wherever it is: one for each document will do
         n.isin([length for length in short if len(runs(length, share)) == 1]).alias("whole"),
     )
     item_seeds = stored(item_seeds.distinct(), "benchmark-seeds")
     if item_seeds.count() <= SENT_SEEDS:
         item_seeds = F.broadcast(item_seeds)
-    read = docs.select("doc_id", token_hashes(F.col("text")).alias("toks"))
+    read = docs.select("doc_id", "text").select(
+        F.xxhash64("doc_id", "text").alias("row"), token_hashes(F.col("text")).alias("toks")
+    )
     hits = (
-        _seeds(read, masks, "doc_id").join(item_seeds, "seed")
-        .select("doc_id", "item_id", "item_key", (F.col("at") - F.col("item_at")).alias("shift"), "whole")
-        .groupBy("doc_id", "item_id", "item_key", F.when(~F.col("whole"), F.col("shift")).alias("_place"))
+        _seeds(read, masks, "row").join(item_seeds, "seed")
+        .select("row", "item_key", (F.col("at") - F.col("item_at")).alias("shift"), "whole")
+        .groupBy("row", "item_key", F.when(~F.col("whole"), F.col("shift")).alias("_place"))
         .agg(F.min("shift").alias("shift")).drop("_place")
     )
     hits = stored(hits, "seed-hits")
-    keyed = asked.select(F.col("item_id").alias("_item"), F.col("toks").alias("item_toks"), F.xxhash64("toks").alias("_key"))
-    laid = hits.join(keyed, (F.col("item_key") == F.col("_key")) & F.col("item_id").eqNullSafe(F.col("_item")))
-    # a document's own hits: no more than its places and the items there
-    by_doc = laid.groupBy(F.col("doc_id").alias("_doc")).agg(
+    # only texts with hits are read again; a short list of them is known before
+    of_row = stored(
+        hits.groupBy("row").agg(F.ceil(F.count(F.lit(1)) / ROW_HITS).cast("int").alias("parts")), "rows-with-hits"
+    )
+    keyed = asked.select("item_id", F.col("toks").alias("item_toks"), F.xxhash64("item_id", "toks").alias("item_key"))
+    part = F.pmod(F.xxhash64("item_key", "shift"), F.col("parts")).alias("part")
+    dealt = hits.join(of_row, "row").select("row", part, "item_key", "shift")
+    laid = dealt.join(keyed, "item_key").groupBy("row", "part").agg(
         F.collect_list(F.struct("item_id", "shift", "item_toks")).alias("_laid")
     )
-    by_doc = stored(by_doc, "hits-by-document")
-    # only texts with hits are shuffled; a short list of them is known before
-    hit = sent_if_short(stored(hits.select(F.col("doc_id").alias("_hit")).distinct(), "documents-with-hits"))
-    read_again = docs.select("doc_id", "text").join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_semi")
-    both = read_again.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")))
-    both = both.select("doc_id", token_hashes(F.col("text")).alias("toks"), "_laid")
+    laid = stored(laid, "hits-by-row")
+    again = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
+    again = again.join(sent_if_short(of_row), "row", "left_semi")
+    both = again.join(laid, "row").select(
+        wide_key("doc_id", "text").alias("row"), "doc_id", token_hashes(F.col("text")).alias("toks"), "_laid"
+    )
 
     def compared(hit: Column) -> Column:
         return F.struct(
@@ -150,24 +172,26 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: flo
             F.least(F.lit(window), F.size(hit["item_toks"])).alias("compared"),
         )
 
-    found = both.select("doc_id", F.transform("_laid", compared).alias("_found"))
-    found = found.select("doc_id", F.explode_outer("_found").alias("_f")).select("doc_id", "_f.*")
-    good = found.filter(F.col("agreeing") >= F.col("compared") * share)
-    best = F.max(F.struct(F.col("agreeing") / F.col("compared"), "agreeing", "compared")).alias("_best")
-    return good.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", F.col("_best.agreeing").alias("agreeing"), F.col("_best.compared").alias("compared")
-    )
+    found = both.select("row", "doc_id", F.transform("_laid", compared).alias("_found"))
+    found = found.select("row", "doc_id", F.explode_outer("_found").alias("_f")).select("row", "doc_id", "_f.*")
+    return found.filter(F.col("agreeing") >= F.col("compared") * share)
 
 
 def _no_overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
-    none = docs.limit(0).crossJoin(items.select("item_id").limit(0))
-    return none.select("doc_id", "item_id", F.lit(0).alias("agreeing"), F.lit(0).alias("compared"))
+    none = docs.select(wide_key("doc_id", "text").alias("row"), "doc_id").limit(0).crossJoin(items.select("item_id").limit(0))
+    return none.select("row", "doc_id", "item_id", F.lit(0).alias("agreeing"), F.lit(0).alias("compared"))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that overlap no benchmark item, with their columns."""
-    dirty = stored(overlaps(docs, items).select(F.col("doc_id").alias("_dirty")).distinct(), "dirty-documents")
-    return docs.join(sent_if_short(dirty), F.col("doc_id").eqNullSafe(F.col("_dirty")), "left_anti")
+    """The rows of ``docs`` that overlap no benchmark item, with their columns, whatever their names.
+
+    A row goes for its own text only: rows without an id, or that repeat one, are judged one by one.
+    Null and empty texts stay.
+    """
+    name = free_name(docs.columns, "_row")
+    dirty = stored(row_overlaps(docs, items).select(F.col("row").alias(name)).distinct(), "dirty-rows")
+    keyed = docs.withColumn(name, wide_key("doc_id", "text"))
+    return keyed.join(sent_if_short(dirty), name, "left_anti").select(*[quoted(c) for c in docs.columns])
 
 
 def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ probes, for each length it may meet, the few substrings that can equal a segment
 Pairs that meet are verified by a banded bit-parallel edit distance.
 
 Lines travel twice: first their keys alone, packed, to find those that another line has;
-then the texts of such lines, in blocks of both sides of a key. A block verifies its pairs
+then, once each, the texts of such lines, in blocks of both sides of a key. A block verifies its pairs
 and returns the links of each line as a number and a forest that connects what it linked,
 so that a group of lines that are all alike returns rows in proportion to its lines. A pair
 is verified under the least of the keys it shares, and thus counted once.
@@ -23,16 +23,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import components, discard, sent_if_short, stored, table, width_of
+from sentaria.llm.common import components, discard, free_name, quoted, remove, sent_if_short, stored, table, wide_key, width_of
 
 #: Edits (insertions, deletions, substitutions of characters) between near-duplicate lines.
 EDITS = 2
 #: Least characters of a line unless a caller asks for shorter ones; two edits of a shorter line change its meaning.
 LEAST_CHARS = 20
 #: Lines of each side of one key that a block verifies; a key with more becomes several blocks.
-BLOCK_LINES = 256
+BLOCK_LINES = 1024
 #: Lines after which a task writes what it has counted so far.
 _HELD_LINES = 50_000
+#: Lines whose repeats a task leaves out while it hashes segments.
+_SEEN_LINES = 1_000_000
+#: Rows that lose lines, and such lines, up to which a list of them is sent to all executors.
+SENT_ROWS, SENT_LINES = 500_000, 4_000_000
 
 
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
@@ -121,15 +125,19 @@ def _probing_keys(edits: int, text: str, other: int) -> set[int]:
 
 
 def _packed_keys(edits: int, least: int, buckets: int):
-    """Rows ``(bucket, side, keys, lines)`` of many distinct lines: side 0 indexes, side 1 probes."""
+    """Rows ``(bucket, side, keys, lines)`` of many lines: side 0 indexes, side 1 probes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 4000):
                 part = batch.slice(at, 4000)
                 keys: tuple[list, list] = ([], [])
                 lines: tuple[list, list] = ([], [])
                 for number, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if number in seen:
+                        continue
+                    seen.add(number)
                     found = set()
                     for other in range(max(least, len(text) - edits), len(text) + 1):
                         found |= _probing_keys(edits, text, other)
@@ -149,6 +157,8 @@ def _packed_keys(edits: int, least: int, buckets: int):
                         some = slice(cuts[b], cuts[b + 1])
                         if some.start < some.stop:
                             out.append((b, side, short[some].tobytes(), of[order][some].tobytes()))
+                if len(seen) >= _SEEN_LINES:
+                    seen.clear()
                 columns = list(zip(*out)) or [()] * 4
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int8(), pa.binary(), pa.binary()))],
@@ -174,8 +184,12 @@ def _meet(block_lines: int):
         for side in (0, 1):
             key, line = unpack(side, "keys", "<u4"), unpack(side, "lines", np.int64)
             order = np.lexsort((line, key))
-            keys.append(key[order])
-            lines.append(line[order])
+            key, line = key[order], line[order]
+            # tasks that have the same line send its keys again
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
+            keys.append(key[new])
+            lines.append(line[new])
         held = np.unique(keys[0])
         count = lambda key: np.searchsorted(key, held, side="right") - np.searchsorted(key, held)
         n = count(keys[0]), count(keys[1])
@@ -263,7 +277,8 @@ def _verified(edits: int, buckets: int):
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """``(doc_id, _row, line_no, text)``: the lines of every text, split at line feeds; null texts have none."""
-    return docs.select("doc_id", _row_key().alias("_row"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "text"))
+    lines = F.posexplode(F.split("text", "\n", -1)).alias("line_no", "text")
+    return docs.select("doc_id", _row_key().alias("_row"), lines)
 
 
 def line_key(text: Column | str) -> Column:
@@ -274,8 +289,8 @@ def linked_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
     """``(line, n, other)`` that tell how the distinct lines within ``edits`` are linked.
 
     Rows with a null ``other`` add ``n`` to the number of links of ``line``; the other rows are
-    links ``line, other``, enough of them to connect all that links connect. ``lines`` has one
-    row ``(line, text)`` for each distinct text of ``least`` characters or more.
+    links ``line, other``, enough of them to connect all that links connect. ``lines`` has rows
+    ``(line, text)`` of ``least`` characters or more, repeats among them, one number for each text.
     """
     buckets = 2 * width_of(lines, 1.0)
     packed = lines.mapInArrow(_packed_keys(edits, least, buckets), "bucket bigint, side tinyint, keys binary, lines binary")
@@ -284,7 +299,10 @@ def linked_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
     )
     met = stored(met, "met-lines")
     ids = stored(met.select("line").distinct(), "met-line-ids")
-    texts = stored(lines.join(sent_if_short(ids), "line", "left_semi").select("line", "text"), "met-texts")
+    # only lines that meet another are fetched, each of them once
+    wanted = lines.join(sent_if_short(ids), "line", "left_semi")
+    texts = stored(wanted.groupBy("line").agg(F.first("text").alias("text")), "met-texts")
+    remove(ids)
     every = F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("other_part")
     dealt = met.join(texts, "line").select("key", "side", "part", every, "line", "text")
     block = ["key", "row_part", "probe_part"]
@@ -295,6 +313,7 @@ def linked_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
     )
     dealt = dealt.repartition(width_of(texts, 8.0), *block).sortWithinPartitions(*block, "side")
     links = stored(dealt.mapInArrow(_verified(edits, buckets), "line bigint, n bigint, other bigint"), "line-links")
+    remove(texts)
     discard(met)
     return links
 
@@ -311,24 +330,42 @@ def classes(
     first is so in each of them.
 
     Lines of ``near`` characters or more are linked (``least`` if not given, at least one for
-    each segment); a shorter one has no links, and its class is its own text.
+    each segment); a shorter one has no links, and its class is its own text. Columns of
+    ``docs`` other than ``doc_id`` and ``text`` are ignored, whatever their names.
     """
     return _keyed_classes(docs, edits, least, near).drop("_row")
 
 
 def _row_key() -> Column:
     """Key of a row of documents: rows without an id, or that repeat one, are told apart by their text."""
-    return F.xxhash64("doc_id", "text")
+    return wide_key("doc_id", "text")
+
+
+def _numbered_lines(docs: DataFrame, least: int) -> DataFrame:
+    """:func:`line_rows` of ``least`` characters or more with the number ``line`` of each text.
+
+    Numbers are hashes of 64 bits. Texts that share one, which happens among very many lines,
+    are found by a second hash and take that as their number.
+    """
+    rows = line_rows(docs).filter(F.char_length("text") >= least)
+    check = F.xxhash64(F.lit("second"), "text")
+    rows = rows.withColumn("line", line_key("text"))
+    both = rows.select("line", check.alias("check")).groupBy("line").agg(F.min("check").alias("x"), F.max("check").alias("y"))
+    twins = stored(both.filter("x < y").select("line", F.lit(True).alias("twin")), "line-numbers-shared")
+    if twins.isEmpty():
+        remove(twins)
+        return rows
+    number = F.when(F.col("twin"), check).otherwise(F.col("line"))
+    return rows.join(sent_if_short(twins), "line", "left").select(
+        "doc_id", "_row", "line_no", "text", number.alias("line")
+    )
 
 
 def _keyed_classes(docs: DataFrame, edits: int, least: int, near: int | None) -> DataFrame:
     """:func:`classes` with the key ``_row`` of the row that a line is from."""
     near = max(least if near is None else near, edits + 1)
-    rows = line_rows(docs).filter(F.char_length("text") >= least)
-    rows = rows.withColumn("line", line_key("text"))
-    texts = stored(rows.groupBy("line").agg(F.first("text").alias("text")), "distinct-lines")
-    links = linked_lines(texts.filter(F.char_length("text") >= near), edits, near)
-    discard(texts)
+    rows = _numbered_lines(docs, least)
+    links = linked_lines(rows.filter(F.char_length("text") >= near).select("line", "text"), edits, near)
     counts = links.filter("other IS NULL").groupBy("line").agg(F.sum("n").alias("n_links"))
     counts = stored(counts, "link-counts")
     edges = links.filter("other IS NOT NULL").select(F.col("line").alias("a"), F.col("other").alias("b"))
@@ -339,17 +376,24 @@ def _keyed_classes(docs: DataFrame, edits: int, least: int, near: int | None) ->
         ),
         "line-classes",
     )
+    remove(counts)
+    discard(links)
+    # lines without links are not in the list of classes
     placed = stored(
-        rows.select("doc_id", "_row", "line_no", "line").join(named, "line", "left").select(
+        rows.select("doc_id", "_row", "line_no", "line").join(sent_if_short(named), "line", "left").select(
             "doc_id", "_row", "line_no", "line", F.coalesce("class_id", "line").alias("class_id"),
             F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
         ),
         "placed-lines",
     )
+    remove(named)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "line_no", "_row")
-    firsts = stored(placed.groupBy("class_id").agg(F.min(order).alias("_first")), "first-lines")
-    return placed.join(firsts, "class_id").select(
-        "doc_id", "_row", "line_no", "line", "class_id", "n_links", (order == F.col("_first")).alias("first")
+    firsts = placed.groupBy("class_id").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    # the only line of its class is its first
+    firsts = stored(firsts.filter("_lines > 1").drop("_lines"), "first-lines")
+    return placed.join(sent_if_short(firsts), "class_id", "left").select(
+        "doc_id", "_row", "line_no", "line", "class_id", "n_links",
+        (F.col("_first").isNull() | (order == F.col("_first"))).alias("first"),
     )
 
 
@@ -360,16 +404,24 @@ def drop_repeated(
 
     ``least`` and ``near`` as in :func:`classes`. Shorter lines and null texts stay as they are. A text all of whose lines go is empty.
     A row loses its own lines only, whatever rows without an id or with the same id lose; rows
-    equal in id and text stay equal.
+    equal in id and text stay equal. Columns of any other name stay, also those named like
+    internal ones.
+
+    The list of what goes is sent to all executors while it is short; only if it is long are
+    documents shuffled to meet it.
     """
-    gone = _keyed_classes(docs, edits, least, near).filter("NOT first").select("_row", "line_no")
-    gone = stored(gone.groupBy("_row").agg(F.collect_set("line_no").alias("_gone")), "repeated-lines")
-    joined = docs.join(gone, _row_key() == gone["_row"], "left")
+    row, gone = free_name(docs.columns, "_row"), free_name(docs.columns, "_gone")
+    lost = _keyed_classes(docs, edits, least, near).filter("NOT first").select(F.col("_row").alias(row), "line_no")
+    lost = stored(lost.groupBy(row).agg(F.collect_set("line_no").alias(gone)), "repeated-lines")
+    size = lost.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size(gone)), F.lit(0)).alias("lines")).first()
+    if size["n"] <= SENT_ROWS and size["lines"] <= SENT_LINES:
+        lost = F.broadcast(lost)
+    joined = docs.withColumn(row, _row_key()).join(lost, row, "left")
     lines = F.split("text", "\n", -1)
-    numbered = F.transform(lines, lambda t, i: F.when(~F.array_contains("_gone", i), t))
+    numbered = F.transform(lines, lambda t, i: F.when(~F.array_contains(gone, i), t))
     kept = F.array_join(F.array_compact(numbered), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
-    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept)
+    return joined.withColumn("text", text).select(*[quoted(c) for c in docs.columns])
 
 
 def op9_segment_edit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

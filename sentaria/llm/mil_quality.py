@@ -18,14 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import table
+from sentaria.llm.common import quoted, table
 
 #: Words of a passage.
 PASSAGE_WORDS = 96
-#: Labelled documents that a fit reads at most, and passages of one of them, evenly spaced.
-#: Scoring reads every passage of every document.
+#: Labelled documents that a fit reads at most, each of them whole.
 FIT_DOCUMENTS = 6000
-FIT_PASSAGES = 24
 HASHED = 24
 WIDTH = 24
 GATE = 12
@@ -183,11 +181,8 @@ def fold(doc_id: Column | str) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % 3 if isinstance(doc_id, str) else F.crc32(doc_id.cast("string")) % 3
 
 
-def _bag(text: str | None, most: int | None = None) -> np.ndarray:
-    rows = list(passages(text))
-    if most and len(rows) > most:
-        rows = [rows[i * len(rows) // most] for i in range(most)]
-    return np.array([encode(r) for r in rows], float)
+def _bag(text: str | None) -> np.ndarray:
+    return np.array([encode(words) for words in passages(text)], float)
 
 
 def sample_bags(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> tuple[list, list]:
@@ -208,7 +203,7 @@ def sample_bags(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = [_bag(t.as_py(), FIT_PASSAGES).astype("<f4").tobytes() for t in batch.column(2)]
+            bags = [_bag(t.as_py()).astype("<f4").tobytes() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"]
             )
@@ -226,12 +221,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Mode
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score``: every passage of every text, null texts as empty ones.
 
-    Only the text enters the score. Null and repeated ids are scored like any other row.
+    Only the text enters the score. Null and repeated ids are scored like any other row. A
+    column that is named ``score`` already makes room for the new one; all others stay.
     """
-    names = docs.columns
-    at = names.index("text")
-    out = docs.withColumn("score", F.lit(0.0))
-    schema = out.select(*names, F.col("score").cast("double")).schema
+    docs = docs.select(*[quoted(c) for c in docs.columns if c.lower() != "score"])
+    at = docs.columns.index("text")
+    schema = docs.withColumn("score", F.lit(0.0)).schema
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,20 +241,20 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score ``least`` or more, with their columns."""
+    """The rows of ``docs`` that score ``least`` or more, with their columns, whatever their names.
+
+    Empty and null texts are judged like any other; without labels every score is a half.
+    """
     model = train(docs, labels)
-    narrow = docs.withColumn("_score_of", F.col("text"))
-    names = docs.columns
+    at = docs.columns.index("text")
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    at = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.value
         for batch in batches:
-            good = pa.array([own.score(_bag(t.as_py())) >= least for t in batch.column(at)], pa.bool_())
-            yield pa.RecordBatch.from_arrays(batch.columns[:at], names=names).filter(good)
+            yield batch.filter(pa.array([own.score(_bag(t.as_py())) >= least for t in batch.column(at)], pa.bool_()))
 
-    return narrow.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,12 +23,8 @@ from pyspark.sql import functions as F
 from sentaria.llm.common import stored, table
 
 TOP = 20
-#: Documents and text bytes of a block, and documents of a window.
-BLOCK_DOCS = 8192
+#: Text bytes of a block.
 BLOCK_BYTES = 32 << 20
-WINDOW = 1024
-#: Lists shorter than this share of a block's documents are summed term at a time.
-SHORT = 1 / 16
 #: Items that are asked together, and their bytes of text: what is sent to every task.
 ITEMS = 2000
 ITEM_BYTES = 16 << 20
@@ -50,6 +46,18 @@ _BLOCK_SCHEMA = pa.schema(
 FOUND = "query int, doc_id bigint, score bigint"
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Documents of a block and of a window; lists up to ``short`` of a block's documents are summed term at a time."""
+
+    block: int = 8192
+    window: int = 1024
+    short: float = 1 / 16
+
+    def windows(self, n_docs: int) -> int:
+        return -(-n_docs // self.window)
+
+
 def terms(text: str | None) -> list[bytes]:
     """The terms of a text in their order: runs of ASCII letters, digits and other characters."""
     return text.encode().translate(_TERM_BYTES).split() if text else []
@@ -65,7 +73,7 @@ class _Known(dict):
         return 1
 
 
-def _indexer(vocabulary: list[bytes]):
+def _indexer(vocabulary: list[bytes], layout: Layout):
     def block(rows: list[tuple[int | None, bytes]], known: _Known) -> pa.RecordBatch:
         # in the order of ids, nulls first, so that a block's places decide ties as ids do
         rows.sort(key=lambda r: (r[0] is not None, r[0] or 0))
@@ -97,7 +105,7 @@ def _indexer(vocabulary: list[bytes]):
                 text = (text.as_py() or b"").translate(_TERM_BYTES)
                 rows.append((doc_id, text))
                 size += len(text)
-                if len(rows) >= BLOCK_DOCS or size >= BLOCK_BYTES:
+                if len(rows) >= layout.block or size >= BLOCK_BYTES:
                     yield block(rows, known)
                     rows, size = [], 0
         if rows:
@@ -118,40 +126,42 @@ class Posting:
     peaks: np.ndarray
 
     @classmethod
-    def of(cls, places: np.ndarray, gains: np.ndarray, n_windows: int) -> "Posting":
-        peaks = np.zeros(n_windows, np.int64)
-        np.maximum.at(peaks, places // WINDOW, gains)
+    def of(cls, places: np.ndarray, gains: np.ndarray, n_docs: int, layout: Layout) -> "Posting":
+        peaks = np.zeros(layout.windows(n_docs), np.int64)
+        np.maximum.at(peaks, places // layout.window, gains)
         return cls(places, gains, peaks)
 
     def times(self, weight: int) -> "Posting":
         return Posting(self.places, self.gains * weight, self.peaks * weight)
 
-    def window(self, w: int) -> tuple[np.ndarray, np.ndarray]:
-        a, b = np.searchsorted(self.places, (w * WINDOW, (w + 1) * WINDOW))
+    def between(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = np.searchsorted(self.places, (start, end))
         return self.places[a:b], self.gains[a:b]
 
 
-def summed(short: list[Posting], n_docs: int, n_windows: int) -> Posting:
+def summed(short: list[Posting], n_docs: int, layout: Layout) -> Posting:
     """Short lists as one: the accumulators of a term-at-a-time pass."""
     sums = np.zeros(n_docs, np.int64)
     for posting in short:
         sums[posting.places] += posting.gains
     places = np.flatnonzero(sums)
-    return Posting.of(places, sums[places], n_windows)
+    return Posting.of(places, sums[places], n_docs, layout)
 
 
-def best_of_block(lists: list[Posting], n_docs: int, top: int, floor: int) -> tuple[np.ndarray, np.ndarray]:
+def best_of_block(
+    lists: list[Posting], n_docs: int, top: int, floor: int, layout: Layout
+) -> tuple[np.ndarray, np.ndarray]:
     """Places and scores of a block's documents that may be among the ``top`` best.
 
     ``floor`` is a score that a document must reach. Every document of the block with one
     of its ``top`` best scores of at least the floor is returned, ties included.
     """
-    n_windows = -(-n_docs // WINDOW)
-    limit = max(1, int(n_docs * SHORT))
+    n_windows = layout.windows(n_docs)
+    limit = int(n_docs * layout.short)
     streams = [p for p in lists if len(p.places) > limit]
     short = [p for p in lists if len(p.places) <= limit]
     if short:
-        gathered = summed(short, n_docs, n_windows)
+        gathered = summed(short, n_docs, layout)
         streams.append(gathered)
         if len(gathered.gains) >= top:  # partial sums already hold the k-th best from below
             floor = max(floor, int(np.partition(gathered.gains, -top)[-top]))
@@ -165,9 +175,10 @@ def best_of_block(lists: list[Posting], n_docs: int, top: int, floor: int) -> tu
             continue
         # documents only in the first lists cannot reach the floor: those lists are looked up, not walked
         walked = int(np.searchsorted(reach[:, w], floor))
-        base, sums = w * WINDOW, np.zeros(WINDOW, np.int64)
+        base, end = w * layout.window, (w + 1) * layout.window
+        sums = np.zeros(layout.window, np.int64)
         for posting in streams[walked:]:
-            places, gains = posting.window(w)
+            places, gains = posting.between(base, end)
             sums[places - base] += gains
         at = np.flatnonzero(sums)
         score = sums[at]
@@ -176,7 +187,7 @@ def best_of_block(lists: list[Posting], n_docs: int, top: int, floor: int) -> tu
             at, score = at[hopeful], score[hopeful]
             if not len(at):
                 break
-            places, gains = streams[k].window(w)
+            places, gains = streams[k].between(base, end)
             if len(places):
                 near = np.searchsorted(places, at + base)
                 near[near == len(places)] = 0
@@ -209,7 +220,7 @@ def weight(df: int, of: Statistics) -> int:
     return math.floor(WEIGHT_SCALE * math.log((2 * of.documents + 2) / (2 * df + 1)))
 
 
-def _searcher(queries: list[dict[int, int]], of: Statistics, top: int):
+def _searcher(queries: list[dict[int, int]], of: Statistics, top: int, layout: Layout):
     """``queries``: for each, the weight of its terms times their repeats."""
     schema = pa.schema([("query", pa.int32()), ("doc_id", pa.int64()), ("score", pa.int64())])
 
@@ -221,16 +232,15 @@ def _searcher(queries: list[dict[int, int]], of: Statistics, top: int):
                 places, tf = np.frombuffer(places, "<u4").astype(np.int64), np.frombuffer(counts, "<u4").astype(np.int64)
                 gains = gains_of(tf, np.array(lengths, np.int64)[places], of)
                 ends = np.cumsum(sizes).tolist()
-                n_windows = -(-n_docs // WINDOW)
                 lists = {
-                    t: Posting.of(places[e - s : e], gains[e - s : e], n_windows)
+                    t: Posting.of(places[e - s : e], gains[e - s : e], n_docs, layout)
                     for t, s, e in zip(present, sizes, ends)
                 }
                 for q, weights in enumerate(queries):
                     kept = best[q]
                     floor = -kept[-1][0] if len(kept) == top else 1
                     own = [lists[t].times(w) for t, w in weights.items() if t in lists and w > 0]
-                    at, scores = best_of_block(own, n_docs, top, floor)
+                    at, scores = best_of_block(own, n_docs, top, floor, layout)
                     if len(at):
                         new = [(-s, ids[p] is not None, ids[p] or 0) for p, s in zip(at.tolist(), scores.tolist())]
                         best[q] = sorted(kept + new)[:top]
@@ -258,11 +268,13 @@ def _item_blocks(items: DataFrame) -> Iterator[list[tuple[int | None, str | None
         yield rows
 
 
-def _search_block(docs: DataFrame, items: list[tuple[int | None, str | None]], top: int) -> DataFrame:
+def _search_block(
+    docs: DataFrame, items: list[tuple[int | None, str | None]], top: int, layout: Layout
+) -> DataFrame:
     spark = docs.sparkSession
     asked = [Counter(terms(text)) for _, text in items]
     vocabulary = sorted(set().union(*asked))
-    blocks = stored(docs.select("doc_id", "text").mapInArrow(_indexer(vocabulary), BLOCKS), "postings")
+    blocks = stored(docs.select("doc_id", "text").mapInArrow(_indexer(vocabulary, layout), BLOCKS), "postings")
     counts = blocks.select(F.size(F.filter("lengths", lambda n: n > 0)).alias("n"), "n_terms")
     total = counts.agg(F.sum("n"), F.sum("n_terms")).first()
     of = Statistics(int(total[0] or 0), int(total[1] or 0))
@@ -274,7 +286,7 @@ def _search_block(docs: DataFrame, items: list[tuple[int | None, str | None]], t
         {number[t]: repeats * weight(df[number[t]], of) for t, repeats in query.items() if number[t] in df}
         for query in asked
     ]
-    found = blocks.mapInArrow(_searcher(queries, of, top), FOUND)
+    found = blocks.mapInArrow(_searcher(queries, of, top, layout), FOUND)
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_first("doc_id")))
     ranked = found.withColumn("rank", rank).filter(F.col("rank") <= top)
     names = spark.createDataFrame([(q, item_id) for q, (item_id, _) in enumerate(items)], "query int, item_id bigint")
@@ -282,7 +294,7 @@ def _search_block(docs: DataFrame, items: list[tuple[int | None, str | None]], t
     return ranked.join(F.broadcast(names), "query").select("item_id", "rank", "doc_id", "score")
 
 
-def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
+def search(docs: DataFrame, items: DataFrame, top: int = TOP, layout: Layout = Layout()) -> DataFrame:
     """The ``top`` best documents of each item with a score above 0: ``item_id, rank, doc_id, score``.
 
     Whole texts are read. A null or empty text has no terms: such an item finds nothing,
@@ -294,7 +306,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     Items are the stated queries: they are sent to the tasks in blocks of at most 2,000 items
     and 16 MB, and each block reads the documents once.
     """
-    parts = [_search_block(docs, block, top) for block in _item_blocks(items)]
+    parts = [_search_block(docs, block, top, layout) for block in _item_blocks(items)]
     if not parts:
         return docs.sparkSession.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
     return reduce(DataFrame.unionByName, parts)

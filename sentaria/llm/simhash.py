@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import components, stored, table
+from sentaria.llm.common import components, free_name, quoted, remove, sent_if_short, stored, table, wide_key
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -245,20 +245,32 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that are the first of their component: one row of each group.
 
     First is the least id; rows without an id come last, and the text decides between rows of
-    one id. Of rows with equal id and text one stays.
+    one id. Of rows with equal id and text one stays. Columns of any name stay as they are.
+
+    What goes is a list of keys, sent to all executors while it is short; of whole rows, only
+    those that repeat another are shuffled.
     """
-    wide = stored(
-        fingerprints(docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_row"))),
-        "document-fingerprints",
-    )
-    named = with_components(wide, radius=radius)
+    key, mark = free_name(docs.columns, "_row"), free_name(docs.columns, "_repeated")
+    rows = docs.select("doc_id", "text", wide_key("doc_id", "text").alias("_row"))
+    wide = stored(fingerprints(rows), "document-fingerprints")
+    named = stored(with_components(wide, radius=radius), "document-components")
     # by the root, as components of null ids alone all have a null id
-    first = named.groupBy("_root").agg(
-        F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_row")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = stored(named.groupBy("_root").agg(F.min_by("_row", order).alias("_first")), "first-rows")
+    by_key = named.groupBy("_row").agg(F.first("_root").alias("_root"), F.count(F.lit(1)).alias("_rows"))
+    judged = by_key.join(first, "_root").select(
+        F.col("_row").alias(key), (F.col("_row") == F.col("_first")).alias("_stays"), (F.col("_rows") > 1).alias(mark)
     )
-    first = stored(first.select("_row").distinct(), "kept-rows")
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    return keyed.join(first, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    judged = stored(judged.filter(F.col(mark) | ~F.col("_stays")), "judged-rows")
+    remove(first)
+    remove(named)
+    gone = judged.filter("NOT _stays").select(key)
+    repeated = judged.filter("_stays").select(key, mark)
+    kept = docs.withColumn(key, wide_key("doc_id", "text")).join(sent_if_short(gone), key, "left_anti")
+    kept = kept.join(sent_if_short(repeated), key, "left")
+    single = kept.filter(F.col(mark).isNull())
+    several = kept.filter(F.col(mark).isNotNull()).dropDuplicates([key])
+    return single.unionByName(several).select(*[quoted(c) for c in docs.columns])
 
 
 def op5_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,14 +78,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _order(places: np.ndarray, pieces: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """A fixed shuffle of a group, its shortest pieces last."""
+def _orders(places: np.ndarray, pieces: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Orders to try: a fixed shuffle with the shortest pieces last, and by falling length."""
     shuffled = np.lexsort((pieces, places, _mixed(places * 64 + pieces)))
     by_length = shuffled[np.argsort(lengths[shuffled], kind="stable")]
     late = by_length[: int(len(lengths) * LATE)]
     first = np.ones(len(lengths), bool)
     first[late] = False
-    return np.concatenate([shuffled[first[shuffled]], late[::-1]])
+    yield np.concatenate([shuffled[first[shuffled]], late[::-1]])
+    yield by_length[::-1]
 
 
 def _cutter(folder: str | None, capacity: int):
@@ -112,8 +113,11 @@ def _cutter(folder: str | None, capacity: int):
 def _packer(number: int, capacity: int):
     def pack_group(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         lengths, places = rows["length"].to_numpy(), rows["place"].to_numpy()
-        order = _order(places, rows["piece"].to_numpy(), lengths)
-        sequence, offset, gaps = fill(lengths[order].tolist(), capacity)
+        tried = [
+            (order, *fill(lengths[order].tolist(), capacity))
+            for order in _orders(places, rows["piece"].to_numpy(), lengths)
+        ]
+        order, sequence, offset, gaps = min(tried, key=lambda t: len(t[3]))
         base = (number << (_LOCAL_BITS + _GROUP_BITS)) | (key[0].as_py() << _LOCAL_BITS)
         rows = rows.drop_columns(["group"]).take(pa.array(order))
         return (
@@ -139,7 +143,8 @@ def pack_best_fit(
     their row, so no id and no length makes a group large. A very long text is tokenised whole
     in its task. An empty table gives no rows. Other columns are ignored, whatever their names.
 
-    A round packs its pieces in groups of about ``group_pieces``. Sequences with room (more
+    A round packs its pieces in groups of about ``group_pieces``, each in two orders of which the
+    one with fewer sequences counts. Sequences with room (more
     than a 64th) are taken apart and packed again, until one group holds all, or until more
     than half of a round's pieces stay in such sequences (long pieces that nothing fills).
     """
