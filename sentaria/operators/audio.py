@@ -101,15 +101,22 @@ def download(
 
 
 def _fetched(fetch: Callable[[str, str], object], url: str, path: str) -> bool:
+    """Fetch to a file of the task's own, and move it to ``path`` on any file system when it is complete."""
     import os
+    import tempfile
     import uuid
 
+    from pyarrow import fs
+
     try:
-        if not os.path.exists(path):
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            partial = f"{path}.{uuid.uuid4().hex}.part"
-            fetch(url, partial)
-            os.replace(partial, path)
+        files, target = fs.FileSystem.from_uri(path if "://" in path else path.removeprefix("file:"))
+        if files.get_file_info(target).type == fs.FileType.NotFound:
+            files.create_dir(os.path.dirname(target), recursive=True)
+            partial = f"{target}.{uuid.uuid4().hex}.part"
+            with tempfile.TemporaryDirectory() as own:
+                fetch(url, f"{own}/file")
+                fs.copy_files(f"{own}/file", partial, source_filesystem=fs.LocalFileSystem(), destination_filesystem=files)
+            files.move(partial, target)
         return True
     except Exception:  # any fetch failure is an outcome of the row, not of the job
         return False

@@ -24,7 +24,7 @@ from sentaria.functions.text import (
 from sentaria.operators.ranking import PLACE, PLACE_BITS, TOP_ROWS, page_of, places, total_order
 from sentaria.plans.sizing import spread, written
 from sentaria.schemas import SCHEMAS
-from sentaria.sinks.keyed import in_ranges, value_ranges
+from sentaria.sinks.keyed import narrowed, value_ranges
 
 ID = "sentence_id"
 _MASK_BITS = 62
@@ -312,7 +312,7 @@ def near(children: DataFrame, ids: DataFrame, column: str = ID) -> DataFrame:
     then joined by its real size.
     """
     ids = ids.select(F.col(ids.columns[0]).alias(column))
-    narrow = children.filter(in_ranges(column, value_ranges(ids)))
+    narrow = narrowed(children, column, value_ranges(ids))
     return narrow.join(ids.distinct(), column, "left_semi").select(children.columns)
 
 
@@ -326,7 +326,7 @@ def translations_near(
     """
     own = written(near(links.select(ID, "translation_id"), ids), "page-links")
     targets = sentences_in_language(sentences, target_language)
-    return translations_of(own, targets.filter(in_ranges(ID, value_ranges(own.select("translation_id")))))
+    return translations_of(own, narrowed(targets, ID, value_ranges(own.select("translation_id"))))
 
 
 def search_vocabulary(

@@ -46,6 +46,14 @@ _VIEWS = {
         GROUP BY query_id, key""",
     "translations": """SELECT l.sentence_id, l.translation_id, s.language, s.text
         FROM links l JOIN sentences s ON s.sentence_id = l.translation_id""",
+    "exported": """SELECT sentence_id, language, username, CASE WHEN sentence_id % 97 = 0 THEN NULL
+        WHEN sentence_id % 89 = 0 THEN '' ELSE regexp_replace(text, '[\\t\\r\\n]', ' ', 'g') END AS text
+        FROM sentences""",
+    "exported_audio": """SELECT source, audio_id, sentence_id, download_url, status,
+        CASE WHEN sentence_id % 11 <> 0 THEN username END AS username,
+        CASE WHEN sentence_id % 11 <> 0 THEN license END AS license,
+        CASE WHEN sentence_id % 11 <> 0 THEN attribution_url END AS attribution_url
+        FROM sentence_audio WHERE sentence_id % 11 = 0 OR sentence_id % 13 <> 0""",
 }
 
 _NEEDS = {
@@ -53,6 +61,8 @@ _NEEDS = {
     "sentence_audio": ["audio_export"],
     "tokens": ["sentences"],
     "translations": ["links", "sentences"],
+    "exported": ["sentences"],
+    "exported_audio": ["sentence_audio"],
 }
 
 
@@ -70,7 +80,7 @@ def _with(names: list[str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({_VIEWS[n]})" for n in wanted) + "\n" + body
 
 
-_BRIEF = "sentence_id, language, length(text) AS n_chars"
+_BRIEF = "sentence_id, language, length(text) AS n_chars, md5(text) AS text_md5"
 
 _INDEX = _with(
     ["tokens"],
@@ -151,7 +161,7 @@ _STORED = _with(
 )
 
 _COUNTS = _with(
-    ["tokens", "links", "tags", "grammar_patterns", "annotations", "sentence_audio"],
+    ["links", "tags", "grammar_patterns", "annotations", "sentence_audio"],
     """SELECT 'sentences' AS table_name, count(*) AS n_rows FROM sentences
     UNION ALL SELECT 'links', count(*) FROM links
     UNION ALL SELECT 'tags', count(*) FROM tags
@@ -160,6 +170,55 @@ _COUNTS = _with(
     UNION ALL SELECT 'sentence_audio', count(*) FROM sentence_audio""",
 )
 
+#: Columns by which stored tables are compared; the same as those of the queries.
+_DIGESTED = {
+    "sentences": "sentence_id language text username",
+    "sentence_tokens": "sentence_id language normalized_token position",
+    "links": "sentence_id translation_id",
+    "tags": "sentence_id tag_name",
+    "grammar_patterns": "pattern_id language name",
+    "sentence_grammar_patterns": "sentence_id pattern_id evidence_text",
+    "sentence_audio": "audio_id sentence_id license download_url",
+}
+
+
+def _digest(table: str, rows: str, columns: str | None = None) -> str:
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in (columns or _DIGESTED[table]).split())
+    return f"""SELECT '{table}' AS table_name, count(*) AS n_rows,
+        CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 8) AS BIGINT)), 0) AS BIGINT) AS digest
+        FROM {rows}"""
+
+
+def _digests(**tables: str) -> str:
+    columns = {"sentences": "sentence_id language text"}
+    return " UNION ALL ".join(_digest(t, rows, columns.get(t)) for t, rows in tables.items())
+
+
+_TRUSTED = "SELECT * FROM exported WHERE sentence_id IN (SELECT sentence_id FROM quality_ids)"
+
+
+def _loaded(languages: str) -> str:
+    """What the jobs serve: trusted sentences of some languages and what refers to them."""
+    ours = "(SELECT sentence_id FROM loaded)"
+    empty = "(SELECT * FROM {0} WHERE false)"
+    return _with(
+        ["exported", "quality_ids", "links_raw", "tags", "exported_audio", "grammar_patterns", "annotations"],
+        f""", loaded AS ({_TRUSTED} AND language IN ({languages})),
+        loaded_tokens AS (SELECT sentence_id, language, unnest(list) AS normalized_token,
+            generate_subscripts(list, 1) - 1 AS position FROM (SELECT sentence_id, language, regexp_extract_all(
+                replace(lower(text), 'ß', 'ss'), '[\\p{{L}}\\p{{N}}]+') AS list FROM loaded WHERE text IS NOT NULL))
+        """ + _digests(
+            sentences="loaded",
+            sentence_tokens="loaded_tokens",
+            links=f"(SELECT * FROM links_raw WHERE sentence_id IN {ours} AND translation_id IN {ours})",
+            tags=f"(SELECT * FROM tags WHERE sentence_id IN {ours})",
+            grammar_patterns=empty.format("grammar_patterns"),
+            sentence_grammar_patterns=empty.format("annotations"),
+            sentence_audio=f"(SELECT * FROM exported_audio WHERE sentence_id IN {ours})",
+        ),
+    )
+
+
 _REUSABLE = "coalesce(trim(license), '') NOT IN ('', chr(92) || 'N')"
 
 _DANGLING = """SELECT '{0}' AS table_name, '{1}' AS column_name, CAST({1} AS VARCHAR) AS key,
@@ -273,7 +332,7 @@ ORACLES: dict[str, str] = {
     ),
     "tagged_sentences": _with(
         ["sentences", "tags"],
-        """SELECT s.sentence_id, s.language, length(s.text) AS n_chars
+        """SELECT s.sentence_id, s.language, length(s.text) AS n_chars, md5(s.text) AS text_md5
         FROM sentences s JOIN tags t ON t.sentence_id = s.sentence_id WHERE t.tag_name = 'OK'""",
     ),
     "quality_sentences": _with(
@@ -359,7 +418,11 @@ ORACLES: dict[str, str] = {
                 ("sentence_grammar_patterns", "pattern_id", "annotations", "pattern_id", "grammar_patterns"),
                 ("sentence_audio", "sentence_id", "sentence_audio", "sentence_id", "sentences"),
             )
-        ),
+        )
+        + r"""
+    UNION ALL SELECT 'sentence_tokens', 'sentence_id', CAST(item_id + 10000000 AS VARCHAR),
+        len(regexp_extract_all(text, '[\p{L}\p{N}]+')) FROM benchmark
+        WHERE len(regexp_extract_all(text, '[\p{L}\p{N}]+')) > 0""",
     ),
     "length_violations": """SELECT 'sentences' AS table_name, 'username' AS column_name,
         count(*) AS n_rows FROM documents WHERE length(text) > 100 HAVING count(*) > 0""",
@@ -389,12 +452,103 @@ ORACLES: dict[str, str] = {
     "partition_overwrite": _with(
         ["sentences"],
         """SELECT sentence_id, language,
-        CASE WHEN language = 'fr' THEN least(length(text), 10) ELSE length(text) END AS n_chars
-        FROM sentences WHERE language IN ('en', 'fr')""",
+        length(kept) AS n_chars, md5(kept) AS text_md5
+        FROM (SELECT *, CASE WHEN language = 'fr' THEN left(text, 10) ELSE text END AS kept FROM sentences)
+        WHERE language IN ('en', 'fr')""",
     ),
     "partitioned_roundtrip": _with(
         ["sentences"], f"SELECT {_BRIEF} FROM sentences WHERE language = 'de'"
     ),
     "compact_roundtrip": _with(["sentences"], f"SELECT {_BRIEF} FROM sentences"),
-    "store_load": _COUNTS + " UNION ALL SELECT 'sentence_tokens', count(*) FROM tokens",
+    "store_load": _with(
+        ["tokens", "links", "tags", "grammar_patterns", "annotations", "sentence_audio"],
+        " UNION ALL ".join(
+            _digest(table, {"sentence_tokens": "tokens", "sentence_grammar_patterns": "annotations"}.get(table, table))
+            for table in _DIGESTED
+        ),
+    ),
+    "store_compact": _STORED,
+    "store_rebuild_from_self": "SELECT * FROM (" + _STORED + ") WHERE language IN ('fr', 'es')",
+    "store_append_repeat": _with(
+        ["tokens", "sentences"],
+        """SELECT s.sentence_id, s.language, md5(s.text || CASE WHEN language = 'en' THEN '' ELSE ' again' END) AS text_md5,
+        (SELECT count(*) FROM tokens t WHERE t.sentence_id = s.sentence_id)
+            + CASE WHEN language = 'en' THEN 0 ELSE 1 END AS n_tokens, CAST(0 AS BIGINT) AS n_refused
+        FROM sentences s
+        UNION ALL SELECT sentence_id, NULL, NULL, NULL, 1 FROM sentences WHERE language = 'en'""",
+    ),
+    "stream_interrupted": _with(
+        ["tokens", "sentences"],
+        """, arrived AS (SELECT * FROM sentences WHERE language IN ('en', 'fr')
+            UNION ALL SELECT * FROM sentences WHERE language IN ('fr', 'de')),
+        of_language AS (SELECT language, count(*) * CASE WHEN language = 'fr' THEN 2 ELSE 1 END AS n_tokens
+            FROM tokens WHERE language IN ('en', 'fr', 'de') GROUP BY language)
+        SELECT CASE WHEN sentence_id % 10 <> 3 THEN sentence_id END AS sentence_id, a.language,
+            md5(text) AS text_md5, count(*) AS n_rows, any_value(n_tokens) AS n_tokens
+        FROM arrived a JOIN of_language o ON o.language = a.language GROUP BY 1, 2, 3""",
+    ),
+    "vocab_deep_page": _with(
+        ["tokens"],
+        """SELECT sentence_id, count(*) AS n_hits FROM (SELECT sentence_id FROM tokens
+        WHERE normalized_token = 'the' ORDER BY sentence_id LIMIT 700 OFFSET 450) GROUP BY sentence_id""",
+    ),
+    "nested_order": _with(
+        ["translations"],
+        """SELECT sentence_id, row_number() OVER (PARTITION BY sentence_id ORDER BY language, translation_id) - 1 AS place,
+        translation_id, language, count(*) AS copies, md5(text) AS text_md5
+        FROM translations GROUP BY sentence_id, translation_id, language, text""",
+    ),
+    "nested_children": _with(
+        ["tokens", "sentence_audio", "annotations", "grammar_patterns"],
+        """, hits AS (SELECT sentence_id FROM tokens WHERE language = 'en' AND normalized_token IN ('the', 'of')
+            GROUP BY sentence_id HAVING count(DISTINCT normalized_token) = 2 ORDER BY sentence_id LIMIT 100)
+        SELECT sentence_id, 'audio' AS kind, audio_id AS key, concat_ws('|', username, license, download_url) AS content,
+            count(*) AS n_rows FROM sentence_audio WHERE sentence_id IN (SELECT sentence_id FROM hits) GROUP BY 1, 2, 3, 4
+        UNION ALL SELECT a.sentence_id, 'grammar', g.pattern_id, concat_ws('|', g.name, g.source, a.evidence_text, a.source),
+            count(*) FROM annotations a JOIN grammar_patterns g USING (pattern_id)
+            WHERE a.sentence_id IN (SELECT sentence_id FROM hits) GROUP BY 1, 2, 3, 4""",
+    ),
+    "grouped_lookup": _with(
+        ["translations"],
+        """SELECT i.id AS sentence_id, count(t.sentence_id) AS n_translations
+        FROM (SELECT item_id AS id FROM benchmark UNION SELECT 1000000000000) i
+        LEFT JOIN translations t ON t.sentence_id = i.id GROUP BY i.id""",
+    ),
+    "requested_ids": "SELECT DISTINCT item_id // 3 AS sentence_id FROM benchmark",
+    "clustered_order": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order FROM lineitem",
+    "surrogate_id_count": "SELECT count(*) AS n_rows, count(*) AS n_ids, true AS after FROM lineitem",
+    "export_sentences": _with(["exported"], f"SELECT {_BRIEF} FROM exported WHERE language IN ('en', 'fr', 'xx')"),
+    "export_detailed": _with(
+        ["exported"],
+        """SELECT sentence_id, language, md5(text) AS text_md5, username, '2021-02-03 04:05:06' AS date_added,
+        true AS unmodified FROM exported
+        UNION ALL SELECT sentence_id, language, md5(text), NULL, NULL, NULL FROM exported WHERE language = 'de'""",
+    ),
+    "export_links": _with(["links_raw"], "SELECT * FROM links_raw"),
+    "export_tags": _with(["tags"], "SELECT * FROM tags"),
+    "export_quality_ids": _with(["quality_ids"], "SELECT * FROM quality_ids"),
+    "export_audio": _with(
+        ["exported_audio", "sentences"],
+        "SELECT * FROM exported_audio WHERE sentence_id IN (SELECT sentence_id FROM sentences)",
+    ),
+    "audio_fetch": _with(
+        ["sentence_audio"],
+        f"""SELECT audio_id, CASE WHEN NOT {_REUSABLE} THEN 'skipped_license'
+            WHEN audio_id LIKE '%7' THEN 'download_error' ELSE 'downloaded' END AS status,
+        CASE WHEN {_REUSABLE} AND audio_id NOT LIKE '%7' THEN 'tatoeba/' || audio_id || '.mp3' END AS path,
+        {_REUSABLE} AND audio_id NOT LIKE '%7' AS stamped FROM sentence_audio""",
+    ),
+    "job_extract": _with(
+        ["exported", "quality_ids", "links_raw", "tags", "exported_audio"],
+        f""", kept AS ({_TRUSTED} AND language IN ('en', 'de'))
+        """ + _digests(
+            sentences="kept",
+            links="""(SELECT * FROM links_raw WHERE sentence_id IN (SELECT sentence_id FROM quality_ids)
+                AND translation_id IN (SELECT sentence_id FROM quality_ids))""",
+            tags="(SELECT * FROM tags WHERE sentence_id IN (SELECT sentence_id FROM quality_ids))",
+            sentence_audio="(SELECT * FROM exported_audio WHERE sentence_id IN (SELECT sentence_id FROM kept))",
+        ),
+    ),
+    "job_load": _loaded("'de'"),
+    "job_run": _loaded("'en', 'fr'"),
 }

@@ -7,13 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sentaria.functions.scalar import is_reusable_license, word_count
 from sentaria.operators import analytics, audio, integrity, quality, retrieval
-from sentaria.operators.conform import conform
+from sentaria.operators.conform import conform, surrogate_ids
+from sentaria.plans import jobs
 from sentaria.plans.corpus_views import CorpusViews
+from sentaria.plans.jobs import ExtractInputs
 from sentaria.plans.sizing import scratch_path, spread
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.parquet import (
@@ -24,6 +26,7 @@ from sentaria.sinks.parquet import (
     write_token_index,
 )
 from sentaria.sinks.store import CorpusStore
+from sentaria.sources import exports
 from sentaria.sources.datasets import (
     available_languages,
     read_dataset,
@@ -32,7 +35,7 @@ from sentaria.sources.datasets import (
     run_sql,
     union_by_name,
 )
-from sentaria.streaming.index_stream import update_index
+from sentaria.streaming.index_stream import batch_writer, update_index
 
 ID = "sentence_id"
 FREQUENT_PAIR = ["the", "Attion"]
@@ -48,7 +51,8 @@ def registered(plan: Callable[[CorpusViews], DataFrame]):
 
 
 def _brief(df: DataFrame) -> DataFrame:
-    return df.select(ID, "language", F.char_length("text").cast("bigint").alias("n_chars"))
+    n_chars = F.char_length("text").cast("bigint").alias("n_chars")
+    return df.select(ID, "language", n_chars, F.md5("text").alias("text_md5"))
 
 
 # --- scans, filters, schema ----------------------------------------------------
@@ -167,7 +171,7 @@ def stream_token_index(v: CorpusViews) -> DataFrame:
     base = scratch_path(v.spark, "stream")
     spread(v.sentences, ID).write.parquet(f"{base}/arriving")
     update_index(v.spark, f"{base}/arriving", f"{base}/store", f"{base}/checkpoints")
-    return _index_summary(read_dataset(v.spark, f"{base}/store", "sentence_tokens"))
+    return _index_summary(CorpusStore(v.spark, f"{base}/store").read("sentence_tokens"))
 
 
 @registered
@@ -179,7 +183,15 @@ def stream_distinct_sentences(v: CorpusViews) -> DataFrame:
     update_index(
         v.spark, f"{base}/arriving", f"{base}/store", f"{base}/checkpoints", distinct_ids=True
     )
-    return _brief(read_dataset(v.spark, f"{base}/store", "sentences"))
+    return _brief(CorpusStore(v.spark, f"{base}/store").read("sentences"))
+
+
+def _with_token_counts(store: CorpusStore) -> DataFrame:
+    """The stored sentences and how many rows of the index each has."""
+    n_tokens = store.read("sentence_tokens").groupBy(ID).agg(F.count(F.lit(1)).alias("n_tokens"))
+    return store.read("sentences").join(n_tokens, ID, "left").select(
+        ID, "language", F.md5("text").alias("text_md5"), F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens")
+    )
 
 
 def _streamed_and_loaded(v: CorpusViews, stream_first: bool) -> DataFrame:
@@ -197,10 +209,7 @@ def _streamed_and_loaded(v: CorpusViews, stream_first: bool) -> DataFrame:
     update_index(v.spark, f"{base}/arriving", f"{base}/store", f"{base}/checkpoints")
     if stream_first:
         load()
-    n_tokens = store.read("sentence_tokens").groupBy(ID).agg(F.count(F.lit(1)).alias("n_tokens"))
-    return store.read("sentences").join(n_tokens, ID, "left").select(
-        ID, "language", F.md5("text").alias("text_md5"), F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens")
-    )
+    return _with_token_counts(store)
 
 
 @registered
@@ -213,6 +222,42 @@ def store_batch_then_stream(v: CorpusViews) -> DataFrame:
     return _streamed_and_loaded(v, stream_first=False)
 
 
+@registered
+def store_rebuild_from_self(v: CorpusViews) -> DataFrame:
+    """A store is rebuilt from its own French and Spanish rows."""
+    store = CorpusStore(v.spark, scratch_path(v.spark, "store"))
+    store.load_sentences(v.sentences)
+    store.load_sentences(store.read("sentences").filter(F.col("language").isin("fr", "es")))
+    return _with_token_counts(store)
+
+
+@registered
+def store_append_repeat(v: CorpusViews) -> DataFrame:
+    """English is stored, then everything is appended: stored keys are refused, new ones are added."""
+    store = CorpusStore(v.spark, scratch_path(v.spark, "store"))
+    store.load_sentences(v.sentences.filter(F.col("language").eqNullSafe("en")))
+    refused = store.load_sentences(v.sentences.withColumn("text", F.concat("text", F.lit(" again"))), rebuild=False)
+    held = _with_token_counts(store).withColumn("n_refused", F.lit(0).cast("bigint"))
+    return held.unionByName(refused.filter("stored").select(ID, F.col("n_rows").alias("n_refused")), allowMissingColumns=True)
+
+
+@registered
+def stream_interrupted(v: CorpusViews) -> DataFrame:
+    """A micro-batch stops after a part of its rows and comes again; some rows have no id, many ids repeat."""
+    base = scratch_path(v.spark, "stream")
+    rows = v.sentences.withColumn(ID, F.when(F.col(ID) % 10 != 3, F.col(ID)))
+    first = rows.filter(F.col("language").isin("en", "fr"))
+    second = rows.filter(F.col("language").isin("fr", "de"))
+    write = batch_writer(f"{base}/store", f"{base}/checkpoints")
+    write(first, 0)
+    write(second.filter("language = 'de'"), 1)
+    write(second, 1)
+    store = CorpusStore(v.spark, f"{base}/store")
+    found = store.read("sentences").groupBy(ID, "language", F.md5("text").alias("text_md5"))
+    tokens = store.read("sentence_tokens").groupBy("language").agg(F.count(F.lit(1)).alias("n_tokens"))
+    return found.agg(F.count(F.lit(1)).alias("n_rows")).join(tokens, "language")
+
+
 @registered
 def normalize_query_tokens(v: CorpusViews) -> DataFrame:
     keys = retrieval.batch_keys(v.vocab_queries)
@@ -249,6 +294,14 @@ def vocab_paged(v: CorpusViews) -> DataFrame:
     return _search_ids(v, FREQUENT_PAIR, "en", True, 100, 5)
 
 
+@registered
+def vocab_deep_page(v: CorpusViews) -> DataFrame:
+    """A page far into a list of hits in which ids repeat: every occurrence of a frequent word."""
+    hits = retrieval.token_rows(v.sentences).filter(F.col("normalized_token") == "the").select(ID)
+    page = retrieval.page(hits, 700, 450, top_rows=0)
+    return page.groupBy(ID).agg(F.count(F.lit(1)).alias("n_hits"))
+
+
 @registered
 def index_match_all(v: CorpusViews) -> DataFrame:
     """Look the words up in the stored index."""
@@ -354,6 +407,49 @@ def nested_translations(v: CorpusViews) -> DataFrame:
     )
 
 
+@registered
+def nested_order(v: CorpusViews) -> DataFrame:
+    """The place of every child in its parent's arrays, parts of seven children at most."""
+    rows = retrieval.translations_of(v.links, v.sentences)
+    nested = retrieval.nest(rows, retrieval.TRANSLATION_ORDER, part_rows=7)
+    each = nested.select(ID, "part", F.posexplode("items").alias("place", "item"))
+    return each.select(
+        ID, (F.col("part") * 7 + F.col("place")).cast("bigint").alias("place"),
+        "item.translation_id", "item.language", "item.copies", F.md5("item.text").alias("text_md5"),
+    )
+
+
+@registered
+def nested_children(v: CorpusViews) -> DataFrame:
+    """Audio and grammar of the first trusted sentences, read back from the nested page."""
+    found = retrieval.search_vocabulary(v.tables(), ["the", "of"], language="en", include_translations=False)
+    nested = found.nested().select(F.col(f"sentence.{ID}").alias(ID), "audio", "grammar_patterns")
+    audio = nested.select(ID, F.explode("audio").alias("x")).select(
+        ID, F.lit("audio").alias("kind"), F.col("x.audio_id").alias("key"),
+        F.concat_ws("|", "x.username", "x.license", "x.download_url").alias("content"), "x.copies",
+    )
+    grammar = nested.select(ID, F.explode("grammar_patterns").alias("x")).select(
+        ID, F.lit("grammar").alias("kind"), F.col("x.pattern_id").alias("key"),
+        F.concat_ws("|", "x.name", "x.pattern_source", "x.evidence_text", "x.annotation_source").alias("content"), "x.copies",
+    )
+    return audio.unionByName(grammar).groupBy(ID, "kind", "key", "content").agg(F.sum("copies").alias("n_rows"))
+
+
+@registered
+def grouped_lookup(v: CorpusViews) -> DataFrame:
+    """One call for the translations of many ids, some of them unknown: those of the benchmark's items."""
+    asked = [row[0] for row in v.vocab_queries.select("query_id").collect()]
+    nested = retrieval.grouped_translations(v.tables(), [*asked, *asked, 10**12])
+    total = F.aggregate("items", F.lit(0).cast("bigint"), lambda n, x: n + x["copies"])
+    return nested.groupBy(ID).agg(F.sum(total).alias("n_translations"))
+
+
+@registered
+def requested_ids(v: CorpusViews) -> DataFrame:
+    asked = [row[0] for row in v.vocab_queries.select((F.col("query_id") / 3).cast("bigint")).collect()]
+    return retrieval.requested(v.spark, asked)
+
+
 @registered
 def sentence_by_id(v: CorpusViews) -> DataFrame:
     return _brief(v.sentences.filter(F.col(ID) == 42))
@@ -498,7 +594,13 @@ def not_null_violations(v: CorpusViews) -> DataFrame:
 
 @registered
 def fk_violations(v: CorpusViews) -> DataFrame:
-    return integrity.reference_violations({**v.tables(), "links": v.links_raw})
+    """Order lines as links, and benchmark passages in the token index that are no sentences."""
+    alien = v.vocab_queries.select(
+        (F.col("query_id") + 10_000_000).alias(ID), F.lit("en").alias("language"), F.col("words").alias("text")
+    )
+    known = retrieval.sentences_in_language(v.sentences, "es").select(ID, "language", "text")
+    tokens = retrieval.token_rows(known.unionByName(alien))
+    return integrity.reference_violations({**v.tables(), "links": v.links_raw, "sentence_tokens": tokens})
 
 
 @registered
@@ -580,12 +682,194 @@ def compact_roundtrip(v: CorpusViews) -> DataFrame:
     return _brief(compact_dataset(v.spark, base, "sentences", target, "language"))
 
 
+def _row_digest(df: DataFrame, *columns: str) -> DataFrame:
+    """Row count, and the sum of a digest of every row, whatever their order."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(number).alias("digest"))
+
+
+#: Columns by which a stored table is compared with what was loaded.
+_DIGESTED = {
+    "sentences": (ID, "language", "text", "username"),
+    "sentence_tokens": (ID, "language", "normalized_token", "position"),
+    "links": (ID, "translation_id"),
+    "tags": (ID, "tag_name"),
+    "grammar_patterns": ("pattern_id", "language", "name"),
+    "sentence_grammar_patterns": (ID, "pattern_id", "evidence_text"),
+    "sentence_audio": ("audio_id", ID, "license", "download_url"),
+}
+
+
 @registered
 def store_load(v: CorpusViews) -> DataFrame:
-    """Load every table into a served store, then count what each holds."""
+    """Load every table into a served store, then digest the rows that each holds."""
     store = CorpusStore(v.spark, scratch_path(v.spark, "store"))
     store.load_sentences(v.sentences)
     for table, df in v.tables().items():
         if table != "sentences":
             store.load(table, df)
-    return analytics.row_counts(store.tables())
+    return union_by_name([
+        _row_digest(df, *_DIGESTED[table]).select(F.lit(table).alias("table_name"), "n_rows", "digest")
+        for table, df in store.tables().items()
+    ])
+
+
+@registered
+def store_compact(v: CorpusViews) -> DataFrame:
+    """Five loads become one, in place."""
+    store = CorpusStore(v.spark, scratch_path(v.spark, "store"))
+    for k in range(5):
+        store.load_sentences(v.sentences.filter(F.col(ID) % 5 == k), rebuild=False)
+    return _with_token_counts(store.compact())
+
+
+@registered
+def clustered_order(v: CorpusViews) -> DataFrame:
+    """Written files hold their rows in the order of ids."""
+    base = scratch_path(v.spark, "datasets")
+    save_dataset(v.links_raw, base, "links")
+    rows = read_dataset(v.spark, base, "links").select(
+        ID, F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("place")
+    )
+    before = F.lag(ID).over(Window.partitionBy("file").orderBy("place"))
+    return rows.withColumn("before", before).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") > F.col(ID)).alias("n_out_of_order")
+    )
+
+
+@registered
+def surrogate_id_count(v: CorpusViews) -> DataFrame:
+    """Numbered links: every row has a number of its own."""
+    rows = surrogate_ids(v.links_raw, after=5)
+    each = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return each.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_ids"), (F.min("id") > 5).alias("after"))
+
+
+# --- exports and jobs ----------------------------------------------------------
+
+
+def _exported(v: CorpusViews, *names: str) -> str:
+    """Export files written from the given tables: line breaks in texts become spaces, some texts are empty or missing."""
+    base = scratch_path(v.spark, "exports")
+    one_line = F.regexp_replace("text", "[\\t\\r\\n]", " ")
+    text = F.when(F.col(ID) % 97 != 0, F.when(F.col(ID) % 89 == 0, "").otherwise(one_line))
+    frames = {
+        "sentences": v.sentences.select(ID, "language", text.alias("text")),
+        "detailed": v.sentences.select(
+            ID, "language", text.alias("text"), "username", F.lit("2021-02-03 04:05:06").alias("added"), F.lit(None)
+        ),
+        "links": v.links_raw,
+        "tags": v.tags,
+        "quality": v.quality_ids.select(F.concat(F.lit(" "), F.col(ID).cast("string"))),
+    }
+    for name in names:
+        df = frames[name]
+        fields = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns]
+        df.select(F.concat_ws("\t", *fields).alias("value")).write.text(f"{base}/{name}")
+    return base
+
+
+def _audio_export(v: CorpusViews, base: str) -> str:
+    """The audio export as text, absent fields at the end left out."""
+    rows = v.audio_export
+    user = F.col("sentence_id").cast("bigint")
+    fields = [F.coalesce(c, F.lit("")) for c in ("sentence_id", "audio_id", "username", "license", "attribution_url")]
+    line = F.when(user % 11 == 0, F.concat_ws("\t", *fields[:2])).when(user % 13 == 0, fields[0])
+    rows.select(line.otherwise(F.concat_ws("\t", *fields)).alias("value")).write.option("compression", "bzip2").text(f"{base}/audio")
+    return f"{base}/audio"
+
+
+@registered
+def export_sentences(v: CorpusViews) -> DataFrame:
+    return _brief(exports.read_sentences(v.spark, f"{_exported(v, 'sentences')}/sentences", ["en", "fr", "xx"]))
+
+
+@registered
+def export_detailed(v: CorpusViews) -> DataFrame:
+    base = _exported(v, "sentences", "detailed")
+    rows = exports.read_detailed_sentences(v.spark, f"{base}/detailed", f"{base}/sentences")
+    basic = exports.read_detailed_sentences(v.spark, f"{base}/none", f"{base}/sentences", ["de"])
+    added = F.col("date_added").cast("string").alias("date_added")
+    full = rows.select(ID, "language", F.md5("text").alias("text_md5"), "username", added, F.col("date_modified").isNull().alias("unmodified"))
+    return full.unionByName(basic.select(ID, "language", F.md5("text").alias("text_md5")), allowMissingColumns=True)
+
+
+@registered
+def export_links(v: CorpusViews) -> DataFrame:
+    return exports.read_links(v.spark, f"{_exported(v, 'links')}/links")
+
+
+@registered
+def export_tags(v: CorpusViews) -> DataFrame:
+    return exports.read_tags(v.spark, f"{_exported(v, 'tags')}/tags")
+
+
+@registered
+def export_quality_ids(v: CorpusViews) -> DataFrame:
+    base = _exported(v, "quality")
+    v.sentences.select(F.md5("text").alias("value")).write.mode("append").text(f"{base}/quality")
+    return exports.read_quality_ids(v.spark, f"{base}/quality")
+
+
+@registered
+def export_audio(v: CorpusViews) -> DataFrame:
+    path = _audio_export(v, scratch_path(v.spark, "exports"))
+    rows = exports.extract_audio(v.spark, path, allowed=v.sentences)
+    return rows.drop("local_path", "downloaded_at")
+
+
+@registered
+def audio_fetch(v: CorpusViews) -> DataFrame:
+    """Every licensed recording is fetched by a function handed in; each tenth fails."""
+    base = scratch_path(v.spark, "recordings")
+
+    def fetch(url: str, path: str) -> None:
+        if url.endswith("7"):
+            raise OSError("refused")
+        with open(path, "w") as out:
+            out.write(url)
+
+    rows = audio.download(v.sentence_audio, base, fetch, fetched_at=F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    path = F.regexp_replace("local_path", "^.*/recordings-[0-9a-f]+/", "")
+    return rows.select("audio_id", "status", path.alias("path"), F.col("downloaded_at").isNotNull().alias("stamped"))
+
+
+def _job_inputs(v: CorpusViews) -> ExtractInputs:
+    base = _exported(v, "sentences", "links", "tags", "quality")
+    return ExtractInputs(
+        f"{base}/sentences", f"{base}/links", f"{base}/tags", _audio_export(v, base), f"{base}/quality"
+    )
+
+
+def _digests(tables: dict[str, DataFrame]) -> DataFrame:
+    columns = {**_DIGESTED, "sentences": (ID, "language", "text")}
+    return union_by_name([
+        _row_digest(df, *columns[table]).select(F.lit(table).alias("table_name"), "n_rows", F.coalesce("digest", F.lit(0)).alias("digest"))
+        for table, df in tables.items()
+    ])
+
+
+@registered
+def job_extract(v: CorpusViews) -> DataFrame:
+    """Trusted English and German sentences, and what belongs to trusted sentences."""
+    out = scratch_path(v.spark, "datasets")
+    jobs.extract(v.spark, _job_inputs(v), out, ["en", "de"])
+    return _digests({t: read_dataset(v.spark, out, t) for t in ("sentences", "links", "tags", "sentence_audio")})
+
+
+@registered
+def job_load(v: CorpusViews) -> DataFrame:
+    """All trusted sentences are extracted, the German ones loaded with what refers to them."""
+    out = scratch_path(v.spark, "datasets")
+    jobs.extract(v.spark, _job_inputs(v), out)
+    return _digests(jobs.load(v.spark, out, scratch_path(v.spark, "store"), ["de", "xx"]).tables())
+
+
+@registered
+def job_run(v: CorpusViews) -> DataFrame:
+    store = jobs.run(
+        v.spark, _job_inputs(v), scratch_path(v.spark, "datasets"), scratch_path(v.spark, "store"), ["en", "fr"],
+        compact_into=scratch_path(v.spark, "compacted"),
+    )
+    return _digests(store.tables())

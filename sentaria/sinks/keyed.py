@@ -48,6 +48,32 @@ def in_ranges(column: Column | str, ranges: list[tuple]) -> Column:
     return reduce(Column.__or__, tests, F.lit(False)) if tests else F.lit(False)
 
 
+def _is_stored(df: DataFrame, column: str) -> bool:
+    """Whether ``column`` is a column of a file as it stands there, perhaps under another name."""
+    try:
+        node = df.select(column)._jdf.queryExecution().optimizedPlan()
+    except AttributeError:  # no JVM handle, as with a remote session
+        return False
+    while node.children().size() == 1:
+        if node.nodeName() == "Project":
+            value = node.projectList().head()
+            if value.getClass().getSimpleName() == "Alias":
+                value = value.child()
+            if value.getClass().getSimpleName() != "AttributeReference":
+                return False
+        elif node.nodeName() != "Filter":
+            return False
+        node = node.children().head()
+    return node.nodeName().startswith("LogicalRelation") or node.children().size() == 0
+
+
+def narrowed(df: DataFrame, column: str, ranges: list[tuple]) -> DataFrame:
+    """The rows whose ``column`` is in the ranges. A derived column, which is costly to compare, is held in their hull."""
+    if len(ranges) > 1 and not _is_stored(df, column):
+        ranges = [(ranges[0][0], ranges[-1][1])]
+    return df.filter(in_ranges(column, ranges))
+
+
 def split_by_key(rows: DataFrame, held: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """``(new, refused)``: rows to append to ``held``, and the keys of the others.
 
@@ -60,7 +86,7 @@ def split_by_key(rows: DataFrame, held: DataFrame, table: str) -> tuple[DataFram
     whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
     # the last key column tells rows apart best: the others have few values
     ranges = value_ranges(written(arriving.filter(whole).select(keys[-1]), "arriving-keys"))
-    near = held.filter(in_ranges(keys[-1], ranges)).select(*keys)
+    near = narrowed(held, keys[-1], ranges).select(*keys)
     repeats = arriving.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     known = near.join(repeats.filter(whole).select(*keys), keys, "left_semi").distinct()
     known = written(known.withColumn("_stored", F.lit(True)), "stored-keys")
