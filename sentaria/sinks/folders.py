@@ -31,6 +31,15 @@ class Folders:
         files, where = self._at(path)
         return [str(s.getPath()) for s in files.listStatus(where)] if files.exists(where) else []
 
+    def names(self, path: str, prefix: str) -> list[str]:
+        """What follows ``prefix`` in the names of a folder's children."""
+        found = (child.rstrip("/").rsplit("/", 1)[-1] for child in self.children(path))
+        return [name[len(prefix) :] for name in found if name.startswith(prefix)]
+
+    def n_bytes(self, path: str) -> int:
+        files, where = self._at(path)
+        return files.getContentSummary(where).getLength()
+
     def move(self, source: str, target: str) -> None:
         """Move a folder into place, instead of one that is there."""
         files, to = self._at(target)

@@ -5,11 +5,16 @@ that readers see. A rebuild fills a new version and replaces the pointer last, s
 up whole or not at all, and whoever has resolved the pointer goes on reading the old
 tables. Within a version every load is a folder of its own, moved into place when it is
 complete. A load that is written again under its name takes the place of its first try.
+Small loads are merged into larger ones, as they are, so that many small appends leave few
+files; a list of what was merged is replaced like the pointer.
 """
 
 from __future__ import annotations
 
+import json
+import math
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -27,6 +32,11 @@ from sentaria.sinks.parquet import dataset_path, write_dataset, write_token_inde
 POINTER = "current"
 VERSIONS = "versions"
 _LOAD = "load"
+_MERGED, _MERGES = "merged", "_merges"
+#: So many loads of a like size become one, and the factor between sizes that are not alike.
+MERGE_LOADS = 8
+SIZE_STEP = 8
+_LEAST_BYTES = 1 << 20
 
 
 def _partitions(table: str) -> tuple[str, ...]:
@@ -45,13 +55,35 @@ class StoreVersion:
         for table in LOAD_ORDER:
             files.create(dataset_path(self.folder, table))
 
+    def _merges(self, table: str) -> dict[str, list[str]]:
+        """The loads that each merged load stands for."""
+        text = Folders(self.spark).text(f"{dataset_path(self.folder, table)}/{_MERGES}")
+        return json.loads(text) if text else {}
+
+    def loads(self, table: str) -> list[str]:
+        """Names of the loads that a reader sees: no merged load that is not listed, no load that was merged."""
+        names = Folders(self.spark).names(dataset_path(self.folder, table), f"{_LOAD}=")
+        merges = self._merges(table)
+        gone = {name for parts in merges.values() for name in parts}
+        return sorted(n for n in names if n not in gone and (not n.startswith(_MERGED) or n in merges))
+
     def read(self, table: str) -> DataFrame:
-        rows = self.spark.read.schema(SCHEMAS[table]).parquet(dataset_path(self.folder, table))
+        base = dataset_path(self.folder, table)
+        paths = [f"{base}/{_LOAD}={name}" for name in self.loads(table)] or [base]
+        rows = self.spark.read.schema(SCHEMAS[table]).option("basePath", base).parquet(*paths)
         return rows.select(SCHEMAS[table].names)
 
     def tables(self) -> dict[str, DataFrame]:
         return {table: self.read(table) for table in LOAD_ORDER}
 
+    def _write(self, rows: DataFrame, table: str, path: str, languages: DataFrame | None = None) -> None:
+        if table == "sentence_tokens":
+            write_token_index(rows, path, languages=languages)
+        else:
+            keys = PRIMARY_KEYS.get(table, ())
+            order = (*keys, "sentence_id") if "sentence_id" not in keys else keys
+            write_dataset(rows, path, partition_by=_partitions(table), order=order, lookup_keys=keys)
+
     def append(
         self, df: DataFrame, table: str, languages: DataFrame | None = None, load: str | None = None
     ) -> None:
@@ -65,13 +97,49 @@ class StoreVersion:
         path = dataset_path(self.folder, table)
         # a name that Spark's readers pass over
         coming = f"{path}/_coming-{name}"
-        if table == "sentence_tokens":
-            write_token_index(rows, coming, languages=languages)
-        else:
-            keys = PRIMARY_KEYS.get(table, ())
-            order = (*keys, "sentence_id") if "sentence_id" not in keys else keys
-            write_dataset(rows, coming, partition_by=_partitions(table), order=order, lookup_keys=keys)
+        self._write(rows, table, coming, languages)
         Folders(self.spark).move(coming, f"{path}/{_LOAD}={name}")
+        self._merge(table, name)
+
+    def _mergeable(self, table: str, newest: str) -> list[str]:
+        """Loads of a like size, enough of them to be merged.
+
+        The newest load stays, and the newest of each stream: those may be written again.
+        """
+        last: dict[str, int] = {}
+        for name in (names := self.loads(table)):
+            stream, _, batch = name.rpartition("-")
+            if stream and batch.isdigit():
+                last[stream] = max(last.get(stream, -1), int(batch))
+        fixed = {newest, *(f"{stream}-{batch}" for stream, batch in last.items())}
+        files, tiers = Folders(self.spark), defaultdict(list)
+        for name in names:
+            if name not in fixed:
+                n_bytes = files.n_bytes(f"{dataset_path(self.folder, table)}/{_LOAD}={name}")
+                tiers[math.floor(math.log(max(n_bytes, _LEAST_BYTES), SIZE_STEP))].append(name)
+        return next((tier for _, tier in sorted(tiers.items()) if len(tier) >= MERGE_LOADS), [])
+
+    def _merge(self, table: str, newest: str) -> None:
+        """Merge loads until no size has many. Readers see the merged rows once all along.
+
+        Loads that earlier merges stand for are deleted first: a reader of those has had
+        the time of several appends to finish.
+        """
+        if len(self.loads(table)) <= MERGE_LOADS:
+            return
+        while parts := self._mergeable(table, newest):
+            files, base = Folders(self.spark), dataset_path(self.folder, table)
+            merges = self._merges(table)
+            for past in merges.values():
+                for name in past:
+                    files.delete(f"{base}/{_LOAD}={name}")
+            paths = [f"{base}/{_LOAD}={name}" for name in parts]
+            rows = self.spark.read.schema(SCHEMAS[table]).option("basePath", base).parquet(*paths)
+            name = f"{_MERGED}{uuid.uuid4().hex}"
+            self._write(rows.select(SCHEMAS[table].names), table, f"{base}/_coming-{name}")
+            files.move(f"{base}/_coming-{name}", f"{base}/{_LOAD}={name}")
+            standing = {n: [] for n in merges if n not in parts}
+            files.replace_text(f"{base}/{_MERGES}", json.dumps({**standing, name: parts}))
 
     def load_sentences(self, df: DataFrame, load: str | None = None) -> None:
         """Add sentences and their token rows."""

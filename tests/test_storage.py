@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from sentaria.operators import retrieval as r
 from sentaria.plans.jobs import ExtractInputs, extract, load, run
 from sentaria.sinks import parquet as p
+from sentaria.sinks import store as store_module
+from sentaria.sinks.folders import Folders
 from sentaria.sinks.store import CorpusStore
 from sentaria.sources import datasets as d
 from sentaria.sources import exports as e
@@ -391,6 +393,49 @@ def test_a_batch_that_comes_again_takes_its_own_place(spark, tmp_path):
     assert CorpusStore(spark, str(tmp_path / "two")).read("sentences").count() == 8
 
 
+def test_many_small_batches_leave_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "MERGE_LOADS", 3)
+    base = str(tmp_path / "store")
+    write = batch_writer(base, str(tmp_path / "marks"))
+    rows = [[(k, lang, f"{lang} word{k}") for lang in ("nob", "sme")] for k in range(12)]
+    for k, batch in enumerate(rows):
+        write(sentences(spark, *batch), k)
+        if k % 4 == 0:
+            write(sentences(spark, *batch), k)  # comes again
+    version = CorpusStore(spark, base).current()
+    for table in ("sentences", "sentence_tokens"):
+        # two loads of a size may wait for a third, beside the newest one
+        assert len(version.loads(table)) <= 4
+        assert len(version.read(table).inputFiles()) <= 8
+    every = sentences(spark, *[row for batch in rows for row in batch])
+    assert token_set(version.read("sentence_tokens")) == token_set(r.token_rows(every))
+    assert ids(version.read("sentences")) == sorted(k for k in range(12) for _ in range(2))
+
+
+def test_a_merge_that_stops_shows_nothing_twice(spark, tmp_path, monkeypatch):
+    store = CorpusStore(spark, str(tmp_path / "store"))
+    link = lambda k: spark.createDataFrame([(k, k)], "sentence_id bigint, translation_id bigint")
+    for k in range(3):
+        store.load("links", link(k))
+    monkeypatch.setattr(store_module, "MERGE_LOADS", 3)
+    replace = Folders.replace_text
+
+    def stop(self, path, content):
+        if path.endswith("_merges"):
+            raise KeyboardInterrupt
+        replace(self, path, content)
+
+    monkeypatch.setattr(Folders, "replace_text", stop)
+    with pytest.raises(KeyboardInterrupt):
+        store.load("links", link(3))
+    assert ids(store.read("links")) == [0, 1, 2, 3]
+    monkeypatch.setattr(Folders, "replace_text", replace)
+    before = store.read("links")
+    store.load("links", link(4))
+    assert ids(store.read("links")) == [0, 1, 2, 3, 4] and ids(before) == [0, 1, 2, 3]
+    assert len(store.current().loads("links")) == 2
+
+
 @pytest.mark.parametrize("spread_repeats", [False, True])
 def test_stream_can_drop_repeated_ids(spark, tmp_path, spread_repeats):
     source, base, marks = (str(tmp_path / name) for name in ("in", "store", "marks"))
