@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import re
 import textwrap
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sentaria.llm import licenses, mil_quality, warc
@@ -98,20 +100,35 @@ BSD_3 = """Redistribution and use in source and binary forms, with or without mo
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT DAMAGES."""
 BSD_2 = '\n\n'.join(p for p in BSD_3.split('\n\n') if not p.startswith('3.'))
 MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""
+NOTICE = "Copyright (c) 2019, Some Author. All rights reserved."
 STANDARD = [
     (MIT, "MIT"), ("MIT License\n\nCopyright (c) 2020 A. Author\n\n" + MIT, "MIT"), ("MIT License\n\n" + MIT.split("\n\n")[0], "MIT"),
     ("\n\n".join(MIT.split("\n\n")[:2]), "MIT"), ("This project is licensed under the MIT License.", "MIT"), (ISC, "ISC"),
-    (APACHE, "Apache-2.0"), ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
-    (GPL, "GPL-any-later"), (GPL_2, "GPL-any-later"), (GPL.split("\n\n")[0], "GPL-any-later"), (GPL_ANY, "GPL-any"), (GPL_ANY.split("\n\n")[0], "GPL-any"),
+    (NOTICE + "\n\n" + ISC, "ISC"), (NOTICE + "\n\n" + BSD_2, "BSD-2-Clause"), (NOTICE + "\n\n" + BSD_3, "BSD-3-Clause"), (NOTICE, "Proprietary"),
+    (APACHE, "Apache-2.0"), (NOTICE + "\n\n" + APACHE, "Apache-2.0"), ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    (GPL, "GPL-3.0-or-later"), (GPL_2, "GPL-2.0-or-later"), (GPL.split("\n\n")[0], "GPL-3.0-or-later"), (GPL_ANY, "GPL-any"), (GPL_ANY.split("\n\n")[0], "GPL-any"),
+    (GPL.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1"), "LGPL-2.1-or-later"),
+    (GPL.replace("GNU General", "GNU Affero General"), "AGPL-3.0-or-later"),
+    (GPL.replace(", either version 3 of the License, or (at your option) any later version", ", version 2 of the License"), "GPL-2.0-only"),
     (BSD_3, "BSD-3-Clause"), (BSD_2, "BSD-2-Clause"), (MPL, "MPL-2.0"), ("All rights reserved.", "Proprietary"),
-    ("This program is licensed under the terms of the GNU General Public License, version 3.", "GPL-3.0"),
-    ("Released under the GNU General Public License version 2.", "GPL-2.0"),
-    ("This library is licensed under the GNU Lesser General Public License version 2.1.", "LGPL-2.1"),
-    ("This program is distributed under the GNU Affero General Public License version 3.", "AGPL-3.0"),
+    ("This program is licensed under the terms of the GNU General Public License, version 3.", "GPL-3.0-only"),
+    ("This program is licensed under the GNU General Public License, version 3 or later.", "GPL-3.0-or-later"),
+    ("Released under the GNU General Public License version 2.", "GPL-2.0-only"),
+    ("This library is licensed under the GNU Lesser General Public License version 2.1.", "LGPL-2.1-only"),
+    ("This program is distributed under the GNU Affero General Public License version 3.", "AGPL-3.0-only"),
     ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
-    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "CC-BY-SA-3.0"),
+    ("This work is licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
     ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
-    ("This work is released under CC0 1.0.", "CC0-1.0"),
+    ("This work is released under CC0 1.0 Universal.", "CC0-1.0"), ("SPDX-License-Identifier: EPL-2.0", "EPL-2.0"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"), ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    (ZLIB, "Zlib"), (UNLICENSE, "Unlicense"), ("This work is released into the public domain.", "Public-Domain"),
 ]
 
 
@@ -125,5 +142,69 @@ def test_standard_texts_state_their_licence(text, licence, columns, prefix):
     assert {name for name, _ in licenses.match_rules(licenses.sentence_ids(text))} == {licence}
 
 
-def test_every_licence_has_a_standard_text():
-    assert {rule.licence for rule in licenses.RULES} == {licence for _, licence in STANDARD}
+def every_pattern():
+    for name, known in licenses._every_sentence():
+        parts = [re.escape(licenses.normalise(p)) for p in known.split("*")]
+        room = r"\S+(?: \S+){0,23}"
+        words = [w for k, p in enumerate(parts) for w in ((room, p) if k else (p,)) if w]
+        yield name, re.compile(" ".join(words)) if len(parts) > 1 else licenses.normalise(known)
+
+
+PATTERNS = list(every_pattern())
+
+
+def slow_identify(sentence):
+    """Every known sentence tried, one after another."""
+    for name, known in PATTERNS:
+        if sentence == known if isinstance(known, str) else known.fullmatch(sentence):
+            return name
+    return None
+
+
+def test_identifiers_equal_trying_every_sentence():
+    draw = random.Random(3)
+    known = [s.replace("*", "of Jo Doe nor others") for _, s in licenses._every_sentence()]
+    for sentence in draw.sample(known, 40) + ["All rights", "", "the quick fox", "permission is"]:
+        plain = licenses.normalise(sentence)
+        assert licenses.identify(plain) == slow_identify(plain)
+        words = plain.split(" ")
+        at = draw.randrange(len(words))
+        # one word more, less or another is no known sentence, unless it stands where a name may
+        for other in ([*words[:at], *words[at + 1 :]], [*words[:at], "zebra", *words[at:]], [*words[:at], "zebra", *words[at + 1 :]]):
+            changed = " ".join(other)
+            assert licenses.identify(changed) == slow_identify(changed)
+
+
+@pytest.mark.parametrize("text", [
+    MIT.replace("free of charge", "for a fee").split("\n\n")[0], APACHE.replace("Apache License", "Apex License").split(".")[0],
+    "This project is not licensed under the MIT License.", "The MIT licence is popular.", "Permission is hereby granted to park here.",
+    "We redistribute food in the public domain of kindness.", "This work is licensed under the Terms of Service.", "version 3", "MIT", "Some rights reserved.",
+])
+def test_near_misses_state_nothing(text):
+    assert licenses.match_rules(licenses.sentence_ids(text)) == []
+
+
+def test_sentences_too_far_apart_state_nothing():
+    grant, notice, _ = MIT.split("\n\n")
+    filler = " ".join(f"Other sentence number {i}." for i in range(5))
+    assert licenses.match_rules(licenses.sentence_ids(f"{grant}\n\n{filler}\n\n{notice}")) == []
+
+
+def test_seek_tables_name_every_frame(spark, tmp_path):
+    folder = tmp_path / "archives"
+    pages = spark.createDataFrame([(i, f"u{i}", f"page {i} " * 500, "d") for i in range(300)] + [(None, None, "no id", "d")], PAGES)
+    manifest = warc.write_bundles(pages, str(folder), frame_bytes=20_000)
+    frames = {(r.bundle, r.frame, r.frame_offset, r.frame_bytes) for r in manifest.collect()}
+    told = set()
+    for path in folder.iterdir():
+        with path.open("rb") as file:
+            told |= {(path.name, k, at, size) for k, (at, size, _) in enumerate(warc.read_seek_table(file, path.stat().st_size))}
+    assert told == frames and len(frames) > 20
+    assert warc.read_frames(manifest, str(folder)).filter("page_id IS NULL").count() == 1
+
+
+def test_frames_are_read_by_many_tasks(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"u{i}", f"page {i} " * 500, "d") for i in range(300)], PAGES)
+    manifest = warc.write_bundles(pages, str(tmp_path / "a"), frame_bytes=20_000)
+    tasks = warc.read_frames(manifest, str(tmp_path / "a")).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1
