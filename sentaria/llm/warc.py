@@ -20,7 +20,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentaria.llm.common import stored, table
+from sentaria.llm.common import stored, table, width
 from sentaria.plans.sizing import scratch_path
 
 # Fixed values of the seekable format and of the skippable frame that carries its table.
@@ -245,7 +245,10 @@ def read_frames(manifest: DataFrame, folder: str, with_payload: bool = False) ->
     ``payload_bytes`` and ``payload_digest`` of a response are measured on what was read;
     those of a revisit are the ones its headers carry.
     """
-    frames = manifest.select("bundle", "frame", "frame_offset", "frame_bytes").distinct()
+    frames = stored(manifest.select("bundle", "frame", "frame_offset", "frame_bytes").distinct(), "warc-frames")
+    # a row of few bytes stands for a frame of many: tasks are dealt by what the frames hold
+    total = frames.agg(F.coalesce(F.sum("frame_bytes"), F.lit(0)).alias("n")).first()["n"]
+    frames = frames.repartition(width(manifest.sparkSession, total), "bundle", "frame")
     schema = _arrow_schema(RECORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
