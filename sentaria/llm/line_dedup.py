@@ -30,7 +30,7 @@ EDITS = 2
 #: Least characters of a line unless a caller asks for shorter ones; two edits of a shorter line change its meaning.
 LEAST_CHARS = 20
 #: Lines of each side of one key that a block verifies; a key with more becomes several blocks.
-BLOCK_LINES = 1024
+BLOCK_LINES = 512
 #: Lines after which a task writes what it has counted so far.
 _HELD_LINES = 50_000
 #: Lines whose repeats a task leaves out while it hashes segments.
