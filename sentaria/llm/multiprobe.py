@@ -19,6 +19,7 @@ sorted rows, so it holds one block of rows and of queries at a time.
 
 from __future__ import annotations
 
+import heapq
 import itertools
 import math
 from collections.abc import Iterator
@@ -68,7 +69,6 @@ class Hashes:
         self.lines = rng.normal(size=(TABLES, dims + 1, functions))
         self.shift = rng.uniform(0, CELL, (TABLES, functions))
         self.mix = rng.integers(1, 1 << 62, functions, dtype=np.int64) | 1
-        self.moves = np.array(list(itertools.product((-1, 0, 1), repeat=functions)))
 
     def cells(self, lifted: np.ndarray, tab: int) -> tuple[np.ndarray, np.ndarray]:
         """Cell numbers and the place inside each cell, from 0 to 1."""
@@ -84,14 +84,37 @@ class Hashes:
         """Buckets of each query in the order of their estimated chance."""
         out = np.empty((len(cells), most), np.int64)
         for i, (cell, x) in enumerate(zip(cells, inside)):
-            cost = np.stack([x, np.zeros_like(x), 1 - x], 1) ** 2
-            total = sum(cost[k][self.moves[:, k] + 1] for k in range(len(x)))
-            best = np.argpartition(total, most - 1)[:most] if most < len(total) else np.arange(len(total))
-            best = best[np.argsort(total[best], kind="stable")]
-            out[i] = self.bucket(cell[None, :] + self.moves[best])
+            out[i] = self.bucket(cell[None, :] + cheapest_moves(x, most))
         return out
 
 
+def cheapest_moves(inside: np.ndarray, most: int) -> np.ndarray:
+    """The ``most`` rows of moves (-1, 0 or 1 for each function) of least cost, in the order of their cost.
+
+    A move down costs the squared place inside the cell, one up the square of the rest. Sets
+    of single moves come from a heap: with single moves sorted by cost, a set is followed by
+    the one whose last move is the next in the order, and by the one that has that next move, too.
+    """
+    n = len(inside)
+    single = sorted([(x * x, k, -1) for k, x in enumerate(inside.tolist())] + [((1 - x) ** 2, k, 1) for k, x in enumerate(inside.tolist())])
+    cost = [c for c, _, _ in single]
+    moves = np.zeros((most, n), np.int64)
+    heap, found = [(cost[0], (0,))], 1  # the first row moves nothing
+    while heap and found < most:
+        total, chosen = heapq.heappop(heap)
+        last, before = chosen[-1], chosen[:-1]
+        clash = any(single[c][1] == single[last][1] for c in before)
+        if not clash:
+            for c in chosen:
+                moves[found, single[c][1]] = single[c][2]
+            found += 1
+        if last + 1 < 2 * n:
+            heapq.heappush(heap, (total - cost[last] + cost[last + 1], (*before, last + 1)))
+            if not clash:  # a set that moves one function both ways stays one, whatever is added
+                heapq.heappush(heap, (total + cost[last + 1], (*chosen, last + 1)))
+    return moves[:found]
+
+
 def _matrix(packed: pa.Array, dims: int) -> np.ndarray:
     """Vectors of one length from the bytes of their doubles."""
     return np.frombuffer(b"".join(packed.to_pylist())).reshape(-1, dims)
@@ -171,7 +194,9 @@ def _hashed(shape: dict[int, tuple[float, list[Band]]], queries: bool):
                     yield from of_band(band, dims, own, ids, flat, starts)
 
     def of_band(band: Band, dims: int, own: np.ndarray, ids: pa.Array, flat: np.ndarray, starts: np.ndarray):
-        hashes = known.setdefault((dims, band.functions), Hashes(dims, band.functions))
+        if (key := (dims, band.functions)) not in known:
+            known[key] = Hashes(*key)
+        hashes = known[key]
         x = flat[starts[own][:, None] + np.arange(dims)]
         packed = pa.array([row.tobytes() for row in x], pa.binary())
         norms = np.linalg.norm(x, axis=1)
@@ -211,13 +236,15 @@ def exact_top(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_
     summed again in one fixed order, so equal vectors get equal scores everywhere.
     """
     found = []
+    longest = np.linalg.norm(rows, axis=1).max(initial=0.0)
     for at in range(0, len(queries), 256):
         q, ids = queries[at : at + 256], query_ids[at : at + 256]
         rough = q @ rows.T
         rough[ids[:, None] == row_ids[None, :]] = -np.inf
         keep = min(k, rough.shape[1])
         floor = np.partition(rough, rough.shape[1] - keep, axis=1)[:, rough.shape[1] - keep]
-        margin = 1e-9 * (1 + np.abs(floor))
+        # what rounding can move a product by goes with the lengths of both vectors
+        margin = 1e-9 * np.linalg.norm(q, axis=1) * longest
         i, j = np.nonzero((rough >= (floor - margin)[:, None]) & (rough > -np.inf))
         for part in range(0, len(i), 65_536):
             a, b = i[part : part + 65_536], j[part : part + 65_536]
