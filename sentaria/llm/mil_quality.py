@@ -226,7 +226,8 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """
     docs = docs.select(*[quoted(c) for c in docs.columns if c.lower() != "score"])
     at = docs.columns.index("text")
-    schema = docs.withColumn("score", F.lit(0.0)).schema
+    plain = _by_place(docs)
+    schema = plain.withColumn("score", F.lit(0.0)).schema
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +238,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
                 [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"]
             )
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema).toDF(*docs.columns, "score")
+
+
+def _by_place(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns named by their places: Spark hands columns of any name to Python only so."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
@@ -254,7 +260,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFra
         for batch in batches:
             yield batch.filter(pa.array([own.score(_bag(t.as_py())) >= least for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = _by_place(docs)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
