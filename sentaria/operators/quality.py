@@ -2,10 +2,7 @@
 
 An empty list means "no filter", never "keep nothing".
 
-Filters probe the list and join it once per id column, so hand in a stored frame when
-it is costly to derive (``plans.sizing.written``). That also leaves no aggregation
-between shuffle and join, which would stop Spark from splitting a skewed id.
-"""
+Filters store the list before they probe and join it."""
 
 from __future__ import annotations
 
@@ -29,7 +26,12 @@ def add_ids(ids: DataFrame, more: DataFrame) -> DataFrame:
 
 
 def keep_trusted(df: DataFrame, ids: DataFrame, *id_columns: str) -> DataFrame:
-    """Keep rows whose every id column (default ``sentence_id``) is trusted."""
+    """Keep rows whose every id column (default ``sentence_id``) is trusted.
+
+    The list is stored once: the joins know its size, and no aggregation stands between
+    their shuffle and them, which would keep a hot id in one task.
+    """
+    ids = written(ids.select(ID), "trusted")
     if ids.isEmpty():
         return df
     for column in id_columns or (ID,):

@@ -313,7 +313,7 @@ def near(children: DataFrame, ids: DataFrame, column: str = ID) -> DataFrame:
     """
     ids = ids.select(F.col(ids.columns[0]).alias(column))
     narrow = narrowed(children, column, value_ranges(ids))
-    return narrow.join(ids.distinct(), column, "left_semi").select(children.columns)
+    return narrow.join(ids, column, "left_semi").select(children.columns)
 
 
 def translations_near(
@@ -480,7 +480,11 @@ def search_batch(
         "postings",
     )
     if match_all:
-        hits = _match_all_batch(asked, exploded, postings)
+        # of a query of one key only the first ids can enter a page, however frequent the key
+        one = asked.filter(F.size("keys") == 1).select("query_id", "query_language", F.explode("keys").alias("normalized_token"))
+        several = asked.filter(F.size("keys") > 1)
+        hits = _match_all_batch(several, exploded.join(several.select("query_id"), "query_id", "left_semi"), postings)
+        hits = hits.unionByName(_match_any_batch(one, postings, last))
     else:
         hits = _match_any_batch(exploded, postings, last)
     return (

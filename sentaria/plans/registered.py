@@ -16,7 +16,7 @@ from sentaria.operators.conform import conform, surrogate_ids
 from sentaria.plans import jobs
 from sentaria.plans.corpus_views import CorpusViews
 from sentaria.plans.jobs import ExtractInputs
-from sentaria.plans.sizing import scratch_path, spread
+from sentaria.plans.sizing import scratch_path, spread, written
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.parquet import (
     compact_dataset,
@@ -374,13 +374,13 @@ def translations(v: CorpusViews) -> DataFrame:
 def translations_target_lang(v: CorpusViews) -> DataFrame:
     """German translations of the trusted sentences."""
     return _translation_rows(
-        retrieval.translations_of(v.links, v.sentences, v.quality_ids, target_language="de")
+        retrieval.translations_of(v.links, v.sentences, written(v.quality_ids, "trusted"), target_language="de")
     )
 
 
 @registered
 def audio_by_sentence(v: CorpusViews) -> DataFrame:
-    return retrieval.audio_of(v.sentence_audio, v.quality_ids).drop("local_path", "downloaded_at")
+    return retrieval.audio_of(v.sentence_audio, written(v.quality_ids, "trusted")).drop("local_path", "downloaded_at")
 
 
 @registered
