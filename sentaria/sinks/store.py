@@ -67,9 +67,13 @@ class StoreVersion:
         gone = {name for parts in merges.values() for name in parts}
         return sorted(n for n in names if n not in gone and (not n.startswith(_MERGED) or n in merges))
 
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, without: str | None = None) -> DataFrame:
+        """The rows of a table; ``without`` leaves one load out."""
         base = dataset_path(self.folder, table)
-        paths = [f"{base}/{_LOAD}={name}" for name in self.loads(table)] or [base]
+        names = [name for name in self.loads(table) if name != without]
+        if not names:
+            return self.spark.createDataFrame([], SCHEMAS[table])
+        paths = [f"{base}/{_LOAD}={name}" for name in names]
         rows = self.spark.read.schema(SCHEMAS[table]).option("basePath", base).parquet(*paths)
         return rows.select(SCHEMAS[table].names)
 

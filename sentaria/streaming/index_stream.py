@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from sentaria.operators.conform import conform
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.folders import Folders
+from sentaria.sinks.keyed import split_by_key
 from sentaria.sinks.store import CorpusStore
 
 _SALT, _SALTS = "_salt", 64
@@ -64,13 +65,17 @@ def _stream_name(spark: SparkSession, checkpoint_dir: str) -> str:
     return name
 
 
-def batch_writer(base_dir: str, checkpoint_dir: str):
+def batch_writer(base_dir: str, checkpoint_dir: str, distinct_ids: bool = False):
     """What stores and indexes one micro-batch, as ``foreachBatch`` calls it.
 
     Rows take the store's own write path, so streamed and batch-loaded rows share folders
     and layout. A micro-batch is one load of the store, named by the stream and the batch:
     one that was interrupted and comes again takes the place of its first try, whatever
     ids it or earlier loads hold.
+
+    ``distinct_ids`` keeps the first row of each id, and none without an id. What came before is
+    looked up in the store, in the row groups that may hold one of the batch's ids, so a
+    stream of any age keeps no state of its own. The batch's own first try does not count.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -79,7 +84,11 @@ def batch_writer(base_dir: str, checkpoint_dir: str):
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                version.load_sentences(batch, load=f"{_stream_name(spark, checkpoint_dir)}-{batch_id}")
+                load = f"{_stream_name(spark, checkpoint_dir)}-{batch_id}"
+                rows = batch
+                if distinct_ids:
+                    rows, _ = split_by_key(batch, version.read("sentences", without=load), "sentences")
+                version.load_sentences(rows, load=load)
         finally:
             batch.unpersist()
 
@@ -99,19 +108,21 @@ def start_sentences(
 ) -> StreamingQuery:
     """Stream Parquet sentence files into the stored sentences and their index.
 
-    ``spread_repeats`` turns on the first round per input file of :func:`deduplicated`.
+    ``distinct_ids`` as in :func:`batch_writer`. With an ``event_time`` as well, repeats that
+    arrive close to each other are dropped by :func:`deduplicated` before they reach a
+    batch; ``spread_repeats`` turns on its first round per input file.
     """
     arriving = (
         spark.readStream.schema(source_schema or SCHEMAS["sentences"])
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(source_dir)
     )
-    if distinct_ids:
+    if distinct_ids and event_time is not None:
         origin = F.col("_metadata.file_path") if spread_repeats else None
         arriving = deduplicated(arriving, event_time, origin=origin)
     return (
         conform(arriving, "sentences")
-        .writeStream.foreachBatch(batch_writer(base_dir, checkpoint_dir))
+        .writeStream.foreachBatch(batch_writer(base_dir, checkpoint_dir, distinct_ids))
         .option("checkpointLocation", f"{checkpoint_dir}/sentences")
         .trigger(availableNow=True)
         .start()

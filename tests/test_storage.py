@@ -436,10 +436,9 @@ def test_a_merge_that_stops_shows_nothing_twice(spark, tmp_path, monkeypatch):
     assert len(store.current().loads("links")) == 2
 
 
-@pytest.mark.parametrize("spread_repeats", [False, True])
-def test_stream_can_drop_repeated_ids(spark, tmp_path, spread_repeats):
+def test_stream_can_drop_repeated_ids(spark, tmp_path):
     source, base, marks = (str(tmp_path / name) for name in ("in", "store", "marks"))
-    options = {"distinct_ids": True, "spread_repeats": spread_repeats}
+    options = {"distinct_ids": True}
     sentences(spark, (1, "eng", "a"), (2, "eng", "b"), (2, "eng", "b")).write.parquet(source)
     update_index(spark, source, base, marks, **options)
     sentences(spark, (2, "eng", "b again"), (3, "eng", "c")).write.mode("append").parquet(source)
@@ -447,6 +446,21 @@ def test_stream_can_drop_repeated_ids(spark, tmp_path, spread_repeats):
     assert ids(CorpusStore(spark, base).read("sentences")) == [1, 2, 3]
 
 
+def test_distinct_streams_keep_no_state(spark, tmp_path):
+    """Batches with repeats of old ids: every id once, no state store, replay changes nothing."""
+    source, base, marks = (str(tmp_path / name) for name in ("in", "store", "marks"))
+    write = batch_writer(base, marks, distinct_ids=True)
+    for k in range(6):
+        batch = sentences(spark, (k, "eng", f"new {k}"), (k // 2, "eng", f"again {k}"), (None, "eng", "no id"))
+        for _ in range(1 + k % 2):
+            write(batch, k)
+    rows = sorted(map(tuple, CorpusStore(spark, base).read("sentences").select("sentence_id", "text").collect()))
+    assert rows == [(0, "again 0"), *[(k, f"new {k}") for k in range(1, 6)]]
+    sentences(spark, (1, "eng", "a")).write.parquet(source)
+    update_index(spark, source, base, marks, distinct_ids=True)
+    assert not (tmp_path / "marks" / "sentences" / "state").exists()
+
+
 def test_deduplication_with_event_time_has_a_watermark(spark, tmp_path):
     spark.sql("select 1L as sentence_id, timestamp'2024-01-01' as t").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("sentence_id bigint, t timestamp").parquet(str(tmp_path / "in"))
