@@ -305,26 +305,29 @@ class SearchResult:
         )
 
 
-def near(children: DataFrame, ids: DataFrame, column: str = ID) -> DataFrame:
+def near(children: DataFrame, ids: DataFrame, ranges: list[tuple] | None = None) -> DataFrame:
     """The children of a stored page of ids, from the row groups that may hold them.
 
-    The page's ids become a few ranges of values in the scan's filter. The page itself is
-    then joined by its real size.
+    The page's ids become a few ranges of values in the scan's filter (``ranges``, if the
+    caller has them already). The page itself is then joined by its real size.
     """
-    ids = ids.select(F.col(ids.columns[0]).alias(column))
-    narrow = narrowed(children, column, value_ranges(ids))
-    return narrow.join(ids, column, "left_semi").select(children.columns)
+    narrow = narrowed(children, ID, value_ranges(ids.select(ID)) if ranges is None else ranges)
+    return narrow.join(ids.select(ID), ID, "left_semi").select(children.columns)
 
 
 def translations_near(
-    links: DataFrame, sentences: DataFrame, ids: DataFrame, target_language: str | None = None
+    links: DataFrame,
+    sentences: DataFrame,
+    ids: DataFrame,
+    target_language: str | None = None,
+    ranges: list[tuple] | None = None,
 ) -> DataFrame:
     """:func:`translations_of` a stored page of ids, without a shuffle of all sentences.
 
     The page's links are stored; their targets narrow the scan of sentences as the
     page's ids narrow that of links.
     """
-    own = written(near(links.select(ID, "translation_id"), ids), "page-links")
+    own = written(near(links.select(ID, "translation_id"), ids, ranges), "page-links")
     targets = sentences_in_language(sentences, target_language)
     return translations_of(own, narrowed(targets, ID, value_ranges(own.select("translation_id"))))
 
@@ -368,12 +371,13 @@ def search_vocabulary(
         ids = found.select(ID)
 
     translations = audio = grammar = None
+    ranges = value_ranges(ids) if include_translations or include_audio or include_grammar else []
     if include_translations and "links" in tables:
-        translations = translations_near(tables["links"], sentences, ids, target_language)
+        translations = translations_near(tables["links"], sentences, ids, target_language, ranges)
     if include_audio and "sentence_audio" in tables:
-        audio = audio_of(near(tables["sentence_audio"], ids))
+        audio = audio_of(near(tables["sentence_audio"], ids, ranges))
     if include_grammar and "sentence_grammar_patterns" in tables:
-        grammar = grammar_of(near(tables["sentence_grammar_patterns"], ids), tables["grammar_patterns"])
+        grammar = grammar_of(near(tables["sentence_grammar_patterns"], ids, ranges), tables["grammar_patterns"])
     found = found.select(SCHEMAS["sentences"].names).orderBy(*total_order(found, ID))
     return SearchResult(found, translations, audio, grammar)
 
@@ -483,8 +487,11 @@ def search_batch(
         # of a query of one key only the first ids can enter a page, however frequent the key
         one = asked.filter(F.size("keys") == 1).select("query_id", "query_language", F.explode("keys").alias("normalized_token"))
         several = asked.filter(F.size("keys") > 1)
-        hits = _match_all_batch(several, exploded.join(several.select("query_id"), "query_id", "left_semi"), postings)
-        hits = hits.unionByName(_match_any_batch(one, postings, last))
+        if one.isEmpty():
+            hits = _match_all_batch(asked, exploded, postings)
+        else:
+            more = exploded.join(several.select("query_id"), "query_id", "left_semi")
+            hits = _match_all_batch(several, more, postings).unionByName(_match_any_batch(one, postings, last))
     else:
         hits = _match_any_batch(exploded, postings, last)
     return (

@@ -74,8 +74,8 @@ def narrowed(df: DataFrame, column: str, ranges: list[tuple]) -> DataFrame:
     return df.filter(in_ranges(column, ranges))
 
 
-def split_by_key(rows: DataFrame, held: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """``(new, refused)``: rows to append to ``held``, and the keys of the others.
+def split_by_key(rows: DataFrame, held: DataFrame | None, table: str) -> tuple[DataFrame, DataFrame]:
+    """``(new, refused)``: rows to append to ``held`` (None: nothing is stored), and the keys of the others.
 
     A row is refused if its key is stored, is null or repeats; of a repeated new key the
     least row is taken. ``refused`` has a row for each key: the key, ``stored`` and ``n_rows``,
@@ -84,17 +84,21 @@ def split_by_key(rows: DataFrame, held: DataFrame, table: str) -> tuple[DataFram
     keys = list(PRIMARY_KEYS[table])
     arriving = written(rows, "arriving")
     whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    # the last key column tells rows apart best: the others have few values
-    ranges = value_ranges(written(arriving.filter(whole).select(keys[-1]), "arriving-keys"))
-    near = narrowed(held, keys[-1], ranges).select(*keys)
-    repeats = arriving.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    known = near.join(repeats.filter(whole).select(*keys), keys, "left_semi").distinct()
-    known = written(known.withColumn("_stored", F.lit(True)), "stored-keys")
-    counted = repeats.join(known, keys, "left").withColumn("stored", F.coalesce("_stored", F.lit(False)))
+    counted = arriving.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    if held is None:
+        counted = counted.withColumn("stored", F.lit(False))
+    else:
+        # the last key column tells rows apart best: the others have few values
+        near = narrowed(held, keys[-1], value_ranges(arriving.select(keys[-1]))).select(*keys)
+        known = near.join(arriving.filter(whole).select(*keys), keys, "left_semi").distinct()
+        known = known.withColumn("_stored", F.lit(True))
+        counted = counted.join(known, keys, "left").withColumn("stored", F.coalesce("_stored", F.lit(False)))
     lost = F.when(F.col("stored") | ~whole, F.col("_rows")).otherwise(F.col("_rows") - 1)
     refused = written(
         counted.select(*keys, "stored", lost.alias("n_rows")).filter("n_rows > 0"), "refused-keys"
     )
+    if refused.isEmpty():
+        return arriving, refused
     # only rows of keys that repeat are grouped; a key of many rows is reduced before it is shuffled
     again = refused.select(*keys, F.lit(True).alias("_again"), F.col("stored").alias("_known"))
     judged = arriving.filter(whole).join(again, keys, "left")

@@ -77,6 +77,10 @@ class StoreVersion:
         rows = self.spark.read.schema(SCHEMAS[table]).option("basePath", base).parquet(*paths)
         return rows.select(SCHEMAS[table].names)
 
+    def held(self, table: str, without: str | None = None) -> DataFrame | None:
+        """:meth:`read`, None if no load is there."""
+        return self.read(table, without) if set(self.loads(table)) - {without} else None
+
     def tables(self) -> dict[str, DataFrame]:
         return {table: self.read(table) for table in LOAD_ORDER}
 
@@ -225,7 +229,7 @@ class CorpusStore:
                 version.load_sentences(rows)
             return None
         version = self.create_tables()
-        new, refused = split_by_key(conform(df, "sentences"), version.read("sentences"), "sentences")
+        new, refused = split_by_key(conform(df, "sentences"), version.held("sentences"), "sentences")
         version.load_sentences(new)
         return refused
 
@@ -240,7 +244,7 @@ class CorpusStore:
         if table not in PRIMARY_KEYS:
             version.append(df, table)
             return None
-        new, refused = split_by_key(conform(df, table), version.read(table), table)
+        new, refused = split_by_key(conform(df, table), version.held(table), table)
         version.append(new, table)
         return refused
 

@@ -87,7 +87,7 @@ def batch_writer(base_dir: str, checkpoint_dir: str, distinct_ids: bool = False)
                 load = f"{_stream_name(spark, checkpoint_dir)}-{batch_id}"
                 rows = batch
                 if distinct_ids:
-                    rows, _ = split_by_key(batch, version.read("sentences", without=load), "sentences")
+                    rows, _ = split_by_key(batch, version.held("sentences", without=load), "sentences")
                 version.load_sentences(rows, load=load)
         finally:
             batch.unpersist()
