@@ -10,6 +10,7 @@ number does a sentence have a gap, and then its beginning finds it.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -210,9 +211,9 @@ RULES = (
 )
 
 _WORD = re.compile(r"[^\W_]+")
-# A sentence ends at a blank line, or at a mark before white space; a full stop inside a number does not end it.
-_END = re.compile(r"\s*\n\s*\n\s*|\s*[\n\r]+\s*|(?<=[.!?;:])\s+")
-_MARK = re.compile(r"[.!?;:]\W*\Z")
+# A sentence ends at a line break, or at a mark before white space; a full stop inside a number does not end it.
+_END = re.compile(r"[.!?;:]\s+|[\n\r]\s*")
+_MARKS = ".!?;:"
 #: Words of the longest known sentence with room for a name.
 _ROOM = 24
 
@@ -239,10 +240,10 @@ def _every_sentence() -> Iterator[tuple[str, str]]:
                         yield f"name:{licence}", phrase.replace("{what}", what).replace("{}", spelling)
 
 
-def _tables() -> tuple[dict[str, str], dict[str, list[tuple[re.Pattern, str]]]]:
-    """Identifiers by whole normalised sentence, and patterns of those with room by their first fixed word."""
+def _tables() -> tuple[dict[str, str], dict[str, list[tuple[re.Pattern, str, str]]]]:
+    """Identifiers by whole normalised sentence, and patterns of those with room, and words they hold, by their first fixed word."""
     whole: dict[str, str] = {}
-    roomy: dict[str, list[tuple[re.Pattern, str]]] = {}
+    roomy: dict[str, list[tuple[re.Pattern, str, str]]] = {}
     for name, sentence in _every_sentence():
         if "*" not in sentence:
             whole.setdefault(normalise(sentence), name)
@@ -250,16 +251,20 @@ def _tables() -> tuple[dict[str, str], dict[str, list[tuple[re.Pattern, str]]]]:
         parts = [normalise(part) for part in sentence.split("*")]
         room = rf"(?:\S+ ){{1,{_ROOM}}}"
         pattern = "".join(re.escape(p) + (" " if p else "") + (room if i < len(parts) - 1 else "") for i, p in enumerate(parts))
-        roomy.setdefault(parts[0].split(" ")[0], []).append((re.compile(pattern.strip() + r"\Z"), name))
+        roomy.setdefault(parts[0].split(" ")[0], []).append((re.compile(pattern.strip() + r"\Z"), name, [p for p in parts if p][-1]))
     return whole, roomy
 
 
 WHOLE, _ROOMY = _tables()
-#: A text without any of these is not cut.
-_STEMS = re.compile("licen|permission|redistribut|reserved|public domain|as.is|copyright|cc0|gpl|mit\\b|bsd|apache")
-#: First words of all known sentences, and lines that one may be wrapped over.
+#: First words of all known sentences, and these in order.
 _FIRST = {s.split(" ")[0] for s in WHOLE} | set(_ROOMY)
-_LINES = 14
+_SORTED = sorted(WHOLE)
+#: Words of the longest sentence with room, by its first word.
+_ROOMY_WORDS: dict[str, int] = {}
+for _, _sentence in _every_sentence():
+    if "*" in _sentence:
+        _words = normalise(_sentence).split(" ")
+        _ROOMY_WORDS[_words[0]] = max(_ROOMY_WORDS.get(_words[0], 0), len(_words) + _ROOM * _sentence.count("*"))
 
 
 def identify(sentence: str) -> str | None:
@@ -267,43 +272,67 @@ def identify(sentence: str) -> str | None:
     found = WHOLE.get(sentence)
     if found or not sentence:
         return found
-    for pattern, name in _ROOMY.get(sentence.split(" ", 1)[0], ()):
-        if pattern.match(f"{sentence} ") or pattern.match(sentence):
+    for pattern, name, held in _ROOMY.get(sentence.split(" ", 1)[0], ()):
+        if held in sentence and (pattern.match(f"{sentence} ") or pattern.match(sentence)):
             return name
     return None
 
 
+def _goes_on(words: str) -> bool:
+    """Whether a known sentence may begin with these words and have more."""
+    begin = f"{words} "
+    at = bisect_left(_SORTED, begin)
+    if at < len(_SORTED) and _SORTED[at].startswith(begin):
+        return True
+    return words.count(" ") + 1 < _ROOMY_WORDS.get(words.split(" ", 1)[0], 0)
+
+
+def _has_mark_last(text: str, low: int, high: int) -> bool:
+    """Whether a mark comes after the last word of ``text[low:high]``."""
+    for at in range(high - 1, low - 1, -1):
+        if text[at] in _MARKS:
+            return True
+        if text[at].isalnum() or text[at] == "_":
+            return False
+    return False
+
+
 def sentence_ids(text: str | None) -> list[tuple[int, str]]:
     """``(sentence number, identifier)`` of the known sentences of a text, in order.
 
-    Licence texts are wrapped over lines: a line that may begin a known sentence is also
-    tried together with the lines after it, the longest known sentence first. A line
-    break ends a sentence in the numbers only after a mark or at a blank line.
+    Every text is cut. Licence texts are wrapped over lines: a line that may begin a known
+    sentence is also tried together with the lines after it, as long as a known sentence
+    goes on with them, and the longest one is taken. A line break ends a sentence in the
+    numbers only after a mark or at a blank line.
     """
-    if not text or not _STEMS.search(text.lower()):
+    if not text:
         return []
+    text = text.lower()
+    # begin, end and first word of each part; words are joined only where a known sentence may begin
     parts, number, breaks, at = [], [0], [], 0
     for end in _END.finditer(text):
-        parts.append(normalise(text[at : end.start()]))
+        word = _WORD.search(text, at, end.start())
+        parts.append((at, end.start(), word.group() if word else ""))
         blank = end.group().count("\n") > 1
-        closed = bool(_MARK.search(text[at : end.start()])) or blank
         breaks.append(blank)
-        number.append(number[-1] + bool(closed and parts[-1]))
+        marked = word and (blank or end.group()[0] in _MARKS or _has_mark_last(text, at, end.start()))
+        number.append(number[-1] + bool(marked))
         at = end.end()
-    parts.append(normalise(text[at:]))
+    word = _WORD.search(text, at)
+    parts.append((at, len(text), word.group() if word else ""))
     breaks.append(True)
     out, skip = [], 0
-    for i, part in enumerate(parts):
-        if i < skip or not part:
-            continue
-        if part.split(" ", 1)[0] not in _FIRST:
+    for i, (_, _, first) in enumerate(parts):
+        if i < skip or ("license" if first == "licence" else first) not in _FIRST:
             continue
         best, joined = None, ""
-        for j in range(i, min(i + _LINES, len(parts))):
-            joined = f"{joined} {parts[j]}".strip()
-            if (found := identify(joined)) and parts[j]:
-                best = found, j
-            if breaks[j]:
+        for j in range(i, len(parts)):
+            begin, end, first = parts[j]
+            if first:
+                joined = f"{joined} {normalise(text[begin:end])}".strip()
+                if found := identify(joined):
+                    best = found, j
+            if breaks[j] or not _goes_on(joined):
                 break
         if best:
             out.append((number[i], best[0]))

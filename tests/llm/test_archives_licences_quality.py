@@ -184,6 +184,21 @@ def test_near_misses_state_nothing(text):
     assert licenses.match_rules(licenses.sentence_ids(text)) == []
 
 
+@pytest.mark.parametrize("text, licence", [
+    ("Old songs of the valley. Released under CC BY 4.0.", "CC-BY-4.0"), ("Released under the WTFPL.", "WTFPL"),
+    ("Distributed under the EPL-2.0", "EPL-2.0"), ("This work is in the\npublic\ndomain.", "Public-Domain"),
+    # more lines than words fit into fourteen
+    (textwrap.fill(MIT, 24), "MIT"), ("\n".join(ISC.split()), "ISC"),
+])
+def test_every_text_is_cut_and_sentences_go_over_any_number_of_lines(text, licence):
+    assert {name for name, _ in licenses.match_rules(licenses.sentence_ids(text))} == {licence}
+
+
+def test_long_runs_of_spaces_and_marks_take_little_time():
+    for text in (" " * 300_000, "!" * 300_000 + "a", ". " * 100_000):
+        assert licenses.sentence_ids(text) == []
+
+
 def test_sentences_too_far_apart_state_nothing():
     grant, notice, _ = MIT.split("\n\n")
     filler = " ".join(f"Other sentence number {i}." for i in range(5))
