@@ -27,7 +27,9 @@ ID = "sentence_id"
 #: Input bytes for one range partition of a write.
 WRITE_PARTITION_BYTES = 128 << 20
 _ORIGIN = "_input_partition"
-_BUCKET = "_bucket"
+_BUCKET, _SAME = "_bucket", "_same"
+#: Shuffled bytes of token rows that one task sorts: in memory they are about seven times as large.
+INDEX_PARTITION_BYTES = 64 << 20
 
 
 def dataset_path(base_dir: str, dataset: str) -> str:
@@ -127,27 +129,32 @@ def write_token_index(
 
     Keys are hashed into buckets, more of them for larger languages, so a small language
     is one file and not one per task. The rebalance hint splits a bucket that a frequent
-    word makes too large. There is no sampling pass, which would run the tokeniser
-    twice. A row group's dictionary of keys, or its Bloom filter where there are too many
+    word makes too large. A task sorts its rows in memory, and a token that is its own key is
+    shuffled once. There is no sampling pass, which would run the tokeniser twice. A row group's dictionary of keys, or its Bloom filter where there are too many
     for a dictionary, turns away lookups of keys in other buckets.
 
     ``languages`` is a cheaper frame to count languages in, such as the sentences.
     """
     spark = tokens.sparkSession
-    # A token row is several times the size of the word in its text.
-    width = max(shuffle_width(tokens, growth=4.0), 2 * spark.sparkContext.defaultParallelism)
+    # Shuffled token rows are about five times the size of their text's files.
+    needed = shuffle_width(tokens, growth=5.0 * TARGET_PARTITION_BYTES / INDEX_PARTITION_BYTES)
+    width = max(needed, 2 * spark.sparkContext.defaultParallelism)
     buckets = _buckets_by_language(tokens if languages is None else languages, width)
     settings = {
-        "spark__sql__adaptive__advisoryPartitionSizeInBytes": TARGET_PARTITION_BYTES,
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": INDEX_PARTITION_BYTES,
         "spark__sql__shuffle__partitions": min(4 * width, MAX_SHUFFLE_WIDTH),
     }
     order = ("language", "normalized_token", ID)
+    same = F.col("token").eqNullSafe(F.col("normalized_token"))
+    brief = tokens.withColumn(_SAME, same).withColumn("token", F.when(~F.col(_SAME), F.col("token")))
+    whole = F.when(F.col(_SAME), F.col("normalized_token")).otherwise(F.col("token"))
     with session_settings(spark, **settings):
         (
-            tokens.withColumn(_BUCKET, F.pmod(F.xxhash64("normalized_token"), buckets))
+            brief.withColumn(_BUCKET, F.pmod(F.xxhash64("normalized_token"), buckets))
             .hint("rebalance", "language", _BUCKET)
             .sortWithinPartitions(*order)
-            .drop(_BUCKET)
+            .withColumn("token", whole)
+            .drop(_BUCKET, _SAME)
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .option("parquet.bloom.filter.enabled#normalized_token", "true")

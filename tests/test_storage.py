@@ -475,3 +475,17 @@ def test_deduplication_with_event_time_has_a_watermark(spark, tmp_path):
     stream = spark.readStream.schema("sentence_id bigint, t timestamp").parquet(str(tmp_path / "in"))
     plan = deduplicated(stream, "t", "2 hours")._jdf.queryExecution().analyzed().toString()
     assert "EventTimeWatermark" in plan and "DeduplicateWithinWatermark" in plan
+
+
+def test_an_index_is_sorted_in_small_shares_and_keeps_every_form_of_a_token(spark, tmp_path, monkeypatch):
+    from sentaria.sinks import parquet
+
+    rows = [(k, "la", form, "ordo" if k % 3 else None, k) for k in range(3000) for form in ("ordo", "Ordo", None)]
+    rows += [(k, "la", f"w{k}", f"w{k}", 0) for k in range(20_000)]
+    tokens = spark.createDataFrame(rows, "sentence_id bigint, language string, token string, normalized_token string, position int")
+    path = str(tmp_path / "index")
+    monkeypatch.setattr(parquet, "INDEX_PARTITION_BYTES", 8 << 10)
+    parquet.write_token_index(tokens, path)
+    found = spark.read.parquet(path).select(tokens.columns)
+    assert found.exceptAll(tokens).isEmpty() and tokens.exceptAll(found).isEmpty()
+    assert len(found.inputFiles()) > 8
