@@ -105,4 +105,5 @@ def split_by_key(rows: DataFrame, held: DataFrame | None, table: str) -> tuple[D
     single = judged.filter(F.col("_again").isNull()).select(arriving.columns)
     several = judged.filter(F.col("_again") & ~F.col("_known")).groupBy(*keys)
     least = several.agg(F.min(F.struct(*arriving.columns)).alias("_row")).select("_row.*")
-    return single.unionByName(least), refused
+    # stored once: writers read what they write more than once
+    return written(single.unionByName(least), "new-rows"), refused

@@ -489,3 +489,13 @@ def test_an_index_is_sorted_in_small_shares_and_keeps_every_form_of_a_token(spar
     found = spark.read.parquet(path).select(tokens.columns)
     assert found.exceptAll(tokens).isEmpty() and tokens.exceptAll(found).isEmpty()
     assert len(found.inputFiles()) > 8
+
+
+def test_new_rows_of_a_load_that_repeats_keys_are_judged_once(spark):
+    from sentaria.sinks.keyed import split_by_key
+
+    rows = [(1, "la", "b"), (1, "la", "a"), (2, "la", "c"), (None, "la", "d")]
+    new, refused = split_by_key(spark.createDataFrame(rows, "sentence_id bigint, language string, text string"), None, "sentences")
+    assert "Join" not in str(new._jdf.queryExecution().optimizedPlan())
+    assert sorted(map(tuple, new.collect())) == [(1, "la", "a"), (2, "la", "c")]
+    assert {(r["sentence_id"], r["n_rows"]) for r in refused.collect()} == {(1, 1), (None, 1)}
