@@ -17,6 +17,7 @@ from sentaria.functions.scalar import (
 )
 from sentaria.operators.conform import conform
 from sentaria.operators.integrity import keep_allowed
+from sentaria.plans.sizing import spread
 from sentaria.schemas import SCHEMAS
 
 # Fixed values.
@@ -81,42 +82,54 @@ def download(
     when complete, so a retried task neither trusts half a file nor fetches twice.
     ``audio_dir`` must be a folder every executor sees.
     """
-    planned = plan_downloads(audio, audio_dir, reusable_only, fetched_at)
+    # a fetch takes long: a small table is dealt over all cores, rows of one file to one task
+    planned = spread(plan_downloads(audio, audio_dir, reusable_only, fetched_at), "audio_id")
     columns = SCHEMAS["sentence_audio"].names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            due = batch["status"] == DOWNLOADED
-            failed = [
-                index
-                for index, url, path in batch.loc[due, ["download_url", "local_path"]].itertuples()
-                if not _fetched(fetch, str(url), path)
-            ]
-            batch.loc[failed, "status"] = FAILED
-            batch.loc[failed, "local_path"] = None
-            batch.loc[failed, "downloaded_at"] = pd.NaT
-            yield batch
+        import tempfile
+
+        made: set[str] = set()
+        with tempfile.TemporaryDirectory() as own:
+            for batch in batches:
+                due = batch["status"] == DOWNLOADED
+                failed = [
+                    index
+                    for index, url, path in batch.loc[due, ["download_url", "local_path"]].itertuples()
+                    if not _fetched(fetch, str(url), path, own, made)
+                ]
+                batch.loc[failed, "status"] = FAILED
+                batch.loc[failed, "local_path"] = None
+                batch.loc[failed, "downloaded_at"] = pd.NaT
+                yield batch
 
     return planned.select(columns).mapInPandas(run, SCHEMAS["sentence_audio"])
 
 
-def _fetched(fetch: Callable[[str, str], object], url: str, path: str) -> bool:
-    """Fetch to a file of the task's own, and move it to ``path`` on any file system when it is complete."""
+def _fetched(fetch: Callable[[str, str], object], url: str, path: str, own: str, made: set[str]) -> bool:
+    """Fetch to a new file in the task's folder ``own``, and move it to ``path`` on any file system when it is complete.
+
+    ``made`` are the folders that the task has created.
+    """
     import os
-    import tempfile
     import uuid
 
     from pyarrow import fs
 
+    name = uuid.uuid4().hex
     try:
         files, target = fs.FileSystem.from_uri(path if "://" in path else path.removeprefix("file:"))
         if files.get_file_info(target).type == fs.FileType.NotFound:
-            files.create_dir(os.path.dirname(target), recursive=True)
-            partial = f"{target}.{uuid.uuid4().hex}.part"
-            with tempfile.TemporaryDirectory() as own:
-                fetch(url, f"{own}/file")
-                fs.copy_files(f"{own}/file", partial, source_filesystem=fs.LocalFileSystem(), destination_filesystem=files)
+            if (folder := os.path.dirname(target)) not in made:
+                files.create_dir(folder, recursive=True)
+                made.add(folder)
+            partial = f"{target}.{name}.part"
+            fetch(url, f"{own}/{name}")
+            fs.copy_files(f"{own}/{name}", partial, source_filesystem=fs.LocalFileSystem(), destination_filesystem=files)
             files.move(partial, target)
         return True
     except Exception:  # any fetch failure is an outcome of the row, not of the job
         return False
+    finally:
+        if os.path.exists(f"{own}/{name}"):
+            os.remove(f"{own}/{name}")

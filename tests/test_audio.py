@@ -161,3 +161,26 @@ def test_all_licenses_can_be_planned(spark, tmp_path):
 def test_extract_without_fetch_is_metadata_only(spark, tmp_path):
     rows = extract_audio(spark, write_export(tmp_path, "tsv", LINES))
     assert {r["status"] for r in rows.collect()} == {"metadata"}
+
+
+def test_fetches_of_one_small_file_are_dealt_over_the_cores(spark, tmp_path):
+    from sentaria.operators.audio import audio_rows, download
+
+    raw = spark.createDataFrame(
+        [(str(k), f"rec{k}", "ines", "CC0", "") for k in range(60)],
+        "sentence_id string, audio_id string, username string, license string, attribution_url string",
+    )
+    raw.coalesce(1).write.parquet(str(tmp_path / "export"))
+    raw = spark.read.parquet(str(tmp_path / "export"))
+
+    def fetch(url, path):
+        with open(path, "x") as out:  # a new file each time
+            out.write(url)
+        if "rec7." in url or url.endswith("rec7"):
+            raise OSError("refused after a part was written")
+
+    rows = download(audio_rows(raw), str(tmp_path / "audio"), fetch)
+    assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    found = {r["audio_id"]: r["status"] for r in rows.collect()}
+    assert len(found) == 60 and {a for a, s in found.items() if s == "download_error"} == {"rec7"}
+    assert len(list((tmp_path / "audio" / "tatoeba").iterdir())) == 59
