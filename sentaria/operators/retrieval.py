@@ -22,7 +22,7 @@ from sentaria.functions.text import (
     tokenize_text,
 )
 from sentaria.operators.ranking import PLACE, PLACE_BITS, TOP_ROWS, page_of, places, total_order
-from sentaria.plans.sizing import spread, written
+from sentaria.plans.sizing import TOKEN_GROWTH, dealt, spread, written
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.keyed import narrowed, value_ranges
 
@@ -40,9 +40,13 @@ GRAMMAR_ORDER = ("pattern_id",)
 # --- token index ---------------------------------------------------------------
 
 
-def token_rows(sentences: DataFrame) -> DataFrame:
-    """One row per token occurrence: the rows of the inverted index."""
-    return spread(sentences.select(ID, "language", "text"), ID).select(
+def token_rows(sentences: DataFrame, grouped: bool = False) -> DataFrame:
+    """One row per token occurrence: the rows of the inverted index.
+
+    ``grouped`` deals the texts out by id, to tasks that can each group the tokens of theirs in memory.
+    """
+    texts = sentences.select(ID, "language", "text")
+    return (dealt(texts, ID, growth=TOKEN_GROWTH) if grouped else spread(texts, ID)).select(
         ID, "language", F.inline(tokenize_text(F.col("text")))
     )
 
@@ -534,7 +538,8 @@ def _match_all_batch(asked: DataFrame, exploded: DataFrame, postings: DataFrame)
 
 
 def _match_any_batch(exploded: DataFrame, postings: DataFrame, last: int) -> DataFrame:
-    keyed = postings.distinct().withColumn("posting", F.struct("language", "normalized_token"))
+    own = dealt(postings, *postings.columns, growth=TOKEN_GROWTH).distinct()
+    keyed = own.withColumn("posting", F.struct("language", "normalized_token"))
     first = _first_per_group(keyed, "posting", last).drop("posting", "rank")
     return (
         exploded.join(first, "normalized_token")

@@ -16,7 +16,7 @@ from sentaria.operators.conform import conform, surrogate_ids
 from sentaria.plans import jobs
 from sentaria.plans.corpus_views import CorpusViews
 from sentaria.plans.jobs import ExtractInputs
-from sentaria.plans.sizing import scratch_path, spread, written
+from sentaria.plans.sizing import TOKEN_GROWTH, dealt, scratch_path, spread, written
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.parquet import (
     compact_dataset,
@@ -142,9 +142,15 @@ def _index_summary(tokens: DataFrame) -> DataFrame:
     )
 
 
+def _stored_summary(tokens: DataFrame) -> DataFrame:
+    """:func:`_index_summary` of a stored index, grouped by as many tasks as its rows need in memory."""
+    keys = ("language", "normalized_token", ID)
+    return _index_summary(dealt(tokens.select(*keys, "position"), *keys, growth=TOKEN_GROWTH))
+
+
 @registered
 def token_index(v: CorpusViews) -> DataFrame:
-    return _index_summary(retrieval.token_rows(v.sentences))
+    return _index_summary(retrieval.token_rows(v.sentences, grouped=True))
 
 
 _INDEX_PATHS: dict[tuple[str, str], str] = {}
@@ -162,7 +168,7 @@ def _stored_index(v: CorpusViews) -> DataFrame:
 
 @registered
 def stored_token_index(v: CorpusViews) -> DataFrame:
-    return _index_summary(_stored_index(v))
+    return _stored_summary(_stored_index(v))
 
 
 @registered
@@ -171,7 +177,7 @@ def stream_token_index(v: CorpusViews) -> DataFrame:
     base = scratch_path(v.spark, "stream")
     spread(v.sentences, ID).write.parquet(f"{base}/arriving")
     update_index(v.spark, f"{base}/arriving", f"{base}/store", f"{base}/checkpoints")
-    return _index_summary(CorpusStore(v.spark, f"{base}/store").read("sentence_tokens"))
+    return _stored_summary(CorpusStore(v.spark, f"{base}/store").read("sentence_tokens"))
 
 
 @registered
@@ -189,8 +195,10 @@ def stream_distinct_sentences(v: CorpusViews) -> DataFrame:
 def _with_token_counts(store: CorpusStore) -> DataFrame:
     """The stored sentences and how many rows of the index each has."""
     n_tokens = store.read("sentence_tokens").groupBy(ID).agg(F.count(F.lit(1)).alias("n_tokens"))
-    return store.read("sentences").join(n_tokens, ID, "left").select(
-        ID, "language", F.md5("text").alias("text_md5"), F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens")
+    # digests are joined, not texts
+    held = store.read("sentences").select(ID, "language", F.md5("text").alias("text_md5"))
+    return held.join(n_tokens, ID, "left").select(
+        ID, "language", "text_md5", F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens")
     )
 
 

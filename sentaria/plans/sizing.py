@@ -10,6 +10,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PARTITION_BYTES = 256 << 20
+#: Rows in memory that one task should group or sort.
+TASK_BYTES = 256 << 20
+#: Size of token rows in memory over that of the text's or the index's compressed files.
+TOKEN_GROWTH = 32.0
 # Above this width the map x reduce block count hurts more than larger partitions,
 # which sort with spill.
 MAX_SHUFFLE_WIDTH = 20_000
@@ -54,6 +58,19 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(2 * cores, *keys)
 
 
+def dealt(df: DataFrame, *keys: str, growth: float = 1.0) -> DataFrame:
+    """Deal rows out by ``keys`` to so many tasks that each can group or sort its share in memory.
+
+    ``growth`` is the size of the rows in memory over that of the files they come from. A grouping by
+    these keys needs no further shuffle.
+    """
+    size = input_bytes(df)
+    if size is None:
+        return df.repartition(*keys)
+    needed = math.ceil(size * growth / TASK_BYTES)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, min(needed, MAX_SHUFFLE_WIDTH)), *keys)
+
+
 def _bytes_setting(spark: SparkSession, name: str, default: int) -> int:
     text = str(spark.conf.get(name, str(default))).strip().lower().removesuffix("b")
     units = {"k": 10, "m": 20, "g": 30, "t": 40}

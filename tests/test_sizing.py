@@ -69,3 +69,32 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         sizing.scratch_root(Session())
+
+
+def test_rows_are_dealt_to_as_many_tasks_as_their_memory_needs(spark, stored, monkeypatch):
+    rows, column = stored, "id"
+    cores = spark.sparkContext.defaultParallelism
+    assert sizing.dealt(rows, column).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(sizing, "TASK_BYTES", max(1, sizing.input_bytes(rows) // 20))
+    assert 20 <= sizing.dealt(rows, column).rdd.getNumPartitions() <= 22
+    assert 100 <= sizing.dealt(rows, column, growth=5.0).rdd.getNumPartitions() <= 110
+    assert sorted(map(tuple, sizing.dealt(rows, column).collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_a_summary_of_the_index_groups_in_as_many_tasks_as_its_memory_needs(spark, tmp_path, monkeypatch):
+    from sentaria.operators.retrieval import token_rows
+    from sentaria.plans import registered
+
+    rows = [(k, "la", f"Ordo {k % 7} et ordo") for k in range(50)]
+    path = str(tmp_path / "sentences")
+    spark.createDataFrame(rows, "sentence_id bigint, language string, text string").write.parquet(path)
+    sentences = spark.read.parquet(path)
+    token_rows(sentences).write.parquet(f"{path}-index")
+    tokens = spark.read.parquet(f"{path}-index")
+    monkeypatch.setattr(sizing, "TASK_BYTES", max(1, int(sizing.input_bytes(tokens) * registered.TOKEN_GROWTH) // 30))
+    summary = registered._stored_summary(tokens)
+    assert "RepartitionByExpression [language" in summary._jdf.queryExecution().optimizedPlan().toString()
+    direct = registered._index_summary(token_rows(sentences, grouped=True))
+    assert token_rows(sentences, grouped=True).rdd.getNumPartitions() >= 10 > token_rows(sentences).rdd.getNumPartitions()
+    for found in (summary, direct):
+        assert {r["normalized_token"]: (r["n_tokens"], r["n_sentences"]) for r in found.collect()}["ordo"] == (100, 50)

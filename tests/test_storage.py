@@ -499,3 +499,15 @@ def test_new_rows_of_a_load_that_repeats_keys_are_judged_once(spark):
     assert "Join" not in str(new._jdf.queryExecution().optimizedPlan())
     assert sorted(map(tuple, new.collect())) == [(1, "la", "a"), (2, "la", "c")]
     assert {(r["sentence_id"], r["n_rows"]) for r in refused.collect()} == {(1, 1), (None, 1)}
+
+
+def test_token_counts_are_joined_to_digests_not_to_texts(spark, tmp_path):
+    from sentaria.plans.registered import _with_token_counts
+    from sentaria.sinks.store import CorpusStore
+
+    store = CorpusStore(spark, str(tmp_path / "counted"))
+    store.load_sentences(spark.createDataFrame([(1, "la", "ordo et ordo"), (2, "la", "")], "sentence_id bigint, language string, text string"))
+    counted = _with_token_counts(store)
+    plan = str(counted._jdf.queryExecution().optimizedPlan())
+    assert plan.index("Join") < plan.index("md5(")
+    assert {(r["sentence_id"], r["n_tokens"]) for r in counted.collect()} == {(1, 3), (2, 0)}
