@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sentaria.functions.text import (
+    fold_case,
     normalized_tokens,
     query_tokens,
     resolve_query_tokens,
+    split_tokens,
     text_contains,
-    tokenize_text,
 )
 from sentaria.operators.ranking import PLACE, PLACE_BITS, TOP_ROWS, page_of, places, total_order
 from sentaria.plans.sizing import TOKEN_GROWTH, dealt, spread, written
@@ -46,9 +47,12 @@ def token_rows(sentences: DataFrame, grouped: bool = False) -> DataFrame:
     ``grouped`` deals the texts out by id, to tasks that can each group the tokens of theirs in memory.
     """
     texts = sentences.select(ID, "language", "text")
-    return (dealt(texts, ID, growth=TOKEN_GROWTH) if grouped else spread(texts, ID)).select(
-        ID, "language", F.inline(tokenize_text(F.col("text")))
-    )
+    texts = dealt(texts, ID, growth=TOKEN_GROWTH) if grouped else spread(texts, ID)
+    # keys are made row by row in compiled code; a function over an array is interpreted
+    tokens = texts.select(ID, "language", split_tokens(F.col("text")).alias("_tokens"))
+    rows = tokens.select(ID, "language", F.posexplode("_tokens").alias("position", "token"))
+    key = fold_case(F.col("token")).alias("normalized_token")
+    return rows.select(ID, "language", "token", key, "position")
 
 
 def key_rows(sentences: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sentaria.operators.conform import conform
 from sentaria.operators.retrieval import token_rows
@@ -72,7 +73,8 @@ class StoreVersion:
         base = dataset_path(self.folder, table)
         names = [name for name in self.loads(table) if name != without]
         if not names:
-            return self.spark.createDataFrame([], SCHEMAS[table])
+            # planned in the JVM: an empty list of rows would start Python workers, and be of unknown size
+            return self.spark.range(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields])
         paths = [f"{base}/{_LOAD}={name}" for name in names]
         rows = self.spark.read.schema(SCHEMAS[table]).option("basePath", base).parquet(*paths)
         return rows.select(SCHEMAS[table].names)
