@@ -13,8 +13,13 @@ EXPORT_NULL = "\\N"
 
 
 def strip(value: Column) -> Column:
-    """Drop leading and trailing white space, tabs and Unicode spaces included."""
-    return F.regexp_replace(value, f"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    """Drop leading and trailing white space, tabs and Unicode spaces included.
+
+    Text that begins and ends with a visible ASCII character is left as it is, without a pattern search.
+    """
+    first, last = F.ascii(value), F.ascii(F.substring(value, -1, 1))
+    bare = first.between(33, 126) & last.between(33, 126)
+    return F.when(bare, value).otherwise(F.regexp_replace(value, f"(?U)^{_SPACE}+|{_SPACE}+$", ""))
 
 
 def blank_to_null(value: Column) -> Column:
@@ -24,7 +29,9 @@ def blank_to_null(value: Column) -> Column:
 def parse_int(value: Column) -> Column:
     """BIGINT of a decimal integer (sign, spaces and ``_`` separators allowed), else NULL."""
     text = strip(value)
-    return F.when(
+    number = value.try_cast("bigint")
+    # digits as Spark would write them need no pattern
+    return F.when(number.cast("string") == value, number).when(
         text.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"),
         F.regexp_replace(text, "_", "").try_cast("bigint"),
     )

@@ -54,7 +54,8 @@ def extract(
     """Write the language, quality and audio filtered datasets.
 
     Links and tags follow the quality list only; the chosen languages restrict
-    sentences and audio here and the rest at load time.
+    sentences and audio here and the rest at load time. What is extracted is stored before it is
+    sorted: a sort by ranges computes its input twice, and audio asks for the sentences again.
     """
     sentences = read_sentences(spark, inputs.sentences, languages, inputs.file_format)
     trusted = None
@@ -63,23 +64,24 @@ def extract(
         if trusted.isEmpty():
             log.warning("no trusted ids in %s; nothing is filtered", inputs.quality_ids)
         sentences = keep_trusted(sentences, trusted)
+    sentences = written(sentences, "extracted")
     save_by_language(sentences, output_dir, "sentences")
 
     if inputs.links:
         links = read_links(spark, inputs.links, inputs.file_format)
         if trusted is not None:
             links = keep_trusted(links, trusted, "sentence_id", "translation_id")
-        save_dataset(links, output_dir, "links")
+        save_dataset(written(links, "extracted"), output_dir, "links")
     if inputs.tags:
         tags = read_tags(spark, inputs.tags, inputs.file_format)
         if trusted is not None:
             tags = keep_trusted(tags, trusted)
-        save_dataset(tags, output_dir, "tags")
+        save_dataset(written(tags, "extracted"), output_dir, "tags")
     if inputs.audio:
         audio = extract_audio(
             spark, inputs.audio, sentences.select("sentence_id"), fetch, audio_dir, reusable_only
         )
-        save_dataset(audio, output_dir, "sentence_audio")
+        save_dataset(written(audio, "extracted"), output_dir, "sentence_audio")
 
 
 # Child datasets and the columns that must name a loaded sentence.

@@ -26,13 +26,19 @@ def _read(spark: SparkSession, path: str, schema: StructType, file_format: str)
     """
     if file_format == "parquet":
         return spark.read.parquet(path)
-    fields = spark.read.text(path).select(F.split("value", "\t", -1).alias("fields"))
+    lines = spark.read.text(path).select(F.split("value", "\t", -1).alias("fields"))
+    raw = _once(F.struct(*[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(schema.names)]), lines)
 
-    def typed(at: int, kind) -> Column:
-        value = F.nullif(F.get("fields", F.lit(at)), F.lit(EXPORT_NULL))
+    def typed(name: str, kind) -> Column:
+        value = F.nullif(name, F.lit(EXPORT_NULL))
         return value if isinstance(kind, StringType) else strip(value).try_cast(kind)
 
-    return fields.select(*[typed(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
+    return raw.select(*[typed(f.name, f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _once(fields: Column, lines: DataFrame) -> DataFrame:
+    """The fields as columns. A filter on columns that are derived from them is not moved below, where it would parse each line anew."""
+    return lines.select(F.inline(F.array(fields)))
 
 
 def _pick(schema: StructType, names: Iterable[str]) -> StructType:
@@ -162,7 +168,7 @@ def read_audio_fields(spark: SparkSession, path: str, multi_line: bool = False)
         rows = spark.read.schema(_CSV_FIELDS).csv(path, multiLine=True, **options)
     else:
         lines = _export_lines(spark, path).filter(F.length("value") > 0)
-        rows = lines.select(F.from_csv("value", _CSV_FIELDS, options).alias("r")).select("r.*")
+        rows = _once(F.col("r"), lines.select(F.from_csv("value", _CSV_FIELDS, options).alias("r")))
     # Spark flags short and long rows alike; one with a tab still has two fields.
     usable = F.col("_corrupt").isNull() | (F.instr("_corrupt", "\t") > 0)
     return rows.filter(usable).select(*RAW_FIELDS)
