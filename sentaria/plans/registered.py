@@ -19,6 +19,7 @@ from sentaria.plans.jobs import ExtractInputs
 from sentaria.plans.sizing import TOKEN_GROWTH, dealt, scratch_path, spread, written
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.parquet import (
+    CODEC,
     compact_dataset,
     save_by_language,
     save_dataset,
@@ -185,7 +186,7 @@ def stream_distinct_sentences(v: CorpusViews) -> DataFrame:
     """Every document arrives twice; the stream keeps one row of each id."""
     base = scratch_path(v.spark, "stream")
     for _ in range(2):
-        spread(v.sentences, ID).write.mode("append").parquet(f"{base}/arriving")
+        spread(v.sentences, ID).write.mode("append").option("compression", CODEC).parquet(f"{base}/arriving")
     update_index(
         v.spark, f"{base}/arriving", f"{base}/store", f"{base}/checkpoints", distinct_ids=True
     )

@@ -96,14 +96,18 @@ def session_settings(spark: SparkSession, **settings):
                 spark.conf.set(full, value)
 
 
+#: Shuffle files are deleted when the write that made them has ended, not when the driver collects its garbage.
+DROP_SHUFFLES = {"spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true"}
+
+
 def sized_shuffles(df: DataFrame):
     """Let the joins and groupings below one write start with a width that fits its input.
 
     Adaptive execution joins partitions that turn out small but never adds any, so too
-    many is cheap and too few is not.
+    many is cheap and too few is not. The files of these shuffles go with the write.
     """
     name = "spark__sql__adaptive__coalescePartitions__initialPartitionNum"
-    return session_settings(df.sparkSession, **{name: shuffle_width(df)})
+    return session_settings(df.sparkSession, **{name: shuffle_width(df)}, **DROP_SHUFFLES)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -131,4 +135,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     with sized_shuffles(df):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a :func:`written` frame whose last reader has finished."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

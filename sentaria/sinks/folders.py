@@ -36,6 +36,16 @@ class Folders:
         found = (child.rstrip("/").rsplit("/", 1)[-1] for child in self.children(path))
         return [name[len(prefix) :] for name in found if name.startswith(prefix)]
 
+    def files(self, path: str, suffix: str) -> list[tuple[str, int]]:
+        """The files below a folder whose names end so, with their bytes, in the order of their paths."""
+        files, where = self._at(path)
+        found, listed = files.listFiles(where, True), []
+        while found.hasNext():
+            status = found.next()
+            if (name := status.getPath().toString()).endswith(suffix):
+                listed.append((name, status.getLen()))
+        return sorted(listed)
+
     def n_bytes(self, path: str) -> int:
         files, where = self._at(path)
         return files.getContentSummary(where).getLength()

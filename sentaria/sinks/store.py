@@ -18,17 +18,18 @@ from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import accumulate, groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentaria.operators.conform import conform
 from sentaria.operators.retrieval import token_rows
-from sentaria.plans.sizing import written
+from sentaria.plans.sizing import input_bytes, written
 from sentaria.schemas import BY_LANGUAGE, LOAD_ORDER, PRIMARY_KEYS, SCHEMAS
 from sentaria.sinks.folders import Folders
 from sentaria.sinks.keyed import split_by_key
-from sentaria.sinks.parquet import dataset_path, write_dataset, write_token_index
+from sentaria.sinks.parquet import dataset_path, write_dataset, write_token_index, write_width
 
 POINTER = "current"
 VERSIONS = "versions"
@@ -38,6 +39,23 @@ _MERGED, _MERGES = "merged", "_merges"
 MERGE_LOADS = 8
 SIZE_STEP = 8
 _LEAST_BYTES = 1 << 20
+#: A load's sentences are indexed in so many shares at most, of so many stored bytes at least.
+INDEX_SHARES = 8
+SHARE_BYTES = 8 << 20
+
+
+def _shares(files: list[tuple[str, int]]) -> list[list[str]]:
+    """Files in runs of a like size: few runs, so that a language stays in one or two of them."""
+    size = max(SHARE_BYTES, -(-sum(n for _, n in files) // INDEX_SHARES))
+    ends = accumulate(n for _, n in files)
+    placed = [((end - (n + 1) // 2) // size, path) for (path, n), end in zip(files, ends)]
+    return [[path for _, path in run] for _, run in groupby(placed, key=lambda x: x[0])]
+
+
+def _share_width(rows: DataFrame) -> int:
+    """Range partitions of stored sentences: two files for each share, if there is enough to share."""
+    size = input_bytes(rows)
+    return max(write_width(rows), 1 if size is None else min(2 * INDEX_SHARES, size // SHARE_BYTES))
 
 
 def _partitions(table: str) -> tuple[str, ...]:
@@ -92,7 +110,8 @@ class StoreVersion:
         else:
             keys = PRIMARY_KEYS.get(table, ())
             order = (*keys, "sentence_id") if "sentence_id" not in keys else keys
-            write_dataset(rows, path, partition_by=_partitions(table), order=order, lookup_keys=keys)
+            width = _share_width(rows) if table == "sentences" else None
+            write_dataset(rows, path, partition_by=_partitions(table), order=order, lookup_keys=keys, width=width)
 
     def append(
         self, df: DataFrame, table: str, languages: DataFrame | None = None, load: str | None = None
@@ -152,9 +171,24 @@ class StoreVersion:
             files.replace_text(f"{base}/{_MERGES}", json.dumps({**standing, name: parts}))
 
     def load_sentences(self, df: DataFrame, load: str | None = None) -> None:
-        """Add sentences and their token rows."""
-        self.append(df, "sentences", load=load)
-        self.append(token_rows(conform(df, "sentences")), "sentence_tokens", languages=df, load=load)
+        """Add sentences and their token rows.
+
+        Token rows are made from the sentences as they are stored, file by file in shares: shuffled, they
+        take several times the space of their texts, and a share's are gone when the next one begins.
+        """
+        name = load or uuid.uuid4().hex
+        self.append(df, "sentences", load=name)
+        files, held = Folders(self.spark), f"{dataset_path(self.folder, 'sentences')}/{_LOAD}={name}"
+        path = dataset_path(self.folder, "sentence_tokens")
+        coming = f"{path}/_coming-{name}"
+        files.delete(coming)
+        files.create(coming)
+        for share in _shares(files.files(held, ".parquet")):
+            rows = self.spark.read.schema(SCHEMAS["sentences"]).option("basePath", held).parquet(*share)
+            tokens = conform(token_rows(rows), "sentence_tokens")
+            write_token_index(tokens, coming, mode="append", languages=rows)
+        files.move(coming, f"{path}/{_LOAD}={name}")
+        self._merge("sentence_tokens", name)
 
     def load(self, table: str, df: DataFrame) -> None:
         self.append(df, table)

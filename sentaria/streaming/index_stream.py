@@ -15,9 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sentaria.operators.conform import conform
+from sentaria.plans.sizing import discard, written
 from sentaria.schemas import SCHEMAS
 from sentaria.sinks.folders import Folders
-from sentaria.sinks.keyed import split_by_key
+from sentaria.sinks.keyed import PLACE, placed, split_placed
 from sentaria.sinks.store import CorpusStore
 
 _SALT, _SALTS = "_salt", 64
@@ -65,7 +66,7 @@ def _stream_name(spark: SparkSession, checkpoint_dir: str) -> str:
     return name
 
 
-def batch_writer(base_dir: str, checkpoint_dir: str, distinct_ids: bool = False):
+def batch_writer(base_dir: str, checkpoint_dir: str, distinct_ids: bool = False, from_files: bool = False):
     """What stores and indexes one micro-batch, as ``foreachBatch`` calls it.
 
     Rows take the store's own write path, so streamed and batch-loaded rows share folders
@@ -76,21 +77,26 @@ def batch_writer(base_dir: str, checkpoint_dir: str, distinct_ids: bool = False)
     ``distinct_ids`` keeps the first row of each id, and none without an id. What came before is
     looked up in the store, in the row groups that may hold one of the batch's ids, so a
     stream of any age keeps no state of its own. The batch's own first try does not count.
+
+    ``from_files``: a batch is rows of files as they stand, which are read again wherever they
+    are needed. Any other batch is written to the scratch folder first, until it is loaded.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         version = CorpusStore(spark, base_dir).create_tables()
-        batch = batch.persist()
+        rows = placed(conform(batch, "sentences"))
+        if not from_files:
+            rows = copy = written(rows, "batch")
         try:
-            if not batch.isEmpty():
+            if not rows.isEmpty():
                 load = f"{_stream_name(spark, checkpoint_dir)}-{batch_id}"
-                rows = batch
                 if distinct_ids:
-                    rows, _ = split_by_key(batch, version.held("sentences", without=load), "sentences")
-                version.load_sentences(rows, load=load)
+                    rows, _ = split_placed(rows, version.held("sentences", without=load), "sentences")
+                version.load_sentences(rows.drop(PLACE), load=load)
         finally:
-            batch.unpersist()
+            if not from_files:
+                discard(copy)
 
     return write
 
@@ -117,12 +123,13 @@ def start_sentences(
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(source_dir)
     )
-    if distinct_ids and event_time is not None:
+    with_state = distinct_ids and event_time is not None
+    if with_state:
         origin = F.col("_metadata.file_path") if spread_repeats else None
         arriving = deduplicated(arriving, event_time, origin=origin)
     return (
         conform(arriving, "sentences")
-        .writeStream.foreachBatch(batch_writer(base_dir, checkpoint_dir, distinct_ids))
+        .writeStream.foreachBatch(batch_writer(base_dir, checkpoint_dir, distinct_ids, from_files=not with_state))
         .option("checkpointLocation", f"{checkpoint_dir}/sentences")
         .trigger(availableNow=True)
         .start()
